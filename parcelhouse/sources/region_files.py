@@ -76,14 +76,14 @@ def parse_tables(files: DataFrame, keep_extras=True) -> DataFrame:
         F.posexplode("_lines").alias("line_no", "_line"),
     )
     rows = rows.where((F.col("line_no") > 0) & (F.trim("_line") != "")).withColumn(
-        "_cells", F.split("_line", "\t", -1)
+        "_cells",
+        F.transform(
+            F.split("_line", "\t", -1), lambda c: F.when(~c.isin(*MISSING_TEXTS), c)
+        ),
     )
 
-    def present(text):
-        return F.when(~text.isin(*MISSING_TEXTS), text)
-
     def cell(field):
-        text = present(F.try_element_at("_cells", F.col(f"_places.{field.name}")))
+        text = F.try_element_at("_cells", F.col(f"_places.{field.name}"))
         if isinstance(field.dataType, T.StringType):
             return text
         number = numeric_or_null(text)
@@ -93,8 +93,8 @@ def parse_tables(files: DataFrame, keep_extras=True) -> DataFrame:
         F.col("_other"),
         F.transform(
             "_other",
-            lambda c: present(
-                F.try_element_at("_cells", F.array_position(F.col("_header"), c).cast("int"))
+            lambda c: F.try_element_at(
+                "_cells", F.array_position(F.col("_header"), c).cast("int")
             ),
         ),
     )

@@ -41,9 +41,13 @@ def _rank(order):
 
 
 def _pivot_sql(column, value, names, order, index="subject_code, session_id"):
+    cells = (
+        f"SELECT {index}, {column} AS _c, arg_min({value}, {order}) AS _v FROM l "
+        f"WHERE {value} IS NOT NULL GROUP BY ALL"
+    )
     return f"SELECT {index}, " + ", ".join(
-        f"arg_min({value}, {order}) FILTER (WHERE {column} = '{n}') AS \"{n}\"" for n in names
-    ) + f" FROM l WHERE {value} IS NOT NULL GROUP BY ALL"
+        f"max(_v) FILTER (WHERE _c = '{n}') AS \"{n}\"" for n in names
+    ) + f" FROM ({cells}) GROUP BY ALL"
 
 
 @query(
