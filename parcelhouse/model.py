@@ -41,6 +41,20 @@ _LONG_INTEGERS = {"index", "index_17network", "network_id", "voxel_count"}
 MAX_REGIONS = 10_000
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def schema(**columns) -> T.StructType:
+    """``schema(name="string", ...)``; unlike a DDL string it needs no running session."""
+    return T.StructType([T.StructField(c, _TYPES[kind]) for c, kind in columns.items()])
+
+
 def _field(name):
     if name in _LONG_INTEGERS:
         return T.StructField(name, T.LongType())
@@ -69,14 +83,9 @@ LONG_SCHEMA = T.StructType(
     ]
 )
 
-LEDGER_SCHEMA = T.StructType(
-    [
-        T.StructField("subject_code", T.StringType()),
-        T.StructField("session_id", T.StringType()),
-        T.StructField("source", T.StringType()),
-        T.StructField("loaded_at", T.TimestampType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
+LEDGER_SCHEMA = schema(
+    subject_code="string", session_id="string", source="string", loaded_at="timestamp",
+    batch_id="bigint",
 )
 
 

@@ -45,10 +45,13 @@ def covariate_columns(columns, age=None) -> list:
 def session_covariates(df: DataFrame, age=None) -> DataFrame:
     """Distinct session rows with their covariates; age is always called ``AGE``."""
     resolved = age_column(df.columns, age)
-    chosen = df.select(*[f"`{c}`" for c in covariate_columns(df.columns, age)]).distinct()
-    if resolved and resolved != "AGE":
-        chosen = chosen.drop("AGE").withColumnRenamed(resolved, "AGE")
-    return chosen
+    chosen = []
+    for name in covariate_columns(df.columns, age):
+        if name == resolved:
+            chosen.append(F.col(f"`{name}`").alias("AGE"))
+        elif resolved is None or name.lower() != "age":
+            chosen.append(F.col(f"`{name}`"))
+    return df.select(*chosen).distinct()
 
 
 def loaded_with_age(pairs: DataFrame, registry: DataFrame, age=None) -> DataFrame:

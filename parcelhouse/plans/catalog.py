@@ -7,27 +7,28 @@ data work.
 import time
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
+from parcelhouse.model import schema
 from parcelhouse.operators.latest import keep_last
 
-CATALOG_SCHEMA = T.StructType.fromDDL(
-    "kind string, name string, modality string, metric string, source string,"
-    "source_modality string, workflow string, model string, param string,"
-    "n_rows bigint, n_sessions bigint, n_subjects bigint, n_regions bigint,"
-    "columns array<string>, statistics array<string>, regions array<string>,"
-    "path string, batch_hi bigint, version bigint, created_at timestamp"
+CATALOG_SCHEMA = schema(
+    kind="string", name="string", modality="string", metric="string", source="string",
+    source_modality="string", workflow="string", model="string", param="string",
+    n_rows="bigint", n_sessions="bigint", n_subjects="bigint", n_regions="bigint",
+    columns="array<string>", statistics="array<string>", regions="array<string>",
+    path="string", batch_hi="bigint", version="bigint", created_at="timestamp",
 )
 
 
-def read_or_empty(spark, path, schema, fmt="parquet") -> DataFrame:
+def read_or_empty(spark, path, columns, fmt="parquet") -> DataFrame:
     """A stored table, or an empty one of that schema where nothing is stored yet."""
     try:
-        return spark.read.schema(schema).format(fmt).load(path)
+        return spark.read.schema(columns).format(fmt).load(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], columns)
 
 
 class Catalog:

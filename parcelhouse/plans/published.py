@@ -8,17 +8,17 @@ name their statistic.
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from parcelhouse.functions import parse_feature_name
-from parcelhouse.model import SESSION_KEYS
+from parcelhouse.model import SESSION_KEYS, schema
 from parcelhouse.operators.reshape import to_tidy
 from parcelhouse.operators.sessions import full_outer
 
 KEY = "participant_id"
-_ENTRY = T.StructType.fromDDL(
-    "modality string, format string, pipeline string, metric string, statistic string,"
-    "file string, n_features bigint"
+_ENTRY = schema(
+    modality="string", format="string", pipeline="string", metric="string", statistic="string",
+    file="string", n_features="bigint",
 )
 
 

@@ -27,6 +27,7 @@ from parcelhouse.model import (
     SESSION_KEYS,
     long_keys,
     region_column,
+    schema,
 )
 from parcelhouse.functions import missing_to_null
 from parcelhouse.operators.assemble import Feature, assemble_features
@@ -44,10 +45,10 @@ from parcelhouse.plans.scratch import materialize
 
 # "none" writes uncompressed files; brotli needs a codec Spark does not ship.
 CODECS = ("snappy", "gzip", "zstd", "lz4", "none")
-TOTALS_SCHEMA = T.StructType.fromDDL(
-    "subject_code string, session_id string, tiv double, batch_id bigint"
+TOTALS_SCHEMA = schema(
+    subject_code="string", session_id="string", tiv="double", batch_id="bigint"
 )
-_BATCH_SCHEMA = T.StructType.fromDDL("owner string, epoch bigint, batch_id bigint")
+_BATCH_SCHEMA = schema(owner="string", epoch="bigint", batch_id="bigint")
 _KEYS = list(SESSION_KEYS)
 
 
@@ -384,11 +385,11 @@ class FeatureStore:
             place = {"statistic": entry.metric, "model": entry.model, "param": entry.param}
             place = {c: v for c, v in place.items() if v is not None}
             # A given schema keeps partition values text ("01" is no number).
-            schema = T.StructType(
+            columns = T.StructType(
                 [T.StructField(c, T.StringType()) for c in (*_KEYS, *place)]
                 + [T.StructField(r, T.DoubleType()) for r in entry.regions]
             )
-            df = self.spark.read.schema(schema).parquet(entry.path)
+            df = self.spark.read.schema(columns).parquet(entry.path)
             for column, value in place.items():
                 df = df.where(F.col(column) == value)
             # A session may have values for other parameters of the source only.

@@ -11,8 +11,9 @@ import logging
 import time
 import uuid
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
+from parcelhouse.model import schema
 from parcelhouse.plans.catalog import read_or_empty
 from parcelhouse.sources.region_files import (
     anatomical_glob,
@@ -22,7 +23,7 @@ from parcelhouse.sources.region_files import (
 )
 
 log = logging.getLogger(__name__)
-_ID_SCHEMA = T.StructType.fromDDL("id string")
+_ID_SCHEMA = schema(id="string")
 
 
 def _stream_id(spark, checkpoint: str) -> str:

@@ -1 +1,532 @@
+"""Stored tables, incremental load and the published layout.
 
+Every query builds its store from the whole tables below the scratch folder and returns
+what the store then answers; the SQL states the same result in one shot.
+"""
+
+from pyspark.sql import functions as F
+
+from parcelhouse.operators.latest import keep_last
+from parcelhouse.operators.reshape import to_wide
+from parcelhouse.plans.load_job import LoadSettings, run_load
+from parcelhouse.plans.published import (
+    KEY,
+    PublishedDataset,
+    available_metrics,
+    participant_rows,
+    tidy_view,
+)
+from parcelhouse.plans.scratch import scratch_path
+from parcelhouse.plans.store import FeatureStore
+from parcelhouse.streaming.ingest import forced_checkpoint, ingest_stream, load_anatomical
+from parcelhouse.workloads.bindings import (
+    LONG_DIFFUSION,
+    LONG_EVENTS,
+    LONG_TISSUE,
+    SESSIONS,
+    long_diffusion,
+    long_tissue,
+    sessions,
+    table,
+    with_,
+)
+from parcelhouse.workloads.files import ATLAS, _REGION_SQL, _as_csv, anatomical_tree
+from parcelhouse.workloads.registry import query
+
+KEYS = ["subject_code", "session_id"]
+EVENTS = "anatomical_ev"
+
+
+def _store(spark, **options):
+    return FeatureStore(spark, scratch_path(spark, "store"), **options)
+
+
+def _event_rows(spark, sf):
+    """Events as store rows; ``part`` is the third of the day, the order of delivery."""
+    return table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("subject_code"),
+        F.date_format("ts", "yyyyMMdd").alias("session_id"),
+        F.col("event_type").alias("label"),
+        F.col("value").alias("mean"),
+        F.col("event_id").alias("line_no"),
+        F.floor(F.hour("ts") / 8).cast("int").alias("part"),
+    )
+
+
+def _deliveries(spark, sf):
+    rows = _event_rows(spark, sf)
+    return [rows.where(F.col("part") == p).drop("part") for p in range(3)]
+
+
+_NEWEST = with_(e=LONG_EVENTS) + """
+SELECT subject_code, session_id, label, arg_max(mean, seq) AS mean FROM e GROUP BY ALL
+"""
+_CELLS = [*KEYS, "label", "mean"]
+
+
+@query("k02_upsert", _NEWEST)
+def upsert(spark, sf):
+    """Two deliveries published, a third only staged."""
+    store = _store(spark)
+    first, second, third = _deliveries(spark, sf)
+    store.save_anatomical_long(first, "ev")
+    store.save_anatomical_long(second, "ev")
+    store.publish()
+    store.save_anatomical_long(third, "ev")
+    return store.load_long(EVENTS).select(*_CELLS)
+
+
+@query("k01_codec", _NEWEST)
+def codec(spark, sf):
+    store = _store(spark, compression="gzip")
+    for delivery in _deliveries(spark, sf):
+        store.save_anatomical_long(delivery, "ev")
+    store.publish()
+    return store.load_long(EVENTS, include_staged=False).select(*_CELLS)
+
+
+@query("s07_t07_staged", _NEWEST)
+def staged(spark, sf):
+    """Nothing is published: the staged rows answer."""
+    store = _store(spark)
+    for delivery in _deliveries(spark, sf):
+        store.save_anatomical_long(delivery, "ev")
+    return store.load_long(EVENTS).select(*_CELLS)
+
+
+@query(
+    "t04_t09_publish",
+    _NEWEST.replace("arg_max(mean, seq) AS mean", "arg_max(mean, seq) AS mean, 0::BIGINT AS n_staged"),
+)
+def publish(spark, sf):
+    """Published after every delivery; nothing stays staged."""
+    store = _store(spark)
+    for delivery in _deliveries(spark, sf):
+        store.save_anatomical_long(delivery, "ev")
+        store.publish()
+    return store.load_long(EVENTS, include_staged=False).select(
+        *_CELLS, F.lit(store.staged().count()).cast("bigint").alias("n_staged")
+    )
+
+
+@query("t03_stream", _NEWEST)
+def stream(spark, sf):
+    """Three deliveries arrive as files; each run of the stream takes what is new."""
+    store, inbox = _store(spark), scratch_path(spark, "inbox")
+    checkpoint = scratch_path(spark, "checkpoint")
+    for delivery in _deliveries(spark, sf):
+        delivery.write.mode("append").parquet(inbox)
+        rows = spark.readStream.schema(delivery.schema).parquet(inbox)
+        ingest_stream(store, rows, EVENTS, checkpoint)
+    return store.load_long(EVENTS).select(*_CELLS)
+
+
+@query("t05_resume", with_(l=_REGION_SQL) + "SELECT l.* EXCLUDE (remark), 1::BIGINT AS n_batches FROM l")
+def resume(spark, sf):
+    """Region files by stream; the second run finds nothing new."""
+    store, root = _store(spark), anatomical_tree(spark, sf)
+    checkpoint = scratch_path(spark, "checkpoint")
+    load_anatomical(store, root, checkpoint, ATLAS)
+    load_anatomical(store, root, checkpoint, ATLAS)
+    batches = store.staged().select("batch_id").distinct().count()
+    tables = [store.load_long(f"anatomical_{m}") for m in ("gm", "wm", "ct")]
+    rows = tables[0].unionByName(tables[1]).unionByName(tables[2])
+    return rows.select(
+        *KEYS, "modality", "metric", "label", "index", "volume_mm3", "mean", "std",
+        F.lit(batches).cast("bigint").alias("n_batches"),
+    )
+
+
+@query("t06_force", _NEWEST.replace("arg_max(mean, seq) AS mean", "round(arg_max(mean, seq) + 1, 6) AS mean"))
+def force(spark, sf):
+    """A full reload with corrected values replaces what was loaded and published."""
+    store, inbox = _store(spark), scratch_path(spark, "inbox")
+    checkpoint = scratch_path(spark, "checkpoint")
+    rows = _event_rows(spark, sf).drop("part")
+    rows.write.parquet(inbox)
+    source = spark.readStream.schema(rows.schema).parquet(inbox)
+    ingest_stream(store, source, EVENTS, checkpoint)
+    store.publish()
+    corrected = source.withColumn("mean", F.round(F.col("mean") + 1, 6))
+    ingest_stream(store, corrected, EVENTS, forced_checkpoint(checkpoint))
+    return store.load_long(EVENTS).select(*_CELLS)
+
+
+_PATH = (
+    "concat_ws('/', lpad(cast(cast(round(volume_mm3 * 100) as bigint) as {s}), 12, '0'), "
+    "lpad(cast(partkey as {s}), 12, '0'), lpad(cast(suppkey as {s}), 12, '0'), "
+    "cast(cast(mean as bigint) as {s}), cast(cast(round(std * 100) as bigint) as {s}), "
+    "cast(cast(round(tax * 100) as bigint) as {s}), linestatus, cast(cast(shipdate as date) as {s}))"
+)
+
+
+def _tissue_rows(spark, sf, modality):
+    rows = long_tissue(spark, sf).where(F.col("modality") == modality)
+    return rows.withColumn("source_path", F.expr(_PATH.format(s="string"))).drop(
+        "tax", "partkey", "suppkey", "linestatus", "shipdate", "tiv"
+    )
+
+
+_TISSUE = f"SELECT *, {_PATH.format(s='varchar')} AS path FROM ({LONG_TISSUE})"
+_CURRENT = """
+SELECT subject_code, session_id, modality, label, arg_max(volume_mm3, path) AS volume_mm3,
+       arg_max(mean, path) AS mean, arg_max(std, path) AS std FROM t GROUP BY ALL
+"""
+
+
+def _tissue_store(spark, sf, modalities=("gm", "wm"), publish=True):
+    store = _store(spark)
+    for modality in modalities:
+        store.save_anatomical_long(_tissue_rows(spark, sf, modality), modality)
+    if publish:
+        store.publish()
+    return store
+
+
+@query(
+    "t01_pending",
+    with_(s=SESSIONS, l=LONG_TISSUE) + """
+    SELECT s.subject_code, s.session_id, site,
+           string_agg(w.source, ',' ORDER BY w.source) AS sources_to_load
+    FROM s, (VALUES ('gm'), ('wm'), ('ct')) AS w(source)
+    WHERE w.source = 'ct' OR NOT EXISTS (SELECT 1 FROM l WHERE l.modality = w.source
+        AND l.subject_code = s.subject_code AND l.session_id = s.session_id)
+    GROUP BY ALL
+    """,
+)
+def pending(spark, sf):
+    store = _tissue_store(spark, sf, publish=False)
+    found = store.pending(sessions(spark, sf), ("gm", "wm", "ct"))
+    return found.select(
+        *KEYS, "site", F.array_join("sources_to_load", ",").alias("sources_to_load")
+    )
+
+
+@query(
+    "t02_ledger",
+    with_(s=SESSIONS, l=LONG_TISSUE) + """
+    SELECT s.subject_code, s.session_id, round(AGE, 6) AS "AGE", site, priority,
+           coalesce(bool_or(l.modality = 'gm'), false) AS anatomical_gm_loaded,
+           coalesce(bool_or(l.modality = 'wm'), false) AS anatomical_wm_loaded,
+           false AS anatomical_ct_loaded, false AS diffusion_loaded
+    FROM s LEFT JOIN l ON l.subject_code = s.subject_code AND l.session_id = s.session_id
+    GROUP BY s.subject_code, s.session_id, AGE, site, priority
+    """,
+)
+def ledger(spark, sf):
+    store = _tissue_store(spark, sf)
+    store.initialize_metadata(sessions(spark, sf))
+    return store.load_metadata().withColumn("AGE", F.round("AGE", 6))
+
+
+@query(
+    "t08_existing",
+    with_(l=LONG_TISSUE) + "SELECT DISTINCT subject_code, session_id FROM l WHERE modality <> 'ct'",
+)
+def existing(spark, sf):
+    store = _tissue_store(spark, sf, ["gm"])
+    store.save_anatomical_long(_tissue_rows(spark, sf, "wm"), "wm")
+    return store.existing_sessions()
+
+
+@query(
+    "t09_keep_staged",
+    with_(l=LONG_TISSUE) + """
+    SELECT 'anatomical_' || modality AS source, count(DISTINCT (subject_code, session_id)) AS n_sessions
+    FROM l WHERE modality <> 'ct' GROUP BY ALL
+    """,
+)
+def keep_staged(spark, sf):
+    store = _tissue_store(spark, sf, publish=False)
+    store.publish(keep_staged=True)
+    return store.staged_status()
+
+
+@query(
+    "c01_register",
+    with_(t=_TISSUE, c=_CURRENT) + """
+    SELECT 'anatomical_' || modality AS name, 'anatomical' AS modality, count(*) AS n_rows,
+           count(DISTINCT (subject_code, session_id)) AS n_sessions,
+           count(DISTINCT subject_code) AS n_subjects, 'volume_mm3,mean,std' AS statistics
+    FROM c WHERE c.modality <> 'ct' GROUP BY c.modality
+    """,
+)
+def register(spark, sf):
+    entries = _tissue_store(spark, sf).catalog.entries("base")
+    return entries.select(
+        "name", "modality", "n_rows", "n_sessions", "n_subjects",
+        F.array_join("statistics", ",").alias("statistics"),
+    )
+
+
+@query(
+    "c02_k03_register_wide",
+    with_(t=_TISSUE, c=_CURRENT) + """
+    SELECT modality || '_' || s AS name, s AS metric, modality AS source_modality,
+           count(DISTINCT label) AS n_regions,
+           count(DISTINCT (subject_code, session_id)) AS n_sessions,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS regions
+    FROM c, (VALUES ('volume_mm3'), ('mean'), ('std')) AS v(s) WHERE modality <> 'ct' GROUP BY ALL
+    """,
+)
+def register_wide(spark, sf):
+    store = _tissue_store(spark, sf)
+    store.generate_wide_features()
+    return store.catalog.entries("wide").select(
+        "name", "metric", "source_modality", "n_regions", "n_sessions",
+        F.array_join("regions", ",").alias("regions"),
+    )
+
+
+def _wide(value, label="label", names=range(1, 8), alias="{n}"):
+    return ", ".join(
+        f"max({value}) FILTER (WHERE {label} = '{n}') AS \"{alias.format(n=n)}\"" for n in names
+    )
+
+
+@query(
+    "s08_load_feature",
+    with_(t=_TISSUE, c=_CURRENT, s=SESSIONS) + f"""
+    , w AS (SELECT subject_code, session_id, {_wide("volume_mm3")} FROM c
+            WHERE modality = 'gm' GROUP BY ALL)
+    SELECT w.*, round(s.AGE, 6) AS "AGE", site, priority, o.o_totalprice AS tiv,
+           true AS anatomical_gm_loaded, false AS anatomical_wm_loaded,
+           false AS anatomical_ct_loaded, false AS diffusion_loaded
+    FROM w LEFT JOIN s ON w.subject_code = s.subject_code AND w.session_id = s.session_id
+    LEFT JOIN orders o ON CAST(o_orderkey AS VARCHAR) = w.session_id
+    """,
+)
+def load_feature(spark, sf):
+    store = _tissue_store(spark, sf, ["gm"])
+    store.initialize_metadata(sessions(spark, sf))
+    store.save_tiv(
+        sessions(spark, sf).join(
+            table(spark, sf, "orders").select(
+                F.col("o_orderkey").cast("string").alias("session_id"),
+                F.col("o_totalprice").alias("tiv"),
+            ),
+            "session_id",
+        )
+    )
+    store.generate_wide_features(metrics=["volume_mm3"])
+    df = store.load_feature("gm_volume_mm3", include_metadata=True, include_tiv=True)
+    return df.withColumn("AGE", F.round("AGE", 6))
+
+
+@query(
+    "s08_load_features",
+    with_(t=_TISSUE, c=_CURRENT) + "SELECT subject_code, session_id, " + ", ".join(
+        f"max({s}) FILTER (WHERE label = '{n}' AND modality = '{m}') AS \"{m}_{s}__{n}\""
+        for m, s in (("gm", "volume_mm3"), ("wm", "mean")) for n in range(1, 8)
+    ) + " FROM c WHERE modality IN ('gm', 'wm') GROUP BY ALL",
+)
+def load_features(spark, sf):
+    store = _tissue_store(spark, sf)
+    store.generate_wide_features()
+    return store.load_features(["gm_volume_mm3", "wm_mean"], include_metadata=False)
+
+
+@query(
+    "r02_k03_diffusion_features",
+    with_(l=LONG_DIFFUSION) + """
+    SELECT 'A_' || model || '_' || param || '_' || s AS name, count(DISTINCT label) AS n_regions,
+           count(DISTINCT (subject_code, session_id)) AS n_sessions
+    FROM l, (VALUES ('mean'), ('std'), ('volume_mm3'), ('voxel_count')) AS v(s)
+    WHERE workflow = 'A' GROUP BY ALL
+    """,
+)
+def diffusion_features(spark, sf):
+    """All features of a workflow are published by one job."""
+    store = _store(spark)
+    rows = long_diffusion(spark, sf).where("workflow = 'A'").withColumn("desc", F.lit("unknown"))
+    store.save_diffusion_long(rows.drop("tax", "partkey", "shipdate"), "A")
+    store.publish()
+    store.generate_wide_features()
+    return store.catalog.entries("wide").select("name", "n_regions", "n_sessions")
+
+
+@query(
+    "k04_s09_tiv",
+    """
+    SELECT CAST(o_custkey AS VARCHAR) AS subject_code, CAST(o_orderkey AS VARCHAR) AS session_id,
+           CASE o_orderstatus WHEN 'F' THEN o_totalprice / 2 ELSE o_totalprice END AS tiv
+    FROM orders
+    """,
+)
+def totals(spark, sf):
+    """A second delivery corrects some totals; one delivery holds a session twice."""
+    orders = table(spark, sf, "orders")
+    rows = orders.select(
+        F.col("o_custkey").cast("string").alias("subject_code"),
+        F.col("o_orderkey").cast("string").alias("session_id"),
+        F.col("o_totalprice").alias("tiv"), "o_orderstatus",
+    )
+    store = _store(spark)
+    store.save_tiv(rows.unionByName(rows.withColumn("tiv", -F.col("tiv"))))
+    finished = rows.where("o_orderstatus = 'F'")
+    store.save_tiv(finished.withColumn("tiv", F.col("tiv") / 2))
+    return store.load_feature("tiv")
+
+
+@query(
+    "a17_summary",
+    with_(l=LONG_TISSUE) + """
+    SELECT 2::BIGINT AS n_long, 7::BIGINT AS n_wide_features, 7::BIGINT AS n_anatomical_features,
+           0::BIGINT AS n_diffusion_features, true AS has_tiv,
+           count(DISTINCT (subject_code, session_id)) AS n_sessions,
+           count(DISTINCT subject_code) AS n_subjects FROM l WHERE modality <> 'ct'
+    """,
+)
+def summary(spark, sf):
+    store = _tissue_store(spark, sf)
+    store.generate_wide_features()
+    store.save_tiv(long_tissue(spark, sf))
+    return store.summary()
+
+
+@query(
+    "a03_age_statistics",
+    with_(s=SESSIONS) + """
+    SELECT round(min(AGE), 6) AS min, round(max(AGE), 6) AS max, round(avg(AGE), 6) AS mean,
+           count(*) FILTER (WHERE AGE IS NULL) AS missing FROM s
+    """,
+)
+def age_statistics(spark, sf):
+    store = _store(spark)
+    store.initialize_metadata(sessions(spark, sf).withColumnRenamed("AGE", "age"))
+    return store.age_statistics().select(
+        *[F.round(c, 6).alias(c) for c in ("min", "max", "mean")], "missing"
+    )
+
+
+def _published(spark, sf):
+    """gm_mean and wm_volume_mm3 wide, and tidy rows of both."""
+    data = PublishedDataset(spark, scratch_path(spark, "published"))
+    for modality, statistic in (("gm", "mean"), ("wm", "volume_mm3")):
+        long = keep_last(
+            _tissue_rows(spark, sf, modality), [*KEYS, "modality", "label"], ["source_path"]
+        )
+        wide = to_wide(long, "label", statistic, order=["source_path"])
+        data.write_features(participant_rows(wide), "anatomical", modality, statistic)
+        tidy = tidy_view(long, modality, ["mean", "volume_mm3"])
+        data.write_features(tidy, "anatomical", modality, "all", "long")
+    data.write_metadata(
+        participant_rows(sessions(spark, sf)).withColumnRenamed("site", "group")
+    )
+    return data
+
+
+_ID = "subject_code || '_' || session_id AS participant_id"
+
+
+@query(
+    "s10_k05_contract",
+    with_(t=_TISSUE, c=_CURRENT) + f"""
+    SELECT {_ID}, {_wide("mean")} FROM c WHERE modality = 'gm' GROUP BY ALL
+    """,
+)
+def contract(spark, sf):
+    return _published(spark, sf).get_features("anatomical", "gm", "mean")
+
+
+@query(
+    "s10_p06_contract_long",
+    with_(t=_TISSUE, c=_CURRENT) + f"""
+    SELECT {_ID}, label AS parcel, modality AS metric, volume_mm3 AS value,
+           'volume_mm3' AS statistic FROM c WHERE modality = 'wm'
+    """,
+)
+def contract_long(spark, sf):
+    return _published(spark, sf).get_features("anatomical", "wm", "volume_mm3", fmt="long")
+
+
+_SIDE_BY_SIDE = with_(
+    t=_TISSUE, c=_CURRENT,
+    g=f"SELECT {_ID}, {_wide('mean', alias='gm_mean_{n}')} FROM c WHERE modality = 'gm' GROUP BY ALL",
+    w=f"SELECT {_ID}, {_wide('volume_mm3', alias='wm_volume_mm3_{n}')} FROM c "
+      "WHERE modality = 'wm' GROUP BY ALL",
+) + "SELECT * FROM g FULL JOIN w USING (participant_id)"
+
+
+@query("s10_j09_contract_all", _SIDE_BY_SIDE)
+def contract_all(spark, sf):
+    return _published(spark, sf).get_features("anatomical")
+
+
+@query("j09_e08_select", _SIDE_BY_SIDE)
+def select(spark, sf):
+    return _published(spark, sf).select(anatomical=["gm_mean", "wm_volume_mm3"])
+
+
+@query(
+    "c03_metrics",
+    "SELECT * FROM (VALUES ('gm', 'all,mean'), ('wm', 'all,volume_mm3')) AS v(metric, statistics)",
+)
+def metrics(spark, sf):
+    found = _published(spark, sf).available_metrics("anatomical")
+    return found.select("metric", F.array_join("statistics", ",").alias("statistics"))
+
+
+@query(
+    "c03_metrics_tidy",
+    with_(l=LONG_TISSUE) + """
+    SELECT modality AS metric, 'mean,std' AS statistics FROM l GROUP BY ALL
+    """,
+)
+def metrics_tidy(spark, sf):
+    long = long_tissue(spark, sf)
+    tidy = long.select(
+        F.col("modality").alias("metric"),
+        F.explode(F.array(F.lit("std"), F.lit("mean"))).alias("statistic"),
+    )
+    return available_metrics(tidy).select(
+        "metric", F.array_join("statistics", ",").alias("statistics")
+    )
+
+
+@query("c04_subjects", with_(s=SESSIONS) + f"SELECT DISTINCT {_ID} FROM s")
+def subjects(spark, sf):
+    return _published(spark, sf).subject_ids()
+
+
+@query("c04_n_subjects", with_(s=SESSIONS) + "SELECT count(*) AS n_subjects FROM s")
+def n_subjects(spark, sf):
+    return _published(spark, sf).n_subjects()
+
+
+def _suppliers_csv(spark, sf):
+    registry = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("subject_code"),
+        F.explode(F.array(F.lit("01"), F.lit("02"))).alias("session_id"),
+        F.col("s_acctbal").alias("AGE"),
+    )
+    return _as_csv(registry, "registry")
+
+
+@query(
+    "c09_job",
+    with_(l=_REGION_SQL) + f"""
+    , c AS (SELECT lpad(subject_code, CAST(greatest(4, length(subject_code)) AS INTEGER), '0') AS subject_code,
+                   substr(session_id, 2) AS session_id, label, volume_mm3, s_acctbal AS "AGE"
+            FROM l JOIN supplier ON subject_code = CAST(s_suppkey AS VARCHAR)
+            WHERE modality = 'gm')
+    SELECT subject_code, session_id, "AGE", true AS anatomical_gm_loaded,
+           {_wide("volume_mm3", names=[f"R.{n}" for n in range(1, 8)])},
+           0::BIGINT AS second_run_published
+    FROM c GROUP BY ALL
+    """,
+)
+def job(spark, sf):
+    """Files to features in one call; a second call finds nothing to do."""
+    settings = LoadSettings(
+        registry_path=_suppliers_csv(spark, sf), store_root=scratch_path(spark, "store"),
+        anatomical_root=anatomical_tree(spark, sf), atlas=ATLAS, sources=("gm", "wm", "ct"),
+    )
+    run_load(spark, settings)
+    again = run_load(spark, settings)
+    store = FeatureStore(spark, settings.store_root)
+    return (
+        store.load_feature("gm_volume_mm3")
+        .drop("anatomical_wm_loaded", "anatomical_ct_loaded", "diffusion_loaded")
+        .withColumn("second_run_published", F.lit(len(again.published)).cast("bigint"))
+    )
