@@ -15,11 +15,11 @@ def numeric_or_null(raw) -> Column:
 
 def missing_to_null(df: DataFrame) -> DataFrame:
     """NaN to NULL in every floating-point column; do this once, at the source."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.nullif(F.col(f"`{f.name}`"), F.lit(float("nan")).cast(f.dataType)).alias(f.name)
+            f"nullif(`{f.name}`, cast('NaN' as {f.dataType.simpleString()})) as `{f.name}`"
             if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else F.col(f"`{f.name}`")
+            else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )

@@ -1,8 +1,7 @@
 """The stored tables.
 
-``long/source=S/batch_id=N``   staged batches; a batch that is written again replaces itself
+``long/source=S/batch_id=N``   staged batches; the newest batch of a key counts
 ``base/S/version=V``           published rows, one per key
-``batches``                    which writer has taken which batch number
 ``ledger/batch_id=N``          which session has been loaded from which source
 ``totals``, ``registry``       session scalars and covariates
 ``wide/S/version=V``           wide features, partitioned by statistic (and model, param)
@@ -48,7 +47,6 @@ CODECS = ("snappy", "gzip", "zstd", "lz4", "none")
 TOTALS_SCHEMA = schema(
     subject_code="string", session_id="string", tiv="double", batch_id="bigint"
 )
-_BATCH_SCHEMA = schema(owner="string", epoch="bigint", batch_id="bigint")
 _KEYS = list(SESSION_KEYS)
 
 
@@ -65,24 +63,18 @@ def conform(df: DataFrame) -> DataFrame:
     known = {f.name for f in LONG_SCHEMA.fields}
     other = [c for c in df.columns if c not in known]
     if other:
-        more = F.map_filter(
-            F.create_map(*[x for c in other for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]),
-            lambda _, v: v.isNotNull(),
-        )
+        cells = ", ".join(f"'{c}', cast(`{c}` as string)" for c in other)
+        more = f"map_filter(map({cells}), (k, v) -> v is not null)"
         if "extras" in df.columns:
-            more = F.map_concat(
-                F.map_filter(
-                    F.coalesce("extras", F.create_map().cast("map<string,string>")),
-                    lambda k, _: ~k.isin(*other),
-                ),
-                more,
-            )
-        df = df.withColumn("extras", more)
+            names = ", ".join(f"'{c}'" for c in other)
+            kept = f"map_filter(extras, (k, v) -> k not in ({names}))"
+            more = f"map_concat(coalesce({kept}, cast(map() as map<string,string>)), {more})"
+        df = df.withColumn("extras", F.expr(more))
     return missing_to_null(
-        df.select(
+        df.selectExpr(
             *[
-                (F.col(f.name) if f.name in df.columns else F.lit(None))
-                .cast(f.dataType).alias(f.name)
+                f"cast({f'`{f.name}`' if f.name in df.columns else 'null'} as "
+                f"{f.dataType.simpleString()}) as `{f.name}`"
                 for f in LONG_SCHEMA.fields
             ]
         )
@@ -97,6 +89,7 @@ class FeatureStore:
         self.catalog = Catalog(spark, self.root)
         self._long = f"{self.root}/long"
         self._ledger = f"{self.root}/ledger"
+        self._last_batch = 0
 
     # -- long tables ---------------------------------------------------------------
 
@@ -111,19 +104,10 @@ class FeatureStore:
     def ledger(self) -> DataFrame:
         return read_or_empty(self.spark, self._ledger, LEDGER_SCHEMA)
 
-    def allocate_batch(self, owner: str, epoch: int = None) -> int:
-        """The next batch number; the same one again for a known (owner, epoch)."""
-        path = f"{self.root}/batches"
-        taken = read_or_empty(self.spark, path, _BATCH_SCHEMA, "json")
-        if epoch is not None:
-            again = taken.where((F.col("owner") == owner) & (F.col("epoch") == epoch)).first()
-            if again is not None:
-                return again.batch_id
-        last = taken.agg(F.max("batch_id")).first()[0]
-        batch = 0 if last is None else last + 1
-        row = self.spark.createDataFrame([(owner, epoch, batch)], _BATCH_SCHEMA)
-        row.coalesce(1).write.mode("append").json(path)
-        return batch
+    def new_batch(self) -> int:
+        """A batch number above all earlier ones: microseconds, strictly increasing."""
+        self._last_batch = max(self._last_batch + 1, time.time_ns() // 1000)
+        return self._last_batch
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """Stage rows that carry their ``source`` and enter their sessions in the ledger."""
@@ -145,7 +129,7 @@ class FeatureStore:
 
     def save_long(self, df: DataFrame, source: str) -> int:
         """Stage rows of one source as a new batch; later batches replace equal keys."""
-        batch = self.allocate_batch(source)
+        batch = self.new_batch()
         self.write_batch(df.withColumn("source", F.lit(source)), batch)
         return batch
 
@@ -246,7 +230,7 @@ class FeatureStore:
         absent = [c for c in (*_KEYS, "tiv") if c not in df.columns]
         if absent:
             raise ValueError(f"totals lack the columns {absent}")
-        batch = self.allocate_batch("totals")
+        batch = self.new_batch()
         rows = missing_to_null(df.select(*_KEYS, F.col("tiv").cast("double").alias("tiv")))
         # Equal sessions within one delivery are told apart by value, the larger one last.
         unique = keep_last(rows.where(F.col("tiv").isNotNull()), _KEYS, ["tiv"])

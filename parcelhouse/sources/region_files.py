@@ -62,11 +62,13 @@ def parse_tables(files: DataFrame, keep_extras=True) -> DataFrame:
     split = files.withColumns({"_lines": lines, "_header": header})
     typed = REGION_FIELDS + STATISTIC_FIELDS + [T.StructField(REGION_NAME_COLUMN, T.StringType())]
     # Column positions are looked up once per file, not once per line.
-    places = F.struct(
-        *[
-            F.nullif(F.array_position("_header", f.name), F.lit(0)).cast("int").alias(f.name)
+    places = F.expr(
+        "struct("
+        + ", ".join(
+            f"cast(nullif(array_position(_header, '{f.name}'), 0) as int) as {f.name}"
             for f in typed
-        ]
+        )
+        + ")"
     )
     other = F.array_distinct(
         F.array_except("_header", F.array(*[F.lit(f.name) for f in typed]))

@@ -1,20 +1,16 @@
 """Incremental, resumable load of region files.
 
 The file source remembers in its checkpoint which files it has seen; a run with
-``availableNow`` loads what is new and ends. Each micro-batch is one store batch: written
-data, then ledger. A batch that is repeated after a crash replaces itself, so nothing is
-lost or doubled. The store hands out the batch numbers, because every checkpoint counts
-its micro-batches from zero.
+``availableNow`` loads what is new and ends. Each micro-batch becomes a store batch: data
+first, then ledger. A micro-batch that is repeated after a crash is written again as a newer
+batch; its rows have the same keys, so the newest counts and nothing is lost or doubled.
 """
 
 import logging
 import time
-import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
-from parcelhouse.model import schema
-from parcelhouse.plans.catalog import read_or_empty
 from parcelhouse.sources.region_files import (
     anatomical_glob,
     anatomical_rows,
@@ -23,25 +19,11 @@ from parcelhouse.sources.region_files import (
 )
 
 log = logging.getLogger(__name__)
-_ID_SCHEMA = schema(id="string")
-
-
-def _stream_id(spark, checkpoint: str) -> str:
-    """Identity of a checkpoint; it lives and dies with it."""
-    path = f"{checkpoint}/stream"
-    stored = read_or_empty(spark, path, _ID_SCHEMA).first()
-    if stored is not None:
-        return stored.id
-    name = uuid.uuid4().hex
-    spark.createDataFrame([(name,)], _ID_SCHEMA).coalesce(1).write.parquet(path)
-    return name
 
 
 def _run(store, files, parse, checkpoint, on_batch):
-    stream = _stream_id(store.spark, checkpoint)
-
-    def load(batch: DataFrame, epoch: int) -> None:
-        batch_id = store.allocate_batch(stream, epoch)
+    def load(batch: DataFrame, _epoch: int) -> None:
+        batch_id = store.new_batch()
         store.write_batch(parse(batch), batch_id)
         if on_batch is not None:
             written = store.staged().where(F.col("batch_id") == batch_id)
