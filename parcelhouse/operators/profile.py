@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from parcelhouse.functions import bare_code
 from parcelhouse.model import SESSION_KEYS
-from parcelhouse.operators.quantiles import LARGE_GROUP_ROWS, exact_quantiles
+from parcelhouse.operators.quantiles import quantiles_of_large_groups
 from parcelhouse.operators.reshape import first_values
 
 
@@ -71,30 +71,33 @@ def value_statistics(df: DataFrame, column="AGE") -> DataFrame:
     )
 
 
-def column_statistics(
-    df: DataFrame, columns, probs=(0.25, 0.5, 0.75), limit=LARGE_GROUP_ROWS
-) -> DataFrame:
-    """n, mean, std, min, quantiles and max per column; columns without values are left out."""
+def column_statistics(df: DataFrame, columns, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """n, mean, std, min, quantiles and max per column; columns without values are left out.
+
+    Columns are few and long groups, so they take the way of large groups: two passes.
+    """
     long = melt(df, columns).where(F.col("value").isNotNull())
-    basic = long.groupBy("feature").agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
+    return quantiles_of_large_groups(
+        long, ["feature"], "value", probs,
+        also=[
+            F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+            F.min("value").alias("min"), F.max("value").alias("max"),
+        ],
     )
-    return basic.join(exact_quantiles(long, ["feature"], "value", probs, limit), "feature")
 
 
-def cohort_statistics(answers: DataFrame, features, limit=LARGE_GROUP_ROWS) -> DataFrame:
+def cohort_statistics(answers: DataFrame, features) -> DataFrame:
     """mean, std, median, min, max, n per feature over the given rows."""
-    found = column_statistics(answers, features, [0.5], limit)
+    found = column_statistics(answers, features, [0.5])
     return found.select(
         "feature", "mean", "std", F.col("quantiles")[0].alias("median"), "min", "max", "n"
     )
 
 
-def describe(df: DataFrame, columns, limit=LARGE_GROUP_ROWS) -> DataFrame:
+def describe(df: DataFrame, columns) -> DataFrame:
     """count, mean, std, min, quartiles, max per numeric column."""
     q = F.col("quantiles")
-    return column_statistics(df, columns, limit=limit).select(
+    return column_statistics(df, columns).select(
         "feature", F.col("n").alias("count"), "mean", "std", "min",
         q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), "max",
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from parcelhouse.model import SESSION_KEYS
 from parcelhouse.operators.profile import duplicate_keys
-from parcelhouse.operators.quantiles import LARGE_GROUP_ROWS, exact_quantiles
+from parcelhouse.operators.quantiles import quantiles_of_large_groups
 from parcelhouse.plans.scratch import materialize
 
 OUTLIER_THRESHOLD = 3.0
@@ -15,31 +15,27 @@ MAX_OUTLIER_SHARE = 0.1
 
 
 def outlier_limits(
-    long: DataFrame, by=("label", "metric"), value="value",
-    threshold=OUTLIER_THRESHOLD, limit=LARGE_GROUP_ROWS,
+    long: DataFrame, by=("label", "metric"), value="value", threshold=OUTLIER_THRESHOLD
 ) -> DataFrame:
-    """IQR and z-score limits per region and metric."""
-    by = list(by)
-    quartiles = exact_quantiles(long, by, value, [0.25, 0.75], limit)
-    center = long.dropna(subset=[*by, value]).groupBy(*by).agg(
-        F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std")
+    """IQR and z-score limits per region and metric: few groups, each of many sessions."""
+    found = quantiles_of_large_groups(
+        long.select(*by, value).dropna(), by, value, [0.25, 0.75],
+        also=[F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std")],
     )
     q = F.col("quantiles")
     reach = threshold * (q[1] - q[0])
-    return center.join(quartiles, by).select(
-        *by, "_mean", "_std",
-        (q[0] - reach).alias("_low"), (q[1] + reach).alias("_high"),
+    return found.select(
+        *by, "_mean", "_std", (q[0] - reach).alias("_low"), (q[1] + reach).alias("_high")
     )
 
 
 def outlier_flags(
-    long: DataFrame, by=("label", "metric"), value="value",
-    threshold=OUTLIER_THRESHOLD, limit=LARGE_GROUP_ROWS,
+    long: DataFrame, by=("label", "metric"), value="value", threshold=OUTLIER_THRESHOLD
 ) -> DataFrame:
     """Rows with ``iqr_outlier`` and ``z_outlier``; null where there is no value."""
     # Few rows (regions x metrics), written so that the planner sees it: the long table
     # is not shuffled by region, where single regions would be hot.
-    limits = materialize(outlier_limits(long, by, value, threshold, limit), "outlier-limits")
+    limits = materialize(outlier_limits(long, by, value, threshold), "outlier-limits")
     v = F.col(value)
     z = F.try_divide(F.abs(v - F.col("_mean")), F.col("_std"))
     return long.join(limits, list(by), "left").withColumns(
@@ -72,7 +68,6 @@ def enough_valid(long, value="value", region="label", n_regions=None, minimum=MI
 def session_quality(
     long: DataFrame, by=("label", "metric"), value="value", region="label", n_regions=None,
     minimum=MIN_VALID_SHARE, maximum=MAX_OUTLIER_SHARE, threshold=OUTLIER_THRESHOLD,
-    limit=LARGE_GROUP_ROWS,
 ) -> DataFrame:
     """Per session: valid share, outlier share and ``qc_pass``.
 
@@ -80,7 +75,7 @@ def session_quality(
     values flagged by either outlier rule.
     """
     keys = list(SESSION_KEYS)
-    flagged = outlier_flags(long, by, value, threshold, limit)
+    flagged = outlier_flags(long, by, value, threshold)
     outliers = flagged.groupBy(*keys).agg(
         F.count(value).alias("n_values"),
         F.count_if(F.col("iqr_outlier") | F.col("z_outlier")).alias("n_outliers"),

@@ -1,16 +1,20 @@
 """Exact quantiles (linear interpolation) that survive very large groups.
 
 ``percentile`` keeps every distinct value of a group in the memory of one task. That is
-right for groups of bounded size and wrong for a group that holds a third of the table.
+right for many groups of bounded size and wrong for a group that holds a third of the table.
 Large groups therefore take another way, and both give the same numbers:
 
 1. a mergeable sketch (``percentile_approx``) gives, for each wanted rank, two values that
    surely enclose it;
-2. one pass counts the rows below the enclosure and keeps the distinct values inside with
-   their counts - a small share of the group;
-3. running counts over those values find the order statistics.
+2. one pass keeps the distinct values inside the enclosures with their counts - a small
+   share of the group - and only counts the rows in the gaps between them;
+3. running counts over those few rows find the order statistics.
+
+All passes combine map-side, so no task ever sees a large group as a whole.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from parcelhouse.plans.scratch import materialize
@@ -19,24 +23,16 @@ LARGE_GROUP_ROWS = 100_000
 SKETCH_ACCURACY = 10_000
 
 
-def large_groups(rows: DataFrame, by, limit: int = LARGE_GROUP_ROWS) -> DataFrame:
-    """Keys of the groups with more than ``limit`` rows.
-
-    At most (rows / limit) keys, so this side of a join is small next to the table; the
-    callers still bound it with :func:`split_by_size`.
-    """
-    return rows.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > limit)
-
-
 def split_by_size(rows: DataFrame, by, limit: int = LARGE_GROUP_ROWS):
-    """(rows of ordinary groups, rows of large groups).
+    """(rows of ordinary groups, rows of groups with more than ``limit`` rows).
 
-    The list of large groups is written, so its size is known when the two joins are
-    planned: a short list is broadcast, a long one is not.
+    The list of large groups has at most rows / limit entries. It is written, so its size is
+    known when the two joins are planned: a short list is broadcast, a long one is not.
     """
-    large = materialize(large_groups(rows, by, limit).select(*by), "large-groups")
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("n"))
+    large = materialize(sizes.where(F.col("n") > limit).select(*by), "large-groups")
     if large.isEmpty():
-        return rows, rows.limit(0)
+        return rows, None
     return rows.join(large, list(by), "left_anti"), rows.join(large, list(by), "left_semi")
 
 
@@ -48,9 +44,13 @@ def quantiles_of_small_groups(rows: DataFrame, by, value: str, probs) -> DataFra
 
 
 def quantiles_of_large_groups(
-    rows: DataFrame, by, value: str, probs, accuracy: int = SKETCH_ACCURACY
+    rows: DataFrame, by, value: str, probs, accuracy: int = SKETCH_ACCURACY, also=()
 ) -> DataFrame:
-    by = list(by)
+    """``(by, n, quantiles)`` and the named aggregates ``also`` over the same rows.
+
+    ``rows`` have neither null keys nor null values.
+    """
+    by, probs = list(by), [float(p) for p in probs]
     # The sketch is off by at most n / accuracy ranks; twice that on both sides is safe.
     margin = 2.0 / accuracy
     low = [max(0.0, p - margin) for p in probs]
@@ -59,64 +59,75 @@ def quantiles_of_large_groups(
         F.count(value).alias("n"),
         F.min(value).alias("_min"),
         F.max(value).alias("_max"),
-        F.percentile_approx(value, low, accuracy).alias("_low"),
-        F.percentile_approx(value, high, accuracy).alias("_high"),
+        F.percentile_approx(value, low + high, accuracy).alias("_ends"),
+        *also,
     )
-    ranks = F.array(*[F.lit(float(p)) for p in probs])
-    enclosures = sketch.select(
-        *by,
-        "n",
-        F.transform(
-            ranks,
-            lambda p, i: F.struct(
-                ((F.col("n") - 1) * p).alias("at"),
-                # A margin that reaches past an end takes in that end.
-                F.when(p <= margin, F.col("_min")).otherwise(F.col("_low")[i]).alias("low"),
-                F.when(p >= 1 - margin, F.col("_max")).otherwise(F.col("_high")[i]).alias("high"),
-            ),
-        ).alias("_targets"),
+    extra = [c for c in sketch.columns if c not in (*by, "n", "_min", "_max", "_ends")]
+    # An enclosure that reaches past the smallest or largest rank takes in that end.
+    ends = [
+        F.col("_min") if p <= margin else F.col("_ends")[i] for i, p in enumerate(probs)
+    ] + [
+        F.col("_max") if p >= 1 - margin else F.col("_ends")[len(probs) + i]
+        for i, p in enumerate(probs)
+    ]
+    names = [f"_low{i}" for i in range(len(probs))] + [f"_high{i}" for i in range(len(probs))]
+    enclosures = materialize(
+        sketch.select(*by, "n", *extra, *[e.alias(c) for e, c in zip(ends, names)]),
+        "quantile-enclosures",
     )
-    enclosures = materialize(enclosures, "quantile-enclosures")
-    joined = rows.select(*by, F.col(value).alias("_v")).join(enclosures, by)
-    # Rows above an enclosure matter no more; rows below count under a null value.
-    marks = joined.select(
-        *by,
-        F.posexplode("_targets").alias("_target", "_t"),
-        "_v",
-    ).where(F.col("_v") <= F.col("_t.high"))
-    counted = marks.groupBy(
-        *by,
-        "_target",
-        F.when(F.col("_v") >= F.col("_t.low"), F.col("_v")).alias("_v"),
-    ).agg(F.count("*").alias("_c"))
-    # Null (= all rows below) sorts first, so the running count starts with it.
-    running = F.sum("_c").over(
-        Window.partitionBy(*by, "_target")
-        .orderBy(F.col("_v").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    v = F.col("_v")
+    inside = reduce(
+        lambda a, b: a | b,
+        [v.between(F.col(f"_low{i}"), F.col(f"_high{i}")) for i in range(len(probs))],
+    )
+    # Outside: which gap, by the number of enclosures that begin further down.
+    gap = reduce(
+        lambda a, b: a + b,
+        [F.when(v > F.col(f"_low{i}"), 1).otherwise(0) for i in range(len(probs))],
+    )
+    placed = rows.select(*by, F.col(value).alias("_v")).join(
+        enclosures.select(*by, "n", *names), by
+    )
+    counted = (
+        placed.select(
+            *by, "n", "_v",
+            F.when(inside, v).alias("_inside"), F.when(~inside, gap).alias("_gap"),
+        )
+        .groupBy(*by, "n", "_gap", "_inside")
+        .agg(F.count("*").alias("_c"), F.min("_v").alias("_least"))
     )
-    inside = counted.withColumn("_upto", running).where(F.col("_v").isNotNull())
-    placed = inside.join(
-        enclosures.select(*by, "n", F.posexplode("_targets").alias("_target", "_t")),
-        [*by, "_target"],
+    upto = F.sum("_c").over(
+        Window.partitionBy(*by).orderBy("_least")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    at = F.col("_t.at")
-    found = placed.groupBy(*by, "n", "_target", at.alias("_at")).agg(
-        F.min(F.when(F.col("_upto") > F.floor(at), F.col("_v"))).alias("_a"),
-        F.min(F.when(F.col("_upto") > F.ceil(at), F.col("_v"))).alias("_b"),
-        F.min(F.col("_upto") - F.col("_c")).alias("_below"),
+    ranked = counted.withColumn("_upto", upto)
+
+    def at(p):
+        return (F.col("n") - 1) * F.lit(p)
+
+    def statistic(rank):
+        # The first row that reaches the rank; it must not be a gap.
+        return F.min(
+            F.when(
+                F.col("_upto") > rank, F.struct("_least", F.col("_inside").isNull().alias("gap"))
+            )
+        )
+
+    found = ranked.groupBy(*by, "n").agg(
+        *[statistic(F.floor(at(p))).alias(f"_a{i}") for i, p in enumerate(probs)],
+        *[statistic(F.ceil(at(p))).alias(f"_b{i}") for i, p in enumerate(probs)],
     )
-    enclosed = (F.col("_below") <= F.floor("_at")) & F.col("_b").isNotNull()
-    exact = F.when(
-        enclosed, F.col("_a") + (F.col("_at") - F.floor("_at")) * (F.col("_b") - F.col("_a"))
-    ).otherwise(F.raise_error(F.lit("quantile outside its enclosure")).cast("double"))
-    # One entry per probability: bounded by the call.
-    return (
-        found.select(*by, "n", "_target", exact.alias("_q"))
-        .groupBy(*by, "n")
-        .agg(F.sort_array(F.collect_list(F.struct("_target", "_q"))).alias("_list"))
-        .select(*by, "n", F.col("_list._q").alias("quantiles"))
+
+    def quantile(i, p):
+        a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
+        exact = a["_least"] + (at(p) - F.floor(at(p))) * (b["_least"] - a["_least"])
+        missed = F.raise_error(F.lit("quantile outside its enclosure")).cast("double")
+        return F.when(a["gap"] | b["gap"], missed).otherwise(exact)
+
+    result = found.select(
+        *by, "n", F.array(*[quantile(i, p) for i, p in enumerate(probs)]).alias("quantiles")
     )
+    return result.join(enclosures.select(*by, *extra), by) if extra else result
 
 
 def exact_quantiles(
@@ -128,6 +139,7 @@ def exact_quantiles(
     """
     rows = df.select(*by, value).dropna()
     small, large = split_by_size(rows, by, limit)
-    return quantiles_of_small_groups(small, by, value, probs).unionByName(
-        quantiles_of_large_groups(large, by, value, probs)
-    )
+    result = quantiles_of_small_groups(small, by, value, probs)
+    if large is not None:
+        result = result.unionByName(quantiles_of_large_groups(large, by, value, probs))
+    return result

@@ -72,12 +72,10 @@ def _of_small_groups(rows, by, voxel_volume):
 def _of_large_groups(rows, by, voxel_volume):
     # Few groups: their parameters are small tables, every pass combines map-side.
     by = list(by)
-    center = rows.groupBy(*by).agg(
-        F.avg("_v").alias("_mean"), F.stddev_samp("_v").alias("_std")
-    )
-    quartiles = quantiles_of_large_groups(rows, by, "_v", _QUARTILES)
+    spread = [F.avg("_v").alias("_mean"), F.stddev_samp("_v").alias("_std")]
+    quartiles = quantiles_of_large_groups(rows, by, "_v", _QUARTILES, also=spread)
     center = materialize(
-        center.join(quartiles.select(*by, F.col("quantiles").alias("_q")), by), "region-centers"
+        quartiles.select(*by, F.col("quantiles").alias("_q"), "_mean", "_std"), "region-centers"
     )
     centered = rows.join(center, by).withColumn("_d", _deviation())
     mads = quantiles_of_large_groups(centered, by, "_d", [0.5]).select(
@@ -96,6 +94,7 @@ def region_statistics(
     """All region statistics per group of voxel rows; exact for groups of any size."""
     rows = voxels.select(*by, F.col(value).alias("_v")).dropna()
     small, large = split_by_size(rows, by, limit)
-    return _of_small_groups(small, by, voxel_volume).unionByName(
-        _of_large_groups(large, by, voxel_volume)
-    )
+    result = _of_small_groups(small, by, voxel_volume)
+    if large is not None:
+        result = result.unionByName(_of_large_groups(large, by, voxel_volume))
+    return result

@@ -15,6 +15,7 @@ from parcelhouse.model import (
     region_column,
     value_column,
 )
+from parcelhouse.plans.scratch import materialize
 
 
 def region_list(df: DataFrame, column: str, limit: int = MAX_REGIONS) -> list:
@@ -49,9 +50,11 @@ def to_wide(
     values = [values] if isinstance(values, str) else list(values)
     any_value = F.coalesce(*[F.col(v) for v in values]).isNotNull()
     known = df.where(any_value).dropna(subset=[*index, column])
-    if regions is None:
-        regions = region_list(known, column)
     cells = first_values(known, [*index, column], values, order)
+    if regions is None:
+        # The cells are needed twice then; written, the input is worked through once.
+        cells = materialize(cells, "wide-cells")
+        regions = region_list(cells, column)
     together = cells.repartition(*index)
     return together.groupBy(*index).pivot(column, regions).agg(
         *[F.first(v, ignorenulls=True).alias(v) for v in values]

@@ -2,31 +2,48 @@
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 TARGET_FREQUENCY = 0.25
 FREQUENCY_TOLERANCE = 0.05
 
 
-def band_amplitude(
-    profile: Column, target=TARGET_FREQUENCY, tolerance=FREQUENCY_TOLERANCE
-) -> Column:
-    """Sum of 2/n |Y_k| over the frequencies k/n within ``target`` +- ``tolerance``.
+def band_amplitudes(
+    df: DataFrame, by, profile: str, target=TARGET_FREQUENCY, tolerance=FREQUENCY_TOLERANCE
+) -> DataFrame:
+    """``(by, amplitude)``: sum of 2/n |Y_k| over frequencies k/n within ``target`` +- ``tolerance``.
 
-    Y is the discrete Fourier transform of the profile, k runs below n/2.
+    Y is the discrete Fourier transform of the profile array, k runs below n/2; ``by`` names
+    one profile each. Null if the profile has a missing value, 0 if no frequency is in band.
+    Only the profiles are shuffled; their terms are then summed where they are.
     """
+    return _amplitudes_in_place(df.repartition(*by), by, profile, target, tolerance)
+
+
+def _amplitudes_in_place(
+    df, by, profile, target=TARGET_FREQUENCY, tolerance=FREQUENCY_TOLERANCE
+):
+    by = list(by)
     n = F.size(profile)
     in_band = F.filter(
         F.sequence(F.lit(0), F.greatest(F.floor(n / 2).cast("int") - 1, F.lit(0))),
         lambda k: (k / n >= target - tolerance) & (k / n <= target + tolerance),
     )
-
-    def part(k, wave):
-        terms = F.transform(profile, lambda v, z: v * wave(2 * math.pi * k * z / n))
-        return F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
-
-    amplitudes = F.transform(in_band, lambda k: F.hypot(part(k, F.cos), part(k, F.sin)) * 2 / n)
-    return F.aggregate(amplitudes, F.lit(0.0), lambda a, b: a + b)
+    rows = (
+        df.select(*by, profile, n.alias("_n"), in_band.alias("_band"))
+        .select(*by, "_n", "_band", F.posexplode_outer(profile).alias("_z", "_v"))
+        .select(*by, "_n", "_z", "_v", F.explode_outer("_band").alias("_k"))
+    )
+    angle = 2 * math.pi * F.col("_k") * F.col("_z") / F.col("_n")
+    parts = rows.groupBy(*by, "_n", "_k").agg(
+        F.sum(F.col("_v") * F.cos(angle)).alias("_re"),
+        F.sum(F.col("_v") * F.sin(angle)).alias("_im"),
+        F.count("_v").alias("_filled"),
+    )
+    amplitude = F.coalesce(F.sum(F.hypot("_re", "_im") * 2 / F.col("_n")), F.lit(0.0))
+    return parts.groupBy(*by).agg(
+        F.when(F.min(F.col("_filled") == F.col("_n")), amplitude).alias("amplitude")
+    )
 
 
 def mean_profile(voxels: DataFrame, by, axis: str, value: str) -> DataFrame:
@@ -39,6 +56,8 @@ def mean_profile(voxels: DataFrame, by, axis: str, value: str) -> DataFrame:
 
 
 def strip_score(voxels: DataFrame, by, axis: str = "z", value: str = "value", **band) -> DataFrame:
-    return mean_profile(voxels, by, axis, value).select(
-        *by, band_amplitude(F.col("profile"), **band).alias("strip_score")
+    profiles = mean_profile(voxels, by, axis, value)
+    # The profiles lie by group already.
+    return _amplitudes_in_place(profiles, by, "profile", **band).withColumnRenamed(
+        "amplitude", "strip_score"
     )

@@ -6,7 +6,7 @@ from parcelhouse.operators import profile
 from parcelhouse.operators.answers import PARAMETER_RANGES, SCALE_RANGES, numeric_features
 from parcelhouse.operators.regions import region_statistics
 from parcelhouse.operators.sessions import of_cohort, pending_breakdown, pending_sessions
-from parcelhouse.operators.spectral import band_amplitude, strip_score
+from parcelhouse.operators.spectral import band_amplitudes, strip_score
 from parcelhouse.sources.tables import clean_questionnaire
 from parcelhouse.workloads.bindings import (
     CLEAN_ANSWERS,
@@ -412,8 +412,8 @@ def parcel_stats(spark, sf):
 )
 def strip_profile(spark, sf):
     vectors = table(spark, sf, "embeddings")
-    values = F.col("embedding").cast("array<double>")
-    return vectors.select("vec_id", F.round(band_amplitude(values), 6).alias("strip_score"))
+    scores = band_amplitudes(vectors, ["vec_id"], "embedding")
+    return scores.select("vec_id", F.round("amplitude", 6).alias("strip_score"))
 
 
 @query(
