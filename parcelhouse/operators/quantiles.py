@@ -51,8 +51,10 @@ def quantiles_of_large_groups(
     ``rows`` have neither null keys nor null values.
     """
     by, probs = list(by), [float(p) for p in probs]
-    # The sketch is off by at most n / accuracy ranks; twice that on both sides is safe.
-    margin = 2.0 / accuracy
+    # The sketch is off by at most n / accuracy ranks, interpolation needs two neighbouring
+    # ranks more. Groups below the accuracy are enclosed as a whole: so 1 / n is below
+    # 1 / accuracy in all others.
+    margin = 4.0 / accuracy
     low = [max(0.0, p - margin) for p in probs]
     high = [min(1.0, p + margin) for p in probs]
     sketch = rows.groupBy(*by).agg(
@@ -64,10 +66,14 @@ def quantiles_of_large_groups(
     )
     extra = [c for c in sketch.columns if c not in (*by, "n", "_min", "_max", "_ends")]
     # An enclosure that reaches past the smallest or largest rank takes in that end.
+    whole = F.col("n") <= accuracy
     ends = [
-        F.col("_min") if p <= margin else F.col("_ends")[i] for i, p in enumerate(probs)
+        F.when(whole | F.lit(p <= margin), F.col("_min")).otherwise(F.col("_ends")[i])
+        for i, p in enumerate(probs)
     ] + [
-        F.col("_max") if p >= 1 - margin else F.col("_ends")[len(probs) + i]
+        F.when(whole | F.lit(p >= 1 - margin), F.col("_max")).otherwise(
+            F.col("_ends")[len(probs) + i]
+        )
         for i, p in enumerate(probs)
     ]
     names = [f"_low{i}" for i in range(len(probs))] + [f"_high{i}" for i in range(len(probs))]

@@ -41,13 +41,19 @@ def test_quantiles_are_exact_for_any_group_size(spark, limit):
         assert np.allclose(got[g].quantiles, np.quantile(values, probs), rtol=0, atol=1e-9)
 
 
-def test_enclosures_hold_with_a_coarse_sketch(spark):
+@pytest.mark.parametrize("accuracy", [20, 50, 1000])
+def test_enclosures_hold_for_any_sketch_and_group_size(spark, accuracy):
+    rng = random.Random(accuracy)
     rows = _groups(2, 5_000)
-    df = spark.createDataFrame(rows, "g string, v double").dropna()
-    got = quantiles_of_large_groups(df, ["g"], "v", [0.1, 0.5, 0.9], accuracy=50).collect()
+    for n in [*range(1, 130, 3), 999, 1000, 1001, 1500, 3000]:
+        rows += [(f"n{n}", rng.gauss(0, 1)) for _ in range(n)]
+    df = spark.createDataFrame(rows, "g string, v double").dropna().repartition(6)
+    probs = [0.02, 0.1, 0.25, 0.5, 0.75, 0.9, 0.98]
+    got = quantiles_of_large_groups(df, ["g"], "v", probs, accuracy=accuracy).collect()
     table = pd.DataFrame(rows, columns=["g", "v"]).dropna()
+    assert len(got) == table.g.nunique()
     for r in got:
-        want = np.quantile(table[table.g == r.g].v, [0.1, 0.5, 0.9])
+        want = np.quantile(table[table.g == r.g].v, probs)
         assert np.allclose(r.quantiles, want, rtol=0, atol=1e-9)
 
 
