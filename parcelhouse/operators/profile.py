@@ -264,21 +264,21 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     edges = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     span = F.when(F.col("lo") == F.col("hi"), F.lit(0.5)).otherwise(0.0)
     edges = edges.select((F.col("lo") - span).alias("lo"), (F.col("hi") + span).alias("hi"))
-    lo, hi = edges.select("lo").scalar(), edges.select("hi").scalar()
+    ends = edges.select(F.struct("lo", "hi")).scalar()
+    lo, hi = ends["lo"], ends["hi"]
     placed = values.select(
         F.least(F.floor((F.col("v") - lo) / (hi - lo) * bins), F.lit(bins - 1))
         .cast("int").alias("bin")
     )
     counted = placed.groupBy("bin").agg(F.count("*").alias("n"))
-    width = (F.col("hi") - F.col("lo")) / bins
-    frame = edges.where(F.col("lo").isNotNull()).select(
-        "lo", width.alias("width"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    )
+    width = (hi - lo) / bins
+    frame = df.sparkSession.range(bins).select(
+        F.col("id").cast("int").alias("bin"),
+        (lo + F.col("id") * width).alias("from_value"),
+        (lo + (F.col("id") + 1) * width).alias("to_value"),
+    ).where(F.col("from_value").isNotNull())
     return frame.join(counted, "bin", "left").select(
-        "bin",
-        (F.col("lo") + F.col("bin") * F.col("width")).alias("from_value"),
-        (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("to_value"),
-        F.coalesce("n", F.lit(0)).alias("n"),
+        "bin", "from_value", "to_value", F.coalesce("n", F.lit(0)).alias("n")
     )
 
 

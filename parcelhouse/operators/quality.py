@@ -5,7 +5,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from parcelhouse.model import SESSION_KEYS
-from parcelhouse.operators.profile import duplicate_keys
 from parcelhouse.operators.quantiles import quantiles_of_large_groups
 from parcelhouse.plans.scratch import materialize
 
@@ -97,37 +96,55 @@ def validation_report(
     described in the metadata, and described ids have features (a warning).
     """
     spark = metadata.sparkSession
-    schema = "severity string, rule string, dataset string, n bigint, sample string"
-
-    def finding(severity, rule, dataset, rows, sample):
-        return rows.agg(F.count("*").alias("n"), F.min(sample).alias("sample")).select(
-            F.lit(severity).alias("severity"), F.lit(rule).alias("rule"),
-            F.lit(dataset).alias("dataset"), "n", "sample",
-        )
-
+    described = None
+    if key in metadata.columns:
+        described = metadata.select(key).dropna().distinct().withColumn("_described", F.lit(True))
     found, absent = [], []
     for name, df in {"metadata": metadata, **features}.items():
         for column in (key, *required) if name == "metadata" else (key,):
             if column not in df.columns:
                 absent.append(("error", "missing column", name, 1, column))
-        if key not in df.columns:
-            continue
-        ids = df.select(key)
-        text = F.col(key).cast("string")
-        null_ids = ids.where(F.col(key).isNull())
-        found.append(finding("error", "null id", name, null_ids, text))
-        twice = duplicate_keys(ids.dropna(), [key])
-        found.append(finding("error", "duplicate id", name, twice, text))
-        if name != "metadata" and key in metadata.columns:
-            unknown = ids.dropna().distinct().join(metadata.select(key), key, "left_anti")
-            found.append(finding("error", "id without metadata", name, unknown, text))
-            bare = metadata.select(key).dropna().distinct().join(ids, key, "left_anti")
-            found.append(finding("warning", "id without features", name, bare, text))
+        if key in df.columns:
+            found.append(_id_findings(df, name, key, None if name == "metadata" else described))
     if absent:
-        found.append(spark.createDataFrame(absent, schema))
+        found.append(spark.createDataFrame(absent, _FINDING))
     return reduce(DataFrame.unionByName, found).where(F.col("n") > 0)
 
 
+_FINDING = "severity string, rule string, dataset string, n bigint, sample string"
+
+
+def _id_findings(df: DataFrame, name, key, described) -> DataFrame:
+    """All id rules of one table: one scan of its ids, one join with the described ids."""
+    ids = df.groupBy(key).agg(F.count("*").alias("_rows"))
+    present = F.col("_rows").isNotNull()
+    known = F.col(key).isNotNull()
+    rules = [
+        ("error", "null id", F.when(~known, F.col("_rows")), ~known),
+        ("error", "duplicate id", F.lit(1), known & (F.col("_rows") > 1)),
+    ]
+    if described is not None:
+        ids = ids.join(described, key, "full")
+        without = F.col("_described").isNull()
+        rules += [
+            ("error", "id without metadata", F.lit(1), known & present & without),
+            ("warning", "id without features", F.lit(1), ~present),
+        ]
+    text = F.col(key).cast("string")
+    counts = ids.agg(
+        *[
+            F.struct(
+                F.lit(severity).alias("severity"), F.lit(rule).alias("rule"),
+                F.lit(name).alias("dataset"),
+                F.coalesce(F.sum(F.when(hit, weight)), F.lit(0)).cast("bigint").alias("n"),
+                F.min(F.when(hit, text)).alias("sample"),
+            ).alias(f"_f{i}")
+            for i, (severity, rule, weight, hit) in enumerate(rules)
+        ]
+    )
+    return counts.select(F.inline(F.array(*[f"_f{i}" for i in range(len(rules))])))
+
+
 def validation_summary(report: DataFrame) -> DataFrame:
     """One row: valid or not, numbers of errors and warnings."""
     return report.agg(
