@@ -7,7 +7,7 @@ from compare import difference, duck
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="module")
