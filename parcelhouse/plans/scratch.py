@@ -11,14 +11,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_root = None
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local one only where none is set (tests)."""
+    global _local_root
     root = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if not root:
-        root = tempfile.mkdtemp(prefix="parcelhouse-")
-        spark.conf.set(_SETTING, root)
+        _local_root = _local_root or tempfile.mkdtemp(prefix="parcelhouse-")
+        root = _local_root
     return root.rstrip("/")
 
 

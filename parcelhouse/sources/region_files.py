@@ -16,8 +16,8 @@ from parcelhouse.model import (
     STATISTIC_FIELDS,
     TISSUES,
 )
-from parcelhouse.operators.latest import keep_first
 from parcelhouse.operators.sessions import attach, only_sessions
+from parcelhouse.plans.scratch import materialize
 
 # Cell texts that mean "missing".
 MISSING_TEXTS = (
@@ -45,9 +45,24 @@ def read_files(
         if not streaming and "PATH_NOT_FOUND" in str(error):
             return spark.createDataFrame([], T.StructType(_FILE_FIELDS))
         raise
+    return files.select(_decoded_path().alias("file_path"), F.col("value").alias("text"))
+
+
+def _decoded_path() -> Column:
     # Paths are URIs; a literal plus sign must survive the decoding.
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return files.select(path.alias("file_path"), F.col("value").alias("text"))
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def list_files(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
+    """``file_path`` of all files below ``root`` with such a name; contents are not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        files = reader.option("pathGlobFilter", name_glob).load(root)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return spark.createDataFrame([], T.StructType(_FILE_FIELDS[:1]))
+        raise
+    return files.select(_decoded_path().alias("file_path"))
 
 
 def file_name(path="file_path") -> Column:
@@ -144,16 +159,34 @@ def anatomical_glob(modalities=None) -> str:
     return "*_tissue-{" + ",".join(_tissues_of(modalities)) + "}_parc.tsv"
 
 
-def anatomical_rows(files, atlas, modalities=None, sessions=None, first_file_only=True):
-    """Long rows of tissue files. ``files`` as from :func:`read_files`."""
-    tissues = _tissues_of(modalities)
-    found = _session_from_path(
-        files, anatomical_pattern(atlas, tissues), subject_code=1, session_id=2, tissue=3
+def _anatomical_files(files, atlas, modalities) -> DataFrame:
+    return _session_from_path(
+        files, anatomical_pattern(atlas, _tissues_of(modalities)),
+        subject_code=1, session_id=2, tissue=3,
     )
+
+
+def superseded_files(spark, root, atlas, modalities=None) -> DataFrame:
+    """Paths that do not count, because a session and tissue has an earlier one.
+
+    They are found in the listing and are rare, so excluding them moves no file content.
+    """
+    found = _anatomical_files(list_files(spark, root, anatomical_glob(modalities)), atlas, modalities)
+    keys = [*SESSION_KEYS, "tissue"]
+    several = found.groupBy(*keys).agg(
+        F.min("file_path").alias("_first"), F.count("*").alias("_n")
+    ).where(F.col("_n") > 1)
+    later = found.join(several, keys).where(F.col("file_path") > F.col("_first"))
+    return materialize(later.select("file_path"), "superseded-files")
+
+
+def anatomical_rows(files, atlas, modalities=None, sessions=None, superseded=None):
+    """Long rows of tissue files. ``files`` as from :func:`read_files`."""
+    found = _anatomical_files(files, atlas, modalities)
     if sessions is not None:
         found = only_sessions(found, sessions)
-    if first_file_only:
-        found = keep_first(found, [*SESSION_KEYS, "tissue"], ["file_path"])
+    if superseded is not None:
+        found = found.join(superseded, "file_path", "left_anti")
     tag = F.create_map(
         *[F.lit(x) for t, (modality, metric) in TISSUES.items() for x in (t, f"{modality} {metric}")]
     )
@@ -171,7 +204,8 @@ def scan_anatomical(
     ``totals`` (subject, session, tiv) adds the session total to every row.
     """
     files = read_files(spark, root, anatomical_glob(modalities))
-    rows = anatomical_rows(files, atlas, modalities, sessions)
+    superseded = superseded_files(spark, root, atlas, modalities)
+    rows = anatomical_rows(files, atlas, modalities, sessions, superseded)
     return rows if totals is None else attach(rows.drop("tiv"), totals)
 
 
@@ -205,12 +239,9 @@ def scan_diffusion(
     return diffusion_rows(read_files(spark, root, "*_parc.tsv"), atlas, workflows, sessions)
 
 
-def discover_workflows(spark, root, atlas="4S456Parcels") -> DataFrame:
+def discover_workflows(spark, root) -> DataFrame:
     """Names of the workflows that have files; only the listing is read."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*_parc.tsv").load(root).select("path")
-    )
+    files = list_files(spark, root, "*_parc.tsv")
     return files.select(
-        F.regexp_extract("path", r"/qsirecon-([^/]+)/", 1).alias("workflow")
+        F.regexp_extract("file_path", r"/qsirecon-([^/]+)/", 1).alias("workflow")
     ).where("workflow <> ''").distinct()

@@ -16,6 +16,7 @@ from parcelhouse.sources.region_files import (
     anatomical_rows,
     diffusion_rows,
     read_files,
+    superseded_files,
 )
 
 log = logging.getLogger(__name__)
@@ -41,6 +42,15 @@ def _run(store, files, parse, checkpoint, on_batch):
     query.awaitTermination()
 
 
+def _raw_sessions(registry):
+    """Session keys as they appear in paths, to drop files before they are parsed."""
+    if registry is None:
+        return None
+    return registry.select(
+        F.col("subject_code_raw").alias("subject_code"), F.col("session_id_raw").alias("session_id")
+    )
+
+
 def normalized(rows: DataFrame, registry: DataFrame) -> DataFrame:
     """Stored ids instead of those in the paths; rows of unregistered sessions fall away."""
     ids = registry.select(
@@ -59,12 +69,14 @@ def load_anatomical(
     store, root, checkpoint, atlas="4S456Parcels", registry=None, modalities=None,
     files_per_trigger=None, on_batch=None,
 ) -> None:
-    """Load new tissue files. With a registry only its sessions, under their stored ids."""
+    """Load new tissue files. With a registry only its sessions, under their stored ids.
+
+    Of several files for one session and tissue the first by path counts.
+    """
+    superseded = superseded_files(store.spark, root, atlas, modalities)
 
     def parse(batch):
-        # The first file of a session counts, also over deliveries in several batches: the
-        # store keeps the newest batch per key, and paths order the rows within one.
-        rows = anatomical_rows(batch, atlas, modalities)
+        rows = anatomical_rows(batch, atlas, modalities, _raw_sessions(registry), superseded)
         if registry is not None:
             rows = normalized(rows, registry)
         return rows.withColumn("source", F.concat(F.lit("anatomical_"), "modality"))
@@ -82,7 +94,7 @@ def load_diffusion(
     """Load new diffusion files of all or some workflows."""
 
     def parse(batch):
-        rows = diffusion_rows(batch, atlas, workflows)
+        rows = diffusion_rows(batch, atlas, workflows, _raw_sessions(registry))
         if registry is not None:
             rows = normalized(rows, registry)
         return rows.withColumn("source", F.concat(F.lit("diffusion_"), "workflow"))

@@ -191,7 +191,7 @@ def diff(spark, sf):
 
 @query("s04_workflows", "SELECT DISTINCT l_returnflag AS workflow FROM lineitem")
 def workflows(spark, sf):
-    return discover_workflows(spark, diffusion_tree(spark, sf), ATLAS)
+    return discover_workflows(spark, diffusion_tree(spark, sf))
 
 
 @query(
