@@ -68,3 +68,11 @@ def rule_ledger(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~passes(BASE)).alias("base_failed"), passes(STANDARD).alias("kept"),
     )
+
+
+@query("op9_probminhash")
+def probminhash(spark, sf_dir):
+    """The near-duplicate class of every document."""
+    from parcelhouse.llm.probminhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
