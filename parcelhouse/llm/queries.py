@@ -76,3 +76,11 @@ def probminhash(spark, sf_dir):
     from parcelhouse.llm.probminhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op10_prefix_free")
+def prefix_free(spark, sf_dir):
+    """What every document keeps once 50-byte strings of earlier documents are taken out."""
+    from parcelhouse.llm.prefix_free import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents"))
