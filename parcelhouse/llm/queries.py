@@ -84,3 +84,19 @@ def prefix_free(spark, sf_dir):
     from parcelhouse.llm.prefix_free import repeated_passages
 
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op6_token_store")
+def token_store(spark, sf_dir):
+    """Every document's ids as the files hold them, each found through the index."""
+    import public_tokenizers
+
+    from parcelhouse.llm.token_store import store_tokens
+
+    store = store_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return (
+        store.digests(store.contents).join(store.starts(), "shard")
+        .join(store.contents.select("key", "doc_id"), "key")
+        .select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
+    )
