@@ -11,7 +11,8 @@ from __future__ import annotations
 import numpy as np
 from tokenizers import Tokenizer
 
-from parcelhouse.llm.text_arrays import Block, Roller, spans_as_list
+from parcelhouse.llm.memory import Memory
+from parcelhouse.llm.text_arrays import Block, spans_as_list
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x0A]] = True
@@ -21,8 +22,6 @@ _MARK = np.zeros(256, bool)
 _MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 _PRINTED = np.zeros(256, bool)
 _PRINTED[0x21:0x7F] = True
-#: Stretches a worker remembers; beyond them it starts anew, which changes no result.
-_REMEMBERED = 3_000_000
 
 
 def cuts(block: Block) -> np.ndarray:
@@ -44,16 +43,8 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.roller = Roller(7)
+        self.memory = Memory()
         self.size = self.tokenizer.get_vocab_size()
-        self._forget()
-
-    def _forget(self):
-        self.keys = np.zeros(0, np.uint64)
-        self.slots = np.zeros(0, np.int64)
-        self.first = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
 
     def _ids(self, texts: list[str]):
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -61,16 +52,6 @@ class Encoder:
         count = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter((i for one in ids for i in one), np.uint32, int(count.sum())), count
 
-    def _learn(self, keys: np.ndarray, texts: list[str]):
-        ids, count = self._ids(texts)
-        at = len(self.first)
-        self.first = np.concatenate((self.first, len(self.ids) + np.cumsum(count) - count))
-        self.count = np.concatenate((self.count, count))
-        self.ids = np.concatenate((self.ids, ids))
-        where = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, where, keys)
-        self.slots = np.insert(self.slots, where, np.arange(at, at + len(keys)))
-
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block, text after text, and how many each text has."""
         n = len(block)
@@ -81,23 +62,7 @@ class Encoder:
             at = block.offsets.tolist()
             return self._ids([whole[a:b].decode() for a, b in zip(at, at[1:])])
         start = cuts(block)
-        stop = np.concatenate((start[1:], [len(block.data)]))
-        hashes = self.roller.spans(self.roller.sums(block.data), start, stop)
-        hashes += (stop - start).astype(np.uint64)
-        keys, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) > _REMEMBERED:
-            self._forget()
-        at = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == keys[inside]
-        if not known.all():
-            new = sample[~known]
-            self._learn(keys[~known], [
-                s.decode() for s in spans_as_list(block.data, start[new], stop[new])])
-        slot = self.slots[np.searchsorted(self.keys, keys)][which]
-        count = self.count[slot]
-        ends = np.cumsum(count)
-        ids = self.ids[np.repeat(self.first[slot] - (ends - count), count) + np.arange(ends[-1])]
+        ids, count = self.memory.numbers_of(block, start, lambda a, b: self._ids(
+            [s.decode() for s in spans_as_list(block.data, a, b)]))
         text = np.searchsorted(block.offsets, start, "right") - 1
         return ids, np.bincount(text, weights=count, minlength=n).astype(np.int64)

@@ -100,3 +100,25 @@ def token_store(spark, sf_dir):
         .join(store.contents.select("key", "doc_id"), "key")
         .select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
     )
+
+
+@query("op3_sentencepiece")
+def sentencepiece_ids(spark, sf_dir):
+    """Ids of every whole text, and whether they decode to it."""
+    import public_tokenizers
+
+    from parcelhouse.llm.sentencepiece_text import encoded
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encoded(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
+@query("op7_trie_counts")
+def trie_token_counts(spark, sf_dir):
+    """Pre-tokens and tokens of every whole text."""
+    import public_tokenizers
+
+    from parcelhouse.llm.token_counts import token_counts
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
