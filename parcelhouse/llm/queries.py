@@ -122,3 +122,59 @@ def trie_token_counts(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+_MIX_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, lang, coalesce(source, '') AS s, coalesce(lang, '') AS l,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_words,
+    length(coalesce(text, '')) AS size, coalesce(text, '') AS text
+  FROM documents
+), e AS (
+  SELECT doc_id, source, lang, s, l, n_words,
+    CASE WHEN n_words > 0 AND 20 * (size - length(replace(text, '|', ''))) >= n_words THEN 'tables'
+      WHEN n_words > 0 AND 20 * len(regexp_extract_all(text, '[#*$%&<>]')) >= n_words THEN 'markup'
+      WHEN n_words > 0 AND 20 * (size - length(replace(text, '!!', ''))) >= n_words THEN 'shouting'
+      WHEN regexp_matches(text, '[0-9]') THEN 'figures' ELSE 'prose' END AS topic
+  FROM d
+), languages(l, goal_l) AS (VALUES ('en', 0.5::DOUBLE), ('de', 0.2), ('fr', 0.2), ('es', 0.1)),
+topics(topic, goal_t) AS (VALUES ('prose', 0.6::DOUBLE), ('figures', 0.2), ('tables', 0.1),
+  ('markup', 0.05), ('shouting', 0.05)),
+cells AS (
+  SELECT s, l, topic, sum(n_words)::DOUBLE AS tokens FROM e GROUP BY ALL HAVING sum(n_words) > 0
+), goals AS (
+  SELECT *, sqrt(sum(tokens) OVER (PARTITION BY s)) AS goal_s
+  FROM cells JOIN languages USING (l) JOIN topics USING (topic)
+), scaled AS (
+  SELECT s, l, topic, tokens,
+    goal_s / (SELECT sum(g) FROM (SELECT DISTINCT s, goal_s AS g FROM goals)) AS goal_s,
+    goal_l / (SELECT sum(g) FROM (SELECT DISTINCT l, goal_l AS g FROM goals)) AS goal_l,
+    goal_t / (SELECT sum(g) FROM (SELECT DISTINCT topic, goal_t AS g FROM goals)) AS goal_t
+  FROM goals
+), fit AS (
+  SELECT 0 AS i, s, l, topic, tokens, goal_s, goal_l, goal_t, tokens AS w FROM scaled
+  UNION ALL
+  SELECT i + 1, s, l, topic, tokens, goal_s, goal_l, goal_t,
+    w * goal_t / sum(w) OVER (PARTITION BY topic) AS w
+  FROM (SELECT * REPLACE (w * goal_l / sum(w) OVER (PARTITION BY l) AS w)
+    FROM (SELECT * REPLACE (w * goal_s / sum(w) OVER (PARTITION BY s) AS w)
+      FROM fit WHERE i < 25))
+), factors AS (
+  SELECT s, l, topic, w / tokens AS f FROM fit WHERE i = 25
+), drawn AS (
+  SELECT e.*, CASE WHEN n_words > 0
+      THEN coalesce(round(f / (SELECT max(f) FROM factors), 9), 0.0) ELSE 0.0 END AS probability,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0 AS u
+  FROM e LEFT JOIN factors USING (s, l, topic)
+)
+SELECT doc_id, source, lang, topic, n_words, probability, u < probability AS kept FROM drawn
+"""
+
+
+@query("op1_raking", _MIX_SQL)
+def raking(spark, sf_dir):
+    """The calibrated probability of every document and whether it is drawn."""
+    from parcelhouse.llm.raking import mixed
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    return mixed(docs).drop("text")
