@@ -110,7 +110,7 @@ def sentencepiece_ids(spark, sf_dir):
     from parcelhouse.llm.sentencepiece_text import encoded
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return encoded(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+    return encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 @query("op7_trie_counts")
@@ -178,3 +178,12 @@ def raking(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     return mixed(docs).drop("text")
+
+
+@query("op2_projection_forest")
+def projection_forest(spark, sf_dir):
+    """The ten nearest vectors found for every hundredth vector."""
+    from parcelhouse.llm.projection_forest import nearest, usable
+
+    vectors = usable(table(spark, sf_dir, "embeddings"))
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"))
