@@ -187,3 +187,12 @@ def projection_forest(spark, sf_dir):
 
     vectors = usable(table(spark, sf_dir, "embeddings"))
     return nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query("op4_toxicity")
+def toxicity(spark, sf_dir):
+    """The toxicity score of every document."""
+    from parcelhouse.llm.toxicity import fit, scored
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scored(docs, fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")))
