@@ -196,3 +196,11 @@ def toxicity(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return scored(docs, fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")))
+
+
+@query("op5_context_mixing")
+def context_mixing(spark, sf_dir):
+    """The log probability of every document."""
+    from parcelhouse.llm.context_mixing import scores
+
+    return scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
