@@ -40,7 +40,7 @@ from parcelhouse.llm.text_arrays import Roller, blocks
 LENGTH, TRIGGER = 50, 24
 _WINDOW = LENGTH - TRIGGER + 1
 _PART_BYTES = 2 << 20
-_FLUSH = 1 << 21
+_FLUSH = 1 << 19
 _LAST = (1 << 63) - 1
 _NONE = np.uint64((1 << 64) - 1)
 _WHOLE, _DETAIL = 0, 1
@@ -301,6 +301,7 @@ def _cut(keep_text: bool):
         removed, spans, digests, kept_texts = [], [], [], []
         for i, _, (at, count, _) in _per_text(texts, _gathered(entries, 5)):
             data = column[i].as_py() or b""
+            whole = np.frombuffer(data, np.uint8)
             if len(at):
                 edge = np.zeros(len(data) + 1, np.int64)
                 np.add.at(edge, at, 1)
@@ -308,7 +309,10 @@ def _cut(keep_text: bool):
                 gone = np.cumsum(edge[:-1]) > 0
                 spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
                 removed.append(int(gone.sum()))
-                kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
+                if keep_text:
+                    character = np.cumsum((whole & 0xC0) != 0x80)
+                    gone = np.isin(character, character[gone])
+                kept = whole[~gone].tobytes()
             else:
                 spans.append(0)
                 removed.append(0)
@@ -333,7 +337,8 @@ def _cut(keep_text: bool):
 
 def repeated_passages(docs: DataFrame, carry: tuple[str, ...] = (), keep_text: bool = False):
     """Per row ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256``, or with
-    ``keep_text`` the remaining bytes as ``kept``. ``carry`` names further columns to return."""
+    ``keep_text`` the remaining bytes as ``kept``, where a character that lost a byte is gone as a
+    whole. ``carry`` names further columns to return."""
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("doc_id"),
         F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"),
