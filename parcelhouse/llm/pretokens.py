@@ -8,6 +8,9 @@ bytes, control characters) none is made. A text that holds a special token is en
 
 from __future__ import annotations
 
+import functools
+import itertools
+
 import numpy as np
 from tokenizers import Tokenizer
 
@@ -22,6 +25,8 @@ _MARK = np.zeros(256, bool)
 _MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 _PRINTED = np.zeros(256, bool)
 _PRINTED[0x21:0x7F] = True
+#: Stretches given to the tokenizer at once; its results are large.
+_AT_ONCE = 4096
 
 
 def cuts(block: Block) -> np.ndarray:
@@ -47,10 +52,13 @@ class Encoder:
         self.size = self.tokenizer.get_vocab_size()
 
     def _ids(self, texts: list[str]):
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = [e.ids for e in encoded]
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for one in ids for i in one), np.uint32, int(count.sum())), count
+        parts, count = [np.zeros(0, np.uint32)], []
+        for a in range(0, len(texts), _AT_ONCE):
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(
+                texts[a : a + _AT_ONCE], add_special_tokens=False)]
+            count += map(len, ids)
+            parts.append(np.fromiter(itertools.chain.from_iterable(ids), np.uint32))
+        return np.concatenate(parts), np.array(count, np.int64)
 
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block, text after text, and how many each text has."""
@@ -66,3 +74,9 @@ class Encoder:
             [s.decode() for s in spans_as_list(block.data, a, b)]))
         text = np.searchsorted(block.offsets, start, "right") - 1
         return ids, np.bincount(text, weights=count, minlength=n).astype(np.int64)
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder for ``path``, with what it remembers from earlier tasks."""
+    return Encoder(path)

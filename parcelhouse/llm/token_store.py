@@ -28,14 +28,14 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelhouse.llm.pretokens import Encoder
+from parcelhouse.llm.pretokens import encoder
 from parcelhouse.llm.scratch_tables import written
 from parcelhouse.llm.text_arrays import blocks, mix
 from parcelhouse.plans.scratch import scratch_path
 
 _MAGIC, _HEADER = b"IDS1", 8
 _SHARD_BYTES = 64 << 20
-_BLOCK = 4 << 20
+_BLOCK = 2 << 20
 _PART_KEYS = 50_000
 #: Bits of a level for each of its keys, and levels before the few keys left are listed.
 _GAMMA, _LEVELS = 2, 40
@@ -59,10 +59,10 @@ class _Shard:
 
 def _writing(root: str, path: str, end_id: int):
     def write(batches):
-        encoder, shard, last, seen = Encoder(path), None, None, 0
-        width = width_of(encoder.size)
+        coder, shard, last, seen = encoder(path), None, None, 0
+        width = width_of(coder.size)
         for block in blocks(batches, size=_BLOCK):
-            ids, count = encoder.encode(block)
+            ids, count = coder.encode(block)
             n = len(count)
             text = np.repeat(np.arange(n), count)
             out = np.full(len(ids) + n, end_id, f"<u{width}")
