@@ -10,10 +10,11 @@ pass through (none may be called like the output column, which is replaced).
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelhouse.llm.memory import Memory
@@ -61,6 +62,12 @@ class Coder:
         return np.delete(data, first), sizes - (sizes > 0)
 
 
+@functools.lru_cache(maxsize=2)
+def coder(path: str) -> Coder:
+    """The worker's coder for ``path``, with what it remembers from earlier tasks."""
+    return Coder(path)
+
+
 def _column(values: np.ndarray, sizes: np.ndarray, kind) -> pa.Array:
     offsets = np.concatenate(([0], np.cumsum(sizes * values.itemsize)))
     return pa.Array.from_buffers(
@@ -82,9 +89,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     """``docs`` with the packed ids of ``text``."""
 
     def run(batches):
-        coder = Coder(path)
+        both = coder(path)
         for block in blocks(batches, text):
-            values, count = coder.encode(block)
+            values, count = both.encode(block)
             yield _with(block.rows, ids, _column(values, count, pa.binary()))
 
     return docs.mapInArrow(run, _schema(docs, ids, T.BinaryType()))
@@ -94,21 +101,42 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
     """``docs`` with the text of the packed ids."""
 
     def run(batches):
-        coder = Coder(path)
+        both = coder(path)
         for block in blocks(batches, ids):
-            values = np.frombuffer(block.data.tobytes(), coder.type)
+            values = np.frombuffer(block.data.tobytes(), both.type)
             count = np.diff(block.offsets) // values.itemsize
-            yield _with(block.rows, text, _column(*coder.decode(values, count), pa.string()))
+            yield _with(block.rows, text, _column(*both.decode(values, count), pa.string()))
 
     return docs.mapInArrow(run, _schema(docs, text, T.StringType()))
 
 
 def encoded(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids``, ``n_pieces`` and ``round_trip``: the ids decode to the text."""
-    kept = docs.withColumn("_text", F.col(text))
-    out = decode(encode(kept, path, text), path, text="_decoded")
-    width = F.lit(int(id_type(Lexicon(path))[-1]))
-    return out.select(
-        *(c for c in docs.columns if c not in ("ids", "n_pieces", "round_trip")), "ids",
-        (F.octet_length("ids") / width).cast("bigint").alias("n_pieces"),
-        (F.col("_decoded") == F.coalesce("_text", F.lit(""))).alias("round_trip"))
+    """``docs`` without ``text``, with ``ids``, ``n_pieces`` and ``round_trip``: whether the ids,
+    decoded, are the text. Both directions run over a block while it is at hand."""
+    out = ("ids", "n_pieces", "round_trip")
+    names = [c for c in docs.columns if c not in (text, *out)]
+
+    def run(batches):
+        both = coder(path)
+        for block in blocks(batches, text):
+            values, count = both.encode(block)
+            data, sizes = both.decode(values, count)
+            same = sizes == np.diff(block.offsets)
+            if same.all():
+                differs = np.flatnonzero(data != block.data)
+                same[np.searchsorted(block.offsets, differs, "right") - 1] = False
+            else:
+                ends = np.cumsum(sizes)
+                for i in np.flatnonzero(same):
+                    same[i] = np.array_equal(
+                        data[ends[i] - sizes[i] : ends[i]],
+                        block.data[block.offsets[i] : block.offsets[i + 1]])
+            yield pa.RecordBatch.from_arrays(
+                [block.column(c) for c in names]
+                + [_column(values, count, pa.binary()), pa.array(count), pa.array(same)],
+                names=[*names, *out])
+
+    kinds = (T.BinaryType(), T.LongType(), T.BooleanType())
+    schema = T.StructType(
+        [docs.schema[c] for c in names] + [T.StructField(c, k) for c, k in zip(out, kinds)])
+    return docs.select(*names, text).mapInArrow(run, schema)

@@ -6,6 +6,8 @@ without rows gives none; other columns pass through.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,13 +18,19 @@ from parcelhouse.llm.pieces import Lexicon, marked, stretches, trie_counts
 from parcelhouse.llm.text_arrays import blocks
 
 
+@functools.lru_cache(maxsize=2)
+def counter(path: str):
+    """The worker's lexicon for ``path`` and the counts it remembers from earlier tasks."""
+    return Lexicon(path), Memory()
+
+
 def token_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` without ``text``, with ``n_pretokens`` and ``n_tokens``."""
     out = ("n_pretokens", "n_tokens")
     names = [c for c in docs.columns if c not in (text, *out)]
 
     def count(batches):
-        lexicon, memory = Lexicon(path), Memory()
+        lexicon, memory = counter(path)
 
         def learn(data):
             return lambda a, b: (trie_counts(lexicon, data, a, b), np.ones(len(a), np.int64))
