@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelhouse.llm.scratch_tables import written
 from parcelhouse.llm.text_arrays import Roller, blocks
@@ -360,8 +361,8 @@ def repeated_passages(docs: DataFrame, carry: tuple[str, ...] = (), keep_text: b
     edges = written(
         phrases.withColumn("part", parts).groupBy("part").applyInArrow(_settled(buckets), _ROW),
         "suffixes")
-    kind = texts.schema["row"].dataType.simpleString()
-    last = "kept binary" if keep_text else "kept_sha256 string"
+    last = T.StructField("kept", T.BinaryType()) if keep_text else T.StructField("kept_sha256", T.StringType())
+    counts = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
     result = placed.groupBy("part").cogroup(whole.union(edges).groupBy("part")).applyInArrow(
-        _cut(keep_text), f"row {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, {last}")
-    return result.select("row.*", "n_bytes", "n_removed", "n_spans", last.split()[0])
+        _cut(keep_text), T.StructType([texts.schema["row"], *counts, last]))
+    return result.select("row.*", "n_bytes", "n_removed", "n_spans", last.name)

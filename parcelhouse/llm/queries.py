@@ -160,10 +160,16 @@ cells AS (
     FROM (SELECT * REPLACE (w * goal_s / sum(w) OVER (PARTITION BY s) AS w)
       FROM fit WHERE i < 25))
 ), factors AS (
-  SELECT s, l, topic, w / tokens AS f FROM fit WHERE i = 25
+  SELECT s, l, topic, tokens, w / tokens AS f FROM fit WHERE i = 25
+), steps AS (
+  SELECT floor(log2(f) * 64) AS step, sum(tokens) AS tokens FROM factors GROUP BY ALL
+), level AS (
+  SELECT pow(2.0, (min(step) + 1) / 64) AS level FROM (
+    SELECT step, sum(tokens) OVER (ORDER BY step) AS below, sum(tokens) OVER () AS total FROM steps)
+  WHERE below >= 0.9 * total
 ), drawn AS (
   SELECT e.*, CASE WHEN n_words > 0
-      THEN coalesce(round(f / (SELECT max(f) FROM factors), 9), 0.0) ELSE 0.0 END AS probability,
+      THEN coalesce(round(least(f / (SELECT level FROM level), 1.0), 9), 0.0) ELSE 0.0 END AS probability,
     ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0 AS u
   FROM e LEFT JOIN factors USING (s, l, topic)
 )

@@ -4,9 +4,10 @@ Iterative proportional fitting scales the token count of every cell (source, lan
 sums by source, by language and by topic have the target shares. The cells of a source stand in
 one row, so a round is one small job: each source finds its own factor, and what comes back to the driver is a
 matrix of languages by topics, whose size the given targets bound; the number of sources
-doesn't matter. A document's probability is its cell's factor over the largest factor, so the expected
-tokens of a sample have exactly the raked shares. The draw is a hash of the id: a repeated run takes the
-same documents.
+doesn't matter. A document's probability is its cell's factor over a level, 1 at most. The level is the one below
+which cells hold nine tenths of the tokens (to 1/64 of a power of two): expected tokens of these cells have exactly the raked
+proportions, and cells above it, which would need repeats to reach their share, are taken whole. The draw
+is a hash of the id: a repeated run takes the same documents.
 
 Defined results: a null source, language or topic is the value ``''``. Values without a
 target share (or with share 0) are never drawn; shares are taken in proportion over the values that
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from parcelhouse.llm.scratch_tables import written
 
-ROUNDS = 25
+ROUNDS, LEVEL, STEPS = 25, 0.9, 64
 BLANKS = r"[\x20\x09-\x0D]+"
 LANGUAGES = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
 TOPICS = {"prose": 0.6, "figures": 0.2, "tables": 0.1, "markup": 0.05, "shouting": 0.05}
@@ -95,6 +96,19 @@ def rake(cells: DataFrame, targets: DataFrame, languages: dict, topics: dict, ro
         "source", "p.lang", "p.topic", (F.col("f") * F.col("p.g")).alias("factor"))
 
 
+def level_of(cells: DataFrame) -> float:
+    """The factor below which cells hold ``LEVEL`` of the tokens."""
+    step = F.floor(F.log2("factor") * STEPS).alias("step")
+    steps = cells.where("factor > 0").groupBy(step).agg(F.sum("tokens").alias("tokens"))
+    held = sorted((r["step"], r["tokens"]) for r in steps.collect())  # a few hundred steps at most
+    total, below = sum(t for _, t in held), 0
+    for step, tokens in held:
+        below += tokens
+        if below >= LEVEL * total:
+            return float(2.0 ** ((step + 1) / STEPS))
+    return 1.0
+
+
 def draw(doc_id: Column) -> Column:
     """A number in [0, 1) by the id."""
     digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 8)
@@ -117,10 +131,10 @@ def mixed(docs: DataFrame, topic: Column = None, languages: dict = None, topics:
     factors = rake(cells, tempered(known, exponent), languages, topics, rounds)
     factors = written(factors.join(
         cells.where("tokens > 0"), ["source", "lang", "topic"], "left_semi"), "factors")
-    largest = factors.agg(F.max("factor")).first()[0] or 1.0
+    level = level_of(factors.join(cells, ["source", "lang", "topic"]))
     factors = factors.select(
         *(F.col(c).alias(f"_{c}") for c in ("source", "lang", "topic")),
-        F.round(F.col("factor") / F.lit(largest), 9).alias("_p"))
+        F.round(F.least(F.col("factor") / F.lit(level), F.lit(1.0)), 9).alias("_p"))
     out = marked.join(factors, ["_source", "_lang", "_topic"], "left")
     p = F.when(F.col("n_words") > 0, F.coalesce("_p", F.lit(0.0))).otherwise(0.0)
     return out.select(

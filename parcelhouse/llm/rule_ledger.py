@@ -123,6 +123,15 @@ def passes(policy: Policy, failed: str = "failed") -> Column:
     return F.col(failed).bitwiseAND(F.lit(policy.mask).cast("bigint")) == 0
 
 
+def kept_documents(docs: DataFrame, policy: Policy = STANDARD) -> DataFrame:
+    """The rows of ``docs`` that the policy doesn't reject, with their columns as they are.
+
+    A filter would be pushed below the measurements and repeat them; a generator stays above.
+    """
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    return ledger(rows, ("row",)).select(F.inline(F.when(passes(policy), F.array("row"))))
+
+
 def ablation(ledger: DataFrame, policies: tuple[Policy, ...] = (STANDARD,)) -> DataFrame:
     """For each policy and rule: how many fail it, and how many only it rejects.
 
