@@ -7,12 +7,13 @@ latest register of a text can't change it, so elements stop early. Two texts agr
 register with the probability Jaccard similarity of their weighted shingles (the Jaccard
 similarity where weights are equal).
 
-Twenty bands of four registers make buckets: texts with similarity 0.8 miss all of them
+Twenty bands of four registers make buckets; texts with similarity 0.8 miss all of them
 with probability 3e-5. Candidates are compared exactly: a link is a Jaccard similarity of the
 shingle sets of at least the threshold. First each bucket's members are compared with its
-smallest id; then pairs that share a bucket, fit in length and are still in different
-classes are all compared. So no link inside a bucket is lost, and a group of thousands of copies
-takes as many comparisons as it has members.
+smallest id, and classes are formed; a group of thousands of copies takes as many comparisons
+as it has members. Where a bucket still holds several classes, the texts outside its largest class
+are compared with all others, through the bucket's lists of shingles and in blocks of bounded size; only
+links come out, at most one for each text and class. So no link inside a bucket is lost.
 
 Defined results: texts are compared word by word (case counts); null is an empty text; texts
 of fewer than five words are linked to equal texts only; rows that share an id are one document;
@@ -30,11 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelhouse.llm.components import components
+from parcelhouse.llm.scratch_tables import written
 from parcelhouse.llm.text_arrays import Roller, blocks, mix
 from parcelhouse.plans.scratch import materialize
 
 SHINGLE_WORDS, BANDS, ROWS, THRESHOLD = 5, 20, 4, 0.8
 REGISTERS = BANDS * ROWS
+#: Texts of a block, where a bucket with several classes is compared block by block.
+_BLOCK_TEXTS = 2048
 #: Members of one smallest id are spread over as many tasks.
 _SALTS = 256
 _STEP = 0x9E3779B97F4A7C15
@@ -161,6 +165,68 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return rows.mapInArrow(_links(threshold), "a bigint, b bigint")
 
 
+def _listed(batches):
+    """The shingle hashes of every text, sorted, as one binary value."""
+    roller = Roller()
+    for block in blocks(batches):
+        text, hashes = shingles(block, roller)
+        text, element, _ = weighted(text, hashes)
+        order = np.lexsort((element, text))
+        at = np.searchsorted(text[order], np.arange(len(block) + 1)) * 8
+        raw = element[order].tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [block.column("doc_id"), pa.array([raw[a:b] for a, b in zip(at, at[1:])], pa.binary())],
+            names=["rep", "shingles"])
+
+
+def _across(threshold: float):
+    def across(key, table):
+        """Links between different classes among the texts of a pair of blocks."""
+        low, high = key[1].as_py(), key[2].as_py()
+        rep, label, side = (table.column(c).to_numpy() for c in ("rep", "label", "side"))
+        lists = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("shingles")]
+        size = np.array([len(x) for x in lists])
+        _, place = np.unique(np.concatenate(lists), return_inverse=True)
+        owner = np.repeat(np.arange(len(rep)), size)
+        order = np.argsort(place, kind="stable")
+        held, start = owner[order], np.searchsorted(place[order], np.arange(place.max() + 2))
+        mine = np.cumsum(size) - size
+        classes, number, many = np.unique(label, return_inverse=True, return_counts=True)
+        a, b = [], []
+        for x in np.flatnonzero(number != np.argmax(many)):
+            runs = place[mine[x] : mine[x] + size[x]]
+            count = start[runs + 1] - start[runs]
+            at = np.repeat(start[runs] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            both = np.bincount(held[at], minlength=len(rep))
+            linked = both >= threshold * (size[x] + size - both)
+            linked &= (label != label[x]) & ((side != side[x]) | (low == high))
+            _, first = np.unique(label[linked], return_index=True)
+            partner = np.flatnonzero(linked)[first]
+            a += [rep[x]] * len(partner)
+            b += rep[partner].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return across
+
+
+def _between_classes(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links ``(a, b)`` between texts that share a bucket and are of different classes."""
+    stats = members.groupBy("bucket").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("rep").alias("size"))
+    stats = stats.where("low < high").select(
+        "bucket", F.ceil(F.col("size") / _BLOCK_TEXTS).cast("int").alias("blocks"))
+    mixed = materialize(members.join(stats, "bucket"), "mixed")
+    listed = texts.join(mixed.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    listed = listed.select("doc_id", "text").mapInArrow(_listed, "rep bigint, shingles binary")
+    side = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    placed = mixed.withColumn("side", side).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "bucket", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"),
+        "side", "rep", "label")
+    return placed.join(listed, "rep").groupBy("bucket", "low", "high").applyInArrow(
+        _across(threshold), "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, class_id)`` of every row; see the module's docstring."""
     sketch = materialize(sketches(docs), "sketches")
@@ -169,32 +235,24 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands")), "texts")
     bucketed = nodes.where("rep IS NOT NULL AND n > 0").select(
-        "rep", "n", F.explode("bands").alias("bucket"))
+        "rep", F.explode("bands").alias("bucket"))
     shared = bucketed.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top"))
     shared = shared.where("pivot < top").select("bucket", "pivot")
     members = materialize(bucketed.join(shared, "bucket"), "buckets")
 
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     needed = members.select(F.explode(F.array("rep", "pivot")).alias("doc_id")).distinct()
-    texts = materialize(docs.join(needed, "doc_id"), "candidates")
+    texts = written(docs.join(needed, "doc_id"), "candidates")
 
-    first = members.where("rep <> pivot").select("pivot", F.col("rep").alias("member")).distinct()
-    links = materialize(_verified(first, texts, threshold), "verified")
+    first = materialize(
+        members.where("rep <> pivot").select("pivot", F.col("rep").alias("member")).distinct(), "pairs")
+    links = written(_verified(first, texts, threshold), "verified")
     labels = components(links)
 
-    marked = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "bucket", "pivot", "rep", "n", F.coalesce("label", "rep").alias("label"))
-    marked = materialize(marked, "marked")
-    mixed = marked.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = marked.join(mixed.where("low < high").select("bucket"), "bucket")
-    left = mixed.select("bucket", F.col("rep").alias("p"), F.col("n").alias("pn"),
-                        F.col("label").alias("pl"), F.col("pivot").alias("lead"))
-    right = mixed.select("bucket", F.col("rep").alias("member"), "n", "label")
-    rest = left.join(right, "bucket").where(
-        f"p < member AND pl <> label AND least(pn, n) >= {threshold} * greatest(pn, n) "
-        "AND p <> lead"
-    ).select(F.col("p").alias("pivot"), "member").distinct()
-    more = materialize(_verified(rest, texts, threshold), "verified")
+    marked = materialize(
+        members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "bucket", "rep", F.coalesce("label", "rep").alias("label")), "marked")
+    more = written(_between_classes(marked, texts, threshold).distinct(), "more")
     if not more.isEmpty():
         labels = components(links.union(more))
     classes = nodes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
