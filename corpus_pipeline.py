@@ -6,7 +6,7 @@ is no SQL for the whole; the stages are tested against brute force.
 
 1. quality: documents that the standard rule policy rejects go.
 2. near_dedup: of each near-duplicate class the row with the smallest id stays (of rows that share
-   this id, the smallest text). Rows without an id are named by their text first.
+   this id, the smallest text). Rows without an id are named by their text first, above all ids.
 3. passage_dedup: text that repeats 50 bytes of a document with a smaller id is cut out and
    ``n_chars``, where there is one, counted anew; a document left without a word goes.
 4. mixing: documents are drawn by the probabilities of the raked shares.
@@ -35,7 +35,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     named = F.coalesce(
         F.col("doc_id").cast("bigint"),
-        -1 - F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 62)))
+        F.lit(1 << 62) + F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 61)))
     rows = docs.select(named.alias("_id"), F.struct("*").alias("row"))
     classes = near_duplicates(rows.select(F.col("_id").alias("doc_id"), F.col("row.text").alias("text")))
     stays = classes.where("doc_id = class_id").select(F.col("doc_id").alias("_id")).distinct()
