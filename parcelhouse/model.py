@@ -38,8 +38,6 @@ LOAD_SOURCES = ("gm", "wm", "ct", "diffusion")
 ALL_STATISTICS = tuple(dict.fromkeys(ANATOMICAL_STATISTICS + DIFFUSION_STATISTICS))
 _LONG_INTEGERS = {"index", "index_17network", "network_id", "voxel_count"}
 
-MAX_REGIONS = 10_000
-
 
 _TYPES = {
     "string": T.StringType(),

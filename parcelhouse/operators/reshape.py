@@ -8,9 +8,8 @@ Without it the pivot would send one full-width, mostly empty row per session and
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from parcelhouse.functions import measured_value, numeric_or_null
+from parcelhouse.functions import measured_value
 from parcelhouse.model import (
-    MAX_REGIONS,
     SESSION_KEYS,
     region_column,
     value_column,
@@ -18,11 +17,9 @@ from parcelhouse.model import (
 from parcelhouse.plans.scratch import materialize
 
 
-def region_list(df: DataFrame, column: str, limit: int = MAX_REGIONS) -> list:
-    """Sorted region names, read from the data. Bounded by the atlas; more is an error."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} values of {column}: not a region column")
+def region_list(df: DataFrame, column: str) -> list:
+    """Sorted region names, read from the data. Names become columns: they are schema."""
+    rows = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
     names = sorted(str(r[0]) for r in rows)
     if len({n.lower() for n in names}) != len(names):
         raise ValueError("region names that differ only in case are ambiguous columns")
@@ -113,19 +110,27 @@ def to_tidy(wide: DataFrame, metric: str, statistic: str, ids=("participant_id",
 def flatten_quality_record(
     df: DataFrame, ids, record: str, blocks=("qualitymeasures", "qualityratings")
 ) -> DataFrame:
-    """Numeric leaves of some blocks of a JSON record, as ``(ids, measure, value)`` rows."""
-    parsed = df.withColumn(
-        "_blocks", F.from_json(record, "map<string,map<string,string>>")
-    ).select(*ids, F.explode("_blocks").alias("_block", "_leaves"))
-    # A leaf is numeric when its JSON text is: quoted numbers are strings in the source,
-    # but the map of strings has lost the quotes, so they count as numbers too.
-    return (
-        parsed.where(F.col("_block").isin(*blocks))
-        .select(*ids, "_block", F.explode("_leaves").alias("_leaf", "_text"))
-        .select(
-            *ids,
-            F.concat_ws("_", "_block", "_leaf").alias("measure"),
-            numeric_or_null("_text").alias("value"),
+    """Numeric leaves of some blocks of a JSON record, as ``(ids, measure, value)`` rows.
+
+    Each block is read by itself, so what else a record holds doesn't matter; quoted numbers
+    are texts and left out.
+    """
+    leaves = [
+        F.when(
+            F.col(record).isNotNull(),
+            F.from_json(F.get_json_object(record, f"$.{b}"), "map<string,variant>"),
+        )
+        for b in blocks
+    ]
+    found = None
+    for block, leaf in zip(blocks, leaves):
+        part = df.select(
+            *ids, F.lit(block).alias("_block"), F.explode(leaf).alias("_leaf", "_value")
         )
-        .where(F.col("value").isNotNull())
+        found = part if found is None else found.unionByName(part)
+    number = F.schema_of_variant("_value").rlike("^(BIGINT|DOUBLE|DECIMAL)")
+    return found.where(number).select(
+        *ids,
+        F.concat_ws("_", "_block", "_leaf").alias("measure"),
+        F.try_variant_get("_value", "$", "double").alias("value"),
     )

@@ -7,13 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from parcelhouse.model import LOAD_SOURCES, SESSION_KEYS
 from parcelhouse.plans.store import FeatureStore
 from parcelhouse.sources.reports import scan_totals
-from parcelhouse.sources.tables import read_registry
-from parcelhouse.streaming.ingest import (
-    forced_checkpoint,
-    load_anatomical,
-    load_diffusion,
-    normalized,
-)
+from parcelhouse.sources.tables import accepted, normalize_registry, read_delimited, rejected
+from parcelhouse.streaming.ingest import load_anatomical, load_diffusion, normalized
 
 
 @dataclass
@@ -41,16 +36,21 @@ class LoadResult:
     published: list = field(default_factory=list)
     features: list = field(default_factory=list)
     summary: DataFrame = None
+    n_rejected: int = 0
+    rejected: DataFrame = None
 
 
 def run_load(spark, settings: LoadSettings) -> LoadResult:
     """Load what is new, publish it and report.
 
-    Files that came since the last run are found by the stream checkpoints; the ledger says
-    which registered sessions are still without data.
+    New files are found by the stream checkpoints; files that came before their session was
+    registered are loaded once it is. The ledger says which registered sessions are still
+    without data. Registry rows without usable ids are counted and returned. A forced load
+    forgets its checkpoints and loads all files again.
     """
     store = FeatureStore(spark, settings.store_root, settings.compression)
-    registry = read_registry(spark, settings.registry_path)
+    rows = normalize_registry(read_delimited(spark, settings.registry_path))
+    registry, refused = accepted(rows), rejected(rows)
     store.initialize_metadata(
         registry.drop("subject_code_raw", "session_id_raw"), settings.age_column
     )
@@ -64,7 +64,9 @@ def run_load(spark, settings: LoadSettings) -> LoadResult:
 
     def checkpoint(name):
         base = f"{settings.store_root.rstrip('/')}/checkpoints/{name}"
-        return forced_checkpoint(base) if settings.force else base
+        if settings.force:
+            store.forget(base)
+        return base
 
     if settings.anatomical_root and tissues:
         load_anatomical(
@@ -82,7 +84,8 @@ def run_load(spark, settings: LoadSettings) -> LoadResult:
         if not totals.where(F.col("tiv").isNotNull()).isEmpty():
             store.save_tiv(totals)
     published = store.publish(keep_staged=settings.keep_staged)
-    features = store.generate_wide_features() if published else []
+    features = store.generate_wide_features(modalities=published) if published else []
     return LoadResult(
-        n_sessions, n_pending, n_sessions - n_pending, published, features, store.summary()
+        n_sessions, n_pending, n_sessions - n_pending, published, features, store.summary(),
+        refused.count(), refused,
     )

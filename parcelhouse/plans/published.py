@@ -5,6 +5,7 @@ and a manifest. Metrics are called gm, wm, ct or by diffusion parameter here, an
 name their statistic.
 """
 
+import time
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -12,13 +13,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from parcelhouse.functions import parse_feature_name
 from parcelhouse.model import SESSION_KEYS, schema
+from parcelhouse.operators.latest import keep_last
 from parcelhouse.operators.reshape import to_tidy
 from parcelhouse.operators.sessions import full_outer
 
 KEY = "participant_id"
 _ENTRY = schema(
     modality="string", format="string", pipeline="string", metric="string", statistic="string",
-    file="string", n_features="bigint",
+    file="string", n_features="bigint", version="bigint",
 )
 
 
@@ -58,16 +60,19 @@ class PublishedDataset:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             rows = self.spark.createDataFrame([], _ENTRY)
-        return rows.distinct()
+        # The newest entry of a dataset counts; entries are schema-sized.
+        return keep_last(rows, ["modality", "format", "pipeline", "metric", "statistic"], ["version", "file"])
 
     def write_features(
         self, data: DataFrame, modality, metric, statistic, fmt="wide", pipeline=None
     ) -> str:
-        """Write one dataset and enter it in the manifest."""
+        """Write one dataset as a new version and enter it in the manifest; readers of the
+        version before go on undisturbed."""
         stem = "_".join(p for p in (pipeline, metric, statistic) if p)
-        path = self._path(modality, fmt, stem)
-        data.write.mode("overwrite").option("compression", self.compression).parquet(path)
-        entry = (modality, fmt, pipeline, metric, statistic, path, len(data.columns) - 1)
+        version = time.time_ns()
+        path = f"{self._path(modality, fmt, stem)}/version={version}"
+        data.write.option("compression", self.compression).parquet(path)
+        entry = (modality, fmt, pipeline, metric, statistic, path, len(data.columns) - 1, version)
         self.spark.createDataFrame([entry], _ENTRY).coalesce(1).write.mode("append").json(
             f"{self.root}/manifest"
         )
@@ -95,9 +100,13 @@ class PublishedDataset:
     ) -> DataFrame:
         """One wide table, tidy rows with filters, or all wide tables side by side."""
         if fmt == "wide" and metric and statistic:
-            stem = "_".join(p for p in (pipeline, metric, statistic) if p)
-            self._entries(modality=modality, format="wide", file=self._path(modality, fmt, stem))
-            return self.spark.read.parquet(self._path(modality, fmt, stem))
+            found = self._entries(
+                modality=modality, format="wide", metric=metric, statistic=statistic
+            )
+            found = [e for e in found if e.pipeline == pipeline]
+            if not found:
+                raise FileNotFoundError(f"no published features of pipeline {pipeline}")
+            return self.spark.read.parquet(found[0].file)
         if fmt == "long":
             found = self._entries(modality=modality, format="long", pipeline=pipeline)
             tables = [self.spark.read.parquet(e.file) for e in found]
@@ -109,7 +118,7 @@ class PublishedDataset:
                 rows = rows.where(F.col("statistic") == statistic)
             return rows
         found = self._entries(modality=modality, format="wide")
-        stems = {e.file.rpartition("/")[2].removesuffix(".parquet"): e.file for e in found}
+        stems = {e.file.split("/")[-2].removesuffix(".parquet"): e.file for e in found}
         return full_outer({s: self.spark.read.parquet(f) for s, f in stems.items()}, (KEY,))
 
     def select(self, anatomical=(), diffusion=()) -> DataFrame:

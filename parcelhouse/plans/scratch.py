@@ -15,10 +15,12 @@ _local_root = None
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is set (tests)."""
+    """The shared folder the cluster names; a local one only for a local master (tests)."""
     global _local_root
     root = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {_SETTING} to a folder that all executors share")
         _local_root = _local_root or tempfile.mkdtemp(prefix="parcelhouse-")
         root = _local_root
     return root.rstrip("/")

@@ -3,6 +3,9 @@
 ``long/source=S/batch_id=N``   staged batches; the newest batch of a key counts
 ``base/S/version=V``           published rows, one per key
 ``ledger/batch_id=N``          which session has been loaded from which source
+``deferred/batch_id=N``        files of sessions that were not registered when they were seen
+``deferred_done/batch_id=N``   those of them that have been loaded since
+``epochs``                     which batch a micro-batch was written as
 ``totals``, ``registry``       session scalars and covariates
 ``wide/S/version=V``           wide features, partitioned by statistic (and model, param)
 ``catalog``                    what exists, and which version is current
@@ -47,6 +50,10 @@ CODECS = ("snappy", "gzip", "zstd", "lz4", "none")
 TOTALS_SCHEMA = schema(
     subject_code="string", session_id="string", tiv="double", batch_id="bigint"
 )
+DEFERRED_SCHEMA = schema(kind="string", file_path="string", text="string", batch_id="bigint")
+DONE_SCHEMA = schema(kind="string", file_path="string", batch_id="bigint")
+EPOCH_SCHEMA = schema(checkpoint="string", epoch="bigint", batch_id="bigint")
+_TISSUE_FILE = r"_tissue-[^/]+_parc\.tsv$"
 _KEYS = list(SESSION_KEYS)
 
 
@@ -61,6 +68,9 @@ def conform(df: DataFrame) -> DataFrame:
     if "label" not in df.columns:
         df = df.withColumnRenamed(region_column(df.columns), "label")
     known = {f.name for f in LONG_SCHEMA.fields}
+    if "line_no" not in df.columns:
+        # The order of the given rows decides between equal keys of one delivery: the last counts.
+        df = df.withColumn("line_no", F.monotonically_increasing_id())
     other = [c for c in df.columns if c not in known]
     if other:
         cells = ", ".join(f"'{c}', cast(`{c}` as string)" for c in other)
@@ -125,7 +135,7 @@ class FeatureStore:
             F.current_timestamp().alias("loaded_at"),
             F.lit(batch_id).cast("bigint").alias("batch_id"),
         )
-        self._write(sessions.coalesce(8), self._ledger, "overwrite", ["batch_id"])
+        self._write(sessions.hint("rebalance"), self._ledger, "overwrite", ["batch_id"])
 
     def save_long(self, df: DataFrame, source: str) -> int:
         """Stage rows of one source as a new batch; later batches replace equal keys."""
@@ -145,14 +155,36 @@ class FeatureStore:
             return None, -1
         return self.spark.read.schema(LONG_SCHEMA).parquet(entry.path), entry.batch_hi
 
+    def _first_files(self, staged: DataFrame, base) -> DataFrame:
+        """The first tissue file of each session with staged rows, over staged and published ones."""
+        named = F.col("source_path").rlike(_TISSUE_FILE)
+        touched = staged.where(named).select(*_KEYS, "source_path")
+        if base is not None:
+            touched = touched.union(
+                base.where(named).select(*_KEYS, "source_path").join(
+                    staged.select(*_KEYS).distinct(), _KEYS, "left_semi"
+                )
+            )
+        return touched.groupBy(*_KEYS).agg(F.min("source_path").alias("_first"))
+
     def current(self, source: str) -> DataFrame:
         """One row per key, the newest: published rows not delivered again, plus staged ones.
 
         Only the staged rows are deduplicated. Published rows are unique already; they are
-        filtered by the staged keys, which costs no shuffle while those fit a broadcast.
+        filtered by the staged keys, which costs no shuffle while those fit a broadcast. Of
+        several files for one session and tissue the first by path counts, whenever they came.
         """
         base, upto = self.published(source)
         staged = self.staged().where((F.col("source") == source) & (F.col("batch_id") > upto))
+        if source.startswith("anatomical"):
+            first = self._first_files(staged, base)
+            late = F.col("source_path").rlike(_TISSUE_FILE) & (
+                F.col("source_path") > F.col("_first")
+            )
+            counts = ~F.coalesce(late, F.lit(False))
+            staged = staged.join(first, _KEYS, "left").where(counts).select(staged.columns)
+            if base is not None:
+                base = base.join(first, _KEYS, "left").where(counts).select(base.columns)
         keys = list(long_keys(source))
         newest = keep_last(staged, keys, LOAD_ORDER)
         if base is None:
@@ -207,19 +239,86 @@ class FeatureStore:
             batches = batches.where(F.col("source").isin(*sources)) if sources else batches.limit(0)
         if upto is not None:
             batches = batches.where(F.col("batch_id") <= upto)
-        jvm = self.spark._jvm
-        conf = self.spark._jsc.hadoopConfiguration()
         # One entry per directory: bounded by the number of open batches.
         for row in batches.collect():
-            path = jvm.org.apache.hadoop.fs.Path(
-                f"{self._long}/source={row.source}/batch_id={row.batch_id}"
-            )
-            path.getFileSystem(conf).delete(path, True)
+            self._delete(f"{self._long}/source={row.source}/batch_id={row.batch_id}")
 
     def staged_status(self) -> DataFrame:
         """Sessions per staged source."""
         return ledger_status(self.staged())
 
+    # -- files seen too early, and repeated micro-batches ------------------------------
+
+    def defer(self, files: DataFrame, batch_id: int) -> None:
+        """Keep files (``kind, file_path, text``) of sessions that are not registered yet."""
+        self._write(
+            files.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+            f"{self.root}/deferred", "overwrite", ["batch_id"],
+        )
+
+    def deferred(self, kind: str) -> DataFrame:
+        """The files kept under this name that have not been loaded since."""
+        kept = read_or_empty(self.spark, f"{self.root}/deferred", DEFERRED_SCHEMA)
+        done = read_or_empty(self.spark, f"{self.root}/deferred_done", DONE_SCHEMA)
+        return kept.where(F.col("kind") == kind).join(
+            done.select("kind", "file_path"), ["kind", "file_path"], "left_anti"
+        )
+
+    def mark_loaded(self, files: DataFrame, batch_id: int) -> None:
+        self._write(
+            files.select("kind", "file_path", F.lit(batch_id).cast("bigint").alias("batch_id")),
+            f"{self.root}/deferred_done", "overwrite", ["batch_id"],
+        )
+
+    def batch_of(self, checkpoint: str, epoch: int) -> int:
+        """The batch number of a micro-batch: the same again if it is repeated."""
+        path = f"{self.root}/epochs"
+        known = read_or_empty(self.spark, path, EPOCH_SCHEMA, "json").where(
+            (F.col("checkpoint") == checkpoint) & (F.col("epoch") == epoch)
+        ).first()
+        if known:
+            return known.batch_id
+        batch_id = self.new_batch()
+        row = self.spark.createDataFrame([(checkpoint, epoch, batch_id)], EPOCH_SCHEMA)
+        row.coalesce(1).write.mode("append").json(path)
+        return batch_id
+
+    def forget(self, checkpoint: str) -> None:
+        """Drop a stream's checkpoint and batch numbers, so that it loads everything anew."""
+        known = read_or_empty(self.spark, f"{self.root}/epochs", EPOCH_SCHEMA, "json")
+        if not known.where(F.col("checkpoint") == checkpoint).isEmpty():
+            # Numbers of the old checkpoint stay out of the way under another name.
+            rows = known.withColumn(
+                "checkpoint", F.when(F.col("checkpoint") != checkpoint, F.col("checkpoint"))
+            ).where("checkpoint IS NOT NULL").collect()
+            self.spark.createDataFrame(rows, EPOCH_SCHEMA).coalesce(1).write.mode(
+                "overwrite").json(f"{self.root}/epochs")
+        self._delete(checkpoint)
+
+    def _delete(self, location: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def retain(self, versions: int = 2) -> list:
+        """Remove all but the newest versions of every published table; returns their paths."""
+        gone = []
+        jvm = self.spark._jvm
+        conf = self.spark._jsc.hadoopConfiguration()
+        for pattern in ("base/*", "wide/*", "registry"):
+            at = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
+            files = at.getFileSystem(conf)
+            # Directory names only: one per table and version.
+            for table in files.globStatus(at) or []:
+                held = files.globStatus(jvm.org.apache.hadoop.fs.Path(table.getPath(), "version=*"))
+                names = sorted(
+                    (s.getPath().toString() for s in held or []),
+                    key=lambda n: int(n.rpartition("=")[2]),
+                )
+                for name in names[: max(0, len(names) - versions)]:
+                    self._delete(name)
+                    gone.append(name)
+        return gone
+
     # -- totals and registry ---------------------------------------------------------
 
     def _totals(self) -> DataFrame:

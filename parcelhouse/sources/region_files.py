@@ -159,7 +159,7 @@ def anatomical_glob(modalities=None) -> str:
     return "*_tissue-{" + ",".join(_tissues_of(modalities)) + "}_parc.tsv"
 
 
-def _anatomical_files(files, atlas, modalities) -> DataFrame:
+def anatomical_files(files, atlas, modalities=None) -> DataFrame:
     return _session_from_path(
         files, anatomical_pattern(atlas, _tissues_of(modalities)),
         subject_code=1, session_id=2, tissue=3,
@@ -171,7 +171,7 @@ def superseded_files(spark, root, atlas, modalities=None) -> DataFrame:
 
     They are found in the listing and are rare, so excluding them moves no file content.
     """
-    found = _anatomical_files(list_files(spark, root, anatomical_glob(modalities)), atlas, modalities)
+    found = anatomical_files(list_files(spark, root, anatomical_glob(modalities)), atlas, modalities)
     keys = [*SESSION_KEYS, "tissue"]
     several = found.groupBy(*keys).agg(
         F.min("file_path").alias("_first"), F.count("*").alias("_n")
@@ -182,7 +182,7 @@ def superseded_files(spark, root, atlas, modalities=None) -> DataFrame:
 
 def anatomical_rows(files, atlas, modalities=None, sessions=None, superseded=None):
     """Long rows of tissue files. ``files`` as from :func:`read_files`."""
-    found = _anatomical_files(files, atlas, modalities)
+    found = anatomical_files(files, atlas, modalities)
     if sessions is not None:
         found = only_sessions(found, sessions)
     if superseded is not None:
@@ -213,13 +213,16 @@ def diffusion_pattern(atlas: str) -> str:
     return rf"/qsirecon-([^/]+)/sub-([^/]+)/ses-([^/]+)/dwi/atlas-{atlas}/[^/]*_parc\.tsv$"
 
 
-def diffusion_rows(files, atlas, workflows=None, sessions=None) -> DataFrame:
-    """Long rows of diffusion files, tagged from directory and file name."""
+def diffusion_files(files, atlas, workflows=None) -> DataFrame:
     found = _session_from_path(
         files, diffusion_pattern(atlas), workflow=1, subject_code=2, session_id=3
     )
-    if workflows is not None:
-        found = found.where(F.col("workflow").isin(*workflows))
+    return found if workflows is None else found.where(F.col("workflow").isin(*workflows))
+
+
+def diffusion_rows(files, atlas, workflows=None, sessions=None) -> DataFrame:
+    """Long rows of diffusion files, tagged from directory and file name."""
+    found = diffusion_files(files, atlas, workflows)
     if sessions is not None:
         found = only_sessions(found, sessions)
     entities = found.withColumn("_entities", bids_entities(file_name()))

@@ -97,9 +97,9 @@ def clean_questionnaire(raw: DataFrame, clean=True, standardize=True) -> DataFra
     return df
 
 
-def read_questionnaire(spark, path, clean=True, standardize=True, multiline=True) -> DataFrame:
-    """Questionnaire export. Free-text answers may hold line breaks, hence ``multiline``;
-    pass False for large exports without, so that Spark can split the file."""
+def read_questionnaire(spark, path, clean=True, standardize=True, multiline=False) -> DataFrame:
+    """Questionnaire export. Spark splits the file; an export whose free-text answers hold line
+    breaks needs ``multiline``, which reads each file in one task."""
     return clean_questionnaire(
         read_delimited(spark, path, multiline=multiline), clean, standardize
     )

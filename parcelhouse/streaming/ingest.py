@@ -2,36 +2,35 @@
 
 The file source remembers in its checkpoint which files it has seen; a run with
 ``availableNow`` loads what is new and ends. Each micro-batch becomes a store batch: data
-first, then ledger. A micro-batch that is repeated after a crash is written again as a newer
-batch; its rows have the same keys, so the newest counts and nothing is lost or doubled.
+first, then ledger. A micro-batch that is repeated after a crash is written again under the
+number it had. Seen is not loaded: files of sessions that are not registered are kept with their
+text, and every run loads those of them whose session has been registered since.
 """
 
 import logging
-import time
 
 from pyspark.sql import DataFrame, functions as F
 
+from parcelhouse.model import SESSION_KEYS
+from parcelhouse.plans.scratch import materialize
 from parcelhouse.sources.region_files import (
+    anatomical_files,
     anatomical_glob,
     anatomical_rows,
+    diffusion_files,
     diffusion_rows,
     read_files,
-    superseded_files,
 )
 
 log = logging.getLogger(__name__)
 
 
-def _run(store, files, parse, checkpoint, on_batch):
-    def load(batch: DataFrame, _epoch: int) -> None:
-        batch_id = store.new_batch()
-        store.write_batch(parse(batch), batch_id)
-        if on_batch is not None:
-            written = store.staged().where(F.col("batch_id") == batch_id)
-            try:
-                on_batch(written, batch_id)
-            except Exception:  # a failing hook must not stop the load
-                log.exception("hook failed on batch %s", batch_id)
+def _run(store, files, parse, checkpoint, on_batch, defer=None):
+    def load(batch: DataFrame, epoch: int) -> None:
+        batch_id = store.batch_of(checkpoint, epoch)
+        if defer is not None:
+            defer(batch, batch_id)
+        _stage(store, parse(batch), batch_id, on_batch)
 
     query = (
         files.writeStream.foreachBatch(load)
@@ -42,6 +41,42 @@ def _run(store, files, parse, checkpoint, on_batch):
     query.awaitTermination()
 
 
+def _stage(store, rows, batch_id, on_batch):
+    store.write_batch(rows, batch_id)
+    if on_batch is not None:
+        written = store.staged().where(F.col("batch_id") == batch_id)
+        try:
+            on_batch(written, batch_id)
+        except Exception:  # a failing hook must not stop the load
+            log.exception("hook failed on batch %s", batch_id)
+
+
+def _run_files(store, files, parse, sessions_of, checkpoint, registry, on_batch):
+    """Load new files, and kept ones whose session is registered by now.
+
+    ``sessions_of`` gives the files with the ids in their paths; files that it leaves out are
+    none of this load's.
+    """
+    kind = checkpoint.rstrip("/").rpartition("/")[2]
+
+    def defer(batch, batch_id):
+        if registry is None:
+            return
+        unknown = sessions_of(batch).join(_raw_sessions(registry), list(SESSION_KEYS), "left_anti")
+        if not unknown.isEmpty():
+            store.defer(unknown.select(F.lit(kind).alias("kind"), "file_path", "text"), batch_id)
+
+    if registry is not None:
+        kept = store.deferred(kind)
+        due = sessions_of(kept).join(_raw_sessions(registry), list(SESSION_KEYS), "left_semi")
+        due = materialize(due.select("kind", "file_path", "text"), "due-files")
+        if not due.isEmpty():
+            batch_id = store.new_batch()
+            _stage(store, parse(due.select("file_path", "text")), batch_id, on_batch)
+            store.mark_loaded(due, batch_id)
+    _run(store, files, parse, checkpoint, on_batch, defer)
+
+
 def _raw_sessions(registry):
     """Session keys as they appear in paths, to drop files before they are parsed."""
     if registry is None:
@@ -71,12 +106,12 @@ def load_anatomical(
 ) -> None:
     """Load new tissue files. With a registry only its sessions, under their stored ids.
 
-    Of several files for one session and tissue the first by path counts.
+    Of several files for one session and tissue the first by path counts, in whatever order
+    they arrive: the store drops the rows of the others when it reads or publishes.
     """
-    superseded = superseded_files(store.spark, root, atlas, modalities)
 
     def parse(batch):
-        rows = anatomical_rows(batch, atlas, modalities, _raw_sessions(registry), superseded)
+        rows = anatomical_rows(batch, atlas, modalities, _raw_sessions(registry))
         if registry is not None:
             rows = normalized(rows, registry)
         return rows.withColumn("source", F.concat(F.lit("anatomical_"), "modality"))
@@ -84,7 +119,10 @@ def load_anatomical(
     files = read_files(
         store.spark, root, anatomical_glob(modalities), True, files_per_trigger
     )
-    _run(store, files, parse, checkpoint, on_batch)
+    _run_files(
+        store, files, parse, lambda f: anatomical_files(f, atlas, modalities), checkpoint,
+        registry, on_batch,
+    )
 
 
 def load_diffusion(
@@ -100,14 +138,12 @@ def load_diffusion(
         return rows.withColumn("source", F.concat(F.lit("diffusion_"), "workflow"))
 
     files = read_files(store.spark, root, "*_parc.tsv", True, files_per_trigger)
-    _run(store, files, parse, checkpoint, on_batch)
+    _run_files(
+        store, files, parse, lambda f: diffusion_files(f, atlas, workflows), checkpoint,
+        registry, on_batch,
+    )
 
 
 def ingest_stream(store, rows: DataFrame, source: str, checkpoint, on_batch=None) -> None:
     """Load a stream of long rows (any streaming source) into one long table."""
     _run(store, rows, lambda b: b.withColumn("source", F.lit(source)), checkpoint, on_batch)
-
-
-def forced_checkpoint(checkpoint: str) -> str:
-    """A new checkpoint for a full reload; its batches are newer, so they win."""
-    return f"{checkpoint}-forced-{time.time_ns()}"

@@ -195,6 +195,26 @@ def qc_flat(spark, sf):
     return flatten_quality_record(events.withColumn("record", record), ["event_id"], "record")
 
 
+@query(
+    "r06_mixed_record",
+    """
+    SELECT event_id, 'qualitymeasures_k' AS measure,
+           CAST(json_extract(props, '$.k') AS DOUBLE) AS value FROM events
+    UNION ALL
+    SELECT event_id, 'qualityratings_value', value FROM events
+    """,
+)
+def qc_mixed(spark, sf):
+    """Scalar blocks beside the wanted ones, and quoted numbers, which are no numbers."""
+    events = table(spark, sf, "events")
+    record = F.concat(
+        F.lit('{"software": "x", "version": 12, "qualitymeasures": '), "props",
+        F.lit(', "list": [1], "qualityratings": {"value": '), F.col("value").cast("string"),
+        F.lit(', "quoted": "7.5", "name": "'), "event_type", F.lit('"}}'),
+    )
+    return flatten_quality_record(events.withColumn("record", record), ["event_id"], "record")
+
+
 @query(
     "r07_summary",
     with_(q=CLEAN_ANSWERS) + """

@@ -16,9 +16,10 @@ from parcelhouse.plans.published import (
     participant_rows,
     tidy_view,
 )
-from parcelhouse.plans.scratch import scratch_path
+from parcelhouse.plans.scratch import materialize, scratch_path
 from parcelhouse.plans.store import FeatureStore
-from parcelhouse.streaming.ingest import forced_checkpoint, ingest_stream, load_anatomical
+from parcelhouse.sources.region_files import anatomical_files, anatomical_glob, list_files
+from parcelhouse.streaming.ingest import ingest_stream, load_anatomical
 from parcelhouse.workloads.bindings import (
     LONG_DIFFUSION,
     LONG_EVENTS,
@@ -137,6 +138,36 @@ def resume(spark, sf):
     )
 
 
+@query("t05_registry_grows", with_(l=_REGION_SQL) + "SELECT l.* EXCLUDE (remark) FROM l")
+def registry_grows(spark, sf):
+    """Half of the subjects are registered only after the files of all have been seen."""
+    store, root = _store(spark), anatomical_tree(spark, sf)
+    checkpoint = scratch_path(spark, "checkpoint")
+    found = list_files(spark, root, anatomical_glob())
+    ids = anatomical_files(found, ATLAS).select(*KEYS).distinct()
+    registry = materialize(
+        ids.withColumns({f"{k}_raw": F.col(k) for k in KEYS}), "growing-registry"
+    )
+    early = registry.where(F.pmod(F.col("subject_code").cast("bigint"), F.lit(2)) == 0)
+    load_anatomical(store, root, checkpoint, ATLAS, early)
+    store.publish()
+    load_anatomical(store, root, checkpoint, ATLAS, registry)
+    tables = [store.load_long(f"anatomical_{m}") for m in ("gm", "wm", "ct")]
+    rows = tables[0].unionByName(tables[1]).unionByName(tables[2])
+    return rows.select(
+        *KEYS, "modality", "metric", "label", "index", "volume_mm3", "mean", "std"
+    )
+
+
+@query("k02_within_delivery", _NEWEST)
+def within_delivery(spark, sf):
+    """One delivery without any order column: of equal keys the last row counts."""
+    store = _store(spark)
+    rows = _event_rows(spark, sf).orderBy("line_no").drop("part", "line_no")
+    store.save_anatomical_long(rows, "ev")
+    return store.load_long(EVENTS).select(*_CELLS)
+
+
 @query("t06_force", _NEWEST.replace("arg_max(mean, seq) AS mean", "round(arg_max(mean, seq) + 1, 6) AS mean"))
 def force(spark, sf):
     """A full reload with corrected values replaces what was loaded and published."""
@@ -148,7 +179,8 @@ def force(spark, sf):
     ingest_stream(store, source, EVENTS, checkpoint)
     store.publish()
     corrected = source.withColumn("mean", F.round(F.col("mean") + 1, 6))
-    ingest_stream(store, corrected, EVENTS, forced_checkpoint(checkpoint))
+    store.forget(checkpoint)
+    ingest_stream(store, corrected, EVENTS, checkpoint)
     return store.load_long(EVENTS).select(*_CELLS)
 
 
@@ -174,7 +206,7 @@ SELECT subject_code, session_id, modality, label, arg_max(volume_mm3, path) AS v
 """
 
 
-def _tissue_store(spark, sf, modalities=("gm", "wm"), publish=True):
+def _tissue_store(spark, sf, modalities=("gm", "wm", "ct"), publish=True):
     store = _store(spark)
     for modality in modalities:
         store.save_anatomical_long(_tissue_rows(spark, sf, modality), modality)
@@ -195,7 +227,7 @@ def _tissue_store(spark, sf, modalities=("gm", "wm"), publish=True):
     """,
 )
 def pending(spark, sf):
-    store = _tissue_store(spark, sf, publish=False)
+    store = _tissue_store(spark, sf, ("gm", "wm"), publish=False)
     found = store.pending(sessions(spark, sf), ("gm", "wm", "ct"))
     return found.select(
         *KEYS, "site", F.array_join("sources_to_load", ",").alias("sources_to_load")
@@ -214,18 +246,19 @@ def pending(spark, sf):
     """,
 )
 def ledger(spark, sf):
-    store = _tissue_store(spark, sf)
+    store = _tissue_store(spark, sf, ("gm", "wm"))
     store.initialize_metadata(sessions(spark, sf))
     return store.load_metadata().withColumn("AGE", F.round("AGE", 6))
 
 
 @query(
     "t08_existing",
-    with_(l=LONG_TISSUE) + "SELECT DISTINCT subject_code, session_id FROM l WHERE modality <> 'ct'",
+    with_(l=LONG_TISSUE) + "SELECT DISTINCT subject_code, session_id FROM l",
 )
 def existing(spark, sf):
     store = _tissue_store(spark, sf, ["gm"])
-    store.save_anatomical_long(_tissue_rows(spark, sf, "wm"), "wm")
+    for modality in ("wm", "ct"):
+        store.save_anatomical_long(_tissue_rows(spark, sf, modality), modality)
     return store.existing_sessions()
 
 
@@ -233,7 +266,7 @@ def existing(spark, sf):
     "t09_keep_staged",
     with_(l=LONG_TISSUE) + """
     SELECT 'anatomical_' || modality AS source, count(DISTINCT (subject_code, session_id)) AS n_sessions
-    FROM l WHERE modality <> 'ct' GROUP BY ALL
+    FROM l GROUP BY ALL
     """,
 )
 def keep_staged(spark, sf):
@@ -248,7 +281,7 @@ def keep_staged(spark, sf):
     SELECT 'anatomical_' || modality AS name, 'anatomical' AS modality, count(*) AS n_rows,
            count(DISTINCT (subject_code, session_id)) AS n_sessions,
            count(DISTINCT subject_code) AS n_subjects, 'volume_mm3,mean,std' AS statistics
-    FROM c WHERE c.modality <> 'ct' GROUP BY c.modality
+    FROM c GROUP BY c.modality
     """,
 )
 def register(spark, sf):
@@ -266,7 +299,7 @@ def register(spark, sf):
            count(DISTINCT label) AS n_regions,
            count(DISTINCT (subject_code, session_id)) AS n_sessions,
            string_agg(DISTINCT label, ',' ORDER BY label) AS regions
-    FROM c, (VALUES ('volume_mm3'), ('mean'), ('std')) AS v(s) WHERE modality <> 'ct' GROUP BY ALL
+    FROM c, (VALUES ('volume_mm3'), ('mean'), ('std')) AS v(s) GROUP BY ALL
     """,
 )
 def register_wide(spark, sf):
@@ -317,29 +350,32 @@ def load_feature(spark, sf):
     "s08_load_features",
     with_(t=_TISSUE, c=_CURRENT) + "SELECT subject_code, session_id, " + ", ".join(
         f"max({s}) FILTER (WHERE label = '{n}' AND modality = '{m}') AS \"{m}_{s}__{n}\""
-        for m, s in (("gm", "volume_mm3"), ("wm", "mean")) for n in range(1, 8)
-    ) + " FROM c WHERE modality IN ('gm', 'wm') GROUP BY ALL",
+        for m, s in (("gm", "volume_mm3"), ("wm", "mean"), ("ct", "std")) for n in range(1, 8)
+    ) + " FROM c GROUP BY ALL",
 )
 def load_features(spark, sf):
     store = _tissue_store(spark, sf)
     store.generate_wide_features()
-    return store.load_features(["gm_volume_mm3", "wm_mean"], include_metadata=False)
+    return store.load_features(["gm_volume_mm3", "wm_mean", "ct_std"], include_metadata=False)
 
 
 @query(
     "r02_k03_diffusion_features",
     with_(l=LONG_DIFFUSION) + """
-    SELECT 'A_' || model || '_' || param || '_' || s AS name, count(DISTINCT label) AS n_regions,
+    SELECT workflow || '_' || model || '_' || param || '_' || s AS name, count(DISTINCT label) AS n_regions,
            count(DISTINCT (subject_code, session_id)) AS n_sessions
     FROM l, (VALUES ('mean'), ('std'), ('volume_mm3'), ('voxel_count')) AS v(s)
-    WHERE workflow = 'A' GROUP BY ALL
+    GROUP BY ALL
     """,
 )
 def diffusion_features(spark, sf):
     """All features of a workflow are published by one job."""
     store = _store(spark)
-    rows = long_diffusion(spark, sf).where("workflow = 'A'").withColumn("desc", F.lit("unknown"))
-    store.save_diffusion_long(rows.drop("tax", "partkey", "shipdate"), "A")
+    rows = long_diffusion(spark, sf).withColumn("desc", F.lit("unknown"))
+    for workflow in ("A", "N", "R"):
+        store.save_diffusion_long(
+            rows.where(F.col("workflow") == workflow).drop("tax", "partkey", "shipdate"), workflow
+        )
     store.publish()
     store.generate_wide_features()
     return store.catalog.entries("wide").select("name", "n_regions", "n_sessions")
@@ -371,10 +407,10 @@ def totals(spark, sf):
 @query(
     "a17_summary",
     with_(l=LONG_TISSUE) + """
-    SELECT 2::BIGINT AS n_long, 7::BIGINT AS n_wide_features, 7::BIGINT AS n_anatomical_features,
+    SELECT 3::BIGINT AS n_long, 10::BIGINT AS n_wide_features, 10::BIGINT AS n_anatomical_features,
            0::BIGINT AS n_diffusion_features, true AS has_tiv,
            count(DISTINCT (subject_code, session_id)) AS n_sessions,
-           count(DISTINCT subject_code) AS n_subjects FROM l WHERE modality <> 'ct'
+           count(DISTINCT subject_code) AS n_subjects FROM l
     """,
 )
 def summary(spark, sf):
@@ -400,9 +436,9 @@ def age_statistics(spark, sf):
 
 
 def _published(spark, sf):
-    """gm_mean and wm_volume_mm3 wide, and tidy rows of both."""
+    """gm_mean, wm_volume_mm3 and ct_std wide, and tidy rows of all three."""
     data = PublishedDataset(spark, scratch_path(spark, "published"))
-    for modality, statistic in (("gm", "mean"), ("wm", "volume_mm3")):
+    for modality, statistic in (("gm", "mean"), ("wm", "volume_mm3"), ("ct", "std")):
         long = keep_last(
             _tissue_rows(spark, sf, modality), [*KEYS, "modality", "label"], ["source_path"]
         )
@@ -440,12 +476,29 @@ def contract_long(spark, sf):
     return _published(spark, sf).get_features("anatomical", "wm", "volume_mm3", fmt="long")
 
 
+@query(
+    "s10_rewritten",
+    with_(t=_TISSUE, c=_CURRENT) + f"""
+    SELECT {_ID}, label AS parcel, modality AS metric, volume_mm3 AS value,
+           'volume_mm3' AS statistic, 'second' AS edition FROM c WHERE modality = 'wm'
+    """,
+)
+def rewritten(spark, sf):
+    """Written again with one more column, a dataset is its newest version only."""
+    data = _published(spark, sf)
+    tidy = data.get_features("anatomical", "wm", "volume_mm3", fmt="long")
+    data.write_features(tidy.withColumn("edition", F.lit("second")), "anatomical", "wm", "all", "long")
+    entries = data._entries(modality="anatomical", format="long", metric="wm")
+    return spark.read.parquet(*[e.file for e in entries])
+
+
 _SIDE_BY_SIDE = with_(
     t=_TISSUE, c=_CURRENT,
     g=f"SELECT {_ID}, {_wide('mean', alias='gm_mean_{n}')} FROM c WHERE modality = 'gm' GROUP BY ALL",
     w=f"SELECT {_ID}, {_wide('volume_mm3', alias='wm_volume_mm3_{n}')} FROM c "
       "WHERE modality = 'wm' GROUP BY ALL",
-) + "SELECT * FROM g FULL JOIN w USING (participant_id)"
+    d=f"SELECT {_ID}, {_wide('std', alias='ct_std_{n}')} FROM c WHERE modality = 'ct' GROUP BY ALL",
+) + "SELECT * FROM g FULL JOIN w USING (participant_id) FULL JOIN d USING (participant_id)"
 
 
 @query("s10_j09_contract_all", _SIDE_BY_SIDE)
@@ -455,12 +508,15 @@ def contract_all(spark, sf):
 
 @query("j09_e08_select", _SIDE_BY_SIDE)
 def select(spark, sf):
-    return _published(spark, sf).select(anatomical=["gm_mean", "wm_volume_mm3"])
+    return _published(spark, sf).select(anatomical=["gm_mean", "wm_volume_mm3", "ct_std"])
 
 
 @query(
     "c03_metrics",
-    "SELECT * FROM (VALUES ('gm', 'all,mean'), ('wm', 'all,volume_mm3')) AS v(metric, statistics)",
+    with_(l=LONG_TISSUE) + """
+    SELECT modality AS metric, 'all,' || CASE modality WHEN 'gm' THEN 'mean'
+        WHEN 'wm' THEN 'volume_mm3' ELSE 'std' END AS statistics FROM l GROUP BY ALL
+    """,
 )
 def metrics(spark, sf):
     found = _published(spark, sf).available_metrics("anatomical")

@@ -157,7 +157,7 @@ def test_questionnaire(spark, root):
         {"q.csv": 'Subject Code,UID,Questionnaire,PHQ9,Age,Gender,Note\n00-48_R,1,Yes,n/a,30,F,"a\nb"\n'
                   "0048R,2,,5,31,,x\n9,3,No,6,32,M,y\n"},
     )
-    df = read_questionnaire(spark, root + "/q.csv")
+    df = read_questionnaire(spark, root + "/q.csv", multiline=True)
     assert {(r["Subject Code"], r.UID, r.PHQ9, r.Age) for r in df.collect()} == {
         ("0048R", "1", None, 30.0), ("0048R", "2", 5.0, 31.0),
     }

@@ -150,6 +150,60 @@ def test_lost_checkpoint_repeats_the_load_without_doubling(spark, root):
     assert store.load_long("anatomical_gm").count() == 2
 
 
+def _registry(spark, *subjects):
+    rows = [(s, "01", s, "01") for s in subjects]
+    return spark.createDataFrame(
+        rows, "subject_code string, session_id string, subject_code_raw string, session_id_raw string"
+    )
+
+
+def test_late_registration_loads_files_seen_before(spark, root):
+    tree, store = root + "/tree", FeatureStore(spark, root + "/store")
+    _write(tree, {_path(1): _tissue(1), _path(2): _tissue(2)})
+    load_anatomical(store, tree, root + "/c", "A", _registry(spark, "1"))
+    assert store.load_long("anatomical_gm").count() == 2
+    load_anatomical(store, tree, root + "/c", "A", _registry(spark, "1", "2"))
+    assert {r.subject_code for r in store.load_long("anatomical_gm").collect()} == {"1", "2"}
+    batches = store.staged().select("batch_id").distinct().count()
+    load_anatomical(store, tree, root + "/c", "A", _registry(spark, "1", "2"))
+    assert store.staged().select("batch_id").distinct().count() == batches
+
+
+def test_incremental_load_equals_scan(spark, root):
+    from parcelhouse.sources.region_files import scan_anatomical
+
+    tree, store = root + "/tree", FeatureStore(spark, root + "/store")
+    late = "sub-1/ses-01/anat/atlas-A/a_tissue-GM_parc.tsv"
+    _write(tree, {_path(1): _tissue(1), _path(2): _tissue(2)})
+    load_anatomical(store, tree, root + "/c", "A")
+    store.publish()
+    _write(tree, {late: "label\tmean\nA\t9\n"})
+    load_anatomical(store, tree, root + "/c", "A")
+    want = {(r.subject_code, r.label, r["mean"]) for r in scan_anatomical(spark, tree, "A").collect()}
+    for _ in range(2):
+        rows = store.load_long("anatomical_gm").collect()
+        assert {(r.subject_code, r.label, r["mean"]) for r in rows} == want and len(rows) == 3
+        store.publish()
+
+
+def test_repeated_epoch_is_the_same_batch(spark, root):
+    store = FeatureStore(spark, root)
+    first = store.batch_of("c", 0)
+    assert store.batch_of("c", 0) == first and store.batch_of("c", 1) > first
+    for _ in range(2):
+        store.write_batch(_rows(spark, ("1", "a", "x", 1.0, 1)).withColumn("source", F.lit("anatomical_gm")), first)
+    assert store.staged().count() == 1
+
+
+def test_old_versions_are_removed_on_demand(spark, root):
+    store = FeatureStore(spark, root)
+    for value in (1.0, 2.0, 3.0):
+        store.save_anatomical_long(_rows(spark, ("1", "a", "x", value, 1)), "gm")
+        store.publish()
+    assert len(store.retain(1)) == 2
+    assert store.load_long("anatomical_gm").first()["mean"] == 3.0
+
+
 def test_whole_load(spark, root):
     tree = root + "/tree"
     _write(
