@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from parcelhouse.llm.scratch_tables import written
 
 #: Sample size, trees, largest depth, smallest leaf in the sample, share of leaves visited.
-SAMPLE, TREES, DEPTH, LEAF, SHARE = 8192, 4, 8, 16, 0.25
+SAMPLE, TREES, DEPTH, LEAF, SHARE = 8192, 4, 8, 8, 0.35
 _BLOCK = 4096
 
 
