@@ -64,7 +64,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), merges=True)
 
 
 STAGES = [

@@ -1,8 +1,10 @@
-"""A lexicon of scored pieces, and its Viterbi search in batches of numpy operations.
+"""A lexicon of scored pieces, and two searches over it in batches of numpy operations.
 
-Pieces and scores come from a SentencePiece model file; a text is segmented into the pieces
+Pieces and scores come from a SentencePiece model file. Scores of a BPE model are ranks: ``merges``
+joins the neighbours that make the piece of the best score (of equal scores the leftmost), again
+and again, as the library does. Scores of a unigram model are log probabilities: ``viterbi`` finds the pieces
 with the greatest sum of scores (of equal sums, the one whose last piece is longest, and so on
-backwards). A character that no piece covers costs more than any piece and is written as its bytes.
+backwards). A character that no piece covers is written as its bytes; in a sum it costs more than any piece.
 Spaces stand for the word mark, and one is put before every text that isn't empty.
 
 No piece goes on with a space after another character, and none holds a line feed, so a text
@@ -12,6 +14,8 @@ segmented once in a worker.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import sentencepiece
 
@@ -21,6 +25,8 @@ _MARK = "▁"
 _SPACE, _LINE = 0x20, 0x0A
 _BATCH_BYTES = 1 << 18
 _FILTER_BITS = 20
+#: Characters of a run that is merged on its own, in steps that don't grow with its length.
+_LONG_RUN = 256
 
 
 class Lexicon:
@@ -56,6 +62,18 @@ class Lexicon:
         self.keys, self.ids = hashes[order], np.array(ids)[order]
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[(self.keys & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
+        self.best = {self.bytes[i]: float(self.score[i]) for i in ids}
+        #: Characters that stand side by side in some piece; no merge crosses any other two.
+        two = sorted({a + b for k in keys for a, b in zip(k.decode(), k.decode()[1:])})
+        two = [x.encode() for x in two]
+        ends = np.cumsum([len(x) for x in two])
+        self.neighbours = np.sort(self.roller.spans(
+            self.roller.sums(np.frombuffer(b"".join(two), np.uint8)), ends - [len(x) for x in two], ends))
+
+    def adjoin(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether the two characters of each hash stand side by side in some piece."""
+        at = np.minimum(np.searchsorted(self.neighbours, hashes), len(self.neighbours) - 1)
+        return self.neighbours[at] == hashes
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Piece of each hash; ``size + 1`` where there is none."""
@@ -160,6 +178,105 @@ def viterbi(lexicon: Lexicon, data: np.ndarray, start: np.ndarray, stop: np.ndar
     return wide, np.bincount(span, weights=times, minlength=len(start)).astype(np.int64)
 
 
+def _merged_run(lexicon: Lexicon, data: bytes, heads: list[int]) -> list[int]:
+    """The inner heads of a long run that merges take away, by a heap."""
+    n = len(heads)
+    end = [*heads[1:], len(data)]
+    left, right, alive = list(range(-1, n - 1)), [*range(1, n), -1], [True] * n
+    heap, gone = [], []
+
+    def offer(a: int, b: int):
+        if a >= 0 and b >= 0:
+            score = lexicon.best.get(data[heads[a] : end[b]])
+            if score is not None:
+                heapq.heappush(heap, (-score, a, b, end[b]))
+
+    for i in range(n - 1):
+        offer(i, i + 1)
+    while heap:
+        _, a, b, stop = heapq.heappop(heap)
+        if not (alive[a] and alive[b] and right[a] == b and end[b] == stop):
+            continue
+        gone.append(heads[b])
+        alive[b], end[a], right[a] = False, stop, right[b]
+        if right[b] >= 0:
+            left[right[b]] = a
+        offer(left[a], a)
+        offer(a, right[a])
+    return gone
+
+
+def merges(lexicon: Lexicon, data: np.ndarray, start: np.ndarray, stop: np.ndarray):
+    """Piece ids of every span by the order of merges, one span after the other, and how many each has.
+
+    Spans are cut between characters that no piece holds side by side. Runs of as many characters
+    advance together, each by its own best merge.
+    """
+    size = stop - start
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    if not total:
+        return np.zeros(0, np.int64), np.zeros(len(start), np.int64)
+    data = data[np.repeat(start - (ends - size), size) + np.arange(total)]
+    sums = lexicon.roller.sums(data)
+
+    def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return lexicon.score[lexicon.find(lexicon.roller.spans(sums, a.ravel(), b.ravel()))].reshape(a.shape)
+
+    edge = np.append(lexicon.characters(data) > 0, True)
+    first = np.zeros(total + 1, bool)
+    first[ends - size] = first[total] = True
+    edge |= first
+    heads = np.flatnonzero(edge)
+    new = first[heads]
+    new[1:-1] |= ~lexicon.adjoin(lexicon.roller.spans(sums, heads[:-2], heads[2:]))
+    run = np.flatnonzero(new)
+    many = np.diff(run)
+    run = run[:-1]
+    for i in np.flatnonzero(many > _LONG_RUN):
+        at = heads[run[i] : run[i] + many[i] + 1]
+        gone = _merged_run(lexicon, data[at[0] : at[-1]].tobytes(), (at[:-1] - at[0]).tolist())
+        edge[at[0] + np.array(gone, np.int64)] = False
+    some = np.flatnonzero((many > 1) & (many <= _LONG_RUN))
+    for rows in batches_of(heads[run[some]], heads[run[some] + many[some]], many[some]) if len(some) else ():
+        rows = some[rows]
+        bound = heads[run[rows][:, None] + np.arange(many[rows[0]] + 1)[None, :]]
+        value = scores(bound[:, :-2], bound[:, 2:])
+        while True:
+            pick = np.argmax(value, axis=1)
+            on = value[np.arange(len(pick)), pick] > -np.inf
+            if not on.all():
+                bound, value, pick = bound[on], value[on], pick[on]
+            n, wide = bound.shape
+            if not n:
+                break
+            line = np.arange(n)
+            edge[bound[line, pick + 1]] = False
+            if wide == 3:
+                break
+            keep = np.ones((n, wide), bool)
+            keep[line, pick + 1] = False
+            bound = bound[keep].reshape(n, wide - 1)
+            keep = np.ones((n, wide - 2), bool)
+            keep[line, pick] = False
+            value = value[keep].reshape(n, wide - 3)
+            for rows_, pair in ((line[pick > 0], pick[pick > 0] - 1),
+                                (line[pick < wide - 3], pick[pick < wide - 3])):
+                value[rows_, pair] = scores(bound[rows_, pair], bound[rows_, pair + 2])
+    begin = np.flatnonzero(edge)
+    length = np.diff(begin)
+    begin = begin[:-1]
+    piece = lexicon.find(lexicon.roller.spans(sums, begin, begin + length)).astype(np.int64)
+    raw = piece == lexicon.size + 1
+    times = np.where(raw, length, 1)
+    last = np.cumsum(times)
+    at = np.repeat(begin, times) + np.arange(int(last[-1])) - np.repeat(last - times, times)
+    out, raw = np.repeat(piece, times), np.repeat(raw, times)
+    out[raw] = lexicon.byte_id[data[at[raw]]]
+    span = np.searchsorted(ends, begin, "right")
+    return out, np.bincount(span, weights=times, minlength=len(start)).astype(np.int64)
+
+
 def trie_counts(lexicon: Lexicon, data: np.ndarray, start: np.ndarray, stop: np.ndarray):
     """Number of pieces of every span, by a trie of the spans.
 

@@ -110,7 +110,7 @@ def sentencepiece_ids(spark, sf_dir):
     from parcelhouse.llm.sentencepiece_text import encoded
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), merges=True)
 
 
 @query("op7_trie_counts")
@@ -121,7 +121,7 @@ def trie_token_counts(spark, sf_dir):
     from parcelhouse.llm.token_counts import token_counts
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"), merges=True)
 
 
 _MIX_SQL = r"""

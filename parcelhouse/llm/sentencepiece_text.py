@@ -1,4 +1,7 @@
-"""SentencePiece encoding and decoding of whole texts by batched Viterbi (see ``pieces``).
+"""SentencePiece encoding and decoding of whole texts (see ``pieces``).
+
+With ``merges`` ids follow the merge order of a BPE model, as the library's do (but for word
+marks in the text); without it they have the greatest sum of scores, as a unigram model wants.
 
 Decoding an encoding gives the text back, byte for byte, whatever it holds: a word mark that
 a text itself contains is written as bytes, unlike spaces. Ids are packed as little-endian
@@ -18,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from parcelhouse.llm.memory import Memory
-from parcelhouse.llm.pieces import Lexicon, marked, stretches, viterbi
+from parcelhouse.llm.pieces import Lexicon, marked, merges, stretches, viterbi
 from parcelhouse.llm.text_arrays import blocks
 
 
@@ -29,8 +32,9 @@ def id_type(lexicon: Lexicon) -> str:
 class Coder:
     """Encodes blocks and decodes packed ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, by_merges: bool = False):
         self.lexicon = Lexicon(path)
+        self.search = merges if by_merges else viterbi
         self.memory = Memory()
         self.type = id_type(self.lexicon)
         ends = np.cumsum([len(b) for b in self.lexicon.bytes])
@@ -45,7 +49,7 @@ class Coder:
             return np.zeros(0, self.type), np.zeros(len(block), np.int64)
         start = stretches(text)
         ids, count = self.memory.numbers_of(
-            text, start, lambda a, b: viterbi(self.lexicon, text.data, a, b))
+            text, start, lambda a, b: self.search(self.lexicon, text.data, a, b))
         which = np.searchsorted(text.offsets, start, "right") - 1
         return ids.astype(self.type), np.bincount(
             which, weights=count, minlength=len(block)).astype(np.int64)
@@ -63,9 +67,9 @@ class Coder:
 
 
 @functools.lru_cache(maxsize=2)
-def coder(path: str) -> Coder:
+def coder(path: str, by_merges: bool = False) -> Coder:
     """The worker's coder for ``path``, with what it remembers from earlier tasks."""
-    return Coder(path)
+    return Coder(path, by_merges)
 
 
 def _column(values: np.ndarray, sizes: np.ndarray, kind) -> pa.Array:
@@ -85,11 +89,12 @@ def _schema(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, kind)])
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids",
+           merges: bool = False) -> DataFrame:
     """``docs`` with the packed ids of ``text``."""
 
     def run(batches):
-        both = coder(path)
+        both = coder(path, merges)
         for block in blocks(batches, text):
             values, count = both.encode(block)
             yield _with(block.rows, ids, _column(values, count, pa.binary()))
@@ -110,14 +115,14 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
     return docs.mapInArrow(run, _schema(docs, text, T.StringType()))
 
 
-def encoded(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, path: str, text: str = "text", merges: bool = False) -> DataFrame:
     """``docs`` without ``text``, with ``ids``, ``n_pieces`` and ``round_trip``: whether the ids,
     decoded, are the text. Both directions run over a block while it is at hand."""
     out = ("ids", "n_pieces", "round_trip")
     names = [c for c in docs.columns if c not in (text, *out)]
 
     def run(batches):
-        both = coder(path)
+        both = coder(path, merges)
         for block in blocks(batches, text):
             values, count = both.encode(block)
             data, sizes = both.decode(values, count)

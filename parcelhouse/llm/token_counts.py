@@ -1,6 +1,7 @@
-"""Token counts without encoding: unigram forward scores over a trie of distinct pre-tokens.
+"""Token counts of texts, each distinct pre-token counted once in a worker.
 
-See ``pieces.trie_counts``. Defined results: null and empty texts have no tokens; a table
+With ``merges`` tokens follow the merge order of a BPE model (``pieces.merges``); without it counts come
+from unigram forward scores over a trie of the pre-tokens, without encoding (``pieces.trie_counts``). Defined results: null and empty texts have no tokens; a table
 without rows gives none; other columns pass through.
 """
 
@@ -15,25 +16,30 @@ from pyspark.sql import types as T
 
 from parcelhouse.llm.memory import Memory
 from parcelhouse.llm.pieces import Lexicon, marked, stretches, trie_counts
+from parcelhouse.llm.pieces import merges as merged
 from parcelhouse.llm.text_arrays import blocks
 
 
 @functools.lru_cache(maxsize=2)
-def counter(path: str):
+def counter(path: str, merges: bool):
     """The worker's lexicon for ``path`` and the counts it remembers from earlier tasks."""
     return Lexicon(path), Memory()
 
 
-def token_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+def token_counts(docs: DataFrame, path: str, text: str = "text", merges: bool = False) -> DataFrame:
     """``docs`` without ``text``, with ``n_pretokens`` and ``n_tokens``."""
     out = ("n_pretokens", "n_tokens")
     names = [c for c in docs.columns if c not in (text, *out)]
 
     def count(batches):
-        lexicon, memory = counter(path)
+        lexicon, memory = counter(path, merges)
 
         def learn(data):
-            return lambda a, b: (trie_counts(lexicon, data, a, b), np.ones(len(a), np.int64))
+            def one(a, b):
+                many = merged(lexicon, data, a, b)[1] if merges else trie_counts(lexicon, data, a, b)
+                return many, np.ones(len(a), np.int64)
+
+            return one
 
         for block in blocks(batches, text):
             whole, n = marked(block), len(block)

@@ -282,6 +282,35 @@ def test_sentencepiece_and_counts(docs, rows, empty):
     assert encoded(empty, PIECES).count() == 0 and token_counts(empty, PIECES).count() == 0
 
 
+def test_merges_are_the_library_s(docs, rows):
+    """Ids and counts by merges against the sentencepiece library, long runs without spaces included."""
+    import sentencepiece
+    from parcelhouse.llm.queries import QUERIES
+    from parcelhouse.llm.sentencepiece_text import encode, encoded
+    from parcelhouse.llm.token_counts import token_counts
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    more = ["the government announced a new computer system", "information about the university", "the",
+            "international" * 60, "".join(chr(0x4E00 + i * 7 % 5000) for i in range(900)), "aaab" * 300,
+            " \n\n  indented\n\tcode(x)[0] == 'a';  \n", "<s> </s> <unk> <0x41>"]
+    spark = docs.sparkSession
+    # The library takes a mark in the text for a space; here it stays itself.
+    texts = [t for t in [r[1] for r in rows] + more if "▁" not in (t or "")]
+    want = {t: library.encode(t or "") for t in texts}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in encode(df, PIECES, merges=True).collect():
+        assert np.frombuffer(r["ids"], "<u2").tolist() == want[r["text"]]
+    flags = {r["doc_id"]: r for r in encoded(docs.unionByName(df, True), PIECES, merges=True).collect()}
+    assert all(r["round_trip"] for r in flags.values())
+    for r in token_counts(df, PIECES, merges=True).collect():
+        assert r["n_tokens"] == len(want[texts[r["doc_id"]]])
+    table = "/root/testdata/sf0.001"
+    held = {(r["doc_id"], len(library.encode(r["text"] or "")))
+            for r in spark.read.parquet(f"{table}/documents.parquet").collect() if "▁" not in (r["text"] or "")}
+    for name, count in (("op3_sentencepiece", "n_pieces"), ("op7_trie_counts", "n_tokens")):
+        assert held <= {(r["doc_id"], r[count]) for r in QUERIES[name](spark, table).collect()}
+
+
 def test_raking_meets_marginals(spark):
     from parcelhouse.llm.raking import rake, tempered
 
