@@ -1,11 +1,11 @@
 """Near-duplicate classes by ProbMinHash, banding and exact verification.
 
-Every distinct shingle of five words is an element with weight 1 + ln(count). An element
+Every distinct shingle of five words is an element. An element
 emits a Poisson process at the rate of its weight; each arrival falls on one of 80
 registers, and a register keeps the element of its earliest arrival. Arrivals later than the
 latest register of a text can't change it, so elements stop early. Two texts agree in a
-register with the probability Jaccard similarity of their weighted shingles (the Jaccard
-similarity where weights are equal).
+register with the probability Jaccard similarity of their weighted shingles. All weights are 1
+here, however often a shingle occurs in its text: then this is the Jaccard similarity of the sets, which decides below.
 
 Twenty bands of four registers make buckets; texts with similarity 0.8 miss all of them
 with probability 3e-5. Candidates are compared exactly: a link is a Jaccard similarity of the
@@ -93,9 +93,9 @@ def _sketches(batches):
     for block in blocks(batches):
         n = len(block)
         text, hashes = shingles(block, roller)
-        text, element, count = weighted(text, hashes)
+        text, element, _ = weighted(text, hashes)
         size = np.bincount(text, minlength=n)
-        register = signatures(text, element, 1 + np.log(count), n).astype(np.uint64)
+        register = signatures(text, element, np.ones(len(element)), n).astype(np.uint64)
         register = register.reshape(n, BANDS, ROWS)
         band = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (n, BANDS))
         for i in range(ROWS):

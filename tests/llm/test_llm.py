@@ -148,6 +148,19 @@ def test_near_copies_of_copies(spark):
     assert got == _classes(rows) and len({g[1] for g in got}) > 1
 
 
+def test_near_copies_with_repeated_own_lines(spark):
+    """Copies of 0.81 by their sets, each with an own line that it repeats 400 times."""
+    from parcelhouse.llm.probminhash import near_duplicates
+
+    rows = []
+    for i in range(20):
+        shared = [f"s{i}x{j}" for j in range(124)]
+        rows += [(2 * i + k, " ".join(shared + [f"o{i}x{k}x{j}" for j in range(10)] * 400)) for k in (0, 1)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r["doc_id"], r["class_id"]) for r in near_duplicates(df).collect()}
+    assert got == {(d, d - d % 2) for d, _ in rows}
+
+
 def test_signatures_estimate_probability_jaccard():
     from parcelhouse.llm.probminhash import signatures
 
