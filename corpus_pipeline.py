@@ -9,7 +9,7 @@ is no SQL for the whole; the stages are tested against brute force.
    this id, the smallest text). Rows without an id are named by their text first, above all ids.
 3. passage_dedup: text that repeats 50 bytes of a document with a smaller id is cut out and
    ``n_chars``, where there is one, counted anew; a document left without a word goes.
-4. mixing: documents are drawn by the probabilities of the raked shares.
+4. mixing: documents are drawn by the probabilities of the raked shares, none of them cut.
 5. encoding: texts become SentencePiece ids, with a flag that they decode to the text.
 """
 
@@ -58,7 +58,7 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", "source", "lang", "text", F.struct("*").alias("row"))
-    return mixed(rows).where("kept").select("row.*")
+    return mixed(rows, exact=True).where("kept").select("row.*")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ one row, so a round is one small job: each source finds its own factor, and what
 matrix of languages by topics, whose size the given targets bound; the number of sources
 doesn't matter. A document's probability is its cell's factor over a level, 1 at most. The level is the one below
 which cells hold nine tenths of the tokens (to 1/64 of a power of two): expected tokens of these cells have exactly the raked
-proportions, and cells above it, which would need repeats to reach their share, are taken whole. The draw
+proportions, and cells above it, which would need repeats to reach their share, are taken whole, so the targets are missed there.
+With ``exact`` the level is the largest factor and rounds go on until shares agree to ``TOLERANCE``: no probability is
+cut, and expected tokens meet all targets, of fewer documents. ``achieved`` gives shares beside targets. The draw
 is a hash of the id: a repeated run takes the same documents.
 
 Defined results: a null source, language or topic is the value ``''``. Values without a
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from parcelhouse.llm.scratch_tables import written
 
 ROUNDS, LEVEL, STEPS = 25, 0.9, 64
+MOST_ROUNDS, TOLERANCE = 200, 1e-4
 BLANKS = r"[\x20\x09-\x0D]+"
 LANGUAGES = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
 TOPICS = {"prose": 0.6, "figures": 0.2, "tables": 0.1, "markup": 0.05, "shouting": 0.05}
@@ -52,10 +55,12 @@ def tempered(cells: DataFrame, exponent: float) -> DataFrame:
     return cells.groupBy("source").agg(F.pow(F.sum("tokens"), F.lit(exponent)).alias("target"))
 
 
-def rake(cells: DataFrame, targets: DataFrame, languages: dict, topics: dict, rounds: int = ROUNDS):
+def rake(cells: DataFrame, targets: DataFrame, languages: dict, topics: dict, rounds: int = ROUNDS,
+         tolerance: float = 0.0):
     """``(source, lang, topic, factor)``: what each cell's tokens are multiplied by.
 
-    ``cells`` has ``source, lang, topic, tokens``; ``targets`` has ``source, target``.
+    ``cells`` has ``source, lang, topic, tokens``; ``targets`` has ``source, target``. Rounds end early
+    once all shares are within ``tolerance`` of their targets, if that is above 0.
     """
     langs = [x for x in languages if languages[x] > 0]
     tops = [x for x in topics if topics[x] > 0]
@@ -85,6 +90,10 @@ def rake(cells: DataFrame, targets: DataFrame, languages: dict, topics: dict, ro
         row = own.agg(*(F.sum(F.col("f") * F.col("t")[i]).alias(f"m{i}") for i in range(len(sums)))).first()
         matrix = np.array([x or 0.0 for x in row]).reshape(shape)
         reached = matrix > 0
+        now = matrix * np.outer(by_lang, by_topic)
+        if max(np.abs(share(goal, s) * s - s / max(s.sum(), 1e-300)).max() for goal, s in (
+                (lang_goal, now.sum(axis=1)), (topic_goal, now.sum(axis=0)))) < tolerance:
+            break
         by_lang = by_lang * share(lang_goal, (matrix * np.outer(by_lang, by_topic)).sum(axis=1))
         by_topic = by_topic * share(topic_goal, (matrix * np.outer(by_lang, by_topic)).sum(axis=0))
     scale = np.outer(by_lang, by_topic)
@@ -116,8 +125,9 @@ def draw(doc_id: Column) -> Column:
 
 
 def mixed(docs: DataFrame, topic: Column = None, languages: dict = None, topics: dict = None,
-          exponent: float = 0.5, rounds: int = ROUNDS) -> DataFrame:
+          exponent: float = 0.5, rounds: int = ROUNDS, exact: bool = False) -> DataFrame:
     """``docs`` with ``topic``, ``n_words``, ``probability`` and ``kept``."""
+    rounds, tolerance = (max(rounds, MOST_ROUNDS), TOLERANCE) if exact else (rounds, 0.0)
     words = n_words(F.col("text"))
     marked = docs.withColumn("n_words", words).withColumn(
         "topic", form_topic(F.col("text"), F.col("n_words")) if topic is None else topic)
@@ -128,10 +138,13 @@ def mixed(docs: DataFrame, topic: Column = None, languages: dict = None, topics:
         .agg(F.sum("n_words").alias("tokens")), "cells")
     languages, topics = languages or LANGUAGES, topics or TOPICS
     known = cells.where(F.col("lang").isin([*languages]) & F.col("topic").isin([*topics]))
-    factors = rake(cells, tempered(known, exponent), languages, topics, rounds)
+    factors = rake(cells, tempered(known, exponent), languages, topics, rounds, tolerance)
     factors = written(factors.join(
         cells.where("tokens > 0"), ["source", "lang", "topic"], "left_semi"), "factors")
-    level = level_of(factors.join(cells, ["source", "lang", "topic"]))
+    if exact:
+        level = factors.agg(F.max("factor")).first()[0] or 1.0
+    else:
+        level = level_of(factors.join(cells, ["source", "lang", "topic"]))
     factors = factors.select(
         *(F.col(c).alias(f"_{c}") for c in ("source", "lang", "topic")),
         F.round(F.least(F.col("factor") / F.lit(level), F.lit(1.0)), 9).alias("_p"))
@@ -140,3 +153,25 @@ def mixed(docs: DataFrame, topic: Column = None, languages: dict = None, topics:
     return out.select(
         *(F.col(c) for c in docs.columns if c not in ("topic", "n_words", "probability", "kept")),
         "topic", "n_words", p.alias("probability"), (draw(F.col("doc_id")) < p).alias("kept"))
+
+
+def achieved(drawn: DataFrame, languages: dict = None, topics: dict = None, exponent: float = 0.5) -> DataFrame:
+    """``(dimension, value, target, share)``: shares of the expected tokens of ``mixed`` beside their targets."""
+    goals = {"lang": languages or LANGUAGES, "topic": topics or TOPICS}
+    names = ["source", "lang", "topic"]
+    cells = drawn.groupBy(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in names)).agg(
+        F.sum("n_words").alias("tokens"), F.sum(F.col("n_words") * F.col("probability")).alias("expected"))
+    wanted = [F.col(c).isin([x for x in goal if goal[x] > 0]) for c, goal in goals.items()]
+    known = written(cells.where((F.col("tokens") > 0) & wanted[0] & wanted[1]), "expected")
+    out = None
+    for c in names:
+        rows = known.groupBy(c).agg(F.sum("expected").alias("expected"), F.pow(F.sum("tokens"), F.lit(exponent)).alias("target"))
+        if c in goals:
+            pairs = F.create_map(*(F.lit(x) for pair in goals[c].items() for x in pair))
+            rows = rows.withColumn("target", pairs[F.col(c)].cast("double"))
+        total = rows.agg(F.sum("target"), F.sum("expected")).first()
+        part = rows.select(F.lit(c).alias("dimension"), F.col(c).alias("value"),
+                           (F.col("target") / F.lit(total[0] or 1.0)).alias("target"),
+                           (F.col("expected") / F.lit(total[1] or 1.0)).alias("share"))
+        out = part if out is None else out.union(part)
+    return out

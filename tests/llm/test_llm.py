@@ -340,6 +340,25 @@ def test_raking_meets_marginals(spark):
     assert np.allclose(got.groupby("source").w.sum() / got.w.sum(), goal / goal.sum(), atol=1e-6)
 
 
+def test_expected_shares_meet_targets(spark):
+    """Shares of the pipeline's probabilities, with a scarce language and topic beside a hot source."""
+    from parcelhouse.llm.raking import achieved, mixed
+
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(1500):
+        lang = str(rng.choice(["en", "de", "fr", "es"], p=[0.9, 0.06, 0.03, 0.01]))
+        mark = str(rng.choice(["", " 7", " |" * 9, " #" * 9, " !!" * 9], p=[0.8, 0.1, 0.04, 0.03, 0.03]))
+        rows.append((i, f"s{min(3, int(rng.exponential(0.7)))}", lang, "word " * int(rng.integers(20, 60)) + mark))
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, text string")
+    drawn = mixed(df, exact=True).cache()
+    shares = achieved(drawn).collect()
+    assert len(shares) == 4 + 4 + 5
+    assert all(abs(r["share"] - r["target"]) < 2e-3 for r in shares)
+    assert drawn.agg(F.max("probability")).first()[0] == 1
+    assert any(abs(r["share"] - r["target"]) > 0.02 for r in achieved(mixed(df)).collect())
+
+
 def test_mixing_edges(docs, rows, empty):
     from parcelhouse.llm.raking import mixed
 
