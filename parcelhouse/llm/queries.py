@@ -1,4 +1,4 @@
-"""The ten operators bound to the benchmark tables, with SQL where SQL states the result."""
+"""The operators bound to the benchmark tables, with SQL where SQL states the result."""
 
 from __future__ import annotations
 
@@ -210,3 +210,100 @@ def context_mixing(spark, sf_dir):
     from parcelhouse.llm.context_mixing import scores
 
     return scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    list_dot_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+@query("op11_packed_products", _NEGATIVES_SQL)
+def packed_products(spark, sf_dir):
+    """The hard negatives of every fiftieth vector, for each of its positives."""
+    from parcelhouse.llm.packed_products import hard_negatives, usable
+
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = usable(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+    return hard_negatives(rows, rows.where("vec_id % 50 = 0")).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@query("op12_order_minhash")
+def order_minhash(spark, sf_dir):
+    """The fingerprint of every document and of its edited text."""
+    from parcelhouse.llm.order_minhash import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+_TRIE_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+      left(coalesce(text, ''), 64),
+      md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT DISTINCT conv_id AS c, conv_id - conv_id % 20 AS base,
+    (xor(4294967295, list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT),
+      lambda crc, d: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, z:
+        CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(crc, d)),
+      4294967295::BIGINT)) % 4) AS h
+  FROM turns
+), parts AS (
+  SELECT c, 0 AS part, pos, role, text FROM convs JOIN turns ON conv_id = base AND pos <= h
+  UNION ALL SELECT c, 1, pos, role, text FROM convs JOIN turns ON conv_id = c AND pos > h
+), rebuilt AS (
+  SELECT c, coalesce(list({'role': role, 'text': text} ORDER BY part, pos) FILTER (pos IS NOT NULL), []) AS path
+  FROM convs LEFT JOIN parts USING (c) GROUP BY c
+), prefixes AS (
+  SELECT c, d, path[1:d] AS node, d = len(path) AS ends
+  FROM (SELECT c, path, unnest(range(0, len(path) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT node, d, min(c) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ids
+  FROM prefixes GROUP BY node, d
+), linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id,
+    (n.n_convs - 1) * CASE WHEN n.d = 0 THEN 0
+      ELSE len(regexp_extract_all(n.node[n.d].text, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM nodes n LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.node = n.node[1:n.d - 1]
+), children AS (
+  SELECT d - 1 AS d, node[1:d - 1] AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+), above AS (
+  SELECT k AS d, node[1:k] AS node, sum(leaf::BIGINT) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT l.node, l.saved, c.n_children IS NULL AS leaf, unnest(range(0, l.d + 1)) AS k
+    FROM linked l LEFT JOIN children c ON c.d = l.d AND c.node = l.node)
+  GROUP BY ALL
+)
+SELECT conv_id, l.d AS depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(ids) AS ends_sha256
+FROM linked l JOIN above a ON a.d = l.d AND a.node = l.node
+LEFT JOIN children c ON c.d = l.d AND c.node = l.node
+"""
+
+
+@query("op13_prefix_rollup", _TRIE_SQL)
+def prefix_rollup(spark, sf_dir):
+    """Every node of the prefix trie of the rebuilt conversations."""
+    from parcelhouse.llm.prefix_rollup import ordered_turns, prefix_trie, rebuilt
+
+    return prefix_trie(rebuilt(ordered_turns(table(spark, sf_dir, "conversations"))))
