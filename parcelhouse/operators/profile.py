@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from parcelhouse.functions import bare_code
 from parcelhouse.model import SESSION_KEYS
-from parcelhouse.operators.quantiles import quantiles_of_large_groups
+from parcelhouse.operators.quantiles import exact_quantiles
 from parcelhouse.operators.reshape import first_values
 
 
@@ -72,18 +72,8 @@ def value_statistics(df: DataFrame, column="AGE") -> DataFrame:
 
 
 def column_statistics(df: DataFrame, columns, probs=(0.25, 0.5, 0.75)) -> DataFrame:
-    """n, mean, std, min, quantiles and max per column; columns without values are left out.
-
-    Columns are few and long groups, so they take the way of large groups: two passes.
-    """
-    long = melt(df, columns).where(F.col("value").isNotNull())
-    return quantiles_of_large_groups(
-        long, ["feature"], "value", probs,
-        also=[
-            F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"), F.max("value").alias("max"),
-        ],
-    )
+    """n, mean, std, min, quantiles and max per column; columns without values are left out."""
+    return exact_quantiles(melt(df, columns), ["feature"], "value", probs)
 
 
 def cohort_statistics(answers: DataFrame, features) -> DataFrame:

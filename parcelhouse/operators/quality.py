@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from parcelhouse.model import SESSION_KEYS
-from parcelhouse.operators.quantiles import quantiles_of_large_groups
+from parcelhouse.operators.quantiles import exact_quantiles
 from parcelhouse.plans.scratch import materialize
 
 OUTLIER_THRESHOLD = 3.0
@@ -17,14 +17,12 @@ def outlier_limits(
     long: DataFrame, by=("label", "metric"), value="value", threshold=OUTLIER_THRESHOLD
 ) -> DataFrame:
     """IQR and z-score limits per region and metric: few groups, each of many sessions."""
-    found = quantiles_of_large_groups(
-        long.select(*by, value).dropna(), by, value, [0.25, 0.75],
-        also=[F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std")],
-    )
+    found = exact_quantiles(long, by, value, [0.25, 0.75])
     q = F.col("quantiles")
     reach = threshold * (q[1] - q[0])
     return found.select(
-        *by, "_mean", "_std", (q[0] - reach).alias("_low"), (q[1] + reach).alias("_high")
+        *by, F.col("mean").alias("_mean"), F.col("std").alias("_std"),
+        (q[0] - reach).alias("_low"), (q[1] + reach).alias("_high"),
     )
 
 

@@ -1,151 +1,138 @@
-"""Exact quantiles (linear interpolation) that survive very large groups.
+"""Exact quantiles (linear interpolation) of groups of any size, by distributed radix selection.
+
+No values are sorted and no group meets in one task. Every pass counts the rows that can still
+hold a wanted rank in the cells of a histogram; counts combine map-side, so only cells are
+shuffled. The first pass takes 64ths of a binary order of magnitude (sign and ``log2``) and
+also gives count, mean, deviation, minimum and maximum. Every further pass divides the range
+between a cell's least and greatest value into 16384 equal parts. A rank is found as soon as it is
+the first or last of its cell or the cell holds one value. A range of doubles shrinks by
+14 bits a pass, so four passes after the first end every search; half a million spread values take two passes in all.
+
+Rounding can't disorder cells: ``log2``, differences, quotients and ``floor`` never decrease
+when the value grows, and the histogram needs no more than that.
+"""
 
-``percentile`` keeps every distinct value of a group in the memory of one task. That is
-right for many groups of bounded size and wrong for a group that holds a third of the table.
-Large groups therefore take another way, and both give the same numbers:
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-1. a mergeable sketch (``percentile_approx``) gives, for each wanted rank, two values that
-   surely enclose it;
-2. one pass keeps the distinct values inside the enclosures with their counts - a small
-   share of the group - and only counts the rows in the gaps between them;
-3. running counts over those few rows find the order statistics.
+from parcelhouse.plans.scratch import materialize
 
-All passes combine map-side, so no task ever sees a large group as a whole.
-"""
+PARTS = 1 << 14
+_STEPS = 64
 
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+def _magnitude(v: Column) -> Column:
+    """The cell of a value in the first pass. Zero, the infinities and NaN have their own."""
+    size = F.floor(F.log2(F.abs(v)) * _STEPS).cast("int") + 100_000
+    infinite = F.abs(v) == float("inf")
+    return (
+        F.when(F.isnan(v), F.lit(1_000_000))
+        .when(infinite, F.signum(v).cast("int") * 999_999)
+        .when(v == 0, F.lit(0))
+        .otherwise(F.when(v < 0, -size).otherwise(size))
+    )
 
-from parcelhouse.plans.scratch import materialize
 
-LARGE_GROUP_ROWS = 100_000
-SKETCH_ACCURACY = 10_000
+def _part(v: Column, low: Column, high: Column) -> Column:
+    return F.floor((v - low) / (high - low) * PARTS).cast("int")
+
 
+def _cells(rows: DataFrame, keys, cell: Column, *more) -> DataFrame:
+    v = F.col("_v")
+    return rows.groupBy(*keys, cell.alias("_cell")).agg(
+        F.count("*").alias("_c"), F.min(v).alias("_least"), F.max(v).alias("_most"), *more
+    )
 
-def split_by_size(rows: DataFrame, by, limit: int = LARGE_GROUP_ROWS):
-    """(rows of ordinary groups, rows of groups with more than ``limit`` rows).
 
-    The list of large groups has at most rows / limit entries. It is written, so its size is
-    known when the two joins are planned: a short list is broadcast, a long one is not.
-    """
-    sizes = rows.groupBy(*by).agg(F.count("*").alias("n"))
-    large = materialize(sizes.where(F.col("n") > limit).select(*by), "large-groups")
-    if large.isEmpty():
-        return rows, None
-    return rows.join(large, list(by), "left_anti"), rows.join(large, list(by), "left_semi")
+def _ranks(probs):
+    """The two neighbouring ranks of each quantile, as SQL over ``n``."""
+    sides = []
+    for p in probs:
+        sides += [f"floor((n - 1) * {p!r}D)", f"ceil((n - 1) * {p!r}D)"]
+    pairs = ", ".join(
+        f"struct({i} AS slot, bigint({side}) AS rank)" for i, side in enumerate(sides)
+    )
+    return F.expr(f"array({pairs})")
+
+
+def _placed(cells: DataFrame, keys) -> DataFrame:
+    """Cells with the number of rows in the cells below: a window over one histogram."""
+    below = Window.partitionBy(*keys).orderBy("_cell")
+    upto = F.sum("_c").over(below.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return cells.withColumn("_below", upto - F.col("_c"))
 
 
-def quantiles_of_small_groups(rows: DataFrame, by, value: str, probs) -> DataFrame:
-    return rows.groupBy(*by).agg(
-        F.count(value).alias("n"),
-        F.percentile(value, F.array(*[F.lit(float(p)) for p in probs])).alias("quantiles"),
+def _searched(by) -> list:
+    rank, one = F.col("rank") - F.col("_below"), F.col("_least") == F.col("_most")
+    value = (
+        F.when((rank == 0) | one, F.col("_least"))
+        .when(rank == F.col("_c") - 1, F.col("_most"))
     )
+    return [*by, "slot", rank.alias("rank"), "_least", "_most", value.alias("value")]
 
 
-def quantiles_of_large_groups(
-    rows: DataFrame, by, value: str, probs, accuracy: int = SKETCH_ACCURACY, also=()
-) -> DataFrame:
-    """``(by, n, quantiles)`` and the named aggregates ``also`` over the same rows.
+def exact_quantiles(df: DataFrame, by, value: str, probs) -> DataFrame:
+    """``(by, n, mean, std, min, max, quantiles)`` of the non-null values of each group.
 
-    ``rows`` have neither null keys nor null values.
+    Rows with a null key are left out, as in every grouping here.
     """
     by, probs = list(by), [float(p) for p in probs]
-    # The sketch is off by at most n / accuracy ranks, interpolation needs two neighbouring
-    # ranks more. Groups below the accuracy are enclosed as a whole: so 1 / n is below
-    # 1 / accuracy in all others.
-    margin = 4.0 / accuracy
-    low = [max(0.0, p - margin) for p in probs]
-    high = [min(1.0, p + margin) for p in probs]
-    sketch = rows.groupBy(*by).agg(
-        F.count(value).alias("n"),
-        F.min(value).alias("_min"),
-        F.max(value).alias("_max"),
-        F.percentile_approx(value, low + high, accuracy).alias("_ends"),
-        *also,
-    )
-    extra = [c for c in sketch.columns if c not in (*by, "n", "_min", "_max", "_ends")]
-    # An enclosure that reaches past the smallest or largest rank takes in that end.
-    whole = F.col("n") <= accuracy
-    ends = [
-        F.when(whole | F.lit(p <= margin), F.col("_min")).otherwise(F.col("_ends")[i])
-        for i, p in enumerate(probs)
-    ] + [
-        F.when(whole | F.lit(p >= 1 - margin), F.col("_max")).otherwise(
-            F.col("_ends")[len(probs) + i]
-        )
-        for i, p in enumerate(probs)
-    ]
-    names = [f"_low{i}" for i in range(len(probs))] + [f"_high{i}" for i in range(len(probs))]
-    enclosures = materialize(
-        sketch.select(*by, "n", *extra, *[e.alias(c) for e, c in zip(ends, names)]),
-        "quantile-enclosures",
-    )
-    v = F.col("_v")
-    inside = reduce(
-        lambda a, b: a | b,
-        [v.between(F.col(f"_low{i}"), F.col(f"_high{i}")) for i in range(len(probs))],
-    )
-    # Outside: which gap, by the number of enclosures that begin further down.
-    gap = reduce(
-        lambda a, b: a + b,
-        [F.when(v > F.col(f"_low{i}"), 1).otherwise(0) for i in range(len(probs))],
-    )
-    placed = rows.select(*by, F.col(value).alias("_v")).join(
-        enclosures.select(*by, "n", *names), by
+    rows = df.select(*by, F.col(value).cast("double").alias("_v")).dropna(subset=by)
+    rows = rows.where(F.col("_v").isNotNull())
+    cells = materialize(
+        _cells(
+            rows, by, _magnitude(F.col("_v")),
+            F.avg("_v").alias("_mean"), F.var_pop("_v").alias("_var"),
+        ),
+        "quantile-cells",
     )
-    counted = (
-        placed.select(
-            *by, "n", "_v",
-            F.when(inside, v).alias("_inside"), F.when(~inside, gap).alias("_gap"),
-        )
-        .groupBy(*by, "n", "_gap", "_inside")
-        .agg(F.count("*").alias("_c"), F.min("_v").alias("_least"))
+    facts = _moments(cells, by)
+    first = _placed(cells, by).join(facts.select(*by, "n"), by)
+    wanted = F.filter(
+        _ranks(probs),
+        lambda r: (r["rank"] >= F.col("_below")) & (r["rank"] < F.col("_below") + F.col("_c")),
     )
-    upto = F.sum("_c").over(
-        Window.partitionBy(*by).orderBy("_least")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = first.select("*", F.inline(wanted)).select(*_searched(by))
+    found = []
+    while True:
+        state = materialize(state, "quantile-ranks")
+        found.append(state.where("value IS NOT NULL").select(*by, "slot", "value"))
+        open_ = state.where("value IS NULL").drop("value")
+        if open_.isEmpty():
+            break
+        # Few ranges (at most two a quantile and group), so that as a rule rows stay where they are.
+        range_ = [*by, "_low", "_high"]
+        open_ = open_.withColumnsRenamed({"_least": "_low", "_most": "_high"})
+        inside = rows.join(open_.select(*range_).distinct(), by).where("_v BETWEEN _low AND _high")
+        parts = _cells(inside, range_, _part(F.col("_v"), F.col("_low"), F.col("_high")))
+        hit = (F.col("rank") >= F.col("_below")) & (F.col("rank") < F.col("_below") + F.col("_c"))
+        state = _placed(parts, range_).join(open_, range_).where(hit).select(*_searched(by))
+    values = found[0]
+    for more in found[1:]:
+        values = values.unionByName(more)
+    slots = values.groupBy(*by).agg(
+        *[F.max(F.when(F.col("slot") == i, F.col("value"))).alias(f"_s{i}") for i in range(2 * len(probs))]
     )
-    ranked = counted.withColumn("_upto", upto)
-
-    def at(p):
-        return (F.col("n") - 1) * F.lit(p)
-
-    def statistic(rank):
-        # The first row that reaches the rank; it must not be a gap.
-        return F.min(
-            F.when(
-                F.col("_upto") > rank, F.struct("_least", F.col("_inside").isNull().alias("gap"))
-            )
-        )
-
-    found = ranked.groupBy(*by, "n").agg(
-        *[statistic(F.floor(at(p))).alias(f"_a{i}") for i, p in enumerate(probs)],
-        *[statistic(F.ceil(at(p))).alias(f"_b{i}") for i, p in enumerate(probs)],
+    return facts.join(slots, by).select(
+        *by, "n", "mean", "std", "min", "max",
+        F.array(*[_between(i, p) for i, p in enumerate(probs)]).alias("quantiles"),
     )
 
-    def quantile(i, p):
-        a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
-        exact = a["_least"] + (at(p) - F.floor(at(p))) * (b["_least"] - a["_least"])
-        missed = F.raise_error(F.lit("quantile outside its enclosure")).cast("double")
-        return F.when(a["gap"] | b["gap"], missed).otherwise(exact)
-
-    result = found.select(
-        *by, "n", F.array(*[quantile(i, p) for i, p in enumerate(probs)]).alias("quantiles")
-    )
-    return result.join(enclosures.select(*by, *extra), by) if extra else result
 
+def _between(i: int, p: float) -> Column:
+    a, b, at = F.col(f"_s{2 * i}"), F.col(f"_s{2 * i + 1}"), (F.col("n") - 1) * F.lit(p)
+    return a + (at - F.floor(at)) * (b - a)
 
-def exact_quantiles(
-    df: DataFrame, by, value: str, probs, limit: int = LARGE_GROUP_ROWS
-) -> DataFrame:
-    """``(by, n, quantiles)``: count and interpolated quantiles of the non-null values.
 
-    Rows with a null key are left out, as in every grouping here.
-    """
-    rows = df.select(*by, value).dropna()
-    small, large = split_by_size(rows, by, limit)
-    result = quantiles_of_small_groups(small, by, value, probs)
-    if large is not None:
-        result = result.unionByName(quantiles_of_large_groups(large, by, value, probs))
-    return result
+def _moments(cells: DataFrame, by) -> DataFrame:
+    """Count, mean, sample deviation and extremes of each group from those of its cells."""
+    totals = cells.groupBy(*by).agg(
+        F.sum("_c").alias("n"), (F.sum(F.col("_c") * F.col("_mean")) / F.sum("_c")).alias("mean"),
+        F.min("_least").alias("min"), F.max("_most").alias("max"),
+        F.collect_list(F.struct("_c", "_mean", "_var")).alias("_held"),
+    )
+    squares = F.aggregate(
+        "_held", F.lit(0.0),
+        lambda a, h: a + h["_c"] * (h["_var"] + (h["_mean"] - F.col("mean")) * (h["_mean"] - F.col("mean"))),
+    )
+    std = F.when(F.col("n") > 1, F.sqrt(squares / (F.col("n") - 1)))
+    return totals.select(*by, "n", "mean", std.alias("std"), "min", "max")

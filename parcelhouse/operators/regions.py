@@ -11,13 +11,9 @@ Definitions, over the non-null values x of one group:
 ``std`` is the sample deviation throughout.
 """
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from parcelhouse.operators.quantiles import (
-    LARGE_GROUP_ROWS,
-    quantiles_of_large_groups,
-    split_by_size,
-)
+from parcelhouse.operators.quantiles import exact_quantiles
 from parcelhouse.plans.scratch import materialize
 
 _QUARTILES = (0.25, 0.5, 0.75)
@@ -54,47 +50,28 @@ def _summaries(rows: DataFrame, by, voxel_volume: float) -> DataFrame:
     )
 
 
-def _of_small_groups(rows, by, voxel_volume):
-    # One shuffle: both windows and the aggregation share the partitioning by group.
-    group = Window.partitionBy(*by)
-    quartiles = F.array(*[F.lit(p) for p in _QUARTILES])
-    staged = rows.withColumns(
-        {
-            "_q": F.percentile("_v", quartiles).over(group),
-            "_mean": F.avg("_v").over(group),
-            "_std": F.stddev_samp("_v").over(group),
-        }
-    ).withColumn("_d", _deviation())
-    staged = staged.withColumn("_mad", F.percentile("_d", F.lit(0.5)).over(group))
-    return _summaries(staged, by, voxel_volume)
-
+def region_statistics(
+    voxels: DataFrame,
+    by=("subject_code", "session_id", "label"),
+    value: str = "value",
+    voxel_volume: float = 1.0,
+) -> DataFrame:
+    """All region statistics per group of voxel rows; exact for groups of any size.
 
-def _of_large_groups(rows, by, voxel_volume):
-    # Few groups: their parameters are small tables, every pass combines map-side.
+    A group's parameters are one row; every pass over the voxels combines map-side.
+    """
     by = list(by)
-    spread = [F.avg("_v").alias("_mean"), F.stddev_samp("_v").alias("_std")]
-    quartiles = quantiles_of_large_groups(rows, by, "_v", _QUARTILES, also=spread)
+    rows = voxels.select(*by, F.col(value).cast("double").alias("_v")).dropna()
+    quartiles = exact_quantiles(rows, by, "_v", _QUARTILES)
     center = materialize(
-        quartiles.select(*by, F.col("quantiles").alias("_q"), "_mean", "_std"), "region-centers"
+        quartiles.select(
+            *by, F.col("quantiles").alias("_q"), F.col("mean").alias("_mean"),
+            F.col("std").alias("_std"),
+        ),
+        "region-centers",
     )
     centered = rows.join(center, by).withColumn("_d", _deviation())
-    mads = quantiles_of_large_groups(centered, by, "_d", [0.5]).select(
+    mads = exact_quantiles(centered, by, "_d", [0.5]).select(
         *by, F.col("quantiles")[0].alias("_mad")
     )
     return _summaries(centered.join(materialize(mads, "region-mads"), by), by, voxel_volume)
-
-
-def region_statistics(
-    voxels: DataFrame,
-    by=("subject_code", "session_id", "label"),
-    value: str = "value",
-    voxel_volume: float = 1.0,
-    limit: int = LARGE_GROUP_ROWS,
-) -> DataFrame:
-    """All region statistics per group of voxel rows; exact for groups of any size."""
-    rows = voxels.select(*by, F.col(value).alias("_v")).dropna()
-    small, large = split_by_size(rows, by, limit)
-    result = _of_small_groups(small, by, voxel_volume)
-    if large is not None:
-        result = result.unionByName(_of_large_groups(large, by, voxel_volume))
-    return result

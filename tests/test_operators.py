@@ -11,7 +11,8 @@ from parcelhouse.operators import profile
 from parcelhouse.operators.assemble import Feature, assemble_features
 from parcelhouse.operators.latest import keep_last, keep_preferred, last_values, union_all
 from parcelhouse.operators.quality import outlier_flags, session_quality, validation_report
-from parcelhouse.operators.quantiles import exact_quantiles, quantiles_of_large_groups
+from parcelhouse.operators import quantiles
+from parcelhouse.operators.quantiles import exact_quantiles
 from parcelhouse.operators.regions import region_statistics
 from parcelhouse.operators.reshape import region_list, to_wide
 from parcelhouse.operators.sessions import attach, full_outer, session_covariates
@@ -28,50 +29,57 @@ def _groups(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("limit", [0, 60, 10**9])
-def test_quantiles_are_exact_for_any_group_size(spark, limit):
+@pytest.mark.parametrize("parts", [2, 60, 1 << 14])
+def test_quantiles_are_exact_for_any_group_size(spark, monkeypatch, parts):
+    monkeypatch.setattr(quantiles, "PARTS", parts)
+    rng = random.Random(parts)
     rows = _groups(1, 20_000)
+    for n in [*range(1, 130, 9), 999, 1000, 1001]:
+        rows += [(f"n{n}", rng.gauss(0, 1)) for _ in range(n)]
+    # Neighbouring doubles, all orders of magnitude, subnormal and signed zeros.
+    rows += [("close", float(np.nextafter(1.0, 2.0)) if i % 3 else 1.0) for i in range(99)]
+    rows += [("steps", 1.0 + i * 2.0**-52) for i in range(500)]
+    rows += [("spread", rng.choice([-1, 1]) * 10.0 ** rng.uniform(-320, 300)) for _ in range(400)]
+    rows += [("zeros", z) for z in (0.0, -0.0, 5e-324, -5e-324, 0.0)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(7)
-    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 1.0]
-    got = {r.g: r for r in exact_quantiles(df, ["g"], "v", probs, limit).collect()}
+    probs = [0.0, 0.01, 0.02, 0.1, 0.25, 0.5, 0.75, 0.9, 0.98, 1.0]
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "v", probs).collect()}
     table = pd.DataFrame(rows, columns=["g", "v"]).dropna()
     assert set(got) == set(table.g)
     for g, values in table.groupby("g").v:
-        assert got[g].n == len(values)
-        assert np.allclose(got[g].quantiles, np.quantile(values, probs), rtol=0, atol=1e-9)
+        r = got[g]
+        assert (r.n, r["min"], r["max"]) == (len(values), values.min(), values.max())
+        assert np.allclose(r.quantiles, np.quantile(values, probs), rtol=1e-12, atol=1e-310 if g == "spread" else 1e-12)
+        assert np.isclose(r["mean"], values.mean(), rtol=1e-9, atol=1e-9)
+        if g != "spread" and len(values) > 1:
+            assert np.isclose(r["std"], values.std(), rtol=1e-9, atol=1e-15)
 
 
-@pytest.mark.parametrize("accuracy", [20, 50, 1000])
-def test_enclosures_hold_for_any_sketch_and_group_size(spark, accuracy):
-    rng = random.Random(accuracy)
-    rows = _groups(2, 5_000)
-    for n in [*range(1, 130, 3), 999, 1000, 1001, 1500, 3000]:
-        rows += [(f"n{n}", rng.gauss(0, 1)) for _ in range(n)]
-    df = spark.createDataFrame(rows, "g string, v double").dropna().repartition(6)
-    probs = [0.02, 0.1, 0.25, 0.5, 0.75, 0.9, 0.98]
-    got = quantiles_of_large_groups(df, ["g"], "v", probs, accuracy=accuracy).collect()
-    table = pd.DataFrame(rows, columns=["g", "v"]).dropna()
-    assert len(got) == table.g.nunique()
-    for r in got:
-        want = np.quantile(table[table.g == r.g].v, probs)
-        assert np.allclose(r.quantiles, want, rtol=0, atol=1e-9)
+def test_quantiles_of_infinities_and_nothing(spark):
+    inf = float("inf")
+    rows = [("a", inf), ("a", -inf), ("a", 1.0), ("b", float("nan")), ("b", 2.0), (None, 1.0), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.quantiles for r in exact_quantiles(df, ["g"], "v", [0.5]).collect()}
+    assert got["a"] == [1.0] and np.isnan(got["b"][0]) and set(got) == {"a", "b"}
+    assert exact_quantiles(df.limit(0), ["g"], "v", [0.5]).count() == 0
 
 
-def test_region_statistics_agree_for_small_and_large_groups(spark):
+def test_region_statistics_of_groups_of_all_sizes(spark):
     df = spark.createDataFrame(_groups(3, 3_000), "g string, value double").repartition(5)
-    small = region_statistics(df, ["g"], voxel_volume=1.5).toPandas().set_index("g").sort_index()
-    large = region_statistics(df, ["g"], voxel_volume=1.5, limit=0).toPandas()
-    pd.testing.assert_frame_equal(small, large.set_index("g").sort_index(), rtol=1e-9)
-    x = np.array([v for g, v in _groups(3, 3_000) if g == "hot"])
-    mad = np.median(np.abs(x - np.median(x)))
-    robust = x[np.abs(x - np.median(x)) <= 3 * 1.4826 * mad]
-    q1, q3 = np.quantile(x, [0.25, 0.75])
-    inside = x[(x >= q1 - 1.5 * (q3 - q1)) & (x <= q3 + 1.5 * (q3 - q1))]
-    hot = small.loc["hot"]
-    assert np.isclose(hot.mad_median, mad) and np.isclose(hot.robust_std, robust.std(ddof=1))
-    assert np.isclose(hot.iqr_filtered_mean, inside.mean()) and hot.voxel_count == len(x)
-    assert hot.volume_mm3 == 1.5 * len(x)
-    assert np.isclose(small.loc["constant"].robust_mean, 3.0) and small.loc["one"].mad_median == 0
+    found = region_statistics(df, ["g"], voxel_volume=1.5).toPandas().set_index("g")
+    rows = pd.DataFrame(_groups(3, 3_000), columns=["g", "v"]).dropna()
+    for g, x in rows.groupby("g").v:
+        x, hot = x.to_numpy(), found.loc[g]
+        mad = np.median(np.abs(x - np.median(x)))
+        robust = x[np.abs(x - np.median(x)) <= 3 * 1.4826 * mad] if mad else x
+        q1, q3 = np.quantile(x, [0.25, 0.75])
+        inside = x[(x >= q1 - 1.5 * (q3 - q1)) & (x <= q3 + 1.5 * (q3 - q1))]
+        assert np.isclose(hot.mad_median, mad) and np.isclose(hot.robust_mean, robust.mean())
+        assert np.isclose(hot.iqr_filtered_mean, inside.mean()) and hot.voxel_count == len(x)
+        assert hot.volume_mm3 == 1.5 * len(x)
+        if len(robust) > 1:
+            assert np.isclose(hot.robust_std, robust.std(ddof=1))
+    assert np.isclose(found.loc["constant"].robust_mean, 3.0) and found.loc["one"].mad_median == 0
 
 
 def test_strip_score_matches_fft(spark):
