@@ -35,20 +35,34 @@ class Catalog:
     def __init__(self, spark, root: str):
         self.spark = spark
         self.path = f"{root}/catalog"
+        self._seen, self._rows = [], []
 
     def entries(self, kind=None) -> DataFrame:
         rows = read_or_empty(self.spark, self.path, CATALOG_SCHEMA, "json")
         current = keep_last(rows, ["kind", "name"], ["version"])
         return current if kind is None else current.where(F.col("kind") == kind)
 
+    def _listing(self) -> list:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/*.json")
+        found = at.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(at)
+        return sorted(s.getPath().getName() for s in found or [])
+
+    def _current(self) -> list:
+        """The current entries, read again only when files have been added."""
+        listing = self._listing()
+        if listing != self._seen:
+            self._rows, self._seen = self.entries().collect() if listing else [], listing
+        return self._rows
+
     def find(self, kind: str, name: str):
-        return self.entries(kind).where(F.col("name") == name).first()
+        hits = [r for r in self._current() if r.kind == kind and r["name"] == name]
+        return hits[0] if hits else None
 
     def names(self, kind: str, modality=None) -> list:
-        rows = self.entries(kind)
-        if modality is not None:
-            rows = rows.where(F.col("modality") == modality)
-        return [r.name_ for r in rows.select(F.col("name").alias("name_")).orderBy("name").collect()]
+        return sorted(
+            r["name"] for r in self._current()
+            if r.kind == kind and modality in (None, r.modality)
+        )
 
     def register(self, entries: DataFrame) -> None:
         """Append entries; columns that are not given are null."""

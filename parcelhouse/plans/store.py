@@ -1,7 +1,8 @@
 """The stored tables.
 
 ``long/source=S/batch_id=N``   staged batches; the newest batch of a key counts
-``base/S/version=V``           published rows, one per key
+``base/S/data/version=V``      published rows, one per key, in buckets of subjects
+``base/S/manifest/version=V``  which version holds each bucket
 ``ledger/batch_id=N``          which session has been loaded from which source
 ``deferred/batch_id=N``        files of sessions that were not registered when they were seen
 ``deferred_done/batch_id=N``   those of them that have been loaded since
@@ -10,6 +11,9 @@
 ``wide/S/version=V``           wide features, partitioned by statistic (and model, param)
 ``catalog``                    what exists, and which version is current
 
+Publishing is copy on write: only buckets that staged rows fall into are merged and written
+again, the manifest of the new version names the old files of all others.
+
 Writes go data, ledger, catalog, in this order: a crash leaves unreferenced data at most.
 One writer at a time is assumed, as plain files offer no transactions.
 """
@@ -42,7 +46,13 @@ from parcelhouse.operators.sessions import (
     session_covariates,
     with_loaded_flags,
 )
-from parcelhouse.plans.catalog import Catalog, describe_features, describe_long, read_or_empty
+from parcelhouse.plans.catalog import (
+    CATALOG_SCHEMA,
+    Catalog,
+    describe_features,
+    describe_long,
+    read_or_empty,
+)
 from parcelhouse.plans.scratch import materialize
 
 # "none" writes uncompressed files; brotli needs a codec Spark does not ship.
@@ -53,6 +63,12 @@ TOTALS_SCHEMA = schema(
 DEFERRED_SCHEMA = schema(kind="string", file_path="string", text="string", batch_id="bigint")
 DONE_SCHEMA = schema(kind="string", file_path="string", batch_id="bigint")
 EPOCH_SCHEMA = schema(checkpoint="string", epoch="bigint", batch_id="bigint")
+MANIFEST_SCHEMA = schema(
+    bucket="bigint", n_buckets="bigint", version="bigint", n_rows="bigint",
+    n_sessions="bigint", n_subjects="bigint", statistics="array<string>",
+)
+#: Buckets at least, and rows of one before their number is doubled.
+LEAST_BUCKETS, BUCKET_ROWS = 16, 5_000_000
 _TISSUE_FILE = r"_tissue-[^/]+_parc\.tsv$"
 _KEYS = list(SESSION_KEYS)
 
@@ -92,8 +108,9 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 class FeatureStore:
-    def __init__(self, spark, root: str, compression: str = "snappy"):
+    def __init__(self, spark, root: str, compression: str = "snappy", bucket_rows=BUCKET_ROWS):
         self.spark = spark
+        self.bucket_rows = bucket_rows
         self.root = root.rstrip("/")
         self.compression = check_codec(compression)
         self.catalog = Catalog(spark, self.root)
@@ -149,11 +166,25 @@ class FeatureStore:
     def save_diffusion_long(self, df: DataFrame, workflow: str) -> int:
         return self.save_long(df.withColumn("workflow", F.lit(workflow)), f"diffusion_{workflow}")
 
+    def manifest(self, source: str) -> list:
+        """One row for each published bucket: planning data, like a listing of files."""
+        entry = self.catalog.find("base", source)
+        if entry is None:
+            return []
+        return read_or_empty(self.spark, entry.path, MANIFEST_SCHEMA, "json").collect()
+
+    def _read_buckets(self, source: str, rows) -> DataFrame:
+        data = f"{self.root}/base/{source}/data"
+        paths = [f"{data}/version={r.version}/bucket={r.bucket}" for r in rows]
+        if not paths:
+            return self.spark.createDataFrame([], LONG_SCHEMA)
+        return self.spark.read.schema(LONG_SCHEMA).parquet(*paths)
+
     def published(self, source: str):
         entry = self.catalog.find("base", source)
         if entry is None:
             return None, -1
-        return self.spark.read.schema(LONG_SCHEMA).parquet(entry.path), entry.batch_hi
+        return self._read_buckets(source, self.manifest(source)), entry.batch_hi
 
     def _first_files(self, staged: DataFrame, base) -> DataFrame:
         """The first tissue file of each session with staged rows, over staged and published ones."""
@@ -168,19 +199,22 @@ class FeatureStore:
         return touched.groupBy(*_KEYS).agg(F.min("source_path").alias("_first"))
 
     def current(self, source: str) -> DataFrame:
-        """One row per key, the newest: published rows not delivered again, plus staged ones.
+        """One row per key, the newest: published rows not delivered again, plus staged ones."""
+        base, upto = self.published(source)
+        return self._merged(source, base, self._staged_of(source, upto))
 
-        Only the staged rows are deduplicated. Published rows are unique already; they are
+    def _staged_of(self, source: str, upto: int) -> DataFrame:
+        return self.staged().where((F.col("source") == source) & (F.col("batch_id") > upto))
+
+    def _merged(self, source: str, base, staged: DataFrame) -> DataFrame:
+        """Only the staged rows are deduplicated. Published rows are unique already; they are
         filtered by the staged keys, which costs no shuffle while those fit a broadcast. Of
         several files for one session and tissue the first by path counts, whenever they came.
         """
-        base, upto = self.published(source)
-        staged = self.staged().where((F.col("source") == source) & (F.col("batch_id") > upto))
-        if source.startswith("anatomical"):
+        from_files = F.col("source_path").rlike(_TISSUE_FILE)
+        if source.startswith("anatomical") and not staged.where(from_files).isEmpty():
             first = self._first_files(staged, base)
-            late = F.col("source_path").rlike(_TISSUE_FILE) & (
-                F.col("source_path") > F.col("_first")
-            )
+            late = from_files & (F.col("source_path") > F.col("_first"))
             counts = ~F.coalesce(late, F.lit(False))
             staged = staged.join(first, _KEYS, "left").where(counts).select(staged.columns)
             if base is not None:
@@ -207,31 +241,71 @@ class FeatureStore:
         )
 
     def publish(self, sources=None, keep_staged: bool = False) -> list:
-        """Merge staged rows into a new published version of each source."""
+        """Merge staged rows into the published ones, as a new version of each source."""
         batch_hi = self.staged().agg(F.max("batch_id")).first()[0]
         if batch_hi is None:
             return []
         done = []
         for source in sources or self.staged_sources():
-            path = f"{self.root}/base/{source}/version={time.time_ns()}"
-            # Rows of a session lie together, so that later pivots read clustered data.
-            rows = self.current(source).repartition(*_KEYS).sortWithinPartitions(*_KEYS)
-            self._write(rows, path)
-            stored = self.spark.read.schema(LONG_SCHEMA).parquet(path)
-            facts = describe_long(stored, self._statistics(source)).withColumns(
-                {
-                    "kind": F.lit("base"), "name": F.lit(source), "path": F.lit(path),
-                    "modality": F.lit(source.partition("_")[0]),
-                    "batch_hi": F.lit(batch_hi).cast("bigint"),
-                    "columns": F.array(*[F.lit(c) for c in LONG_SCHEMA.names]),
-                }
-            )
-            self.catalog.register(facts)
+            self._publish_source(source, batch_hi)
             done.append(source)
         if not keep_staged:
             self.drop_staged(done, batch_hi)
         return done
 
+    def _publish_source(self, source: str, batch_hi: int) -> None:
+        entry, held = self.catalog.find("base", source), self.manifest(source)
+        staged = self._staged_of(source, -1 if entry is None else entry.batch_hi)
+        staged = staged.where(F.col("batch_id") <= batch_hi)
+
+        def bucket_of(n):
+            # By subject, so that counts of sessions and subjects add up over buckets.
+            return F.pmod(F.xxhash64("subject_code"), F.lit(n))
+
+        before = held[0].n_buckets if held else LEAST_BUCKETS
+        found = staged.groupBy(bucket_of(before).alias("bucket")).count().collect()
+        total = sum(r.n_rows for r in held) + sum(r["count"] for r in found)
+        buckets = before
+        while buckets * self.bucket_rows < total:
+            buckets *= 2
+        # More buckets mean that all rows are dealt anew; the doubling makes that rare.
+        touched = {r.bucket for r in (held if buckets > before else found)}
+        kept = [] if buckets > before else [r for r in held if r.bucket not in touched]
+        stale = [r for r in held if r.bucket in touched]
+        base = self._read_buckets(source, stale) if stale else None
+        version = time.time_ns()
+        path = f"{self.root}/base/{source}/data/version={version}"
+        rows = self._merged(source, base, staged).withColumn("bucket", bucket_of(buckets))
+        # Rebalancing splits a bucket with a hot subject over several files.
+        rows = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", *_KEYS)
+        self._write(rows, path, partitions=["bucket"])
+        columns = T.StructType([*LONG_SCHEMA.fields, T.StructField("bucket", T.LongType())])
+        stored = self.spark.read.schema(columns).parquet(path)
+        facts = describe_long(stored, self._statistics(source), ("bucket",)).withColumns(
+            {"n_buckets": F.lit(buckets), "version": F.lit(version)}
+        )
+        made = facts.select(*MANIFEST_SCHEMA.names).collect()
+        listed = self.spark.createDataFrame([*kept, *made], MANIFEST_SCHEMA)
+        manifest = f"{self.root}/base/{source}/manifest/version={version}"
+        listed.coalesce(1).write.json(manifest)
+        with_values = {s for r in [*kept, *made] for s in r.statistics or ()}
+        totals = {
+            c: sum(r[c] for r in [*kept, *made]) for c in ("n_rows", "n_sessions", "n_subjects")
+        }
+        self.catalog.register(
+            self.spark.createDataFrame(
+                [
+                    {
+                        "kind": "base", "name": source, "path": manifest,
+                        "modality": source.partition("_")[0], "batch_hi": batch_hi,
+                        "columns": LONG_SCHEMA.names, **totals,
+                        "statistics": [s for s in self._statistics(source) if s in with_values],
+                    }
+                ],
+                CATALOG_SCHEMA,
+            )
+        )
+
     def drop_staged(self, sources=None, upto=None) -> None:
         """Remove staged batches (of some sources, up to a batch); the ledger stays."""
         batches = self.staged().select("source", "batch_id").distinct()
@@ -299,24 +373,38 @@ class FeatureStore:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def _folders(self, pattern: str) -> list:
+        """Paths of the folders below the root that match: names only, no data."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
+        found = at.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(at)
+        return sorted(s.getPath().toString() for s in found or [])
+
     def retain(self, versions: int = 2) -> list:
-        """Remove all but the newest versions of every published table; returns their paths."""
+        """Remove what only older versions than the newest ones use; returns the paths.
+
+        Of published rows these are bucket files that no kept manifest names.
+        """
         gone = []
-        jvm = self.spark._jvm
-        conf = self.spark._jsc.hadoopConfiguration()
-        for pattern in ("base/*", "wide/*", "registry"):
-            at = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
-            files = at.getFileSystem(conf)
-            # Directory names only: one per table and version.
-            for table in files.globStatus(at) or []:
-                held = files.globStatus(jvm.org.apache.hadoop.fs.Path(table.getPath(), "version=*"))
-                names = sorted(
-                    (s.getPath().toString() for s in held or []),
-                    key=lambda n: int(n.rpartition("=")[2]),
-                )
-                for name in names[: max(0, len(names) - versions)]:
-                    self._delete(name)
-                    gone.append(name)
+
+        def by_version(paths):
+            return sorted(paths, key=lambda n: int(n.rpartition("=")[2]))
+
+        for table in [*self._folders("wide/*"), *self._folders("registry")]:
+            held = by_version(self._folders(f"{table.partition(self.root)[2].strip('/')}/version=*"))
+            gone += held[: max(0, len(held) - versions)]
+        for manifests in self._folders("base/*/manifest"):
+            table = manifests.partition(self.root)[2].strip("/").removesuffix("/manifest")
+            held = by_version(self._folders(f"{table}/manifest/version=*"))
+            kept = held[max(0, len(held) - versions) :]
+            rows = self.spark.read.schema(MANIFEST_SCHEMA).json(kept).select("version", "bucket")
+            named = {(r.version, r.bucket) for r in rows.distinct().collect()}
+            gone += held[: max(0, len(held) - versions)]
+            for path in self._folders(f"{table}/data/version=*/bucket=*"):
+                version, bucket = (int(x.partition("=")[2]) for x in path.split("/")[-2:])
+                if (version, bucket) not in named:
+                    gone.append(path)
+        for path in gone:
+            self._delete(path)
         return gone
 
     # -- totals and registry ---------------------------------------------------------
