@@ -4,7 +4,10 @@ Entries are schema-sized (one per dataset), so reading them on the driver is pla
 data work.
 """
 
+import json
 import time
+import uuid
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
@@ -31,6 +34,24 @@ def read_or_empty(spark, path, columns, fmt="parquet") -> DataFrame:
         return spark.createDataFrame([], columns)
 
 
+def write_lines(spark, folder: str, rows) -> None:
+    """Add one file of JSON lines. Planning data is small: it needs no job."""
+    jvm = spark._jvm
+    name = f"part-{uuid.uuid4().hex}.json"
+    final = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    hidden = jvm.org.apache.hadoop.fs.Path(f"{folder}/_{name}")
+    files = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    lines = [json.dumps({c: v for c, v in r.items() if v is not None}) for r in rows]
+    out = files.create(hidden, False)
+    try:
+        out.write("".join(f"{line}\n" for line in lines).encode())
+    finally:
+        out.close()
+    # Readers see the whole file or none.
+    if not files.rename(hidden, final):
+        raise OSError(f"cannot write {folder}/{name}")
+
+
 class Catalog:
     def __init__(self, spark, root: str):
         self.spark = spark
@@ -54,29 +75,27 @@ class Catalog:
             self._rows, self._seen = self.entries().collect() if listing else [], listing
         return self._rows
 
+    def all(self, kind=None) -> list:
+        return [r for r in self._current() if kind in (None, r.kind)]
+
     def find(self, kind: str, name: str):
-        hits = [r for r in self._current() if r.kind == kind and r["name"] == name]
+        hits = [r for r in self.all(kind) if r["name"] == name]
         return hits[0] if hits else None
 
     def names(self, kind: str, modality=None) -> list:
         return sorted(
-            r["name"] for r in self._current()
-            if r.kind == kind and modality in (None, r.modality)
+            r["name"] for r in self.all(kind) if modality in (None, r.modality)
         )
 
     def register(self, entries: DataFrame) -> None:
-        """Append entries; columns that are not given are null."""
-        given = entries.withColumns(
-            {"version": F.lit(time.time_ns()), "created_at": F.current_timestamp()}
-        )
-        rows = given.select(
-            *[
-                (F.col(f.name) if f.name in given.columns else F.lit(None))
-                .cast(f.dataType).alias(f.name)
-                for f in CATALOG_SCHEMA.fields
-            ]
-        )
-        rows.coalesce(1).write.mode("append").json(self.path)
+        """Append the rows of a table of entries; columns that are not given are null."""
+        self.add(*(r.asDict() for r in entries.collect()))
+
+    def add(self, *entries: dict) -> None:
+        now = {"version": time.time_ns(), "created_at": datetime.now(timezone.utc).isoformat()}
+        names = set(CATALOG_SCHEMA.names)
+        rows = [{**{c: v for c, v in e.items() if c in names}, **now} for e in entries]
+        write_lines(self.spark, self.path, rows)
 
     def export_manifest(self, path: str) -> None:
         """All current entries as one JSON file."""

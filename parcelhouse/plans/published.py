@@ -78,6 +78,24 @@ class PublishedDataset:
         )
         return path
 
+    def retain(self, versions: int = 1) -> list:
+        """Remove all but the newest versions of every dataset; returns their paths."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        at = jvm.org.apache.hadoop.fs.Path(f"{self.root}/features/*/*/*.parquet/version=*")
+        files = at.getFileSystem(conf)
+        tables = {}
+        # Folder names only: one for each dataset and version.
+        for status in files.globStatus(at) or []:
+            path = status.getPath().toString()
+            tables.setdefault(path.rpartition("/")[0], []).append(path)
+        gone = []
+        for paths in tables.values():
+            paths.sort(key=lambda p: int(p.rpartition("=")[2]))
+            gone += paths[: max(0, len(paths) - max(1, versions))]
+        for path in gone:
+            files.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+        return gone
+
     def write_metadata(self, data: DataFrame) -> None:
         data.write.mode("overwrite").parquet(f"{self.root}/features/metadata.parquet")
 

@@ -6,6 +6,7 @@ knows: a join with it is broadcast only when its files are below
 """
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/parcelhouse/{name}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession, older_than_hours: float = 24.0) -> int:
+    """Delete intermediate tables that have not been written to for so long; returns how many.
+
+    Frames that still read one of them fail afterwards, so the limit should exceed the longest job.
+    """
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/parcelhouse/*")
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    limit = (time.time() - older_than_hours * 3600) * 1000
+    old = [s for s in files.globStatus(at) or [] if s.getModificationTime() < limit]
+    for status in old:
+        files.delete(status.getPath(), True)
+    return len(old)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back."""
     spark = df.sparkSession

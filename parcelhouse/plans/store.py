@@ -8,7 +8,8 @@
 ``deferred_done/batch_id=N``   those of them that have been loaded since
 ``epochs``                     which batch a micro-batch was written as
 ``totals``, ``registry``       session scalars and covariates
-``wide/S/version=V``           wide features, partitioned by statistic (and model, param)
+``wide/S/data/version=V``      wide features by bucket and statistic (and model, param)
+``wide/S/manifest/version=V``  which version holds each bucket, and the base it was made from
 ``catalog``                    what exists, and which version is current
 
 Publishing is copy on write: only buckets that staged rows fall into are merged and written
@@ -47,11 +48,11 @@ from parcelhouse.operators.sessions import (
     with_loaded_flags,
 )
 from parcelhouse.plans.catalog import (
-    CATALOG_SCHEMA,
     Catalog,
     describe_features,
     describe_long,
     read_or_empty,
+    write_lines,
 )
 from parcelhouse.plans.scratch import materialize
 
@@ -67,8 +68,13 @@ MANIFEST_SCHEMA = schema(
     bucket="bigint", n_buckets="bigint", version="bigint", n_rows="bigint",
     n_sessions="bigint", n_subjects="bigint", statistics="array<string>",
 )
-#: Buckets at least, and rows of one before their number is doubled.
-LEAST_BUCKETS, BUCKET_ROWS = 16, 5_000_000
+WIDE_SCHEMA = schema(
+    bucket="bigint", n_buckets="bigint", base_version="bigint", version="bigint",
+    statistic="string", model="string", param="string", regions="array<string>",
+    n_sessions="bigint",
+)
+#: Rows of a bucket on average before the number of buckets is doubled.
+BUCKET_ROWS = 5_000_000
 _TISSUE_FILE = r"_tissue-[^/]+_parc\.tsv$"
 _KEYS = list(SESSION_KEYS)
 
@@ -107,6 +113,11 @@ def conform(df: DataFrame) -> DataFrame:
     )
 
 
+def bucket_of(n: int):
+    """By subject, so that counts of sessions and subjects add up over buckets."""
+    return F.pmod(F.xxhash64("subject_code"), F.lit(n))
+
+
 class FeatureStore:
     def __init__(self, spark, root: str, compression: str = "snappy", bucket_rows=BUCKET_ROWS):
         self.spark = spark
@@ -258,11 +269,7 @@ class FeatureStore:
         staged = self._staged_of(source, -1 if entry is None else entry.batch_hi)
         staged = staged.where(F.col("batch_id") <= batch_hi)
 
-        def bucket_of(n):
-            # By subject, so that counts of sessions and subjects add up over buckets.
-            return F.pmod(F.xxhash64("subject_code"), F.lit(n))
-
-        before = held[0].n_buckets if held else LEAST_BUCKETS
+        before = held[0].n_buckets if held else 1
         found = staged.groupBy(bucket_of(before).alias("bucket")).count().collect()
         total = sum(r.n_rows for r in held) + sum(r["count"] for r in found)
         buckets = before
@@ -285,25 +292,18 @@ class FeatureStore:
             {"n_buckets": F.lit(buckets), "version": F.lit(version)}
         )
         made = facts.select(*MANIFEST_SCHEMA.names).collect()
-        listed = self.spark.createDataFrame([*kept, *made], MANIFEST_SCHEMA)
         manifest = f"{self.root}/base/{source}/manifest/version={version}"
-        listed.coalesce(1).write.json(manifest)
+        write_lines(self.spark, manifest, [r.asDict() for r in (*kept, *made)])
         with_values = {s for r in [*kept, *made] for s in r.statistics or ()}
         totals = {
             c: sum(r[c] for r in [*kept, *made]) for c in ("n_rows", "n_sessions", "n_subjects")
         }
-        self.catalog.register(
-            self.spark.createDataFrame(
-                [
-                    {
-                        "kind": "base", "name": source, "path": manifest,
-                        "modality": source.partition("_")[0], "batch_hi": batch_hi,
-                        "columns": LONG_SCHEMA.names, **totals,
-                        "statistics": [s for s in self._statistics(source) if s in with_values],
-                    }
-                ],
-                CATALOG_SCHEMA,
-            )
+        self.catalog.add(
+            {
+                "kind": "base", "name": source, "path": manifest, "batch_hi": batch_hi,
+                "modality": source.partition("_")[0], "columns": LONG_SCHEMA.names, **totals,
+                "statistics": [s for s in self._statistics(source) if s in with_values],
+            }
         )
 
     def drop_staged(self, sources=None, upto=None) -> None:
@@ -347,26 +347,23 @@ class FeatureStore:
     def batch_of(self, checkpoint: str, epoch: int) -> int:
         """The batch number of a micro-batch: the same again if it is repeated."""
         path = f"{self.root}/epochs"
-        known = read_or_empty(self.spark, path, EPOCH_SCHEMA, "json").where(
-            (F.col("checkpoint") == checkpoint) & (F.col("epoch") == epoch)
-        ).first()
+        rows = read_or_empty(self.spark, path, EPOCH_SCHEMA, "json").where(
+            (F.col("checkpoint") == checkpoint) & F.col("epoch").isin(epoch, -1)
+        ).collect()
+        forgotten = max((r.batch_id for r in rows if r.epoch == -1), default=-1)
+        known = [r.batch_id for r in rows if r.epoch == epoch and r.batch_id > forgotten]
         if known:
-            return known.batch_id
+            return known[0]
         batch_id = self.new_batch()
-        row = self.spark.createDataFrame([(checkpoint, epoch, batch_id)], EPOCH_SCHEMA)
-        row.coalesce(1).write.mode("append").json(path)
+        row = {"checkpoint": checkpoint, "epoch": epoch, "batch_id": batch_id}
+        write_lines(self.spark, path, [row])
         return batch_id
 
     def forget(self, checkpoint: str) -> None:
-        """Drop a stream's checkpoint and batch numbers, so that it loads everything anew."""
-        known = read_or_empty(self.spark, f"{self.root}/epochs", EPOCH_SCHEMA, "json")
-        if not known.where(F.col("checkpoint") == checkpoint).isEmpty():
-            # Numbers of the old checkpoint stay out of the way under another name.
-            rows = known.withColumn(
-                "checkpoint", F.when(F.col("checkpoint") != checkpoint, F.col("checkpoint"))
-            ).where("checkpoint IS NOT NULL").collect()
-            self.spark.createDataFrame(rows, EPOCH_SCHEMA).coalesce(1).write.mode(
-                "overwrite").json(f"{self.root}/epochs")
+        """Drop a stream's checkpoint, so that it loads everything anew; a tombstone row says
+        that its batch numbers up to now don't count any more."""
+        tombstone = {"checkpoint": checkpoint, "epoch": -1, "batch_id": self.new_batch()}
+        write_lines(self.spark, f"{self.root}/epochs", [tombstone])
         self._delete(checkpoint)
 
     def _delete(self, location: str) -> None:
@@ -380,29 +377,40 @@ class FeatureStore:
         return sorted(s.getPath().toString() for s in found or [])
 
     def retain(self, versions: int = 2) -> list:
-        """Remove what only older versions than the newest ones use; returns the paths.
+        """Remove what neither the newest versions nor the catalog use; returns the paths.
 
-        Of published rows these are bucket files that no kept manifest names.
+        Of bucketed tables these are manifests and the bucket files that no kept one names; of kept
+        files of unregistered sessions, batches that have all been loaded since.
         """
+        in_use = {r.path.rstrip("/").rpartition("/")[2] for r in self.catalog.all() if r.path}
         gone = []
 
-        def by_version(paths):
-            return sorted(paths, key=lambda n: int(n.rpartition("=")[2]))
-
-        for table in [*self._folders("wide/*"), *self._folders("registry")]:
-            held = by_version(self._folders(f"{table.partition(self.root)[2].strip('/')}/version=*"))
-            gone += held[: max(0, len(held) - versions)]
-        for manifests in self._folders("base/*/manifest"):
-            table = manifests.partition(self.root)[2].strip("/").removesuffix("/manifest")
-            held = by_version(self._folders(f"{table}/manifest/version=*"))
+        def old(pattern):
+            held = sorted(self._folders(pattern), key=lambda n: int(n.rpartition("=")[2]))
             kept = held[max(0, len(held) - versions) :]
-            rows = self.spark.read.schema(MANIFEST_SCHEMA).json(kept).select("version", "bucket")
-            named = {(r.version, r.bucket) for r in rows.distinct().collect()}
-            gone += held[: max(0, len(held) - versions)]
-            for path in self._folders(f"{table}/data/version=*/bucket=*"):
-                version, bucket = (int(x.partition("=")[2]) for x in path.split("/")[-2:])
-                if (version, bucket) not in named:
-                    gone.append(path)
+            kept += [p for p in held if p not in kept and p.rpartition("/")[2] in in_use]
+            return kept, [p for p in held if p not in kept]
+
+        gone += old("registry/version=*")[1]
+        for kind, read in (("base", self.spark.read.json), ("wide", self.spark.read.parquet)):
+            for folder in self._folders(f"{kind}/*/manifest"):
+                table = f"{kind}/{folder.split('/')[-2]}"
+                kept, unused = old(f"{table}/manifest/version=*")
+                named = set()
+                for path in kept:
+                    named |= {tuple(r) for r in read(path).select("version", "bucket").distinct().collect()}
+                gone += unused
+                for path in self._folders(f"{table}/data/version=*/bucket=*"):
+                    version, bucket = (int(x.partition("=")[2]) for x in path.split("/")[-2:])
+                    if (version, bucket) not in named:
+                        gone.append(path)
+        kept = read_or_empty(self.spark, f"{self.root}/deferred", DEFERRED_SCHEMA)
+        done = read_or_empty(self.spark, f"{self.root}/deferred_done", DONE_SCHEMA)
+        waiting = kept.join(done, ["kind", "file_path"], "left_anti").select("batch_id").distinct()
+        waiting = {r.batch_id for r in waiting.collect()}
+        gone += [
+            p for p in self._folders("deferred/batch_id=*") if int(p.rpartition("=")[2]) not in waiting
+        ]
         for path in gone:
             self._delete(path)
         return gone
@@ -472,8 +480,9 @@ class FeatureStore:
         return ANATOMICAL_STATISTICS if source.startswith("anatomical") else DIFFUSION_STATISTICS
 
     def generate_wide_features(self, metrics=None, modalities=None) -> list:
-        """Publish the wide features of all published sources; one job per source.
+        """Bring the wide features of all published sources up to date.
 
+        Only buckets published since a source's features were made are pivoted again.
         ``modalities`` names sources exactly (``gm``, ``anatomical_gm``, ``diffusion`` ...).
         """
         made = []
@@ -489,7 +498,76 @@ class FeatureStore:
         wanted = [s for s in self._statistics(source) if not metrics or s in metrics]
         if not wanted:
             return []
-        rows, _ = self.published(source)
+        held = {r.bucket: r for r in self.manifest(source)}
+        entry, old, fresh = self.catalog.find("wide_source", source), None, set()
+        if entry is not None and list(entry.statistics) == wanted:
+            old = self.spark.read.schema(WIDE_SCHEMA).parquet(entry.path)
+            made_from = old.select("bucket", "n_buckets", "base_version").distinct().collect()
+            fresh = {
+                r.bucket for r in made_from if r.bucket in held
+                and (r.n_buckets, r.base_version) == (held[r.bucket].n_buckets, held[r.bucket].version)
+            }
+        stale = [r for b, r in held.items() if b not in fresh]
+        if not stale:
+            return self._names_of(source, wanted)
+        cells = self._wide_cells(source, stale, by, wanted)
+        regions = region_list(cells, "label")
+        if not regions and not fresh:
+            return []
+        version = time.time_ns()
+        index = [*_KEYS, "bucket", *by]
+        wide = cells.repartition(*index).groupBy(*index).pivot("label", regions or [""]).agg(
+            F.first("value", ignorenulls=True)
+        )
+        self._write(
+            wide.hint("rebalance", "bucket", *by), f"{self.root}/wide/{source}/data/version={version}",
+            partitions=["bucket", *by],
+        )
+        sources = self.spark.createDataFrame(
+            [(r.bucket, r.n_buckets, r.version) for r in stale],
+            "bucket bigint, n_buckets bigint, base_version bigint",
+        )
+        facts = describe_features(cells, ["bucket", *by]).join(sources, "bucket").withColumn(
+            "version", F.lit(version)
+        )
+        listed = facts.select(
+            *[
+                (F.col(f.name) if f.name in facts.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in WIDE_SCHEMA.fields
+            ]
+        )
+        if fresh:
+            still = self.spark.createDataFrame([(b,) for b in sorted(fresh)], "bucket bigint")
+            listed = listed.unionByName(old.join(still, "bucket", "left_semi"))
+        manifest = f"{self.root}/wide/{source}/manifest/version={version}"
+        self._write(listed.hint("rebalance"), manifest)
+        listed = self.spark.read.schema(WIDE_SCHEMA).parquet(manifest)
+        parts = [F.lit(name), *[F.col(c) for c in by[1:]], F.col("statistic")]
+        entries = listed.groupBy(*by).agg(
+            F.sum("n_sessions").alias("n_sessions"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_set("regions")))).alias("regions"),
+        ).withColumns(
+            {
+                "n_regions": F.size("regions").cast("bigint"),
+                "kind": F.lit("wide"), "name": F.concat_ws("_", *parts),
+                "modality": F.lit(family), "source": F.lit(source), "path": F.lit(manifest),
+                "source_modality" if family == "anatomical" else "workflow": F.lit(name),
+            }
+        ).withColumnRenamed("statistic", "metric")
+        self.catalog.register(entries)
+        self.catalog.add(
+            {"kind": "wide_source", "name": source, "path": manifest, "statistics": wanted}
+        )
+        return self._names_of(source, wanted)
+
+    def _names_of(self, source, statistics) -> list:
+        return [
+            r["name"] for r in self.catalog.all("wide")
+            if r.source == source and r.metric in statistics
+        ]
+
+    def _wide_cells(self, source, buckets, by, wanted) -> DataFrame:
+        rows = self._read_buckets(source, buckets)
         values = F.filter(
             F.array(
                 *[
@@ -501,30 +579,12 @@ class FeatureStore:
         )
         # Null group keys are left out, as are cells without a value.
         cells = rows.select(
-            *_KEYS, "label", *by[1:], *LOAD_ORDER, F.inline(values)
+            *_KEYS, "label", *by[1:], *LOAD_ORDER,
+            bucket_of(buckets[0].n_buckets).alias("bucket"), F.inline(values),
         ).dropna(subset=[*_KEYS, "label", *by])
-        cells = materialize(
-            first_values(cells, [*_KEYS, *by, "label"], ["value"], LOAD_ORDER), "wide-cells"
+        return materialize(
+            first_values(cells, [*_KEYS, "bucket", *by, "label"], ["value"], LOAD_ORDER), "wide-cells"
         )
-        regions = region_list(cells, "label")
-        if not regions:
-            return []
-        wide = cells.repartition(*_KEYS, *by).groupBy(*_KEYS, *by).pivot("label", regions).agg(
-            F.first("value", ignorenulls=True)
-        )
-        path = f"{self.root}/wide/{source}/version={time.time_ns()}"
-        self._write(wide.hint("rebalance", *by), path, partitions=by)
-        parts = [F.lit(name), *[F.col(c) for c in by[1:]], F.col("statistic")]
-        entries = describe_features(cells, by).withColumns(
-            {
-                "kind": F.lit("wide"), "name": F.concat_ws("_", *parts),
-                "modality": F.lit(family), "source": F.lit(source), "path": F.lit(path),
-                "source_modality" if family == "anatomical" else "workflow": F.lit(name),
-            }
-        ).withColumnRenamed("statistic", "metric")
-        entries = materialize(entries, "wide-entries")
-        self.catalog.register(entries)
-        return [r[0] for r in entries.select("name").collect()]
 
     def list_features(self, modality=None) -> list:
         return self.catalog.names("wide", modality)
@@ -555,16 +615,25 @@ class FeatureStore:
         else:
             place = {"statistic": entry.metric, "model": entry.model, "param": entry.param}
             place = {c: v for c, v in place.items() if v is not None}
+            listed = self.spark.read.schema(WIDE_SCHEMA).parquet(entry.path)
+            for column, value in place.items():
+                listed = listed.where(F.col(column) == value)
+            data = f"{self.root}/wide/{entry.source}/data"
+            # One folder for each bucket: planning data.
+            folders = [
+                f"{data}/version={r.version}/bucket={r.bucket}"
+                for r in listed.select("version", "bucket").distinct().collect()
+            ]
             # A given schema keeps partition values text ("01" is no number).
             columns = T.StructType(
                 [T.StructField(c, T.StringType()) for c in (*_KEYS, *place)]
                 + [T.StructField(r, T.DoubleType()) for r in entry.regions]
             )
-            df = self.spark.read.schema(columns).parquet(entry.path)
+            df = self.spark.read.schema(columns).option("basePath", data).parquet(*folders)
             for column, value in place.items():
                 df = df.where(F.col(column) == value)
             # A session may have values for other parameters of the source only.
-            df = df.drop(*place).where(
+            df = df.select(*_KEYS, *[F.col(f"`{r}`") for r in entry.regions]).where(
                 F.coalesce(*[F.col(f"`{r}`") for r in entry.regions]).isNotNull()
             )
         return self._with_session_columns(df, include_metadata, include_tiv)

@@ -65,6 +65,34 @@ SELECT subject_code, session_id, label, arg_max(mean, seq) AS mean FROM e GROUP
 _CELLS = [*KEYS, "label", "mean"]
 
 
+_PATH = (
+    "concat_ws('/', lpad(cast(cast(round(volume_mm3 * 100) as bigint) as {s}), 12, '0'), "
+    "lpad(cast(partkey as {s}), 12, '0'), lpad(cast(suppkey as {s}), 12, '0'), "
+    "cast(cast(mean as bigint) as {s}), cast(cast(round(std * 100) as bigint) as {s}), "
+    "cast(cast(round(tax * 100) as bigint) as {s}), linestatus, cast(cast(shipdate as date) as {s}))"
+)
+
+
+def _tissue_rows(spark, sf, modality):
+    rows = long_tissue(spark, sf).where(F.col("modality") == modality)
+    return rows.withColumn("source_path", F.expr(_PATH.format(s="string"))).drop(
+        "tax", "partkey", "suppkey", "linestatus", "shipdate", "tiv"
+    )
+
+
+_TISSUE = f"SELECT *, {_PATH.format(s='varchar')} AS path FROM ({LONG_TISSUE})"
+_CURRENT = """
+SELECT subject_code, session_id, modality, label, arg_max(volume_mm3, path) AS volume_mm3,
+       arg_max(mean, path) AS mean, arg_max(std, path) AS std FROM t GROUP BY ALL
+"""
+
+
+def _wide(value, label="label", names=range(1, 8), alias="{n}"):
+    return ", ".join(
+        f"max({value}) FILTER (WHERE {label} = '{n}') AS \"{alias.format(n=n)}\"" for n in names
+    )
+
+
 @query("k02_upsert", _NEWEST)
 def upsert(spark, sf):
     """Two deliveries published, a third only staged."""
@@ -77,6 +105,50 @@ def upsert(spark, sf):
     return store.load_long(EVENTS).select(*_CELLS)
 
 
+@query(
+    "k02_incremental",
+    with_(e=LONG_EVENTS) + """
+    SELECT subject_code, session_id, label,
+           mean + CASE WHEN CAST(subject_code AS BIGINT) % 100 = 7 THEN 2 ELSE 0 END AS mean
+    FROM (SELECT subject_code, session_id, label, arg_max(mean, seq) AS mean FROM e GROUP BY ALL)
+    """,
+)
+def incremental(spark, sf):
+    """One subject in a hundred is delivered twice more; the other buckets stay as they are."""
+    store = _store(spark, bucket_rows=2_000)
+    rows = _event_rows(spark, sf).drop("part")
+    store.save_anatomical_long(rows, "ev")
+    store.publish()
+    for added in (1, 2):
+        few = rows.where(F.col("subject_code").cast("bigint") % 100 == 7)
+        store.save_anatomical_long(few.withColumn("mean", F.col("mean") + added), "ev")
+        store.publish()
+    return store.load_long(EVENTS, include_staged=False).select(*_CELLS)
+
+
+@query(
+    "k03_incremental",
+    with_(t=_TISSUE, c=_CURRENT) + f"""
+    , d AS (SELECT subject_code, session_id, label, volume_mm3
+              + CASE WHEN CAST(subject_code AS BIGINT) % 50 = 3 THEN 1000 ELSE 0 END AS volume_mm3
+            FROM c WHERE modality = 'gm')
+    SELECT subject_code, session_id, {_wide("volume_mm3")} FROM d GROUP BY ALL
+    """,
+)
+def incremental_wide(spark, sf):
+    """Wide features follow a correction of some subjects; only their buckets are pivoted again."""
+    store = _store(spark, bucket_rows=5_000)
+    rows = _tissue_rows(spark, sf, "gm")
+    store.save_anatomical_long(rows, "gm")
+    store.publish()
+    store.generate_wide_features()
+    few = rows.where(F.col("subject_code").cast("bigint") % 50 == 3)
+    store.save_anatomical_long(few.withColumn("volume_mm3", F.col("volume_mm3") + 1000), "gm")
+    store.publish()
+    store.generate_wide_features()
+    return store.load_feature("gm_volume_mm3", include_metadata=False)
+
+
 @query("k01_codec", _NEWEST)
 def codec(spark, sf):
     store = _store(spark, compression="gzip")
@@ -184,28 +256,6 @@ def force(spark, sf):
     return store.load_long(EVENTS).select(*_CELLS)
 
 
-_PATH = (
-    "concat_ws('/', lpad(cast(cast(round(volume_mm3 * 100) as bigint) as {s}), 12, '0'), "
-    "lpad(cast(partkey as {s}), 12, '0'), lpad(cast(suppkey as {s}), 12, '0'), "
-    "cast(cast(mean as bigint) as {s}), cast(cast(round(std * 100) as bigint) as {s}), "
-    "cast(cast(round(tax * 100) as bigint) as {s}), linestatus, cast(cast(shipdate as date) as {s}))"
-)
-
-
-def _tissue_rows(spark, sf, modality):
-    rows = long_tissue(spark, sf).where(F.col("modality") == modality)
-    return rows.withColumn("source_path", F.expr(_PATH.format(s="string"))).drop(
-        "tax", "partkey", "suppkey", "linestatus", "shipdate", "tiv"
-    )
-
-
-_TISSUE = f"SELECT *, {_PATH.format(s='varchar')} AS path FROM ({LONG_TISSUE})"
-_CURRENT = """
-SELECT subject_code, session_id, modality, label, arg_max(volume_mm3, path) AS volume_mm3,
-       arg_max(mean, path) AS mean, arg_max(std, path) AS std FROM t GROUP BY ALL
-"""
-
-
 def _tissue_store(spark, sf, modalities=("gm", "wm", "ct"), publish=True):
     store = _store(spark)
     for modality in modalities:
@@ -311,12 +361,6 @@ def register_wide(spark, sf):
     )
 
 
-def _wide(value, label="label", names=range(1, 8), alias="{n}"):
-    return ", ".join(
-        f"max({value}) FILTER (WHERE {label} = '{n}') AS \"{alias.format(n=n)}\"" for n in names
-    )
-
-
 @query(
     "s08_load_feature",
     with_(t=_TISSUE, c=_CURRENT, s=SESSIONS) + f"""

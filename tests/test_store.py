@@ -45,6 +45,74 @@ def test_publishing_merges_and_never_overwrites(spark, root):
     assert store.load_long("anatomical_gm").count() == 3
 
 
+def _files(root, table):
+    found = {}
+    for folder, _, names in os.walk(os.path.join(root, table)):
+        for name in names:
+            if name.endswith(".parquet"):
+                path = os.path.join(folder, name)
+                found[path] = os.path.getmtime(path)
+    return found
+
+
+def _buckets(files):
+    return {next(p for p in f.split("/") if p.startswith("bucket=")) for f in files}
+
+
+def test_a_delivery_rewrites_only_its_buckets(spark, root):
+    store = FeatureStore(spark, root, bucket_rows=40)
+    many = _rows(spark, *[(str(i), "a", r, float(i), 1) for i in range(100) for r in "xyzuvw"])
+    store.save_anatomical_long(many, "gm")
+    store.publish()
+    store.generate_wide_features()
+    base, wide = _files(root, "base"), _files(root, "wide")
+    assert len(_buckets(base)) == 16
+    store.save_anatomical_long(_rows(spark, ("5", "a", "x", -5.0, 1), ("5", "b", "new", 1.0, 2)), "gm")
+    store.publish()
+    store.generate_wide_features()
+    for table, before in (("base", base), ("wide", wide)):
+        after = _files(root, table)
+        assert all(after[f] == t for f, t in before.items())
+        added = [f for f in after if f not in before and "/data/" in f]
+        assert added and len(_buckets(added)) == 1
+    entry = store.catalog.find("base", "anatomical_gm")
+    assert (entry.n_rows, entry.n_sessions, entry.n_subjects) == (601, 101, 100)
+    got = {(r.subject_code, r.session_id): r for r in store.load_feature("gm_mean", False).collect()}
+    assert len(got) == 101 and got[("5", "a")].x == -5.0 and got[("5", "b")].new == 1.0
+    assert got[("7", "a")].new is None and got[("7", "a")].x == 7.0
+    assert store.get_feature_info("gm_mean").n_sessions == 101
+    # Nothing new, nothing written.
+    held = _files(root, "wide")
+    assert store.generate_wide_features() == ["gm_mean"] and _files(root, "wide") == held
+    # More rows than the buckets are meant for: all are dealt anew, once.
+    store.save_anatomical_long(_rows(spark, *[(f"n{i}", "a", "x", 1.0, 1) for i in range(200)]), "gm")
+    store.publish()
+    assert {r.n_buckets for r in store.manifest("anatomical_gm")} == {32}
+    assert store.load_long("anatomical_gm").count() == 801
+    store.generate_wide_features()
+    # Buckets of old versions go once no kept manifest names them.
+    gone = store.retain(1)
+    assert any("/base/" in p and "/bucket=" in p for p in gone)
+    assert any("/wide/" in p and "/bucket=" in p for p in gone)
+    assert store.load_long("anatomical_gm").count() == 801
+    assert store.load_feature("gm_mean", False).count() == 301
+    assert store.retain(1) == []
+
+
+def test_features_of_some_statistics_keep_the_others(spark, root):
+    store = FeatureStore(spark, root)
+    rows = _rows(spark, ("1", "a", "x", 1.0, 1)).withColumn("std", F.lit(0.5))
+    store.save_anatomical_long(rows, "gm")
+    store.publish()
+    assert store.generate_wide_features() == ["gm_mean", "gm_std"]
+    store.save_anatomical_long(rows.withColumn("mean", F.lit(3.0)), "gm")
+    store.publish()
+    assert store.generate_wide_features(metrics=["mean"]) == ["gm_mean"]
+    store.retain(1)
+    assert store.load_feature("gm_mean", False).first().x == 3.0
+    assert store.load_feature("gm_std", False).first().x == 0.5
+
+
 def test_diffusion_rows_of_other_parameters_survive(spark, root):
     store = FeatureStore(spark, root)
     rows = _rows(spark, ("1", "a", "x", 1.0, 1))
@@ -200,7 +268,7 @@ def test_old_versions_are_removed_on_demand(spark, root):
     for value in (1.0, 2.0, 3.0):
         store.save_anatomical_long(_rows(spark, ("1", "a", "x", value, 1)), "gm")
         store.publish()
-    assert len(store.retain(1)) == 2
+    assert len([p for p in store.retain(1) if "/data/" in p]) == 2
     assert store.load_long("anatomical_gm").first()["mean"] == 3.0
 
 
