@@ -308,12 +308,19 @@ def ledger_status(ledger: DataFrame) -> DataFrame:
     )
 
 
-def outcome_summary(sessions: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Sessions by load outcome: ``success`` with data, ``skipped`` without."""
+def outcome_summary(
+    sessions: DataFrame, loaded: DataFrame, failed: DataFrame = None
+) -> DataFrame:
+    """Sessions by load outcome: ``success`` with data; without, ``error`` if a file of theirs
+    failed, else ``skipped``."""
     keys = list(SESSION_KEYS)
-    found = loaded.select(*keys).distinct().withColumn("_found", F.lit(True))
-    return (
-        sessions.select(*keys).join(found, keys, "left")
-        .groupBy(F.when(F.col("_found"), "success").otherwise("skipped").alias("status"))
-        .agg(F.count("*").alias("n"))
-    )
+
+    def marked(df, name):
+        return df.select(*keys).distinct().withColumn(name, F.lit(True))
+
+    found = sessions.select(*keys).join(marked(loaded, "_found"), keys, "left")
+    status = F.when(F.col("_found"), "success")
+    if failed is not None:
+        found = found.join(marked(failed, "_failed"), keys, "left")
+        status = status.when(F.col("_failed"), "error")
+    return found.groupBy(status.otherwise("skipped").alias("status")).agg(F.count("*").alias("n"))

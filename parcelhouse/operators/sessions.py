@@ -73,9 +73,21 @@ def without_sessions(df: DataFrame, sessions: DataFrame) -> DataFrame:
     return df.join(sessions.select(*_KEYS), _KEYS, "left_anti")
 
 
-def missing_sessions(registry: DataFrame, loaded: DataFrame, reason="no data") -> DataFrame:
-    """Report of registered sessions without data."""
-    return without_sessions(registry.select(*_KEYS), loaded).withColumn("reason", F.lit(reason))
+def missing_sessions(
+    registry: DataFrame, loaded: DataFrame, reason="no data", failed: DataFrame = None
+) -> DataFrame:
+    """Report of registered sessions without data: the reasons of its failed files
+    (``subject_code, session_id, reason``), else ``reason``."""
+    missing = without_sessions(registry.select(*_KEYS), loaded)
+    if failed is None:
+        return missing.withColumn("reason", F.lit(reason))
+    # The vocabulary of reasons bounds the list.
+    why = failed.groupBy(*_KEYS).agg(
+        F.array_join(F.sort_array(F.collect_set("reason")), "; ").alias("_why")
+    )
+    return missing.join(why, _KEYS, "left").select(
+        *_KEYS, F.coalesce("_why", F.lit(reason)).alias("reason")
+    )
 
 
 def full_outer(frames: dict, keys=SESSION_KEYS, separator="_") -> DataFrame:

@@ -5,6 +5,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from parcelhouse.model import LOAD_SOURCES, SESSION_KEYS
+from parcelhouse.operators.profile import outcome_summary
 from parcelhouse.plans.store import FeatureStore
 from parcelhouse.sources.reports import scan_totals
 from parcelhouse.sources.tables import accepted, normalize_registry, read_delimited, rejected
@@ -26,6 +27,8 @@ class LoadSettings:
     force: bool = False
     keep_staged: bool = False
     on_batch: object = None
+    on_session: object = None
+    missing_report: str = None
 
 
 @dataclass
@@ -38,15 +41,17 @@ class LoadResult:
     summary: DataFrame = None
     n_rejected: int = 0
     rejected: DataFrame = None
+    n_files: int = 0
+    outcomes: dict = field(default_factory=dict)
+    failed: DataFrame = None
 
 
 def run_load(spark, settings: LoadSettings) -> LoadResult:
     """Load what is new, publish it and report.
 
-    New files are found by the stream checkpoints; files that came before their session was
-    registered are loaded once it is. The ledger says which registered sessions are still
-    without data. Registry rows without usable ids are counted and returned. A forced load
-    forgets its checkpoints and loads all files again.
+    The file ledger says which files are new or changed; the session ledger which registered
+    sessions are still without data. Registry rows without usable ids are counted and returned, as
+    are sessions by outcome and the files that failed. A forced load takes all files again.
     """
     store = FeatureStore(spark, settings.store_root, settings.compression)
     rows = normalize_registry(read_delimited(spark, settings.registry_path))
@@ -62,22 +67,17 @@ def run_load(spark, settings: LoadSettings) -> LoadResult:
         n_pending = store.pending(sessions, settings.sources).count()
     tissues = [s for s in settings.sources if s != "diffusion"]
 
-    def checkpoint(name):
-        base = f"{settings.store_root.rstrip('/')}/checkpoints/{name}"
-        if settings.force:
-            store.forget(base)
-        return base
-
+    hooks = {"on_batch": settings.on_batch, "on_session": settings.on_session}
+    n_files = 0
     if settings.anatomical_root and tissues:
-        load_anatomical(
-            store, settings.anatomical_root, checkpoint("anatomical-" + "-".join(sorted(tissues))),
-            settings.atlas, registry, tissues, on_batch=settings.on_batch,
+        n_files += load_anatomical(
+            store, settings.anatomical_root, settings.atlas, registry, tissues,
+            again=settings.force, **hooks,
         )
     if settings.diffusion_root and "diffusion" in settings.sources:
-        load_diffusion(
-            store, settings.diffusion_root,
-            checkpoint("-".join(["diffusion", *sorted(settings.workflows or ())])),
-            settings.atlas, registry, settings.workflows, on_batch=settings.on_batch,
+        n_files += load_diffusion(
+            store, settings.diffusion_root, settings.atlas, registry, settings.workflows,
+            again=settings.force, **hooks,
         )
     if settings.report_root:
         totals = normalized(scan_totals(spark, settings.report_root), registry)
@@ -85,7 +85,11 @@ def run_load(spark, settings: LoadSettings) -> LoadResult:
             store.save_tiv(totals)
     published = store.publish(keep_staged=settings.keep_staged)
     features = store.generate_wide_features(modalities=published) if published else []
+    failed = store.failed_files()
+    outcomes = outcome_summary(sessions, store.existing_sessions(), failed)
+    if settings.missing_report:
+        store.missing_report(sessions, settings.missing_report)
     return LoadResult(
         n_sessions, n_pending, n_sessions - n_pending, published, features, store.summary(),
-        refused.count(), refused,
+        refused.count(), refused, n_files, {r.status: r.n for r in outcomes.collect()}, failed,
     )

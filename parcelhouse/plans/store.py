@@ -4,8 +4,8 @@
 ``base/S/data/version=V``      published rows, one per key, in buckets of subjects
 ``base/S/manifest/version=V``  which version holds each bucket
 ``ledger/batch_id=N``          which session has been loaded from which source
-``deferred/batch_id=N``        files of sessions that were not registered when they were seen
-``deferred_done/batch_id=N``   those of them that have been loaded since
+``files/kind=K/batch_id=N``    which version of which file has been worked on, and its outcome
+``hook_failures/batch_id=N``   sessions whose hook failed
 ``epochs``                     which batch a micro-batch was written as
 ``totals``, ``registry``       session scalars and covariates
 ``wide/S/data/version=V``      wide features by bucket and statistic (and model, param)
@@ -43,6 +43,7 @@ from parcelhouse.operators.profile import ledger_status, session_counts, value_s
 from parcelhouse.operators.reshape import first_values, region_list
 from parcelhouse.operators.sessions import (
     attach,
+    missing_sessions,
     pending_sessions,
     session_covariates,
     with_loaded_flags,
@@ -61,8 +62,13 @@ CODECS = ("snappy", "gzip", "zstd", "lz4", "none")
 TOTALS_SCHEMA = schema(
     subject_code="string", session_id="string", tiv="double", batch_id="bigint"
 )
-DEFERRED_SCHEMA = schema(kind="string", file_path="string", text="string", batch_id="bigint")
-DONE_SCHEMA = schema(kind="string", file_path="string", batch_id="bigint")
+FILES_SCHEMA = schema(
+    subject_code="string", session_id="string", file_path="string", length="bigint",
+    modified="bigint", reason="string", kind="string", batch_id="bigint",
+)
+HOOK_SCHEMA = schema(
+    subject_code="string", session_id="string", error="string", batch_id="bigint"
+)
 EPOCH_SCHEMA = schema(checkpoint="string", epoch="bigint", batch_id="bigint")
 MANIFEST_SCHEMA = schema(
     bucket="bigint", n_buckets="bigint", version="bigint", n_rows="bigint",
@@ -75,6 +81,7 @@ WIDE_SCHEMA = schema(
 )
 #: Rows of a bucket on average before the number of buckets is doubled.
 BUCKET_ROWS = 5_000_000
+_REGION_FILE = r"_parc\.tsv$"
 _TISSUE_FILE = r"_tissue-[^/]+_parc\.tsv$"
 _KEYS = list(SESSION_KEYS)
 
@@ -222,6 +229,16 @@ class FeatureStore:
         filtered by the staged keys, which costs no shuffle while those fit a broadcast. Of
         several files for one session and tissue the first by path counts, whenever they came.
         """
+        named = F.coalesce(F.col("source_path").rlike(_REGION_FILE), F.lit(False))
+        if not staged.where(named).isEmpty():
+            # A file loaded again replaces all that its earlier version gave.
+            files = staged.where(named).groupBy("source_path").agg(F.max("batch_id").alias("_newest"))
+            old = named & (F.col("batch_id") < F.col("_newest"))
+            staged = staged.join(files, "source_path", "left").where(
+                ~F.coalesce(old, F.lit(False))
+            ).select(staged.columns)
+            if base is not None:
+                base = base.join(files, "source_path", "left_anti").select(base.columns)
         from_files = F.col("source_path").rlike(_TISSUE_FILE)
         if source.startswith("anatomical") and not staged.where(from_files).isEmpty():
             first = self._first_files(staged, base)
@@ -321,28 +338,43 @@ class FeatureStore:
         """Sessions per staged source."""
         return ledger_status(self.staged())
 
-    # -- files seen too early, and repeated micro-batches ------------------------------
+    # -- files, hooks and repeated micro-batches -----------------------------------------
 
-    def defer(self, files: DataFrame, batch_id: int) -> None:
-        """Keep files (``kind, file_path, text``) of sessions that are not registered yet."""
+    def record_files(self, files: DataFrame, kind: str, batch_id: int) -> None:
+        """Enter the files of a batch, with the ``reason`` why one gave no rows (null if it did)."""
+        rows = files.withColumns(
+            {"kind": F.lit(kind), "batch_id": F.lit(batch_id).cast("bigint")}
+        ).select(*FILES_SCHEMA.names)
         self._write(
-            files.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-            f"{self.root}/deferred", "overwrite", ["batch_id"],
+            rows.hint("rebalance"), f"{self.root}/files", "overwrite", ["kind", "batch_id"]
         )
 
-    def deferred(self, kind: str) -> DataFrame:
-        """The files kept under this name that have not been loaded since."""
-        kept = read_or_empty(self.spark, f"{self.root}/deferred", DEFERRED_SCHEMA)
-        done = read_or_empty(self.spark, f"{self.root}/deferred_done", DONE_SCHEMA)
-        return kept.where(F.col("kind") == kind).join(
-            done.select("kind", "file_path"), ["kind", "file_path"], "left_anti"
+    def file_ledger(self, kind=None) -> DataFrame:
+        """What is known of each file: its newest entry."""
+        rows = read_or_empty(self.spark, f"{self.root}/files", FILES_SCHEMA)
+        if kind is not None:
+            rows = rows.where(F.col("kind") == kind)
+        return keep_last(rows, ["kind", "file_path"], ["batch_id"])
+
+    def failed_files(self) -> DataFrame:
+        """Files whose present version gave no rows, with the reason."""
+        return self.file_ledger().where(F.col("reason").isNotNull()).select(
+            *_KEYS, "kind", "file_path", "reason", "batch_id"
         )
 
-    def mark_loaded(self, files: DataFrame, batch_id: int) -> None:
-        self._write(
-            files.select("kind", "file_path", F.lit(batch_id).cast("bigint").alias("batch_id")),
-            f"{self.root}/deferred_done", "overwrite", ["batch_id"],
-        )
+    def missing_report(self, registry: DataFrame, path: str = None) -> DataFrame:
+        """Registered sessions without data and why, on request also written as CSV."""
+        found = missing_sessions(registry, self.existing_sessions(), failed=self.failed_files())
+        if path is not None:
+            found.write.mode("overwrite").option("header", True).csv(path)
+        return found
+
+    def record_hook_failures(self, failures: DataFrame, batch_id: int) -> None:
+        rows = failures.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        self._write(rows, f"{self.root}/hook_failures", "overwrite", ["batch_id"])
+
+    def hook_failures(self) -> DataFrame:
+        return read_or_empty(self.spark, f"{self.root}/hook_failures", HOOK_SCHEMA)
 
     def batch_of(self, checkpoint: str, epoch: int) -> int:
         """The batch number of a micro-batch: the same again if it is repeated."""
@@ -379,8 +411,7 @@ class FeatureStore:
     def retain(self, versions: int = 2) -> list:
         """Remove what neither the newest versions nor the catalog use; returns the paths.
 
-        Of bucketed tables these are manifests and the bucket files that no kept one names; of kept
-        files of unregistered sessions, batches that have all been loaded since.
+        Of bucketed tables these are manifests and the bucket files that no kept one names.
         """
         in_use = {r.path.rstrip("/").rpartition("/")[2] for r in self.catalog.all() if r.path}
         gone = []
@@ -404,13 +435,6 @@ class FeatureStore:
                     version, bucket = (int(x.partition("=")[2]) for x in path.split("/")[-2:])
                     if (version, bucket) not in named:
                         gone.append(path)
-        kept = read_or_empty(self.spark, f"{self.root}/deferred", DEFERRED_SCHEMA)
-        done = read_or_empty(self.spark, f"{self.root}/deferred_done", DONE_SCHEMA)
-        waiting = kept.join(done, ["kind", "file_path"], "left_anti").select("batch_id").distinct()
-        waiting = {r.batch_id for r in waiting.collect()}
-        gone += [
-            p for p in self._folders("deferred/batch_id=*") if int(p.rpartition("=")[2]) not in waiting
-        ]
         for path in gone:
             self._delete(path)
         return gone

@@ -5,12 +5,15 @@ where each column is. Files whose columns differ in number or order are read in
 All columns of the vocabulary are typed; every other one is kept in the map ``extras``.
 """
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
 
 from parcelhouse.functions import bids_entities, numeric_or_null
 from parcelhouse.model import (
     LONG_SCHEMA,
+    REGION_ALIASES,
     REGION_FIELDS,
     SESSION_KEYS,
     STATISTIC_FIELDS,
@@ -28,23 +31,30 @@ REGION_NAME_COLUMN = "name"
 _FILE_FIELDS = [T.StructField("file_path", T.StringType()), T.StructField("text", T.StringType())]
 
 
-def read_files(
-    spark: SparkSession, root: str, name_glob: str, streaming=False, files_per_trigger=None
-) -> DataFrame:
+def read_files(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
     """``(file_path, text)`` of all files below ``root`` with such a name.
 
     Spark lists the directories in parallel; the names are filtered while listing.
     """
-    reader = spark.readStream if streaming else spark.read
-    reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", name_glob)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name_glob)
     try:
-        files = reader.text(root, wholetext=True)
+        return _texts(reader.text(root, wholetext=True))
     except AnalysisException as error:
-        if not streaming and "PATH_NOT_FOUND" in str(error):
+        if "PATH_NOT_FOUND" in str(error):
             return spark.createDataFrame([], T.StructType(_FILE_FIELDS))
         raise
+
+
+def read_listed(spark: SparkSession, paths) -> DataFrame:
+    """``(file_path, text)`` of the given files; those that can't be read, or are gone, are left out."""
+    if not paths:
+        return spark.createDataFrame([], T.StructType(_FILE_FIELDS))
+    exact = [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths]
+    reader = spark.read.options(ignoreCorruptFiles=True, ignoreMissingFiles=True)
+    return _texts(reader.text(exact, wholetext=True))
+
+
+def _texts(files: DataFrame) -> DataFrame:
     return files.select(_decoded_path().alias("file_path"), F.col("value").alias("text"))
 
 
@@ -54,15 +64,36 @@ def _decoded_path() -> Column:
 
 
 def list_files(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
-    """``file_path`` of all files below ``root`` with such a name; contents are not read."""
+    """``file_path, length, modified`` of all files below ``root`` with such a name, from the
+    listing; contents are not read. ``modified`` counts microseconds. Spark leaves out files
+    without a single byte."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
         files = reader.option("pathGlobFilter", name_glob).load(root)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
-            return spark.createDataFrame([], T.StructType(_FILE_FIELDS[:1]))
+            return spark.createDataFrame([], "file_path string, length bigint, modified bigint")
         raise
-    return files.select(_decoded_path().alias("file_path"))
+    return files.select(
+        _decoded_path().alias("file_path"), "length",
+        F.unix_micros("modificationTime").alias("modified"),
+    )
+
+
+def file_problem(text="text") -> Column:
+    """Why a region file can't give rows; null if it can."""
+    lines = F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n")
+    header = F.transform(F.split(F.regexp_replace(lines[0], "^\ufeff", ""), "\t"), F.trim)
+
+    def lacks(names):
+        return ~F.arrays_overlap(header, F.array(*[F.lit(n) for n in names]))
+
+    return (
+        F.when(F.trim(F.regexp_replace(text, "\\s", "")) == "", "empty file")
+        .when(lacks((*REGION_ALIASES, REGION_NAME_COLUMN)), "no region column")
+        .when(lacks([f.name for f in STATISTIC_FIELDS]), "no statistic column")
+        .when(F.size(F.filter(lines, lambda x: F.trim(x) != "")) < 2, "no rows")
+    )
 
 
 def file_name(path="file_path") -> Column:

@@ -1,10 +1,14 @@
-"""Incremental, resumable load of region files.
+"""Incremental, resumable loads.
 
-The file source remembers in its checkpoint which files it has seen; a run with
-``availableNow`` loads what is new and ends. Each micro-batch becomes a store batch: data
-first, then ledger. A micro-batch that is repeated after a crash is written again under the
-number it had. Seen is not loaded: files of sessions that are not registered are kept with their
-text, and every run loads those of them whose session has been registered since.
+Region files are found by listing. The store's file ledger holds, for every file that has been
+worked on, its path, length and modification time, the batch, and why it gave no rows, if so; what
+the listing has and the ledger lacks is the work. So a file rewritten in place, a source asked for
+later and a session registered later are loaded without reading anything else again.
+Files are read and written in batches: data first, then sessions, then the file ledger; after a crash the
+files of an open batch are loaded again under a newer number, which replaces their rows.
+
+Streams of rows go through ``foreachBatch``; a micro-batch that is repeated is written again under
+the number it had.
 """
 
 import logging
@@ -19,68 +23,58 @@ from parcelhouse.sources.region_files import (
     anatomical_rows,
     diffusion_files,
     diffusion_rows,
-    read_files,
+    file_problem,
+    list_files,
+    read_listed,
 )
 
 log = logging.getLogger(__name__)
+_KEYS = list(SESSION_KEYS)
+#: Files of one batch, whose paths the driver hands to the reader.
+FILES_PER_BATCH = 100_000
 
 
-def _run(store, files, parse, checkpoint, on_batch, defer=None):
-    def load(batch: DataFrame, epoch: int) -> None:
-        batch_id = store.batch_of(checkpoint, epoch)
-        if defer is not None:
-            defer(batch, batch_id)
-        _stage(store, parse(batch), batch_id, on_batch)
-
-    query = (
-        files.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-
-
-def _stage(store, rows, batch_id, on_batch):
-    store.write_batch(rows, batch_id)
+def _after_batch(store, batch_id, on_batch, on_session):
+    if on_batch is None and on_session is None:
+        return
+    written = store.staged().where(F.col("batch_id") == batch_id)
+    if on_session is not None:
+        store.record_hook_failures(session_hook(written, on_session), batch_id)
     if on_batch is not None:
-        written = store.staged().where(F.col("batch_id") == batch_id)
         try:
             on_batch(written, batch_id)
         except Exception:  # a failing hook must not stop the load
             log.exception("hook failed on batch %s", batch_id)
 
 
-def _run_files(store, files, parse, sessions_of, checkpoint, registry, on_batch):
-    """Load new files, and kept ones whose session is registered by now.
+def session_hook(rows: DataFrame, hook) -> DataFrame:
+    """Call ``hook(subject, session, frame)`` with the rows of every session, inside the tasks.
 
-    ``sessions_of`` gives the files with the ids in their paths; files that it leaves out are
-    none of this load's.
+    Returns one row with the error for each session whose call failed; a session's rows are regions
+    times measures. Calls may be repeated when a task is.
     """
-    kind = checkpoint.rstrip("/").rpartition("/")[2]
 
-    def defer(batch, batch_id):
-        if registry is None:
-            return
-        unknown = sessions_of(batch).join(_raw_sessions(registry), list(SESSION_KEYS), "left_anti")
-        if not unknown.isEmpty():
-            store.defer(unknown.select(F.lit(kind).alias("kind"), "file_path", "text"), batch_id)
+    def call(frame):
+        import pandas as pd
 
-    if registry is not None:
-        kept = store.deferred(kind)
-        due = sessions_of(kept).join(_raw_sessions(registry), list(SESSION_KEYS), "left_semi")
-        due = materialize(due.select("kind", "file_path", "text"), "due-files")
-        if not due.isEmpty():
-            batch_id = store.new_batch()
-            _stage(store, parse(due.select("file_path", "text")), batch_id, on_batch)
-            store.mark_loaded(due, batch_id)
-    _run(store, files, parse, checkpoint, on_batch, defer)
+        subject, session = frame[_KEYS[0]].iloc[0], frame[_KEYS[1]].iloc[0]
+        failed = []
+        try:
+            hook(subject, session, frame)
+        except Exception as error:  # reported, not raised: the load goes on
+            failed.append((subject, session, f"{type(error).__name__}: {error}"))
+        return pd.DataFrame(failed, columns=[*_KEYS, "error"])
+
+    # Columns without any value in the batch are not sent.
+    counts = rows.agg(*[F.count(c).alias(c) for c in rows.columns]).first()
+    filled = [c for c in rows.columns if c in _KEYS or counts[c]]
+    return rows.select(*filled).groupBy(*_KEYS).applyInPandas(
+        call, "subject_code string, session_id string, error string"
+    )
 
 
 def _raw_sessions(registry):
-    """Session keys as they appear in paths, to drop files before they are parsed."""
-    if registry is None:
-        return None
+    """Session keys as they appear in paths, to drop files before they are read."""
     return registry.select(
         F.col("subject_code_raw").alias("subject_code"), F.col("session_id_raw").alias("session_id")
     )
@@ -100,50 +94,112 @@ def normalized(rows: DataFrame, registry: DataFrame) -> DataFrame:
     ).drop("_subject", "_session", "_stored_subject", "_stored_session")
 
 
+def _load_files(
+    store, kind, root, glob, sessions_of, parse, registry, files_per_batch, again, on_batch,
+    on_session,
+) -> int:
+    """Load the files below ``root`` that the ledger lacks; returns how many.
+
+    ``sessions_of`` gives the files with the ids in their paths; files that it leaves out, and
+    those of unregistered sessions, are none of this load's.
+    """
+    spark = store.spark
+    work = sessions_of(list_files(spark, root, glob))
+    if registry is not None:
+        work = work.join(_raw_sessions(registry), _KEYS, "left_semi")
+    version = ["file_path", "length", "modified"]
+    if not again:
+        work = work.join(store.file_ledger(kind).select(*version), version, "left_anti")
+    work = materialize(work.select(*_KEYS, *version), "due-files")
+    n_files = work.count()
+    parts = -(-n_files // files_per_batch)
+    for part in range(parts):
+        due = work.where(F.pmod(F.xxhash64("file_path"), F.lit(parts)) == part)
+        paths = [r.file_path for r in due.select("file_path").collect()]
+        if paths:
+            batch_id = store.new_batch()
+            sound = read_listed(spark, paths).where(file_problem().isNull())
+            store.write_batch(parse(sound), batch_id)
+            store.record_files(_outcomes(store, due, batch_id, registry), kind, batch_id)
+            _after_batch(store, batch_id, on_batch, on_session)
+    return n_files
+
+
+def _outcomes(store, due: DataFrame, batch_id: int, registry) -> DataFrame:
+    """The files of a batch with the reason why they gave no rows (null if they did).
+
+    Only such files are looked at once more.
+    """
+    written = store.staged().where(F.col("batch_id") == batch_id)
+    loaded = written.select(F.col("source_path").alias("file_path")).distinct()
+    failed = materialize(due.join(loaded, "file_path", "left_anti"), "failed-files")
+    paths = [r.file_path for r in failed.select("file_path").collect()]
+    texts = read_listed(store.spark, paths).select("file_path", file_problem().alias("reason"))
+    reason = F.coalesce("reason", F.when(~F.col("_read"), "unreadable"), F.lit("no rows"))
+    failed = failed.join(texts.withColumn("_read", F.lit(True)), "file_path", "left").fillna(
+        False, ["_read"]
+    ).withColumn("reason", reason).drop("_read")
+    good = due.join(loaded, "file_path", "left_semi").withColumn("reason", F.lit(None).cast("string"))
+    found = good.unionByName(failed)
+    return found if registry is None else normalized(found, registry)
+
+
 def load_anatomical(
-    store, root, checkpoint, atlas="4S456Parcels", registry=None, modalities=None,
-    files_per_trigger=None, on_batch=None,
-) -> None:
-    """Load new tissue files. With a registry only its sessions, under their stored ids.
+    store, root, atlas="4S456Parcels", registry=None, modalities=None,
+    files_per_batch=FILES_PER_BATCH, on_batch=None, on_session=None, again=False,
+) -> int:
+    """Load new and changed tissue files. With a registry only its sessions, under their stored ids.
 
     Of several files for one session and tissue the first by path counts, in whatever order
     they arrive: the store drops the rows of the others when it reads or publishes.
+    ``again`` loads all files, whatever the ledger says. Returns the number of files.
     """
 
-    def parse(batch):
-        rows = anatomical_rows(batch, atlas, modalities, _raw_sessions(registry))
+    def parse(files):
+        rows = anatomical_rows(files, atlas, modalities)
         if registry is not None:
             rows = normalized(rows, registry)
         return rows.withColumn("source", F.concat(F.lit("anatomical_"), "modality"))
 
-    files = read_files(
-        store.spark, root, anatomical_glob(modalities), True, files_per_trigger
-    )
-    _run_files(
-        store, files, parse, lambda f: anatomical_files(f, atlas, modalities), checkpoint,
-        registry, on_batch,
+    return _load_files(
+        store, "anatomical", root, anatomical_glob(modalities),
+        lambda f: anatomical_files(f, atlas, modalities), parse, registry, files_per_batch,
+        again, on_batch, on_session,
     )
 
 
 def load_diffusion(
-    store, root, checkpoint, atlas="4S456Parcels", registry=None, workflows=None,
-    files_per_trigger=None, on_batch=None,
-) -> None:
-    """Load new diffusion files of all or some workflows."""
+    store, root, atlas="4S456Parcels", registry=None, workflows=None,
+    files_per_batch=FILES_PER_BATCH, on_batch=None, on_session=None, again=False,
+) -> int:
+    """Load new and changed diffusion files of all or some workflows; returns their number."""
 
-    def parse(batch):
-        rows = diffusion_rows(batch, atlas, workflows, _raw_sessions(registry))
+    def parse(files):
+        rows = diffusion_rows(files, atlas, workflows)
         if registry is not None:
             rows = normalized(rows, registry)
         return rows.withColumn("source", F.concat(F.lit("diffusion_"), "workflow"))
 
-    files = read_files(store.spark, root, "*_parc.tsv", True, files_per_trigger)
-    _run_files(
-        store, files, parse, lambda f: diffusion_files(f, atlas, workflows), checkpoint,
-        registry, on_batch,
+    return _load_files(
+        store, "diffusion", root, "*_parc.tsv", lambda f: diffusion_files(f, atlas, workflows),
+        parse, registry, files_per_batch, again, on_batch, on_session,
     )
 
 
-def ingest_stream(store, rows: DataFrame, source: str, checkpoint, on_batch=None) -> None:
+def ingest_stream(
+    store, rows: DataFrame, source: str, checkpoint, on_batch=None, on_session=None
+) -> None:
     """Load a stream of long rows (any streaming source) into one long table."""
-    _run(store, rows, lambda b: b.withColumn("source", F.lit(source)), checkpoint, on_batch)
+
+    def load(batch: DataFrame, epoch: int) -> None:
+        batch_id = store.batch_of(checkpoint, epoch)
+        store.write_batch(batch.withColumn("source", F.lit(source)), batch_id)
+        _after_batch(store, batch_id, on_batch, on_session)
+
+    query = (
+        rows.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()

@@ -23,7 +23,6 @@ from parcelhouse.sources.tables import (
     read_registry,
     rejected,
 )
-from parcelhouse.sources.trees import write_text_tree
 from parcelhouse.workloads.bindings import (
     CLEAN_ANSWERS,
     LONG_DIFFUSION,
@@ -34,6 +33,7 @@ from parcelhouse.workloads.bindings import (
     with_,
 )
 from parcelhouse.workloads.registry import query
+from parcelhouse.workloads.trees import write_text_tree
 
 ATLAS = "demo"
 
@@ -63,11 +63,28 @@ GROUP BY l_suppkey, l_linestatus, l_returnflag, l_linenumber
 """
 
 
-def anatomical_tree(spark, sf) -> str:
+_trees = {}
+
+
+def _written_once(write, spark, sf, fresh) -> str:
+    """A tree of files that a session writes once and then only reads, or a new one to change."""
+    key = (write.__name__, spark.sparkContext.applicationId, sf)
+    if fresh:
+        return write(spark, sf)
+    if key not in _trees:
+        _trees[key] = write(spark, sf)
+    return _trees[key]
+
+
+def anatomical_tree(spark, sf, fresh=False) -> str:
     """Tissue files: wm has another column order, ct lacks std and has a column of its own.
 
     A second gm file per session must be ignored.
     """
+    return _written_once(_write_anatomical, spark, sf, fresh)
+
+
+def _write_anatomical(spark, sf) -> str:
     root = scratch_path(spark, "anatomical")
     number, volume = F.col("l_linenumber").cast("string"), F.col("volume").cast("string")
     mean = F.col("mean").cast("string")

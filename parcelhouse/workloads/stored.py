@@ -7,6 +7,7 @@ what the store then answers; the SQL states the same result in one shot.
 from pyspark.sql import functions as F
 
 from parcelhouse.operators.latest import keep_last
+from parcelhouse.operators.profile import outcome_summary
 from parcelhouse.operators.reshape import to_wide
 from parcelhouse.plans.load_job import LoadSettings, run_load
 from parcelhouse.plans.published import (
@@ -33,6 +34,7 @@ from parcelhouse.workloads.bindings import (
 )
 from parcelhouse.workloads.files import ATLAS, _REGION_SQL, _as_csv, anatomical_tree
 from parcelhouse.workloads.registry import query
+from parcelhouse.workloads.trees import write_text_tree
 
 KEYS = ["subject_code", "session_id"]
 EVENTS = "anatomical_ev"
@@ -196,11 +198,10 @@ def stream(spark, sf):
 
 @query("t05_resume", with_(l=_REGION_SQL) + "SELECT l.* EXCLUDE (remark), 1::BIGINT AS n_batches FROM l")
 def resume(spark, sf):
-    """Region files by stream; the second run finds nothing new."""
+    """Region files by ledger; the second run finds nothing new."""
     store, root = _store(spark), anatomical_tree(spark, sf)
-    checkpoint = scratch_path(spark, "checkpoint")
-    load_anatomical(store, root, checkpoint, ATLAS)
-    load_anatomical(store, root, checkpoint, ATLAS)
+    load_anatomical(store, root, ATLAS)
+    load_anatomical(store, root, ATLAS)
     batches = store.staged().select("batch_id").distinct().count()
     tables = [store.load_long(f"anatomical_{m}") for m in ("gm", "wm", "ct")]
     rows = tables[0].unionByName(tables[1]).unionByName(tables[2])
@@ -214,16 +215,15 @@ def resume(spark, sf):
 def registry_grows(spark, sf):
     """Half of the subjects are registered only after the files of all have been seen."""
     store, root = _store(spark), anatomical_tree(spark, sf)
-    checkpoint = scratch_path(spark, "checkpoint")
     found = list_files(spark, root, anatomical_glob())
     ids = anatomical_files(found, ATLAS).select(*KEYS).distinct()
     registry = materialize(
         ids.withColumns({f"{k}_raw": F.col(k) for k in KEYS}), "growing-registry"
     )
     early = registry.where(F.pmod(F.col("subject_code").cast("bigint"), F.lit(2)) == 0)
-    load_anatomical(store, root, checkpoint, ATLAS, early)
+    load_anatomical(store, root, ATLAS, early)
     store.publish()
-    load_anatomical(store, root, checkpoint, ATLAS, registry)
+    load_anatomical(store, root, ATLAS, registry)
     tables = [store.load_long(f"anatomical_{m}") for m in ("gm", "wm", "ct")]
     rows = tables[0].unionByName(tables[1]).unionByName(tables[2])
     return rows.select(
@@ -231,6 +231,153 @@ def registry_grows(spark, sf):
     )
 
 
+def _loaded(store):
+    tables = [store.load_long(f"anatomical_{m}") for m in ("gm", "wm", "ct")]
+    rows = tables[0].unionByName(tables[1]).unionByName(tables[2])
+    return rows.select(*KEYS, "modality", "metric", "label", "index", "volume_mm3", "mean", "std")
+
+
+@query(
+    "t01_file_rewritten",
+    with_(l=_REGION_SQL) + """
+    , m AS (SELECT *, modality = 'ct' AND CAST(subject_code AS BIGINT) % 10 = 3 AS again,
+                   row_number() OVER (PARTITION BY subject_code, session_id, modality ORDER BY index) AS i
+            FROM l)
+    SELECT subject_code, session_id, modality, metric, label, index,
+           CASE WHEN again THEN 5.0::DOUBLE ELSE volume_mm3 END AS volume_mm3,
+           CASE WHEN NOT again THEN mean END AS mean, CASE WHEN NOT again THEN std END AS std,
+           (SELECT count(*) FROM m WHERE again AND i = 1) AS n_loaded_again
+    FROM m WHERE NOT again OR i = 1
+    """,
+)
+def file_rewritten(spark, sf):
+    """Some files are rewritten in place with fewer rows; a further run loads them alone."""
+    store, root = _store(spark), anatomical_tree(spark, sf, fresh=True)
+    load_anatomical(store, root, ATLAS)
+    store.publish()
+    rows = _loaded(store).where("modality = 'ct' AND cast(subject_code AS bigint) % 10 = 3")
+    files = rows.groupBy(*KEYS).agg(F.min("index").alias("index")).select(
+        F.concat_ws(
+            "", F.lit("sub-"), "subject_code", F.lit("/ses-"), "session_id",
+            F.lit(f"/anat/atlas-{ATLAS}/a_tissue-CT_parc.tsv"),
+        ).alias("path"),
+        F.concat(
+            F.lit("index\tlabel\tvolume_mm3\n"), F.col("index").cast("string"), F.lit("\tR."),
+            F.col("index").cast("string"), F.lit("\t5.0\n"),
+        ).alias("content"),
+    )
+    write_text_tree(files, root)
+    again = load_anatomical(store, root, ATLAS)
+    store.publish()
+    return _loaded(store).withColumn("n_loaded_again", F.lit(again).cast("bigint"))
+
+
+@query(
+    "t01_source_added",
+    with_(l=_REGION_SQL) + """
+    SELECT subject_code, session_id, modality, metric, label, index, volume_mm3, mean, std,
+           (SELECT count(DISTINCT (subject_code, session_id, modality)) FROM l WHERE modality <> 'gm') AS n_added
+    FROM l
+    """,
+)
+def source_added(spark, sf):
+    """Two more tissues are asked for later: their files are loaded, the first ones are not read again."""
+    store, root = _store(spark), anatomical_tree(spark, sf)
+    load_anatomical(store, root, ATLAS, modalities=("gm",))
+    store.publish()
+    added = load_anatomical(store, root, ATLAS, modalities=("gm", "wm", "ct"))
+    return _loaded(store).withColumn("n_added", F.lit(added).cast("bigint"))
+
+
+def _broken_tree(spark, sf):
+    """One wm file in nine lacks the region column, one is blank; suppliers are the registry."""
+    root = anatomical_tree(spark, sf, fresh=True)
+    kind = F.col("l_suppkey") % 9
+    lines = table(spark, sf, "lineitem").where("l_returnflag = 'N' AND l_suppkey % 9 IN (0, 1)")
+    files = lines.select("l_suppkey", "l_linestatus").distinct().select(
+        F.concat(
+            F.lit("sub-"), F.col("l_suppkey").cast("string"),
+            F.when(F.col("l_linestatus") == "F", "/ses-01").otherwise("/ses-02"),
+            F.lit(f"/anat/atlas-{ATLAS}/a_tissue-WM_parc.tsv"),
+        ).alias("path"),
+        F.when(kind == 0, "std\tmean\n1\t2\n").otherwise(" \n").alias("content"),
+    )
+    write_text_tree(files, root)
+    return root
+
+
+_BROKEN = with_(l=_REGION_SQL) + """
+, r AS (SELECT CAST(s_suppkey AS VARCHAR) AS subject_code, '0' || k AS session_id, s_suppkey % 9 AS kind
+        FROM supplier, range(1, 4) AS t(k)),
+o AS (SELECT subject_code, session_id, kind, EXISTS (SELECT 1 FROM l WHERE modality = 'wm'
+        AND l.subject_code = r.subject_code AND l.session_id = r.session_id) AS has_file FROM r)
+"""
+
+
+def _broken_store(spark, sf):
+    store = _store(spark)
+    registry = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("subject_code"),
+        F.explode(F.array(F.lit("01"), F.lit("02"), F.lit("03"))).alias("session_id"),
+    )
+    registry = registry.withColumns({f"{k}_raw": F.col(k) for k in KEYS})
+    load_anatomical(store, _broken_tree(spark, sf), ATLAS, registry, modalities=("wm",))
+    return store, registry
+
+
+@query(
+    "a19_outcomes_of_files",
+    _BROKEN + """
+    SELECT CASE WHEN NOT has_file THEN 'skipped' WHEN kind IN (0, 1) THEN 'error' ELSE 'success' END AS status,
+           count(*) AS n FROM o GROUP BY ALL
+    """,
+)
+def outcomes_of_files(spark, sf):
+    store, registry = _broken_store(spark, sf)
+    return outcome_summary(registry, store.existing_sessions(), store.failed_files())
+
+
+@query(
+    "k07_report_file",
+    _BROKEN + """
+    SELECT subject_code, session_id, CASE WHEN NOT has_file THEN 'no data'
+        WHEN kind = 0 THEN 'no region column' ELSE 'empty file' END AS reason
+    FROM o WHERE NOT has_file OR kind IN (0, 1)
+    """,
+)
+def report_file(spark, sf):
+    """The report of sessions without data, written as CSV and read back."""
+    store, registry = _broken_store(spark, sf)
+    path = scratch_path(spark, "missing")
+    store.missing_report(registry, path)
+    return spark.read.schema("subject_code string, session_id string, reason string").option(
+        "header", True).csv(path)
+
+
+@query(
+    "t03_session_hook",
+    with_(e=LONG_EVENTS) + """
+    , n AS (SELECT subject_code, session_id, label, arg_max(mean, seq) AS mean FROM e GROUP BY ALL)
+    SELECT n.*, (SELECT count(DISTINCT (subject_code, session_id)) FROM e
+                 WHERE CAST(subject_code AS BIGINT) % 7 = 2) AS n_failed FROM n
+    """,
+)
+def session_hook(spark, sf):
+    """A hook per session that fails for some of them: all rows are there, the failures are listed."""
+    store, inbox = _store(spark), scratch_path(spark, "inbox")
+    rows = _event_rows(spark, sf).drop("part")
+    rows.write.parquet(inbox)
+
+    def hook(subject, session, frame):
+        if int(subject) % 7 == 2:
+            raise ValueError(f"{len(frame)} rows of {session} refused")
+
+    source = spark.readStream.schema(rows.schema).parquet(inbox)
+    ingest_stream(store, source, EVENTS, scratch_path(spark, "checkpoint"), on_session=hook)
+    failed = store.hook_failures().select(*KEYS).distinct().count()
+    return store.load_long(EVENTS).select(*_CELLS, F.lit(failed).cast("bigint").alias("n_failed"))
+
+
 @query("k02_within_delivery", _NEWEST)
 def within_delivery(spark, sf):
     """One delivery without any order column: of equal keys the last row counts."""

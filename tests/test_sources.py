@@ -21,7 +21,7 @@ from parcelhouse.sources.tables import (
     read_registry,
     rejected,
 )
-from parcelhouse.sources.trees import write_text_tree
+from parcelhouse.workloads.trees import write_text_tree
 
 
 def _write(root, files):

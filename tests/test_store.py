@@ -190,34 +190,107 @@ def _path(subject, tissue="GM"):
     return f"sub-{subject}/ses-01/anat/atlas-A/x_tissue-{tissue}_parc.tsv"
 
 
-def test_stream_loads_only_new_files(spark, root):
+def test_only_new_files_are_loaded(spark, root):
     tree, store = root + "/tree", FeatureStore(spark, root + "/store")
-    checkpoint, seen = root + "/checkpoint", []
+    seen = []
 
     def hook(rows, batch_id):
         seen.append(rows.count())
         raise RuntimeError("a failing hook must not stop the load")
 
     _write(tree, {_path(1): _tissue(1), _path(2): _tissue(2)})
-    load_anatomical(store, tree, checkpoint, "A", on_batch=hook)
-    load_anatomical(store, tree, checkpoint, "A", on_batch=hook)
+    assert load_anatomical(store, tree, "A", on_batch=hook) == 2
+    assert load_anatomical(store, tree, "A", on_batch=hook) == 0
     assert seen == [4]
     _write(tree, {_path(3): _tissue(3)})
-    load_anatomical(store, tree, checkpoint, "A", on_batch=hook)
+    assert load_anatomical(store, tree, "A", on_batch=hook) == 1
     assert seen == [4, 2]
     assert store.load_long("anatomical_gm").count() == 6
     assert store.existing_sessions().count() == 3
 
 
-def test_lost_checkpoint_repeats_the_load_without_doubling(spark, root):
+def test_loading_everything_again_doubles_nothing(spark, root):
     tree, store = root + "/tree", FeatureStore(spark, root + "/store")
     _write(tree, {_path(1): _tissue(1)})
-    load_anatomical(store, tree, root + "/c1", "A")
+    load_anatomical(store, tree, "A")
     store.publish()
-    load_anatomical(store, tree, root + "/c2", "A")
+    assert load_anatomical(store, tree, "A", again=True) == 1
     assert store.load_long("anatomical_gm").count() == 2
 
 
+@pytest.mark.parametrize("published", [False, True])
+def test_a_rewritten_file_replaces_its_rows(spark, root, published):
+    tree, store = root + "/tree", FeatureStore(spark, root + "/store")
+    _write(tree, {_path(1): _tissue(1), _path(2): _tissue(2)})
+    load_anatomical(store, tree, "A")
+    if published:
+        store.publish()
+    _write(tree, {_path(1): "label\tmean\nA\t10\nC\t30\n"})
+    assert load_anatomical(store, tree, "A") == 1
+    want = {("1", "A", 10.0), ("1", "C", 30.0), ("2", "A", 2.0), ("2", "B", 2.0)}
+    for _ in range(2):
+        rows = store.load_long("anatomical_gm").collect()
+        assert {(r.subject_code, r.label, r["mean"]) for r in rows} == want and len(rows) == 4
+        store.publish()
+
+
+def test_sources_asked_for_later_and_odd_names(spark, root):
+    tree, store = root + "/tree", FeatureStore(spark, root + "/store")
+    odd = "sub-1/ses-0[1]/anat/atlas-A/x+y {z}_tissue-GM_parc.tsv"
+    _write(tree, {odd: _tissue(1), _path(2): _tissue(2), _path(2, "WM"): _tissue(3)})
+    assert load_anatomical(store, tree, "A", modalities=("gm",)) == 2
+    assert load_anatomical(store, tree, "A", modalities=("gm", "wm")) == 1
+    assert store.staged_sources() == ["anatomical_gm", "anatomical_wm"]
+    assert store.load_long("anatomical_gm").count() == 4
+    # In batches of one file each.
+    other = FeatureStore(spark, root + "/other")
+    assert load_anatomical(other, tree, "A", files_per_batch=1) == 3
+    assert other.load_long("anatomical_gm").count() == 4
+
+
+def test_files_without_rows_are_reported(spark, root):
+    tree, store = root + "/tree", FeatureStore(spark, root + "/store")
+    bad = {
+        _path(2): "", _path(3): " \n\n", _path(4): "label\tmean\n", _path(5): "mean\tstd\n1\t2\n",
+        _path(6): "label\tnote\nA\tx\n",
+    }
+    _write(tree, {_path(1): _tissue(1), _path(7): _tissue(7), **bad})
+    registry = _registry(spark, *"1234568")
+    load_anatomical(store, tree, "A", registry)
+    assert {(r.subject_code, r.reason) for r in store.failed_files().collect()} == {
+        ("3", "empty file"), ("4", "no rows"), ("5", "no region column"), ("6", "no statistic column"),
+    }
+    store.missing_report(registry, root + "/missing")
+    report = spark.read.option("header", True).csv(root + "/missing")
+    got = {(r.subject_code, r.reason) for r in report.collect()}
+    # A file without a single byte is no file to Spark.
+    assert {("8", "no data"), ("2", "no data")} < got and ("5", "no region column") in got and len(got) == 6
+    # Nothing is tried again until the file changes.
+    assert load_anatomical(store, tree, "A", registry) == 0
+    _write(tree, {_path(5): _tissue(5)})
+    assert load_anatomical(store, tree, "A", registry) == 1
+    assert "5" not in {r.subject_code for r in store.failed_files().collect()}
+
+
+def test_session_hook_failures_are_reported_and_lose_nothing(spark, root):
+    tree, store = root + "/tree", FeatureStore(spark, root + "/store")
+    _write(tree, {_path(i): _tissue(i) for i in range(1, 5)})
+    seen = root + "/seen"
+    os.makedirs(seen)
+
+    def hook(subject, session, frame):
+        if subject == "3":
+            raise ValueError("not this one")
+        with open(f"{seen}/{subject}-{session}-{len(frame)}", "w"):
+            pass
+
+    load_anatomical(store, tree, "A", on_session=hook)
+    assert sorted(os.listdir(seen)) == ["1-01-2", "2-01-2", "4-01-2"]
+    failures = store.hook_failures().collect()
+    assert [(r.subject_code, r.error) for r in failures] == [("3", "ValueError: not this one")]
+    assert store.load_long("anatomical_gm").count() == 8
+
+
 def _registry(spark, *subjects):
     rows = [(s, "01", s, "01") for s in subjects]
     return spark.createDataFrame(
@@ -228,12 +301,12 @@ def _registry(spark, *subjects):
 def test_late_registration_loads_files_seen_before(spark, root):
     tree, store = root + "/tree", FeatureStore(spark, root + "/store")
     _write(tree, {_path(1): _tissue(1), _path(2): _tissue(2)})
-    load_anatomical(store, tree, root + "/c", "A", _registry(spark, "1"))
+    load_anatomical(store, tree, "A", _registry(spark, "1"))
     assert store.load_long("anatomical_gm").count() == 2
-    load_anatomical(store, tree, root + "/c", "A", _registry(spark, "1", "2"))
+    load_anatomical(store, tree, "A", _registry(spark, "1", "2"))
     assert {r.subject_code for r in store.load_long("anatomical_gm").collect()} == {"1", "2"}
     batches = store.staged().select("batch_id").distinct().count()
-    load_anatomical(store, tree, root + "/c", "A", _registry(spark, "1", "2"))
+    load_anatomical(store, tree, "A", _registry(spark, "1", "2"))
     assert store.staged().select("batch_id").distinct().count() == batches
 
 
@@ -243,10 +316,10 @@ def test_incremental_load_equals_scan(spark, root):
     tree, store = root + "/tree", FeatureStore(spark, root + "/store")
     late = "sub-1/ses-01/anat/atlas-A/a_tissue-GM_parc.tsv"
     _write(tree, {_path(1): _tissue(1), _path(2): _tissue(2)})
-    load_anatomical(store, tree, root + "/c", "A")
+    load_anatomical(store, tree, "A")
     store.publish()
     _write(tree, {late: "label\tmean\nA\t9\n"})
-    load_anatomical(store, tree, root + "/c", "A")
+    load_anatomical(store, tree, "A")
     want = {(r.subject_code, r.label, r["mean"]) for r in scan_anatomical(spark, tree, "A").collect()}
     for _ in range(2):
         rows = store.load_long("anatomical_gm").collect()
@@ -258,6 +331,9 @@ def test_repeated_epoch_is_the_same_batch(spark, root):
     store = FeatureStore(spark, root)
     first = store.batch_of("c", 0)
     assert store.batch_of("c", 0) == first and store.batch_of("c", 1) > first
+    other = store.batch_of("d", 0)
+    store.forget("c")
+    assert store.batch_of("c", 0) > other and store.batch_of("d", 0) == other
     for _ in range(2):
         store.write_batch(_rows(spark, ("1", "a", "x", 1.0, 1)).withColumn("source", F.lit("anatomical_gm")), first)
     assert store.staged().count() == 1
@@ -294,7 +370,8 @@ def test_whole_load(spark, root):
     assert first.published == ["anatomical_gm", "diffusion_W"]
     assert first.features == ["W_m_p_mean", "gm_mean"]
     again = run_load(spark, settings)
-    assert again.published == [] and again.n_pending == 2
+    assert again.published == [] and again.n_pending == 2 and again.n_files == 0
+    assert first.n_files == 3 and first.outcomes == again.outcomes == {"success": 2, "skipped": 1}
     store = FeatureStore(spark, root + "/store")
     got = {
         (r.subject_code, r.session_id, r["gm_mean__A"], r["W_m_p_mean__A"], r.AGE, r.tiv)
