@@ -4,8 +4,8 @@ Global numbers come from scalar subqueries or one-row aggregates, never from a w
 without partitions; distinct counts are taken in two levels so that both combine map-side.
 """
 
-from itertools import combinations_with_replacement
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from parcelhouse.functions import bare_code
@@ -199,8 +199,8 @@ def parameter_range_check(df: DataFrame, ranges: dict, param="param", value="mea
         f"`{param}` string, expected_min double, expected_max double",
     )
     v = _tick(value)
-    # One row per documented parameter: a literal table the planner knows to be tiny.
-    return df.join(F.broadcast(rules), param).groupBy(param, "expected_min", "expected_max").agg(
+    # One row per documented parameter, a literal table: the planner sees that it is tiny.
+    return df.join(rules, param).groupBy(param, "expected_min", "expected_max").agg(
         F.min(v).alias("actual_min"), F.max(v).alias("actual_max"),
         F.count_if((v < F.col("expected_min")) | (v > F.col("expected_max"))).alias(
             "n_out_of_range"
@@ -233,18 +233,47 @@ def distributions(df: DataFrame, columns) -> DataFrame:
 
 
 def correlation(df: DataFrame, columns) -> DataFrame:
-    """Correlation matrix as rows ``(a, b, r)``; a pair uses the rows where both exist."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    one = df.agg(
-        *[F.corr(_tick(a), _tick(b)).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)]
+    """Correlation matrix as rows ``(a, b, r)``; a pair uses the rows where both exist.
+
+    Every task sums products of whole column blocks (counts, values, squares, for each pair over its
+    common rows) and sends one row per pair; values are taken from the column's mean, which
+    keeps the sums exact. Null where a column doesn't vary over the common rows.
+    """
+    columns = list(columns)
+    numbers = df.select(*[_tick(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
+    means = numbers.agg(*[F.avg(c) for c in numbers.columns]).first()
+    center = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
+    first, second = np.triu_indices(len(columns))
+
+    def sums(batches):
+        total = None
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            there = ~np.isnan(x)
+            x = np.where(there, x - center, 0.0)
+            there = there.astype(float)
+            part = np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+            total = part if total is None else total + part
+        if total is not None:
+            n, one, squares, products = total
+            cells = [
+                first, second, n[first, second], one[first, second], one[second, first],
+                squares[first, second], squares[second, first], products[first, second],
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], names=names)
+
+    names = ["i", "j", "n", "x", "y", "xx", "yy", "xy"]
+    kinds = ", ".join(f"{c} {'bigint' if c in 'ij' else 'double'}" for c in names)
+    found = numbers.mapInArrow(sums, kinds).groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in names[2:]]
     )
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in {(a, b), (b, a)}:
-            cells.append(
-                F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"_r{i}").alias("r"))
-            )
-    return one.select(F.inline(F.array(*cells)))
+    spread = F.sqrt(F.expr("n * xx - x * x")) * F.sqrt(F.expr("n * yy - y * y"))
+    r = F.when(spread > 0, F.expr("n * xy - x * y") / spread)
+    name = F.array(*[F.lit(c) for c in columns])
+    pair = F.struct(name[F.col("i").cast("int")].alias("a"), name[F.col("j").cast("int")].alias("b"))
+    turned = F.struct(pair["b"].alias("a"), pair["a"].alias("b"))
+    both = F.when(F.col("i") == F.col("j"), F.array(pair)).otherwise(F.array(pair, turned))
+    return found.select(r.alias("r"), F.inline(both)).select("a", "b", "r")
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:

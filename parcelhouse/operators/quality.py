@@ -86,29 +86,59 @@ def session_quality(
 
 
 def validation_report(
-    features: dict, metadata: DataFrame, key="participant_id", required=(),
+    features: dict, metadata: DataFrame, key="participant_id", required=(), optional=(),
 ) -> DataFrame:
     """Findings ``(severity, rule, dataset, n, sample)`` over published tables.
 
-    Rules: required columns exist, ids are not null, ids are unique, feature ids are
-    described in the metadata, and described ids have features (a warning).
+    Rules: required columns exist, optional ones too (a warning), ids are not null, ids are
+    unique, feature ids are described in the metadata, and described ids have features (a
+    warning). The ids of a table are summed up first, in any order; only tables whose sums differ
+    from those of sound metadata are joined with it.
     """
     spark = metadata.sparkSession
-    described = None
-    if key in metadata.columns:
-        described = metadata.select(key).dropna().distinct().withColumn("_described", F.lit(True))
+    named = {"metadata": metadata, **features}
     found, absent = [], []
-    for name, df in {"metadata": metadata, **features}.items():
+    for name, df in named.items():
         for column in (key, *required) if name == "metadata" else (key,):
             if column not in df.columns:
                 absent.append(("error", "missing column", name, 1, column))
-        if key in df.columns:
-            found.append(_id_findings(df, name, key, None if name == "metadata" else described))
+    absent += [
+        ("warning", "missing optional column", "metadata", 1, c)
+        for c in optional if c not in metadata.columns
+    ]
+    described, same = None, set()
+    if key in metadata.columns:
+        described = metadata.select(key).dropna().distinct().withColumn("_described", F.lit(True))
+        own = _id_findings(metadata, "metadata", key, None).where(F.col("n") > 0).collect()
+        found.append(spark.createDataFrame(own, _FINDING))
+        if not own:
+            sums = _id_sums({n: df for n, df in named.items() if key in df.columns}, key)
+            same = {n for n, s in sums.items() if s == sums["metadata"]}
+    for name, df in features.items():
+        if key in df.columns and name not in same:
+            found.append(_id_findings(df, name, key, described))
     if absent:
         found.append(spark.createDataFrame(absent, _FINDING))
+    if not found:
+        return spark.createDataFrame([], _FINDING)
     return reduce(DataFrame.unionByName, found).where(F.col("n") > 0)
 
 
+def _id_sums(tables: dict, key) -> dict:
+    """Count, sum and exclusive or of two hashes of the ids, for all tables in one job."""
+    h, other = F.xxhash64(F.col(key).cast("string")), F.hash(F.col(key).cast("string"))
+    parts = [
+        df.agg(
+            F.lit(name).alias("name"), F.count("*").alias("n"), F.count(key).alias("known"),
+            F.sum(h.cast("decimal(38,0)")).alias("total"), F.bit_xor(h).alias("x"),
+            F.sum(other.cast("bigint")).alias("other"),
+        )
+        for name, df in tables.items()
+    ]
+    rows = reduce(DataFrame.unionByName, parts).collect()
+    return {r["name"]: tuple(r)[1:] for r in rows}
+
+
 _FINDING = "severity string, rule string, dataset string, n bigint, sample string"
 
 

@@ -91,9 +91,39 @@ def missing_sessions(
 
 
 def full_outer(frames: dict, keys=SESSION_KEYS, separator="_") -> DataFrame:
-    """Wide tables side by side, joined on the keys, columns prefixed by table name."""
+    """Wide tables side by side, joined on the keys, columns prefixed by table name.
+
+    One keyed union and one grouping, however many tables: each row travels as one struct. A table
+    with two rows for a key is an error; rows with equal keys meet, null keys included.
+    """
+    keys = list(keys)
     named = [prefixed(df, name, keys, separator) for name, df in frames.items()]
-    return reduce(lambda a, b: a.join(b, list(keys), "full"), named)
+    columns = [[c for c in df.columns if c not in keys] for df in named]
+
+    def packed(df, mine):
+        here = F.struct(F.lit(True).alias("_in"), *[F.col(f"`{c}`") for c in columns[mine]])
+        kinds = [n.select(F.struct(F.lit(True).alias("_in"), *[F.col(f"`{c}`") for c in columns[i]]).alias("t"))
+                 .schema["t"].dataType for i, n in enumerate(named)]
+        return df.select(
+            *keys,
+            *[(here if i == mine else F.lit(None)).cast(k).alias(f"_t{i}") for i, k in enumerate(kinds)],
+        )
+
+    union = reduce(DataFrame.unionByName, [packed(df, i) for i, df in enumerate(named)])
+    together = union.groupBy(*keys).agg(
+        *[F.first(f"_t{i}", ignorenulls=True).alias(f"_t{i}") for i in range(len(named))],
+        *[F.count(f"_t{i}").alias(f"_n{i}") for i in range(len(named))],
+    )
+    several = [
+        F.when(F.col(f"_n{i}") > 1, F.raise_error(F.lit(f"table {name} has several rows for a key")))
+        for i, name in enumerate(frames)
+    ]
+    cells = [
+        F.col(f"_t{i}")[c].alias(c) for i, held in enumerate(columns) for c in held
+    ]
+    # The check is part of a column, so that it can't be pruned away.
+    checked = F.coalesce(*[e.cast(union.schema[keys[0]].dataType) for e in several], F.col(keys[0]))
+    return together.select(checked.alias(keys[0]), *keys[1:], *cells)
 
 
 def with_questionnaire(

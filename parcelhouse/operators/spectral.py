@@ -15,34 +15,38 @@ def band_amplitudes(
 
     Y is the discrete Fourier transform of the profile array, k runs below n/2; ``by`` names
     one profile each. Null if the profile has a missing value, 0 if no frequency is in band.
-    Only the profiles are shuffled; their terms are then summed where they are.
+    Goertzel's recurrence runs over the array in its row: nothing is exploded or shuffled.
     """
-    return _amplitudes_in_place(df.repartition(*by), by, profile, target, tolerance)
-
-
-def _amplitudes_in_place(
-    df, by, profile, target=TARGET_FREQUENCY, tolerance=FREQUENCY_TOLERANCE
-):
-    by = list(by)
+    values = F.transform(profile, lambda v: v.cast("double"))
     n = F.size(profile)
     in_band = F.filter(
         F.sequence(F.lit(0), F.greatest(F.floor(n / 2).cast("int") - 1, F.lit(0))),
         lambda k: (k / n >= target - tolerance) & (k / n <= target + tolerance),
     )
-    rows = (
-        df.select(*by, profile, n.alias("_n"), in_band.alias("_band"))
-        .select(*by, "_n", "_band", F.posexplode_outer(profile).alias("_z", "_v"))
-        .select(*by, "_n", "_z", "_v", F.explode_outer("_band").alias("_k"))
-    )
-    angle = 2 * math.pi * F.col("_k") * F.col("_z") / F.col("_n")
-    parts = rows.groupBy(*by, "_n", "_k").agg(
-        F.sum(F.col("_v") * F.cos(angle)).alias("_re"),
-        F.sum(F.col("_v") * F.sin(angle)).alias("_im"),
-        F.count("_v").alias("_filled"),
-    )
-    amplitude = F.coalesce(F.sum(F.hypot("_re", "_im") * 2 / F.col("_n")), F.lit(0.0))
-    return parts.groupBy(*by).agg(
-        F.when(F.min(F.col("_filled") == F.col("_n")), amplitude).alias("amplitude")
+    zero = F.struct(F.lit(0.0).alias("now"), F.lit(0.0).alias("before"))
+
+    def size(k):
+        angle = 2 * math.pi * k / F.col("_n")
+        double_cosine = 2 * F.cos(angle)
+
+        def step(s, v):
+            return F.struct(
+                (v + double_cosine * s["now"] - s["before"]).alias("now"),
+                s["now"].alias("before"),
+            )
+
+        last = F.aggregate("_values", zero, step)
+        return F.aggregate(
+            F.array(last), F.lit(0.0),
+            lambda _, s: F.hypot(s["now"] - s["before"] * F.cos(angle), s["before"] * F.sin(angle)),
+        )
+
+    rows = df.select(*by, values.alias("_values"), n.alias("_n"), in_band.alias("_band"))
+    amplitude = F.aggregate("_band", F.lit(0.0), lambda a, k: a + size(k) * 2 / F.col("_n"))
+    whole = F.col("_values").isNotNull() & F.forall("_values", lambda v: v.isNotNull())
+    return rows.select(
+        *by,
+        F.when(F.size("_values") == 0, F.lit(0.0)).when(whole, amplitude).alias("amplitude"),
     )
 
 
@@ -57,7 +61,6 @@ def mean_profile(voxels: DataFrame, by, axis: str, value: str) -> DataFrame:
 
 def strip_score(voxels: DataFrame, by, axis: str = "z", value: str = "value", **band) -> DataFrame:
     profiles = mean_profile(voxels, by, axis, value)
-    # The profiles lie by group already.
-    return _amplitudes_in_place(profiles, by, "profile", **band).withColumnRenamed(
+    return band_amplitudes(profiles, by, "profile", **band).withColumnRenamed(
         "amplitude", "strip_score"
     )

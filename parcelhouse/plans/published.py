@@ -14,10 +14,14 @@ from pyspark.sql import DataFrame, functions as F
 from parcelhouse.functions import parse_feature_name
 from parcelhouse.model import SESSION_KEYS, schema
 from parcelhouse.operators.latest import keep_last
+from parcelhouse.operators.quality import validation_report, validation_summary
 from parcelhouse.operators.reshape import to_tidy
 from parcelhouse.operators.sessions import full_outer
+from parcelhouse.plans.scratch import materialize
 
 KEY = "participant_id"
+# Columns that metadata may lack.
+OPTIONAL_FIELDS = ("age", "sex", "site", "tiv", "qc_pass")
 _ENTRY = schema(
     modality="string", format="string", pipeline="string", metric="string", statistic="string",
     file="string", n_features="bigint", version="bigint",
@@ -159,6 +163,26 @@ class PublishedDataset:
     def subject_ids(self) -> DataFrame:
         return self.get_metadata().select(KEY).distinct()
 
+    def validate(self, required=(), optional=OPTIONAL_FIELDS):
+        """``(report, summary)``: findings over all wide tables and the metadata, and one row with the
+        verdict and the numbers of subjects and of features by modality."""
+        entries = [r for r in self._manifest().collect() if r.format == "wide"]
+        tables = {
+            "_".join(p for p in (e.modality, e.pipeline, e.metric, e.statistic) if p):
+            self.spark.read.parquet(e.file) for e in entries
+        }
+        report = materialize(
+            validation_report(tables, self.get_metadata(), KEY, required, optional), "validation"
+        )
+        counts = {
+            f"n_{m}_features": F.lit(sum(e.n_features for e in entries if e.modality == m)).cast("bigint")
+            for m in ("anatomical", "diffusion")
+        }
+        summary = validation_summary(report).withColumns(
+            {"n_subjects": self.n_subjects().select("n_subjects").scalar(), **counts}
+        )
+        return report, summary
+
     def n_subjects(self) -> DataFrame:
         return self.get_metadata().agg(F.countDistinct(KEY).alias("n_subjects"))
 

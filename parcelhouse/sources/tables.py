@@ -157,11 +157,14 @@ def combine_registries(main: DataFrame, extras: dict) -> DataFrame:
 
 
 def read_registries(spark, main_path, extra_paths: dict) -> DataFrame:
-    """As :func:`combine_registries` from files; registries that do not exist are skipped."""
+    """As :func:`combine_registries` from files; registries that do not exist are skipped.
+
+    The index column that some of them start with has no name and is dropped.
+    """
     extras = {}
     for name, path in extra_paths.items():
         try:
-            extras[name] = read_delimited(spark, path)
+            extras[name] = read_delimited(spark, path).drop("_c0")
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise

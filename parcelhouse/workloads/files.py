@@ -20,6 +20,8 @@ from parcelhouse.sources.tables import (
     read_delimited,
     read_participants,
     read_questionnaire,
+    read_region_lookup,
+    read_registries,
     read_registry,
     rejected,
 )
@@ -271,7 +273,9 @@ def tiv(spark, sf):
 
 def _as_csv(df, name, separator=","):
     path = scratch_path(df.sparkSession, name)
-    df.write.options(header=True, sep=separator, escape='"').csv(path)
+    df.write.options(
+        header=True, sep=separator, escape='"', ignoreTrailingWhiteSpace=False
+    ).csv(path)
     return path
 
 
@@ -325,9 +329,31 @@ def questionnaire(spark, sf):
     return read_questionnaire(spark, _as_csv(answers(spark, sf), "answers"))
 
 
-@query(
-    "s13_multi_registry",
-    """
+def _registries(spark, sf):
+    orders = table(spark, sf, "orders")
+    code = F.concat(F.lit("S_"), F.col("o_custkey").cast("string"))
+    main = orders.select(
+        F.when(F.col("o_custkey") % 7 == 0, "00-00").otherwise(code).alias("subject_code"),
+        F.col("o_orderkey").cast("string").alias("session_id"),
+        F.col("o_orderpriority").alias("info"),
+    )
+    legacy = orders.where("o_orderstatus = 'P'").select(
+        F.concat(code, F.lit("-\t")).alias("subject_code"),
+        F.concat(F.lit("_"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("session_id"),
+        F.lit("from legacy").alias("info"),
+    )
+    vip = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("ID "), F.lit("1").alias("session_id"),
+        F.lit("from vip").alias("info"),
+    )
+    cardiff = table(spark, sf, "supplier").select(
+        F.col("s_name").alias("full_name"), F.col("s_nationkey").alias("session_id"),
+        F.lit("from cardiff").alias("info"),
+    )
+    return main, {"legacy": legacy, "legacy_vip": vip, "cardiff": cardiff}
+
+
+_MULTI = """
     WITH raw AS (
         SELECT 0 AS p, 'S' || o_custkey AS subject_code,
                lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS session_id, NULL AS source,
@@ -344,31 +370,56 @@ def questionnaire(spark, sf):
         FROM supplier)
     SELECT subject_code, session_id, source, info FROM raw
     QUALIFY row_number() OVER (PARTITION BY subject_code, session_id ORDER BY p DESC) = 1
-    """,
+    """
+
+
+@query(
+    "s13_multi_registry",
+    _MULTI,
 )
 def multi_registry(spark, sf):
+    main, extras = _registries(spark, sf)
+    return combine_registries(main, extras).select("subject_code", "session_id", "source", "info")
+
+
+@query("s13_registry_files", _MULTI.replace("""
+        UNION ALL
+        SELECT 4,""", """
+        UNION ALL
+        SELECT 3, 'S' || o_custkey, lpad(CAST(o_orderkey AS VARCHAR), 12, '0'), 'legacy_repeated',
+               'scanned again' FROM orders WHERE o_orderpriority = '5-LOW'
+        UNION ALL
+        SELECT 4,"""))
+def registry_files(spark, sf):
+    """The same from CSV files, with the repeated sessions; a file that isn't there is skipped."""
+    main, extras = _registries(spark, sf)
     orders = table(spark, sf, "orders")
-    code = F.concat(F.lit("S_"), F.col("o_custkey").cast("string"))
-    main = orders.select(
-        F.when(F.col("o_custkey") % 7 == 0, "00-00").otherwise(code).alias("subject_code"),
-        F.col("o_orderkey").cast("string").alias("session_id"),
-        F.col("o_orderpriority").alias("info"),
-    )
-    legacy = orders.where("o_orderstatus = 'P'").select(
-        F.concat(code, F.lit("-\t")).alias("subject_code"),
-        F.concat(F.lit("_"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("session_id"),
-        F.lit("from legacy").alias("info"),
-    )
-    vip = table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("ID "), F.lit("1").alias("session_id"),
-        F.lit("from vip").alias("info"),
+    extras["legacy_repeated"] = orders.where("o_orderpriority = '5-LOW'").select(
+        F.col("o_orderkey").alias("_c0"), F.concat(F.lit("S-"), "o_custkey").alias("subject_code"),
+        F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("session_id"),
+        F.lit("scanned again").alias("info"),
     )
-    cardiff = table(spark, sf, "supplier").select(
-        F.col("s_name").alias("full_name"), F.col("s_nationkey").alias("session_id"),
-        F.lit("from cardiff").alias("info"),
+    paths = {name: _as_csv(df, name) for name, df in extras.items() if name != "cardiff"}
+    paths["cardiff"] = scratch_path(spark, "not-written")
+    absent = read_registries(spark, _as_csv(main, "main"), paths)
+    paths["cardiff"] = _as_csv(extras["cardiff"], "cardiff")
+    whole = read_registries(spark, _as_csv(main, "main"), paths)
+    assert "_c0" not in whole.columns and absent.columns == [c for c in whole.columns if c != "full_name"]
+    return whole.select("subject_code", "session_id", "source", "info")
+
+
+@query(
+    "s12_lookup_file",
+    "SELECT p_partkey AS index, '0' || p_size AS label, p_type AS network_label, p_brand AS label_7network FROM part",
+)
+def lookup_file(spark, sf):
+    """A region lookup table from a TSV file; labels keep their leading zeros."""
+    regions = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("index"), F.concat(F.lit("0"), F.col("p_size").cast("string")).alias("label"),
+        F.col("p_type").alias("network_label"), F.col("p_brand").alias("label_7network"),
     )
-    joined = combine_registries(main, {"legacy": legacy, "legacy_vip": vip, "cardiff": cardiff})
-    return joined.select("subject_code", "session_id", "source", "info")
+    found = read_region_lookup(spark, _as_csv(regions, "lookup", "\t"))
+    return found.withColumn("index", F.col("index").cast("bigint"))
 
 
 @query(

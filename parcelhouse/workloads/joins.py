@@ -203,26 +203,25 @@ def semi(spark, sf):
     )
 
 
+_EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
 @query(
     "j09_concat",
     with_(
         e=LONG_EVENTS,
-        a="SELECT subject_code, session_id, max(mean) AS top FROM e WHERE label = 'click' GROUP BY ALL",
-        b="SELECT subject_code, session_id, min(mean) AS low FROM e WHERE label = 'error' GROUP BY ALL",
-    ) + """
-    SELECT coalesce(a.subject_code, b.subject_code) AS subject_code,
-           coalesce(a.session_id, b.session_id) AS session_id,
-           top AS click_top, low AS error_low
-    FROM a FULL JOIN b ON a.subject_code = b.subject_code AND a.session_id = b.session_id
-    """,
+        n="SELECT subject_code, session_id, label, max(mean) AS top, min(mean) AS low, count(*) AS n "
+          "FROM e GROUP BY ALL",
+    ) + "SELECT subject_code, session_id, " + ", ".join(
+        f"max({v}) FILTER (WHERE label = '{t}') AS {t}_{v}" for t in _EVENT_TYPES for v in ("top", "low", "n")
+    ) + " FROM n GROUP BY ALL",
 )
 def concat(spark, sf):
-    ev = long_events(spark, sf)
-    tables = {
-        "click": ev.where("label = 'click'").groupBy(*KEYS).agg(F.max("mean").alias("top")),
-        "error": ev.where("label = 'error'").groupBy(*KEYS).agg(F.min("mean").alias("low")),
-    }
-    return full_outer(tables)
+    """One table for each event type, side by side."""
+    summed = long_events(spark, sf).groupBy(*KEYS, "label").agg(
+        F.max("mean").alias("top"), F.min("mean").alias("low"), F.count("*").alias("n")
+    )
+    return full_outer({t: summed.where(F.col("label") == t).drop("label") for t in _EVENT_TYPES})
 
 
 @query(

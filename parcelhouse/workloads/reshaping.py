@@ -121,41 +121,40 @@ def combined(spark, sf):
     return combined_anatomical(long_tissue(spark, sf), order=TISSUE_ORDER)
 
 
+_BY_YEAR = "SELECT * REPLACE (CAST(year(shipdate) AS VARCHAR) AS session_id) FROM (" + LONG_DIFFUSION + ")"
+
+
 @query(
     "r04_combined",
     with_(
-        l=f"SELECT *, workflow || '_' || model || '_' || param || '_' || label AS f "
-        f"FROM ({LONG_DIFFUSION}) WHERE workflow IN ('A', 'R')"
+        l=f"SELECT *, workflow || '_' || model || '_' || param || '_' || label AS f FROM ({_BY_YEAR})"
     ) + _pivot_sql(
         "f", "mean",
-        [f"{w}_{m}_{p}_{b}" for w in "AR" for m in "FO" for p in _TYPES for b in _BRANDS],
-        _rank(DIFFUSION_ORDER), "subject_code",
+        [f"{w}_{m}_{p}_{b}" for w in "ANR" for m in "FO" for p in _TYPES for b in _BRANDS],
+        _rank(DIFFUSION_ORDER),
     ),
 )
 def combined_diff(spark, sf):
-    rows = long_diffusion(spark, sf).where(F.col("workflow").isin("A", "R"))
-    names = F.concat_ws("_", "workflow", "model", "param", "label")
-    return to_wide(
-        rows.withColumn("_feature", names), "_feature", "mean", order=DIFFUSION_ORDER,
-        index=["subject_code"],
-    )
+    """All workflows, models, parameters and regions; a session is a supplier's year."""
+    rows = long_diffusion(spark, sf).withColumn("session_id", F.year("shipdate").cast("string"))
+    return combined_diffusion(rows.withColumnRenamed("label", "name"), order=DIFFUSION_ORDER)
 
 
 @query(
     "r04_combined_sessions",
     with_(
         l=f"SELECT *, workflow || '_' || model || '_' || param || '_' || linenumber AS f "
-        f"FROM (SELECT *, CAST(voxel_count AS VARCHAR) AS linenumber FROM ({LONG_DIFFUSION})) "
-        "WHERE workflow = 'N'"
+        f"FROM (SELECT *, CAST(voxel_count AS VARCHAR) AS linenumber FROM ({LONG_DIFFUSION}))"
     ) + _pivot_sql(
         "f", "mean",
-        [f"N_{m}_{p}_{b}" for m in "FO" for p in _TYPES for b in range(1, 8)],
+        [f"{w}_{m}_{p}_{b}" for w in "ANR" for m in "FO" for p in _TYPES for b in range(1, 8)],
         _rank(DIFFUSION_ORDER),
     ),
 )
 def combined_sessions(spark, sf):
+    """All workflows and all sessions; regions are the line numbers."""
     rows = long_diffusion(spark, sf).withColumn("name", F.col("voxel_count").cast("string"))
-    return combined_diffusion(rows, workflows=["N"], order=DIFFUSION_ORDER)
+    return combined_diffusion(rows, order=DIFFUSION_ORDER)
 
 
 @query(

@@ -731,6 +731,22 @@ def metrics_tidy(spark, sf):
     )
 
 
+@query(
+    "c05_published",
+    with_(l=LONG_TISSUE, s=SESSIONS) + """
+    , f AS (SELECT m, count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.modality = m
+              AND l.subject_code = s.subject_code AND l.session_id = s.session_id)) AS n
+            FROM s, (VALUES ('gm'), ('wm'), ('ct')) AS t(m) GROUP BY ALL)
+    SELECT true AS valid, 0::BIGINT AS n_errors, 5 + count(*) FILTER (WHERE n > 0) AS n_warnings,
+           (SELECT count(*) FROM s) AS n_subjects, 21::BIGINT AS n_anatomical_features,
+           0::BIGINT AS n_diffusion_features FROM f
+    """,
+)
+def published_summary(spark, sf):
+    """Optional fields are missing and sessions lack features: warnings, no errors."""
+    return _published(spark, sf).validate(required=("AGE",))[1]
+
+
 @query("c04_subjects", with_(s=SESSIONS) + f"SELECT DISTINCT {_ID} FROM s")
 def subjects(spark, sf):
     return _published(spark, sf).subject_ids()

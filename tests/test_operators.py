@@ -248,6 +248,58 @@ def test_validation_report_finds_missing_columns(spark):
     }
 
 
+def test_validation_looks_closer_where_ids_differ(spark):
+    ids = lambda *values: spark.createDataFrame([(v,) for v in values], "participant_id string")
+    meta = ids("1", "2", "3")
+    tables = {
+        "same": ids("3", "1", "2"), "short": ids("1", "2"), "twice": ids("1", "2", "3", "3"),
+        "other": ids("1", "2", "4"), "null": ids("1", "2", "3", None),
+    }
+    got = {(r.severity, r.rule, r.dataset, r.n) for r in validation_report(tables, meta, optional=("sex",)).collect()}
+    assert got == {
+        ("warning", "missing optional column", "metadata", 1), ("warning", "id without features", "short", 1),
+        ("error", "duplicate id", "twice", 1), ("error", "id without metadata", "other", 1),
+        ("warning", "id without features", "other", 1), ("error", "null id", "null", 1),
+    }
+    # Metadata with faults of its own is no measure: every table is looked at.
+    got = {(r.rule, r.dataset) for r in validation_report({"gm": ids("1", "1")}, ids("1", "1")).collect()}
+    assert got == {("duplicate id", "metadata"), ("duplicate id", "gm")}
+    assert validation_report({"gm": meta}, meta).count() == 0
+
+
+def test_tables_side_by_side(spark):
+    frames = {
+        "a": spark.createDataFrame([("1", "x", 1.0), ("2", "x", None)], "subject_code string, session_id string, v double"),
+        "b": spark.createDataFrame([("2", "x", "t"), ("3", "y", "u")], "subject_code string, session_id string, v string"),
+        "c": spark.createDataFrame([("9", "z")], "subject_code string, session_id string"),
+    }
+    got = full_outer(frames)
+    assert got.columns == ["subject_code", "session_id", "a_v", "b_v"]
+    assert {tuple(r) for r in got.collect()} == {
+        ("1", "x", 1.0, None), ("2", "x", None, "t"), ("3", "y", None, "u"), ("9", "z", None, None),
+    }
+    plan = full_outer(frames)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    with pytest.raises(Exception, match="table b has several rows"):
+        full_outer({**frames, "b": frames["b"].union(frames["b"])}).collect()
+
+
+def test_correlation_of_many_columns(spark):
+    rng = np.random.default_rng(1)
+    base = rng.normal(1e6, 1, (300, 1)) + rng.normal(0, 1, (300, 60))
+    frame = pd.DataFrame(base, columns=[f"r.{i}" for i in range(60)])
+    frame = frame.mask(rng.random(frame.shape) < 0.2)
+    frame["flat"], frame["none"] = 2.0, None
+    frame["none"] = frame["none"].astype(float)
+    df = spark.createDataFrame(frame.astype(object).where(frame.notna(), None).values.tolist(),
+                               ", ".join(f"`{c}` double" for c in frame.columns)).repartition(5)
+    got = {(r.a, r.b): r.r for r in profile.correlation(df, list(frame.columns)).collect()}
+    want = frame.corr()
+    assert len(got) == 62 * 62
+    for (a, b), r in got.items():
+        assert (r is None) if np.isnan(want.loc[a, b]) else np.isclose(r, want.loc[a, b], atol=1e-7)
+
+
 def test_union_fills_missing_columns(spark):
     a = spark.createDataFrame([(1,)], "x int")
     b = spark.createDataFrame([("s",)], "y string")

@@ -387,6 +387,33 @@ def test_whole_load(spark, root):
     assert store.summary().first().n_sessions == 2
 
 
+def test_old_contract_versions_and_scratch_are_removed(spark, root):
+    from parcelhouse.plans.published import PublishedDataset
+    from parcelhouse.plans.scratch import clear_scratch, materialize, scratch_root
+
+    data = PublishedDataset(spark, root)
+    for value in (1.0, 2.0):
+        rows = spark.createDataFrame([("1_a", value)], "participant_id string, x double")
+        data.write_features(rows, "anatomical", "gm", "mean")
+    data.write_metadata(rows.drop("x"))
+    assert len(data.retain(1)) == 1 and data.retain(1) == []
+    assert data.get_features("anatomical", "gm", "mean").first().x == 2.0
+    report, summary = data.validate(optional=("sex",))
+    assert [r.rule for r in report.collect()] == ["missing optional column"]
+    assert summary.first().asDict() == {
+        "valid": True, "n_errors": 0, "n_warnings": 1, "n_subjects": 1,
+        "n_anatomical_features": 1, "n_diffusion_features": 0,
+    }
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", root + "/shared")
+    try:
+        assert scratch_root(spark) == root + "/shared"
+        materialize(spark.range(3), "some")
+        assert clear_scratch(spark, 1.0) == 0 and clear_scratch(spark, -1.0) == 1
+    finally:
+        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
+
+
 def test_manifest_export(spark, root):
     store = FeatureStore(spark, root)
     store.save_anatomical_long(_rows(spark, ("1", "a", "x", 1.0, 1)), "gm")
