@@ -3,7 +3,8 @@
 A rolling hash of 24 bytes gives the triggers: the least hash among the 27 inside a string of
 50 bytes. Consecutive 50-byte strings with one trigger make a phrase, and neighbouring phrases
 overlap by 49 bytes, so every 50-byte string lies in exactly one phrase of its text and
-equal strings lie in phrases of equal triggers. A phrase is a few dozen bytes, whatever the text.
+equal strings lie in phrases of equal triggers. A phrase is a few dozen bytes, but as long as a run of
+one character.
 
 1. Every text is parsed once. Within a task, a phrase is sent on for its smallest document
    only (later ones are repeats already), so a passage that a third of all texts hold sends one entry a task.
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelhouse.llm.scratch_tables import written
-from parcelhouse.llm.text_arrays import Roller, blocks
+from parcelhouse.llm.text_arrays import Roller, blocks, mix
 
 LENGTH, TRIGGER = 50, 24
 _WINDOW = LENGTH - TRIGGER + 1
@@ -47,6 +48,11 @@ _NONE = np.uint64((1 << 64) - 1)
 _WHOLE, _DETAIL = 0, 1
 
 
+def _home(doc: np.ndarray, check: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of a text; rows that share an id (or have none) are spread by their texts."""
+    return (doc % buckets + check.astype(np.int64)) % buckets
+
+
 def _slide(op, x: np.ndarray, width: int) -> np.ndarray:
     """``op`` over every run of ``width`` neighbours, by doubling."""
     done, out = 1, x
@@ -147,12 +153,13 @@ def _parsed(bits: int, buckets: int):
             ([True], (trigger[1:] != trigger[:-1]) | (phrase[1:] != phrase[:-1])))
         least = doc[new][np.cumsum(new) - 1]
         own = doc == least
-        key = trigger[own]
+        # A least hash has few high bits; mixed, triggers fill all parts alike.
+        key = mix(trigger[own])
         yield _dealt(0, (key >> shift).astype(np.int64), doc[own], key & low,
                      phrase[own] >> np.uint64(16), check[own], at[own], count[own])
         if not own.all():
             late = ~own
-            yield _dealt(0, -1 - doc[late] % buckets, doc[late], check[late], at[late], count[late])
+            yield _dealt(0, -1 - _home(doc[late], check[late], buckets), doc[late], check[late], at[late], count[late])
 
     def parsed(batches):
         roller, held, size = Roller(), [], 0
@@ -180,7 +187,7 @@ def _compared(buckets: int):
         if part < 0:
             doc, check, at, count = _gathered(table, 4)
             return pa.Table.from_batches(
-                [_dealt(_WHOLE, doc % buckets, doc, check, at, count, np.zeros_like(at))])
+                [_dealt(_WHOLE, _home(doc, check, buckets), doc, check, at, count, np.zeros_like(at))])
         doc, trigger, phrase, check, at, count = _gathered(table, 6)
         order = np.lexsort((doc, phrase, trigger))
         doc, trigger, phrase, check, at, count = (
@@ -191,14 +198,14 @@ def _compared(buckets: int):
         out = []
         if not own.all():
             x = ~own
-            out.append(_dealt(_WHOLE, doc[x] % buckets, doc[x], check[x], at[x], count[x],
+            out.append(_dealt(_WHOLE, _home(doc[x], check[x], buckets), doc[x], check[x], at[x], count[x],
                               np.zeros(int(x.sum()), np.uint64)))
         first = np.flatnonzero(new_trigger)
         owners = np.where(own, doc, doc[new][np.cumsum(new) - 1])
         several = np.minimum.reduceat(owners, first) < np.maximum.reduceat(owners, first)
         x = own & several[np.cumsum(new_trigger) - 1]
         if x.any():
-            out.append(_dealt(_DETAIL, doc[x] % buckets, doc[x], check[x], at[x], count[x],
+            out.append(_dealt(_DETAIL, _home(doc[x], check[x], buckets), doc[x], check[x], at[x], count[x],
                               (np.uint64(part) << np.uint64(40)) | trigger[x]))
         return pa.Table.from_batches(out or [_rows([], [], [], [], [])])
 
@@ -290,7 +297,7 @@ def _settled(buckets: int):
         size = np.diff(np.concatenate((first, [len(new)])))
         which, start = which[first], start[first]
         return pa.Table.from_batches([_dealt(
-            _WHOLE, doc[which] % buckets, doc[which], check[which].astype(np.uint64),
+            _WHOLE, _home(doc[which], check[which], buckets), doc[which], check[which].astype(np.uint64),
             start.astype(np.uint64), size.astype(np.uint64), np.zeros(len(size), np.uint64))])
 
     return settled
@@ -352,7 +359,8 @@ def repeated_passages(docs: DataFrame, carry: tuple[str, ...] = (), keep_text: b
     entries = texts.select("doc_id", "text", "check").mapInArrow(_parsed(bits, buckets), _ROW)
     found = written(entries.groupBy("part").applyInArrow(_compared(buckets), _ROW), "phrases")
 
-    placed = texts.withColumn("part", F.pmod(F.col("doc_id"), F.lit(buckets)).cast("int"))
+    home = F.pmod(F.pmod(F.col("doc_id"), F.lit(buckets)) + F.col("check"), F.lit(buckets))
+    placed = texts.withColumn("part", home.cast("int"))
     whole, detail = (found.where(F.col("kind") == k) for k in (_WHOLE, _DETAIL))
     phrases = placed.drop("row").groupBy("part").cogroup(detail.groupBy("part")).applyInArrow(
         _fetched, _PHRASE)
