@@ -95,11 +95,8 @@ def token_store(spark, sf_dir):
 
     store = store_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
-    return (
-        store.digests(store.contents).join(store.starts(), "shard")
-        .join(store.contents.select("key", "doc_id"), "key")
-        .select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
-    )
+    return store.digests(store.ids()).join(store.starts(), "shard").select(
+        "doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
 @query("op3_sentencepiece")

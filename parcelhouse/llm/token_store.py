@@ -2,19 +2,23 @@
 
 Documents are dealt in ranges of ``doc_id`` and each task writes its ids, in that order, as raw
 little-endian numbers behind a short header. Files get fresh names; only those that the table
-of contents names count, so a task may be run again at any time. The contents of a document
-are addressed by a key. Keys are dealt to index parts, and each part holds a
+of contents names count, so a task may be run again at any time.
+
+An index finds documents by their ids. A document's key is a bijective hash of its id (and, where rows share an
+id, their number in it), so distinct ids never share a key. Keys are dealt to index parts, and each part holds a
 minimal perfect hash: levels of bit arrays in which a key owns a bit that no other key of the
-level shares; the rank of its bit is its slot, and the slot has a fingerprint, the shard and the
-place. A lookup touches a few bits and one slot, whatever the size of the store; a key that is
+level shares; the rank of its bit is its slot, and the slot has a fingerprint, how many rows share the id, the shard and the
+place. A lookup touches a few bits and one slot, whatever the size of the store; an id that is
 not there fails its fingerprint, save one in 2**32.
 
 Files go to any file system Arrow reaches, below the shared scratch folder unless ``root``
 says otherwise.
 
 Defined results: a null text is an empty one; every text ends with the end id, so an empty one
-has that id alone; rows that share an id are stored each (equal rows one after the other);
-missing ids come first. Only ``doc_id`` and ``text`` are read.
+has that id alone; rows that share an id are stored each, ordered by the hash of their texts, and a lookup of the id
+finds them all; missing ids come first and are looked up as null. Two entries with one key, which only further rows of an id
+can give, raise an error instead of losing one. An empty table gives an empty store. Texts of any length are stored
+whole, a text being one block of a task. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -39,8 +43,10 @@ _BLOCK = 2 << 20
 _PART_KEYS = 50_000
 #: Bits of a level for each of its keys, and levels before the few keys left are listed.
 _GAMMA, _LEVELS = 2, 40
-_ENTRY = ("shard string, doc_id bigint, key bigint, offset bigint, n_tokens bigint, "
-          "low bigint, seen bigint")
+_ENTRY = ("shard string, piece int, task int, doc_id bigint, inside bigint, offset bigint, "
+          "n_tokens bigint")
+#: What stands for a missing id before hashing.
+_MISSING = np.uint64(0x6E756C6C206964)
 
 
 def width_of(vocabulary: int) -> int:
@@ -57,9 +63,23 @@ class _Shard:
         self.at = _HEADER
 
 
+def keys_of(docs, nth: np.ndarray) -> np.ndarray:
+    """Keys of ids (``None`` for a missing one) and the number of a row among those of its id."""
+    missing = np.array([d is None for d in docs], bool)
+    ids = np.array([0 if d is None else d for d in docs], np.int64).view(np.uint64)
+    return mix(mix(np.where(missing, ids ^ _MISSING, ids)) + _STEP * (2 * nth.astype(np.uint64) + missing))
+
+
+#: Odd, so that steps from one key don't meet early.
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
 def _writing(root: str, path: str, end_id: int):
     def write(batches):
-        coder, shard, last, seen = encoder(path), None, None, 0
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
+        coder, shard, piece, last, seen = encoder(path), None, -1, (), 0
         width = width_of(coder.size)
         for block in blocks(batches, size=_BLOCK):
             ids, count = coder.encode(block)
@@ -71,24 +91,21 @@ def _writing(root: str, path: str, end_id: int):
             if shard is None or shard.at > _SHARD_BYTES:
                 if shard:
                     shard.out.close()
-                shard = _Shard(root, width)
+                shard, piece = _Shard(root, width), piece + 1
             shard.out.write(out.tobytes())
             offset = shard.at + (np.cumsum(count) - count) * width
             shard.at += int(count.sum()) * width
-            docs, text_hash = (block.column(c).to_pylist() for c in ("doc_id", "text_hash"))
-            nth = []
-            for row in zip(docs, text_hash):
-                seen = seen + 1 if row == last else 0
-                last = row
-                nth.append(seen)
-            key = mix(np.array([d or 0 for d in docs], np.int64).view(np.uint64))
-            key = mix(key + np.array(text_hash, np.int64).view(np.uint64))
-            key = mix(key + np.array(nth, np.uint64)).view(np.int64)
+            docs = block.column("doc_id").to_pylist()
+            inside = []
+            for doc in docs:
+                seen = seen + 1 if (doc,) == last else 0
+                last = (doc,)
+                inside.append(seen)
             yield pa.RecordBatch.from_arrays([
-                pa.array([shard.name] * n), pa.array(docs, pa.int64()), pa.array(key),
-                pa.array(offset.astype(np.int64)), pa.array(count),
-                pa.array(text_hash, pa.int64()), pa.array(nth, pa.int64()),
-            ], names=["shard", "doc_id", "key", "offset", "n_tokens", "low", "seen"])
+                pa.array([shard.name] * n), pa.array([piece] * n, pa.int32()),
+                pa.array([task] * n, pa.int32()), pa.array(docs, pa.int64()),
+                pa.array(inside, pa.int64()), pa.array(offset.astype(np.int64)), pa.array(count),
+            ], names=["shard", "piece", "task", "doc_id", "inside", "offset", "n_tokens"])
         if shard:
             shard.out.close()
 
@@ -138,36 +155,41 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
 
 
 _INDEX = ("part int, sizes array<int>, bits binary, rest binary, fingerprints binary, "
-          "shards array<string>, shard binary, offset binary, n_tokens binary")
+          "shards array<string>, shard binary, offset binary, n_tokens binary, rows binary")
 
 
 def _index(key, table):
-    keys = table.column("key").to_numpy().view(np.uint64)
-    keys, first = np.unique(keys, return_index=True)
-    sizes, bits, rest = perfect_hash(keys)
-    order = np.empty(len(keys), np.int64)
-    order[slots(keys, sizes, bits, rest)] = np.arange(len(keys))
+    keys = keys_of(table.column("doc_id").to_pylist(), table.column("nth").to_numpy())
+    unique, first = np.unique(keys, return_index=True)
+    if len(unique) < len(keys):
+        raise ValueError(f"two entries of index part {key[0].as_py()} share a key")
+    sizes, bits, rest = perfect_hash(unique)
+    order = np.empty(len(unique), np.int64)
+    order[slots(unique, sizes, bits, rest)] = np.arange(len(unique))
     pick = first[order]
     names, shard = np.unique(table.column("shard").to_numpy(zero_copy_only=False), return_inverse=True)
+
+    def held(column):
+        return [table.column(column).to_numpy()[pick].tobytes()]
+
     return pa.table({
         "part": pa.array([key[0].as_py()], pa.int32()),
         "sizes": pa.array([sizes], pa.list_(pa.int32())),
         "bits": [np.packbits(bits).tobytes()], "rest": [rest.tobytes()],
-        "fingerprints": [fingerprints(keys[order]).tobytes()],
+        "fingerprints": [fingerprints(unique[order]).tobytes()],
         "shards": [[str(x) for x in names]],
         "shard": [shard[pick].astype(np.uint32).tobytes()],
-        "offset": [table.column("offset").to_numpy()[pick].tobytes()],
-        "n_tokens": [table.column("n_tokens").to_numpy()[pick].tobytes()],
+        "offset": held("offset"), "n_tokens": held("n_tokens"), "rows": held("rows"),
     })
 
 
-_PLACE = "key bigint, shard string, offset bigint, n_tokens bigint"
+_PLACE = "doc_id bigint, nth bigint, shard string, offset bigint, n_tokens bigint, rows bigint"
 
 
 def _found(key, wanted, index):
-    keys = wanted.column("key").to_numpy().view(np.uint64)
-    shard, offset, count = (np.zeros(len(keys), object), np.zeros(len(keys), np.int64),
-                            np.zeros(len(keys), np.int64))
+    keys = keys_of(wanted.column("doc_id").to_pylist(), wanted.column("nth").to_numpy())
+    names = ("offset", "n_tokens", "rows")
+    shard, numbers = np.zeros(len(keys), object), {c: np.zeros(len(keys), np.int64) for c in names}
     hit = np.zeros(len(keys), bool)
     if index.num_rows and len(keys):
         row = {c: index.column(c)[0].as_py() for c in index.column_names}
@@ -179,12 +201,14 @@ def _found(key, wanted, index):
         hit[hit] = marks[slot[hit]] == fingerprints(keys[hit])
         at = slot[hit]
         shard[hit] = np.array(row["shards"], object)[np.frombuffer(row["shard"], np.uint32)[at]]
-        offset[hit] = np.frombuffer(row["offset"], np.int64)[at]
-        count[hit] = np.frombuffer(row["n_tokens"], np.int64)[at]
+        for c in names:
+            numbers[c][hit] = np.frombuffer(row[c], np.int64)[at]
+    keep = pa.array(hit)
     return pa.table({
-        "key": wanted.column("key").combine_chunks().filter(pa.array(hit)),
-        "shard": pa.array(shard[hit], pa.string()), "offset": pa.array(offset[hit]),
-        "n_tokens": pa.array(count[hit]),
+        "doc_id": wanted.column("doc_id").combine_chunks().filter(keep),
+        "nth": wanted.column("nth").combine_chunks().filter(keep),
+        "shard": pa.array(shard[hit], pa.string()),
+        **{c: pa.array(numbers[c][hit]) for c in names},
     })
 
 
@@ -204,7 +228,7 @@ def _reading(root: str):
                 first.append((offset - _HEADER) // width)
                 crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
         return pa.table({
-            "key": table.column("key"), "shard": table.column("shard"),
+            "doc_id": table.column("doc_id"), "nth": table.column("nth"), "shard": table.column("shard"),
             "inside": pa.array(first, pa.int64()), "n_tokens": table.column("n_tokens"),
             "ids_crc32": pa.array(crc, pa.int64()),
         })
@@ -219,27 +243,66 @@ class TokenStore:
     def __init__(self, root: str, contents: DataFrame, index: DataFrame, parts: int):
         self.root, self.contents, self.index, self.parts = root, contents, index, parts
 
-    def _part(self):
-        return F.pmod(F.xxhash64("key"), F.lit(self.parts)).cast("int")
+    def part_of(self):
+        """The index part of a row; a further row of an id has a part of its own."""
+        return F.pmod(F.xxhash64("doc_id", "nth"), F.lit(self.parts)).cast("int")
 
-    def locate(self, keys: DataFrame) -> DataFrame:
-        """Shard, byte offset and length of each ``key``; keys not in the store give no row."""
-        wanted = keys.select("key").withColumn("part", self._part())
+    def _looked_up(self, wanted: DataFrame) -> DataFrame:
+        wanted = wanted.select("doc_id", "nth").withColumn("part", self.part_of())
         return wanted.groupBy("part").cogroup(self.index.groupBy("part")).applyInArrow(_found, _PLACE)
 
-    def digests(self, keys: DataFrame) -> DataFrame:
-        """What the files hold for each ``key``: place in its shard, number and crc of its ids."""
-        return self.locate(keys).groupBy("shard").applyInArrow(
+    def locate(self, ids: DataFrame) -> DataFrame:
+        """Shard, byte offset and length of every row of each ``doc_id`` (null: those without id),
+        numbered by ``nth``; ids not in the store give no row."""
+        first = self._looked_up(ids.select(
+            F.col("doc_id").cast("bigint").alias("doc_id"), F.lit(0).cast("bigint").alias("nth")))
+        first = written(first, "located")
+        more = first.where("rows > 1").select(
+            "doc_id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows") - 1)).alias("nth"))
+        return first.unionByName(self._looked_up(more)).drop("rows")
+
+    def digests(self, ids: DataFrame) -> DataFrame:
+        """What the files hold for each ``doc_id``: place in its shard, number and crc of its ids."""
+        return self.locate(ids).groupBy("shard").applyInArrow(
             _reading(self.root),
-            "key bigint, shard string, inside bigint, n_tokens bigint, ids_crc32 bigint")
+            "doc_id bigint, nth bigint, shard string, inside bigint, n_tokens bigint, ids_crc32 bigint")
+
+    def ids(self) -> DataFrame:
+        """Every id of the store once."""
+        return self.contents.where("nth = 0").select("doc_id")
 
     def starts(self) -> DataFrame:
-        """Tokens before each shard: shards follow each other in document order."""
-        shards = self.contents.groupBy("shard").agg(
-            F.sum("n_tokens").alias("n"),
-            F.min(F.struct("doc_id", "low", "seen")).alias("first"))
-        before = Window.orderBy(F.col("first").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-        return shards.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+        """Tokens before each shard: shards follow each other by task, then by number. One row a task
+        is ordered as a whole."""
+        shards = self.contents.groupBy("task", "piece", "shard").agg(F.sum("n_tokens").alias("n"))
+        before = Window.rowsBetween(Window.unboundedPreceding, -1)
+        tasks = shards.groupBy("task").agg(F.sum("n").alias("n"))
+        tasks = tasks.select("task", F.coalesce(
+            F.sum("n").over(before.orderBy("task")), F.lit(0)).alias("earlier"))
+        own = F.coalesce(F.sum("n").over(before.partitionBy("task").orderBy("piece")), F.lit(0))
+        return shards.withColumn("own", own).join(tasks, "task").select(
+            "shard", (F.col("own") + F.col("earlier")).alias("base"))
+
+
+def _numbered(entries: DataFrame) -> DataFrame:
+    """Entries with ``nth``, their number among all rows of their id, and ``rows``, how many there are.
+
+    Only ids with several rows are looked at, and of those that several tasks wrote one row for each task.
+    """
+    sizes = entries.groupBy("doc_id", "task").agg((F.max("inside") + 1).alias("n"))
+    id_ = Window.partitionBy("doc_id")
+    several = sizes.withColumns({
+        "rows": F.sum("n").over(id_),
+        "before": F.coalesce(
+            F.sum("n").over(id_.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+    }).where("rows > 1")
+    several = written(several.select(
+        F.col("doc_id").alias("_id"), F.col("task").alias("_task"), "rows", "before"), "shared-ids")
+    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("task") == F.col("_task"))
+    return entries.join(several, match, "left").select(
+        "shard", "piece", "task", "doc_id", "offset", "n_tokens",
+        (F.col("inside") + F.coalesce("before", F.lit(0))).alias("nth"),
+        F.coalesce("rows", F.lit(1)).cast("bigint").alias("rows"))
 
 
 def store_tokens(docs: DataFrame, path: str, end_id: int = 0, root: str = None) -> TokenStore:
@@ -249,9 +312,10 @@ def store_tokens(docs: DataFrame, path: str, end_id: int = 0, root: str = None)
         F.col("doc_id").cast("bigint").alias("doc_id"), "text",
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     rows = rows.repartitionByRange("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash")
-    contents = written(rows.mapInArrow(_writing(root, path, end_id), _ENTRY), "contents")
+    entries = written(rows.mapInArrow(_writing(root, path, end_id), _ENTRY), "entries")
+    contents = written(_numbered(entries), "contents")
     parts = contents.count() // _PART_KEYS + 1
     store = TokenStore(root, contents, None, parts)
-    keyed = contents.select("key", "shard", "offset", "n_tokens").withColumn("part", store._part())
+    keyed = contents.select("doc_id", "nth", "shard", "offset", "n_tokens", "rows").withColumn("part", store.part_of())
     store.index = written(keyed.groupBy("part").applyInArrow(_index, _INDEX), "index")
     return store

@@ -221,8 +221,7 @@ def test_token_store(docs, rows, empty, root):
 
     tokenizer = Tokenizer.from_file(BPE)
     store = store_tokens(docs, BPE, root=root)
-    got = (store.digests(store.contents).join(store.starts(), "shard")
-           .join(store.contents.select("key", "doc_id"), "key")
+    got = (store.digests(store.ids()).join(store.starts(), "shard")
            .select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32").collect())
     ids = collections.defaultdict(list)
     for r in rows:
@@ -236,10 +235,40 @@ def test_token_store(docs, rows, empty, root):
         at += g["n_tokens"]
     order = [key(g["doc_id"]) for g in sorted(got, key=lambda g: g["start"])]
     assert order == sorted(order, key=lambda k: (not k[0][0], k))
-    absent = docs.sparkSession.range(2000).select((F.col("id") * 7919 + 3).alias("key"))
+    absent = docs.sparkSession.range(2000).select((F.col("id") * 7919 + 1000).alias("doc_id"))
     assert store.locate(absent).count() == 0
+    for doc_id in (5, 8, None):
+        wanted = docs.sparkSession.createDataFrame([(doc_id,)], "doc_id long")
+        found = sorted((r.n_tokens, r.ids_crc32) for r in store.digests(wanted).collect())
+        assert found == sorted(ids[doc_id]) and len(found) == 2
     none = store_tokens(empty, BPE, root=root)
-    assert none.digests(none.contents).count() == 0
+    assert none.digests(none.ids()).count() == 0
+
+
+def test_token_store_tells_a_missing_id_from_zero(spark, root):
+    from parcelhouse.llm.token_store import store_tokens
+
+    rows = [(0, "same text"), (None, "same text"), (3, "x"), (0, "same text"), *[(7, "hot")] * 300, *[(None, "x")] * 40]
+    rows += [(-1, "x"), ((1 << 63) - 1, "x"), (-(1 << 63), "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    # Many small ranges: rows of one id are written by several tasks.
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store = store_tokens(df, BPE, root=root)
+        got = store.digests(store.ids()).join(store.starts(), "shard").select(
+            "doc_id", "nth", (F.col("base") + F.col("inside")).alias("start"), "n_tokens").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    count = collections.Counter(r[0] for r in rows)
+    assert collections.Counter(g.doc_id for g in got) == count
+    assert len({(g.doc_id, g.nth) for g in got}) == len(rows) == len({g.start for g in got})
+    at = 0
+    for g in sorted(got, key=lambda g: g.start):
+        assert g.start == at
+        at += g.n_tokens
 
 
 def test_perfect_hash_is_minimal():
