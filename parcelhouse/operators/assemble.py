@@ -27,12 +27,15 @@ def feature_column(feature: str, region: str) -> str:
     return f"{feature}__{region}"
 
 
-def assemble_features(long: DataFrame, features, regions=None, order=None, region="label"):
+def assemble_features(
+    long: DataFrame, features, regions=None, order=None, region="label", unique=False
+):
     """The full outer join of wide features, planned as one filter and one pivot.
 
     Columns are ``{feature}__{region}``. A chain of outer joins gives the same rows but
     shuffles the growing result once per feature. ``regions`` maps feature name to its
-    region list; without it the column list is read from the data.
+    region list; without it the column list is read from the data. ``unique`` says that a key
+    has one row, as published ones have: one shuffle by session is enough then.
     """
     features = list(features)
     if not features:
@@ -56,4 +59,4 @@ def assemble_features(long: DataFrame, features, regions=None, order=None, regio
     columns = None
     if regions is not None:
         columns = [feature_column(f.name, r) for f in features for r in regions[f.name]]
-    return to_wide(named, "_column", "value", columns, order)
+    return to_wide(named, "_column", "value", columns, order, unique=unique)

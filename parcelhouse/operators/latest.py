@@ -33,15 +33,20 @@ def keep_preferred(df: DataFrame, keys, path: Column, patterns, usable: Column)
     preference = F.lit(len(patterns))
     for position in reversed(range(len(patterns))):
         preference = F.when(path.rlike(patterns[position]), position).otherwise(preference)
-    ranked = df.withColumn("_preference", preference).withColumn("_path", path)
-    named = ranked.where(usable & (F.col("_preference") < len(patterns)))
-    # "Any file" means the first one by path, whatever its name.
-    fallback = _first_row(ranked, keys, [F.col("_path").asc()]).withColumn(
-        "_preference", F.lit(len(patterns))
+    rows = df.select(
+        *keys, F.struct("*").alias("_row"), preference.alias("_preference"), path.alias("_path"),
+        F.coalesce(usable, F.lit(False)).alias("_usable"),
     )
-    candidates = named.unionByName(fallback.where(usable))
-    chosen = _first_row(candidates, keys, [F.col("_preference").asc(), F.col("_path").asc()])
-    return chosen.drop("_preference", "_path")
+    named = F.when(
+        F.col("_usable") & (F.col("_preference") < len(patterns)), F.struct("_preference", "_path")
+    )
+    # One grouping, reduced before the shuffle. "Any file" means the first one by path, whatever its name.
+    best = rows.groupBy(*keys).agg(
+        F.min_by("_row", named).alias("_best"),
+        F.min_by(F.struct("_row", "_usable"), F.col("_path")).alias("_any"),
+    )
+    chosen = F.coalesce(F.col("_best"), F.when(F.col("_any._usable"), F.col("_any._row")))
+    return best.select(chosen.alias("_row")).where(F.col("_row").isNotNull()).select("_row.*")
 
 
 def last_values(df: DataFrame, keys, values, order: str) -> DataFrame:

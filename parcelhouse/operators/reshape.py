@@ -14,7 +14,6 @@ from parcelhouse.model import (
     region_column,
     value_column,
 )
-from parcelhouse.plans.scratch import materialize
 
 
 def region_list(df: DataFrame, column: str) -> list:
@@ -26,36 +25,40 @@ def region_list(df: DataFrame, column: str) -> list:
     return names
 
 
+def _first(value: str, order=None) -> Column:
+    if order is None:
+        return F.first(value, ignorenulls=True)
+    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    return F.min_by(F.col(value), F.when(F.col(value).isNotNull(), rank))
+
+
 def first_values(df: DataFrame, keys, values, order=None) -> DataFrame:
     """First non-null value per key and column, in ``order`` if given."""
-    def first(v):
-        if order is None:
-            return F.first(v, ignorenulls=True)
-        rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-        return F.min_by(F.col(v), F.when(F.col(v).isNotNull(), rank))
-
-    return df.groupBy(*keys).agg(*[first(v).alias(v) for v in values])
+    return df.groupBy(*keys).agg(*[_first(v, order).alias(v) for v in values])
 
 
 def to_wide(
-    df: DataFrame, column: str, values, regions=None, order=None, index=SESSION_KEYS
+    df: DataFrame, column: str, values, regions=None, order=None, index=SESSION_KEYS, unique=False
 ) -> DataFrame:
     """One row per ``index``, one column per region (``{region}_{value}`` for several values).
 
     Rows and columns without any value do not appear, and rows with a null key are left out.
+    Where cells are ``unique``, or nearly so, a row's cells are as many as its regions, and one shuffle
+    brings them together.
     """
     values = [values] if isinstance(values, str) else list(values)
     any_value = F.coalesce(*[F.col(v) for v in values]).isNotNull()
     known = df.where(any_value).dropna(subset=[*index, column])
-    cells = first_values(known, [*index, column], values, order)
     if regions is None:
-        # The cells are needed twice then; written, the input is worked through once.
-        cells = materialize(cells, "wide-cells")
-        regions = region_list(cells, column)
+        # Names only: a scan of the columns that decide, reduced before it leaves the tasks.
+        regions = region_list(known, column)
+    if unique:
+        cells, chosen = known, [_first(v, order).alias(v) for v in values]
+    else:
+        cells = first_values(known, [*index, column], values, order)
+        chosen = [F.first(v, ignorenulls=True).alias(v) for v in values]
     together = cells.repartition(*index)
-    return together.groupBy(*index).pivot(column, regions).agg(
-        *[F.first(v, ignorenulls=True).alias(v) for v in values]
-    )
+    return together.groupBy(*index).pivot(column, regions).agg(*chosen)
 
 
 def to_value_map(df: DataFrame, column, value: str, order=None, index=SESSION_KEYS) -> DataFrame:

@@ -682,7 +682,11 @@ class FeatureStore:
         long = longs[0]
         for more in longs[1:]:
             long = long.unionByName(more)
-        wide = assemble_features(long, features, regions, LOAD_ORDER)
+        # Rows of diffusion sources may differ in ``desc`` alone; the order decides between them.
+        several = any(e.source.startswith("diffusion") for e in stored)
+        wide = assemble_features(
+            long, features, regions, LOAD_ORDER if several else None, unique=True
+        )
         return self._with_session_columns(wide, include_metadata, include_tiv)
 
     # -- summary ----------------------------------------------------------------------

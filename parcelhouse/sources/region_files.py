@@ -274,8 +274,10 @@ def scan_diffusion(
 
 
 def discover_workflows(spark, root) -> DataFrame:
-    """Names of the workflows that have files; only the listing is read."""
-    files = list_files(spark, root, "*_parc.tsv")
-    return files.select(
-        F.regexp_extract("file_path", r"/qsirecon-([^/]+)/", 1).alias("workflow")
-    ).where("workflow <> ''").distinct()
+    """Names of the workflows below ``root``: one folder is listed, whatever lies in the others."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/qsirecon-*")
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    names = [s.getPath().getName() for s in found or [] if s.isDirectory()]
+    return spark.createDataFrame(
+        [(n.removeprefix("qsirecon-"),) for n in names if n != "qsirecon-"], "workflow string"
+    )
