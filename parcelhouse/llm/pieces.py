@@ -2,7 +2,8 @@
 
 Pieces and scores come from a SentencePiece model file. Scores of a BPE model are ranks: ``merges``
 joins the neighbours that make the piece of the best score (of equal scores the leftmost), again
-and again, as the library does. Scores of a unigram model are log probabilities: ``viterbi`` finds the pieces
+and again, as the library does. Scores of a unigram model are log probabilities, or are estimated for
+the pieces of any model (``unigram``): ``viterbi`` finds the pieces
 with the greatest sum of scores (of equal sums, the one whose last piece is longest, and so on
 backwards). A character that no piece covers is written as its bytes; in a sum it costs more than any piece.
 Spaces stand for the word mark, and one is put before every text that isn't empty.
@@ -30,7 +31,8 @@ _LONG_RUN = 256
 
 
 class Lexicon:
-    def __init__(self, path: str):
+    def __init__(self, path: str, scores: bytes | None = None):
+        """``scores``: doubles that replace the scores of the file, one for each piece."""
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = model.vocab_size()
         self.size = size
@@ -50,6 +52,8 @@ class Lexicon:
         inner = [k for k in keys if b" " in k.lstrip(b" ") or b"\n" in k]
         if inner or (self.byte_id < 0).any():
             raise ValueError("pieces with inner marks, or without all bytes, can't be cut safely")
+        if scores is not None:
+            self.score[ids] = np.frombuffer(scores, np.float64)[ids]
         #: Piece ``size`` is an uncovered character; the last entry is no piece at all.
         self.score[size] = self.score[ids].min() - 10
         self.longest = max(map(len, keys))

@@ -101,24 +101,28 @@ def token_store(spark, sf_dir):
 
 @query("op3_sentencepiece")
 def sentencepiece_ids(spark, sf_dir):
-    """Ids of every whole text, and whether they decode to it."""
+    """Ids of every whole text by probabilities estimated from all texts, and whether they decode to it."""
     import public_tokenizers
 
     from parcelhouse.llm.sentencepiece_text import encoded
+    from parcelhouse.llm.unigram import estimated_scores
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), merges=True)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return encoded(docs, path, scores=estimated_scores(docs, path))
 
 
 @query("op7_trie_counts")
 def trie_token_counts(spark, sf_dir):
-    """Pre-tokens and tokens of every whole text."""
+    """Pre-tokens and tokens of every whole text by probabilities estimated from all texts."""
     import public_tokenizers
 
     from parcelhouse.llm.token_counts import token_counts
+    from parcelhouse.llm.unigram import estimated_scores
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"), merges=True)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts(docs, path, scores=estimated_scores(docs, path))
 
 
 _MIX_SQL = r"""

@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding of whole texts (see ``pieces``).
 
-With ``merges`` ids follow the merge order of a BPE model, as the library's do (but for word
-marks in the text); without it they have the greatest sum of scores, as a unigram model wants.
+Ids have the greatest sum of scores, by Viterbi: the scores of a unigram model, or ``scores`` that
+``unigram`` has estimated for the pieces of any model. With ``merges`` they follow the merge order of
+a BPE model instead, as the library's do (but for word marks in the text).
 
 Decoding an encoding gives the text back, byte for byte, whatever it holds: a word mark that
 a text itself contains is written as bytes, unlike spaces. Ids are packed as little-endian
@@ -32,8 +33,8 @@ def id_type(lexicon: Lexicon) -> str:
 class Coder:
     """Encodes blocks and decodes packed ids."""
 
-    def __init__(self, path: str, by_merges: bool = False):
-        self.lexicon = Lexicon(path)
+    def __init__(self, path: str, by_merges: bool = False, scores: bytes | None = None):
+        self.lexicon = Lexicon(path, scores)
         self.search = merges if by_merges else viterbi
         self.memory = Memory()
         self.type = id_type(self.lexicon)
@@ -67,9 +68,9 @@ class Coder:
 
 
 @functools.lru_cache(maxsize=2)
-def coder(path: str, by_merges: bool = False) -> Coder:
+def coder(path: str, by_merges: bool = False, scores: bytes | None = None) -> Coder:
     """The worker's coder for ``path``, with what it remembers from earlier tasks."""
-    return Coder(path, by_merges)
+    return Coder(path, by_merges, scores)
 
 
 def _column(values: np.ndarray, sizes: np.ndarray, kind) -> pa.Array:
@@ -90,11 +91,11 @@ def _schema(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids",
-           merges: bool = False) -> DataFrame:
+           merges: bool = False, scores: bytes | None = None) -> DataFrame:
     """``docs`` with the packed ids of ``text``."""
 
     def run(batches):
-        both = coder(path, merges)
+        both = coder(path, merges, scores)
         for block in blocks(batches, text):
             values, count = both.encode(block)
             yield _with(block.rows, ids, _column(values, count, pa.binary()))
@@ -115,14 +116,15 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
     return docs.mapInArrow(run, _schema(docs, text, T.StringType()))
 
 
-def encoded(docs: DataFrame, path: str, text: str = "text", merges: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, path: str, text: str = "text", merges: bool = False,
+            scores: bytes | None = None) -> DataFrame:
     """``docs`` without ``text``, with ``ids``, ``n_pieces`` and ``round_trip``: whether the ids,
     decoded, are the text. Both directions run over a block while it is at hand."""
     out = ("ids", "n_pieces", "round_trip")
     names = [c for c in docs.columns if c not in (text, *out)]
 
     def run(batches):
-        both = coder(path, merges)
+        both = coder(path, merges, scores)
         for block in blocks(batches, text):
             values, count = both.encode(block)
             data, sizes = both.decode(values, count)

@@ -1,7 +1,8 @@
 """Token counts of texts, each distinct pre-token counted once in a worker.
 
-With ``merges`` tokens follow the merge order of a BPE model (``pieces.merges``); without it counts come
-from unigram forward scores over a trie of the pre-tokens, without encoding (``pieces.trie_counts``). Defined results: null and empty texts have no tokens; a table
+Counts come from unigram forward scores over a trie of the pre-tokens, without encoding
+(``pieces.trie_counts``); the scores are those of a unigram model, or ``scores`` that ``unigram`` has
+estimated. With ``merges`` tokens follow the merge order of a BPE model instead. Defined results: null and empty texts have no tokens; a table
 without rows gives none; other columns pass through.
 """
 
@@ -21,18 +22,19 @@ from parcelhouse.llm.text_arrays import blocks
 
 
 @functools.lru_cache(maxsize=2)
-def counter(path: str, merges: bool):
+def counter(path: str, merges: bool, scores: bytes | None):
     """The worker's lexicon for ``path`` and the counts it remembers from earlier tasks."""
-    return Lexicon(path), Memory()
+    return Lexicon(path, scores), Memory()
 
 
-def token_counts(docs: DataFrame, path: str, text: str = "text", merges: bool = False) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, text: str = "text", merges: bool = False,
+                 scores: bytes | None = None) -> DataFrame:
     """``docs`` without ``text``, with ``n_pretokens`` and ``n_tokens``."""
     out = ("n_pretokens", "n_tokens")
     names = [c for c in docs.columns if c not in (text, *out)]
 
     def count(batches):
-        lexicon, memory = counter(path, merges)
+        lexicon, memory = counter(path, merges, scores)
 
         def learn(data):
             def one(a, b):

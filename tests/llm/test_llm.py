@@ -327,7 +327,6 @@ def test_sentencepiece_and_counts(docs, rows, empty):
 def test_merges_are_the_library_s(docs, rows):
     """Ids and counts by merges against the sentencepiece library, long runs without spaces included."""
     import sentencepiece
-    from parcelhouse.llm.queries import QUERIES
     from parcelhouse.llm.sentencepiece_text import encode, encoded
     from parcelhouse.llm.token_counts import token_counts
 
@@ -346,11 +345,54 @@ def test_merges_are_the_library_s(docs, rows):
     assert all(r["round_trip"] for r in flags.values())
     for r in token_counts(df, PIECES, merges=True).collect():
         assert r["n_tokens"] == len(want[texts[r["doc_id"]]])
+
+
+def test_estimated_probabilities(docs, rows, empty):
+    """Counts by merges, then by Viterbi, and the ids and counts they lead to, against plain loops."""
+    import sentencepiece
+    from parcelhouse.llm.pieces import Lexicon
+    from parcelhouse.llm.sentencepiece_text import encode, encoded
+    from parcelhouse.llm.token_counts import token_counts
+    from parcelhouse.llm.unigram import estimated_scores
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = [r[1] for r in rows if "▁" not in (r[1] or "")]
+    plain = docs.where("NOT coalesce(text, '') LIKE '%▁%'")
+    pieces = Lexicon(PIECES).ids
+    size = Lexicon(PIECES).size
+
+    def scores(all_ids):
+        counts = np.bincount([i for ids in all_ids for i in ids], minlength=size)
+        out = np.full(size, -np.inf)
+        out[pieces] = np.log((counts[pieces] + 1) / (counts[pieces] + 1).sum())
+        return out
+
+    first = scores([library.encode(t or "") for t in texts])
+    assert np.allclose(np.frombuffer(estimated_scores(plain, PIECES, rounds=0)), first)
+    cut = lambda s: [
+        _viterbi(Lexicon(PIECES, s.tobytes()), b" " + t.encode()) if t else [] for t in texts]
+    second = scores(cut(first))
+    got = estimated_scores(plain, PIECES)
+    assert np.allclose(np.frombuffer(got), second)
+    want = dict(zip(texts, cut(np.frombuffer(got))))
+    for r in encode(plain, PIECES, scores=got).collect():
+        assert np.frombuffer(r["ids"], "<u2").tolist() == want[r["text"]]
+    lengths = sorted(len(want[t]) for t in texts)
+    flags = encoded(plain, PIECES, scores=got).collect()
+    assert all(r["round_trip"] for r in flags) and sorted(r["n_pieces"] for r in flags) == lengths
+    assert sorted(r["n_tokens"] for r in token_counts(plain, PIECES, scores=got).collect()) == lengths
+    # Long pieces are used again: about as many as by merges.
+    assert sum(lengths) < 1.2 * sum(len(library.encode(t or "")) for t in texts)
+    flat = np.frombuffer(estimated_scores(empty, PIECES))
+    assert len(set(flat[pieces].tolist())) == 1
+
+
+def test_counts_are_the_lengths_of_the_encodings(spark):
+    from parcelhouse.llm.queries import QUERIES
+
     table = "/root/testdata/sf0.001"
-    held = {(r["doc_id"], len(library.encode(r["text"] or "")))
-            for r in spark.read.parquet(f"{table}/documents.parquet").collect() if "▁" not in (r["text"] or "")}
-    for name, count in (("op3_sentencepiece", "n_pieces"), ("op7_trie_counts", "n_tokens")):
-        assert held <= {(r["doc_id"], r[count]) for r in QUERIES[name](spark, table).collect()}
+    ids = {(r["doc_id"], r["n_pieces"]) for r in QUERIES["op3_sentencepiece"](spark, table).collect()}
+    assert ids == {(r["doc_id"], r["n_tokens"]) for r in QUERIES["op7_trie_counts"](spark, table).collect()}
 
 
 def test_raking_meets_marginals(spark):
