@@ -162,29 +162,29 @@ cells AS (
       FROM fit WHERE i < 25))
 ), factors AS (
   SELECT s, l, topic, tokens, w / tokens AS f FROM fit WHERE i = 25
-), steps AS (
-  SELECT floor(log2(f) * 64) AS step, sum(tokens) AS tokens FROM factors GROUP BY ALL
 ), level AS (
-  SELECT pow(2.0, (min(step) + 1) / 64) AS level FROM (
-    SELECT step, sum(tokens) OVER (ORDER BY step) AS below, sum(tokens) OVER () AS total FROM steps)
-  WHERE below >= 0.9 * total
+  SELECT sum(f * tokens) / sum(tokens) AS level FROM factors WHERE f > 0
 ), drawn AS (
   SELECT e.*, CASE WHEN n_words > 0
-      THEN coalesce(round(least(f / (SELECT level FROM level), 1.0), 9), 0.0) ELSE 0.0 END AS probability,
+      THEN coalesce(round(f / (SELECT level FROM level), 9), 0.0) ELSE 0.0 END AS expected_copies,
     ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0 AS u
   FROM e LEFT JOIN factors USING (s, l, topic)
+), taken AS (
+  SELECT *, floor(expected_copies)::BIGINT + (u < expected_copies - floor(expected_copies))::BIGINT AS copies
+  FROM drawn
 )
-SELECT doc_id, source, lang, topic, n_words, probability, u < probability AS kept FROM drawn
+SELECT doc_id, source, lang, topic, n_words, least(expected_copies, 1.0) AS probability, expected_copies,
+  copies, copies > 0 AS kept FROM taken
 """
 
 
 @query("op1_raking", _MIX_SQL)
 def raking(spark, sf_dir):
-    """The calibrated probability of every document and whether it is drawn."""
+    """The calibrated probability of every document and how often it is drawn."""
     from parcelhouse.llm.raking import mixed
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    return mixed(docs).drop("text")
+    return mixed(docs, repeat=True).drop("text")
 
 
 @query("op2_projection_forest")

@@ -428,6 +428,36 @@ def test_expected_shares_meet_targets(spark):
     assert all(abs(r["share"] - r["target"]) < 2e-3 for r in shares)
     assert drawn.agg(F.max("probability")).first()[0] == 1
     assert any(abs(r["share"] - r["target"]) > 0.02 for r in achieved(mixed(df)).collect())
+    # With repeats the targets are met for any budget, and by what is really drawn nearly so.
+    total = drawn.agg(F.sum("n_words")).first()[0]
+    for budget in (None, total / 3, total * 4):
+        taken = mixed(df, repeat=True, tolerance=1e-4, rounds=200, budget=budget).cache()
+        shares = achieved(taken).collect()
+        assert len(shares) == 13 and all(abs(r["share"] - r["target"]) < 2e-3 for r in shares)
+        sums = taken.agg(F.sum(F.col("n_words") * F.col("expected_copies")), F.sum(F.col("n_words") * F.col("copies"))).first()
+        assert abs(sums[0] / (budget or total) - 1) < 1e-6 and abs(sums[1] / (budget or total) - 1) < 0.1
+        assert taken.where("kept <> (copies > 0) OR abs(copies - expected_copies) >= 1").count() == 0
+
+
+def test_mixing_passes_any_columns_through(spark):
+    from parcelhouse.llm.raking import mixed
+
+    names = "_source _lang _topic _p _e _row _draw _text copies expected_copies factor tokens".split()
+    row = (1, "en", "a", "some words here", *range(len(names)))
+    kinds = ", ".join(f"{n} int" for n in names)
+    df = spark.createDataFrame([row, row], f"doc_id bigint, lang string, source string, text string, {kinds}")
+    got = mixed(df, repeat=True, topic=F.lit("prose")).collect()
+    assert len(got) == 2 and all(r[n] == i for r in got for i, n in enumerate(names) if "copies" not in n)
+    assert all(r["copies"] == 1 and r["topic"] == "prose" for r in got)
+
+
+def test_a_fit_that_cannot_be_reached_says_so(spark):
+    from parcelhouse.llm.raking import rake, tempered
+
+    cells = [("s", "en", "prose", 10), ("s", "de", "figures", 10)]
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, tokens bigint")
+    with pytest.warns(UserWarning, match="off their targets after 1[0-9] rounds"):
+        rake(df, tempered(df, 0.5), {"en": 0.9, "de": 0.1}, {"prose": 0.5, "figures": 0.5}, 200, 1e-4)
 
 
 def test_mixing_edges(docs, rows, empty):
@@ -589,7 +619,9 @@ def test_pipeline(spark, docs, rows, empty, root):
         assert len(r["text"].encode()) <= bytes_left[r["doc_id"]] <= len(r["text"].encode()) + 6
         assert r["n_chars"] == len(r["text"])
     mixed = pipeline.mixing(spark, cut, sf_dir)
-    assert mixed.columns == table.columns and mixed.count() <= cut.count()
+    assert mixed.columns == table.columns
+    before, after = ({tuple(r)[:2] for r in df.collect()} for df in (cut, mixed))
+    assert after and after <= before
     for _, stage in pipeline.STAGES:
         assert stage(spark, empty, sf_dir).count() == 0
 
