@@ -9,7 +9,8 @@ is no SQL for the whole; the stages are tested against brute force.
    this id, the smallest text). Rows without an id are named by their text first, above all ids.
 3. passage_dedup: text that repeats 50 bytes of a document with a smaller id is cut out and
    ``n_chars``, where there is one, counted anew; a document left without a word goes.
-4. mixing: documents are drawn by the probabilities of the raked shares, none of them cut.
+4. mixing: documents are drawn by the raked shares within a budget of as many tokens as there are. Those
+   of scarce cells come several times, in rows of their own, so that all targets are met.
 5. encoding: texts become SentencePiece ids, with a flag that they decode to the text.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from parcelhouse.llm.prefix_free import repeated_passages
 from parcelhouse.llm.probminhash import near_duplicates
-from parcelhouse.llm.raking import mixed
+from parcelhouse.llm.raking import MOST_ROUNDS, TOLERANCE, mixed
 from parcelhouse.llm.rule_ledger import kept_documents
 from parcelhouse.llm.scratch_tables import written
 from parcelhouse.llm.sentencepiece_text import encoded
@@ -58,7 +59,9 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", "source", "lang", "text", F.struct("*").alias("row"))
-    return mixed(rows, exact=True).where("kept").select("row.*")
+    drawn = mixed(rows, repeat=True, rounds=MOST_ROUNDS, tolerance=TOLERANCE).where("kept")
+    times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    return drawn.select("row", times.alias("_")).select("row.*")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
