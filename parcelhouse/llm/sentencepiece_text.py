@@ -67,7 +67,8 @@ class Coder:
         return np.delete(data, first), sizes - (sizes > 0)
 
 
-@functools.lru_cache(maxsize=2)
+# One at a time: what a coder remembers is most of a worker's memory.
+@functools.lru_cache(maxsize=1)
 def coder(path: str, by_merges: bool = False, scores: bytes | None = None) -> Coder:
     """The worker's coder for ``path``, with what it remembers from earlier tasks."""
     return Coder(path, by_merges, scores)

@@ -18,12 +18,14 @@ from pyspark.sql import types as T
 from parcelhouse.llm.memory import Memory
 from parcelhouse.llm.pieces import Lexicon, marked, stretches, trie_counts
 from parcelhouse.llm.pieces import merges as merged
+from parcelhouse.llm.sentencepiece_text import coder
 from parcelhouse.llm.text_arrays import blocks
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def counter(path: str, merges: bool, scores: bytes | None):
     """The worker's lexicon for ``path`` and the counts it remembers from earlier tasks."""
+    coder.cache_clear()  # what an earlier pass has left in this worker
     return Lexicon(path, scores), Memory()
 
 
