@@ -1,6 +1,7 @@
 """Properties of the store: nothing lost, newest wins, reruns change nothing."""
 
 import os
+import urllib.parse
 
 import pytest
 from pyspark.sql import functions as F
@@ -404,9 +405,12 @@ def test_old_contract_versions_and_scratch_are_removed(spark, root):
         "valid": True, "n_errors": 0, "n_warnings": 1, "n_subjects": 1,
         "n_anatomical_features": 1, "n_diffusion_features": 0,
     }
-    made = materialize(spark.range(3), "some")
-    assert scratch_root(spark) and clear_scratch(spark, 1.0) == 0
-    assert made.count() == 3
+    made, kept = materialize(spark.range(3), "old"), materialize(spark.range(3), "new")
+    folder = os.path.dirname(urllib.parse.urlparse(made.inputFiles()[0]).path)
+    assert folder.startswith(scratch_root(spark))
+    os.utime(folder, (0, 0))
+    assert clear_scratch(spark, 100_000) == 1
+    assert not os.path.exists(folder) and kept.count() == 3
 
 
 def test_manifest_export(spark, root):
