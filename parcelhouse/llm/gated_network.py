@@ -1,8 +1,10 @@
 """A bidirectional gated recurrent network with attention pooling, in numpy.
 
 A word enters as the embedding of its hash plus the mean embedding of its letter trigrams. Two
-recurrent passes read a window of words; attention weighs their states, and a linear
-unit gives the window's logit. Gradients are written out; Adam trains all parameters.
+recurrent passes read a stretch of words; attention weighs the states of a window of it, and a linear
+unit gives the window's logit. As attention is a quotient of two sums over the window, running sums
+give the logits of all windows of a stretch, one at every word, from one reading.
+Gradients are written out; Adam trains all parameters.
 """
 
 from __future__ import annotations
@@ -57,38 +59,70 @@ class Network:
             total[vocabulary.gram_word[first]] = sums
         return self.p["words"][vocabulary.word] + total / vocabulary.grams
 
-    def _pass(self, side: str, gates: np.ndarray, windows: np.ndarray, keep: bool):
-        n, length = windows.shape
+    def _pass(self, side: str, gates: np.ndarray, words: np.ndarray, size: np.ndarray, keep: bool):
+        n, length = words.shape
         recurrent = self.p[f"h{side}"]
+        full = int(size.min())
         h, states, saved = np.zeros((n, HIDDEN), _F), np.zeros((length, n, HIDDEN), _F), []
         for t in range(length) if side == "f" else range(length - 1, -1, -1):
-            g, u = gates[windows[:, t]], h @ recurrent
+            g, u = gates[words[:, t]], h @ recurrent
             rz = _sigmoid(g[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
             r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
             new = np.tanh(g[:, 2 * HIDDEN :] + r * u[:, 2 * HIDDEN :])
             if keep:
                 saved.append((t, h, u[:, 2 * HIDDEN :], r, z, new))
             h = new + z * (h - new)
+            if t >= full:
+                h[size <= t] = 0
             states[t] = h
         return states, saved
 
-    def logits(self, x: np.ndarray, windows: np.ndarray, filled: np.ndarray, keep: bool = False):
-        """Logit of each window; ``windows`` holds word numbers, ``filled`` how many count."""
-        sides = [self._pass(s, x @ self.p[f"x{s}"] + self.p[f"c{s}"], windows, keep) for s in "fb"]
+    def _read(self, x: np.ndarray, words: np.ndarray, size: np.ndarray, keep: bool = False):
+        """States at each place of the stretches, and what attention sees in them."""
+        sides = [self._pass(s, x @ self.p[f"x{s}"] + self.p[f"c{s}"], words, size, keep) for s in "fb"]
         states = np.concatenate([s[0] for s in sides], axis=2)
         squeezed = np.tanh(states @ self.p["a"])
-        weight = squeezed @ self.p["v"]
-        weight[np.arange(len(weight))[:, None] >= filled[None, :]] = -1e9
+        return sides, states, squeezed, squeezed @ self.p["v"]
+
+    def over(self, x: np.ndarray, words: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
+        """Logits of all windows of ``width`` words: a row for each first place, a column for each stretch.
+
+        A shorter stretch has one window; windows that don't exist are minus infinity.
+        """
+        _, states, _, weight = self._read(x, words, size)
+        length = len(states)
+        weight = np.where(np.arange(length)[:, None] < size, weight.astype(np.float64), -np.inf)
+        weight = np.exp(weight - weight.max(axis=0))
+        low = np.arange(max(1, length - width + 1))
+        high = np.minimum(low + width, length)
+
+        def within(value):
+            sums = np.concatenate((np.zeros((1, len(size))), np.cumsum(value, axis=0)))
+            return sums[high] - sums[low]
+
+        exists = low[:, None] + width <= np.maximum(size, width)
+        total = np.where(exists, within(weight), 1)
+        return np.where(exists, within(weight * (states @ self.p["o"])) / total + self.p["bias"], -np.inf)
+
+    def logits(self, x: np.ndarray, words: np.ndarray, size: np.ndarray, low: np.ndarray,
+               high: np.ndarray, keep: bool = False):
+        """Logit of one window of each stretch, from place ``low`` until ``high``.
+
+        ``words`` holds word numbers, ``size`` how many of them count.
+        """
+        sides, states, squeezed, weight = self._read(x, words, size, keep)
+        place = np.arange(len(weight))[:, None]
+        weight[(place < low) | (place >= high)] = -1e9
         weight = np.exp(weight - weight.max(axis=0))
         weight /= weight.sum(axis=0)
         pooled = np.einsum("tn,tnd->nd", weight, states)
         out = pooled @ self.p["o"] + self.p["bias"]
         return (out, (sides, states, squeezed, weight, pooled)) if keep else out
 
-    def train(self, vocabulary: Vocabulary, windows, filled, label, weight, rate: float):
+    def train(self, vocabulary: Vocabulary, words, size, low, high, label, weight, rate: float):
         """One step of Adam on the weighted log loss."""
         x = self.inputs(vocabulary)
-        out, (sides, states, squeezed, share, pooled) = self.logits(x, windows, filled, True)
+        out, (sides, states, squeezed, share, pooled) = self.logits(x, words, size, low, high, True)
         g = {k: np.zeros_like(v) for k, v in self.p.items()}
         d_out = ((_sigmoid(out) - label) * weight / weight.sum()).astype(_F)
         g["o"], g["bias"] = pooled.T @ d_out, d_out.sum(keepdims=True)
@@ -102,14 +136,14 @@ class Network:
         d_x = np.zeros_like(x)
         for i, side in enumerate("fb"):
             d_gates = np.zeros((len(x), 3 * HIDDEN), _F)
-            d_h = np.zeros((len(windows), HIDDEN), _F)
+            d_h = np.zeros((len(words), HIDDEN), _F)
             recurrent = self.p[f"h{side}"]
             for t, before, u, r, z, new in reversed(sides[i][1]):
-                d_h = d_h + d_states[t, :, i * HIDDEN : (i + 1) * HIDDEN]
+                d_h = (d_h + d_states[t, :, i * HIDDEN : (i + 1) * HIDDEN]) * (t < size)[:, None]
                 d_z = d_h * (before - new) * z * (1 - z)
                 d_new = d_h * (1 - z) * (1 - new**2)
                 d_r = d_new * u * r * (1 - r)
-                np.add.at(d_gates, windows[:, t], np.concatenate((d_r, d_z, d_new), axis=1))
+                np.add.at(d_gates, words[:, t], np.concatenate((d_r, d_z, d_new), axis=1))
                 d_u = np.concatenate((d_r, d_z, d_new * r), axis=1)
                 g[f"h{side}"] += before.T @ d_u
                 d_h = d_h * z + d_u @ recurrent.T

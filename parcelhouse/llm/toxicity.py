@@ -1,31 +1,43 @@
 """Toxicity of whole texts by a gated recurrent network over all overlapping windows of words.
 
-The network (see ``gated_network``) is trained on a bounded sample of the labelled rows outside the
-held-out part: up to ``SAMPLE`` toxic and as many other texts, the first by a hash of their id. A
-label belongs to a text, not to a window: a text's most suspicious window stands for it,
+A window of ``WINDOW`` words starts at every word of a text. Stretches of ``STRETCH`` words are read once,
+in both directions, and all windows within a stretch are pooled from its states by running sums (see
+``gated_network``), so each window of a text is scored exactly once, with the words around it as context.
+
+The network is trained on a bounded sample of the labelled documents outside the held-out part: up to
+``SAMPLE`` toxic and as many others, the first by a hash of their id, none longer than ``TEXT_BYTES``
+and at most ``SAMPLE_BYTES`` together. A label belongs to a text, not to a window: a text's most suspicious window stands for it,
 at first by the words' log-odds, later by the network itself; other texts add random
 windows. A text's logit is that of its highest window, brought to a probability on the sample,
 weighted to the true shares of the labels.
 
 Defined results: null and empty texts have no window and get the score of a window far below all
-others; labels given twice count as toxic if one says so; labels of unknown documents are not used;
-without both labels the score is the share of toxic ones (0 if there is no label at all). Rows that share an id are scored each.
+others; a text shorter than a window is one window; a text of any length is scored whole, a block of its own;
+equal windows give equal logits, so ties don't matter; labels given twice count as toxic if one says so;
+labels of unknown documents are not used; rows that share an id are scored each, and the least of their texts is
+trained on; an empty table gives no rows. Without both labels the score is the share of toxic ones
+(0 if there is no label at all). Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelhouse.llm.gated_network import GRAMS, WORDS, Network, Vocabulary
 from parcelhouse.llm.text_arrays import Block, Roller, blocks, mix
 
 SAMPLE = 1500
-WINDOW, STRIDE = 24, 16
+#: Words of a window, of which one starts at every word; words that are read at once.
+WINDOW, STRETCH = 24, 60
+#: Training texts together, and the longest of them.
+SAMPLE_BYTES, TEXT_BYTES = 64 << 20, 1 << 20
+#: The least trust in a toxic label, as a root.
+LEAST_TRUST = 0.03
 _EPOCHS, _BATCH, _STEPS, _RATE = 10, 256, 15, 0.01
-_AT_ONCE = 4096
+_AT_ONCE = 1024
 _FAR_BELOW = -12.0
 _BLOCK = 1 << 20
 
@@ -61,30 +73,51 @@ class Reader:
         return which, text, vocabulary
 
 
-def windows_of(text: np.ndarray, n_texts: int):
-    """First words, sizes and texts of all windows; the last of a text ends with it."""
+def stretches_of(text: np.ndarray, n_texts: int):
+    """First words, sizes and texts of the stretches that are read at once.
+
+    Consecutive stretches share a window's length less one word, so each window lies in exactly one.
+    """
     count = np.bincount(text, minlength=n_texts)
     first = np.cumsum(count) - count
-    many = np.where(count > WINDOW, -(-(count - WINDOW) // STRIDE) + 1, (count > 0) * 1)
+    step = STRETCH - WINDOW + 1
+    many = np.where(count > 0, np.maximum(-(-(count - WINDOW + 1) // step), 1), 0)
     owner = np.repeat(np.arange(n_texts), many)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
-    size = np.minimum(count, WINDOW)[owner]
-    start = first[owner] + np.minimum(nth * STRIDE, np.maximum(count[owner] - WINDOW, 0))
-    return start, size, owner
+    return first[owner] + nth * step, np.minimum(count[owner] - nth * step, STRETCH), owner
 
 
 def _matrix(which: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    at = start[:, None] + np.minimum(np.arange(WINDOW)[None, :], size[:, None] - 1)
+    at = start[:, None] + np.minimum(np.arange(size.max())[None, :], size[:, None] - 1)
     return which[at]
 
 
-def window_logits(network: Network, which, vocabulary, start, size) -> np.ndarray:
+def search(value, which, start, size):
+    """The highest window of each stretch and its first place, by ``value(words, sizes)``."""
+    best, low = np.full(len(start), -np.inf), np.zeros(len(start), np.int64)
+    order = np.argsort(size, kind="stable")
+    for a in range(0, len(order), _AT_ONCE):
+        part = order[a : a + _AT_ONCE]
+        values = value(_matrix(which, start[part], size[part]), size[part])
+        low[part], best[part] = values.argmax(axis=0), values.max(axis=0)
+    return best, low
+
+
+def _by_network(network: Network, vocabulary: Vocabulary):
     x = network.inputs(vocabulary)
-    out = [np.zeros(0, np.float32)]
-    for a in range(0, len(start), _AT_ONCE):
-        part = slice(a, a + _AT_ONCE)
-        out.append(network.logits(x, _matrix(which, start[part], size[part]), size[part]))
-    return np.concatenate(out)
+    return lambda words, size: network.over(x, words, size, WINDOW)
+
+
+def _by_words(odds: np.ndarray, rng):
+    """The highest log-odds of a window's words; equal windows in random order."""
+    def value(words, size):
+        of = np.where(np.arange(words.shape[1])[None, :] < size[:, None], odds[words], -np.inf)
+        width = min(WINDOW, words.shape[1])
+        top = np.lib.stride_tricks.sliding_window_view(of, width, axis=1).max(axis=2).T
+        exists = np.arange(len(top))[:, None] + WINDOW <= np.maximum(size, WINDOW)
+        return np.where(exists, top + 1e-6 * rng.random(top.shape), -np.inf)
+
+    return value
 
 
 def _highest(value: np.ndarray, owner: np.ndarray, n: int):
@@ -108,8 +141,9 @@ class Model:
         best = np.full(n, _FAR_BELOW)
         if self.network and len(block.data):
             which, text, vocabulary = reader.read(block)
-            start, size, owner = windows_of(text, n)
-            best, _ = _highest(window_logits(self.network, which, vocabulary, start, size), owner, n)
+            start, size, owner = stretches_of(text, n)
+            found, _ = search(_by_network(self.network, vocabulary), which, start, size)
+            best, _ = _highest(found, owner, n)
         return 1 / (1 + np.exp(-np.clip(self.slope * best + self.offset, -60, 60)))
 
 
@@ -131,7 +165,7 @@ def train(texts: pa.Array, label: np.ndarray, shares: tuple[float, float], seed:
     block = next(blocks([batch], size=1 << 62))
     n = len(block)
     which, text, vocabulary = Reader().read(block)
-    start, size, owner = windows_of(text, n)
+    start, size, owner = stretches_of(text, n)
     held = np.unique(text * np.int64(len(vocabulary.word)) + which)
     in_text, word = held // len(vocabulary.word), held % len(vocabulary.word)
     with_label = [np.bincount(word[label[in_text] == k], minlength=len(vocabulary.word)) for k in (0, 1)]
@@ -142,33 +176,38 @@ def train(texts: pa.Array, label: np.ndarray, shares: tuple[float, float], seed:
     seen = with_label[0] + with_label[1]
     odds *= seen / (seen + 4)
     np.add.at(network.p["words"][:, 0], vocabulary.word, (odds / 2).astype(np.float32))
-    suspicion = odds[_matrix(which, start, size)].max(axis=1)
+    suspicion, low = search(_by_words(odds, rng), which, start, size)
     network.begin()
-    #: A toxic text without a suspicious word says little about its windows.
+    #: Labels are noisy: a toxic text without a suspicious word says little about its windows.
     trust = np.ones(n)
     found, _ = _highest(suspicion, owner, n)
     usual = max(float(np.quantile(found[label == 1], 0.9)), 1e-3)
-    trust[label == 1] = np.clip(found[label == 1] / usual, 0.03, 1) ** 2
+    trust[label == 1] = np.clip(found[label == 1] / usual, LEAST_TRUST, 1) ** 2
     weight = np.array(shares)[label] / np.bincount(label, minlength=2)[label]
     for epoch in range(_EPOCHS):
         if epoch in (_EPOCHS // 2, _EPOCHS - 2):
-            suspicion = window_logits(network, which, vocabulary, start, size)
+            suspicion, low = search(_by_network(network, vocabulary), which, start, size)
         _, row = _highest(suspicion, owner, n)
+        row = row[row >= 0]
         others = np.flatnonzero(label[owner] == 0)
-        rows = np.concatenate((row[row >= 0], rng.choice(others, min(len(others), n))))
-        rng.shuffle(rows)
+        drawn = rng.choice(others, min(len(others), n))
+        rows = np.concatenate((row, drawn))
+        lows = np.concatenate((low[row], rng.integers(0, np.maximum(size[drawn] - WINDOW, 0) + 1)))
+        mixed = rng.permutation(len(rows))
         step = min(_BATCH, len(rows) // _STEPS + 1)
         for a in range(0, len(rows), step):
-            part = rows[a : a + step]
-            windows = _matrix(which, start[part], size[part])
-            used, inner = np.unique(windows, return_inverse=True)
+            part, place = rows[mixed[a : a + step]], lows[mixed[a : a + step]]
+            words = _matrix(which, start[part], size[part])
+            used, inner = np.unique(words, return_inverse=True)
             grams = np.isin(vocabulary.gram_word, used)
             small = Vocabulary(vocabulary.word[used], vocabulary.gram[grams],
                                np.searchsorted(used, vocabulary.gram_word[grams]))
             goal = label[owner[part]].astype(np.float32)
-            network.train(small, inner.reshape(windows.shape), size[part], goal,
+            network.train(small, inner.reshape(words.shape), size[part], place,
+                          np.minimum(place + WINDOW, size[part]), goal,
                           trust[owner[part]].astype(np.float32), _RATE * (1 - epoch / _EPOCHS))
-    best, _ = _highest(window_logits(network, which, vocabulary, start, size), owner, n)
+    found, _ = search(_by_network(network, vocabulary), which, start, size)
+    best, _ = _highest(found, owner, n)
     network.moments, network.start = None, {}
     return Model(network, *_line(best, label, weight / weight.mean()))
 
@@ -187,9 +226,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     for k in (0, 1):
         part = known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         drawn = part if drawn is None else drawn.union(part)
-    chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
-        F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic")
-    rows = chosen.toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(
+        F.octet_length("text") <= TEXT_BYTES).join(F.broadcast(drawn), "doc_id")
+    #: At most 2 * sample rows of bounded length come to the window.
+    chosen = chosen.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    sofar = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = chosen.withColumn("bytes", F.sum(F.octet_length("text")).over(sofar)).where(
+        F.col("bytes") <= SAMPLE_BYTES).select("doc_id", "text", "toxic")
+    rows = chosen.toArrow().sort_by([("doc_id", "ascending")])
     label = rows.column("toxic").to_numpy().astype(np.int64)
     texts = rows.column("text").combine_chunks().cast(pa.string())
     if len(set(label.tolist())) < 2:

@@ -532,6 +532,49 @@ def test_toxicity_held_out(spark):
     assert scored(docs.limit(0), fit(docs.limit(0), marks)).count() == 0
 
 
+def test_every_window_is_scored():
+    """Against a network that reads word by word and pools each window for itself."""
+    import pyarrow as pa
+
+    from parcelhouse.llm.gated_network import HIDDEN, Network
+    from parcelhouse.llm.text_arrays import blocks
+    from parcelhouse.llm.toxicity import STRETCH, WINDOW, Model, Reader, _FAR_BELOW
+
+    rng = np.random.default_rng(8)
+    sizes = [0, 1, WINDOW - 1, WINDOW, WINDOW + 1, STRETCH - 1, STRETCH, STRETCH + 1, 97, 400]
+    texts = [" ".join(rng.choice(["ba", "Tor", "ri,", "men", "ou!"], n)) for n in sizes] + [None, " \n"]
+    network = Network()
+    p = {k: v.astype(np.float64) for k, v in network.p.items()}
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    def states(side, x):
+        h, out = np.zeros(HIDDEN), []
+        for v in x if side == "f" else x[::-1]:
+            g, u = v @ p[f"x{side}"] + p[f"c{side}"], h @ p[f"h{side}"]
+            r, z = sigmoid(g[:HIDDEN] + u[:HIDDEN]), sigmoid((g + u)[HIDDEN : 2 * HIDDEN])
+            h = (1 - z) * np.tanh(g[2 * HIDDEN :] + r * u[2 * HIDDEN :]) + z * h
+            out.append(h)
+        return np.array(out if side == "f" else out[::-1])
+
+    def highest(x):
+        best, step = -np.inf, STRETCH - WINDOW + 1
+        for start in range(max(1, len(x) - WINDOW + 1)):
+            near = x[start // step * step :][:STRETCH]
+            h = np.concatenate((states("f", near), states("b", near)), axis=1)[start % step :][:WINDOW]
+            share = np.exp(np.tanh(h @ p["a"]) @ p["v"])
+            best = max(best, (share / share.sum()) @ (h @ p["o"]) + p["bias"][0])
+        return best
+
+    block = next(blocks([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]))
+    which, text, vocabulary = Reader().read(block)
+    x = network.inputs(vocabulary).astype(np.float64)[which]
+    want = [highest(x[text == i]) if (text == i).any() else _FAR_BELOW for i in range(len(texts))]
+    got = Model(network, 1.0, 0.0).scores(Reader(), block)
+    assert np.allclose(np.log(got / (1 - got)), want, atol=1e-4)
+
+
 def test_gradients_of_the_network():
     from parcelhouse.llm import gated_network as g
 
@@ -539,16 +582,17 @@ def test_gradients_of_the_network():
     network = g.Network()
     network.p = {k: v.astype(np.float64) for k, v in network.p.items()}
     vocabulary = g.Vocabulary(np.arange(5), np.arange(9), np.array([0, 0, 1, 2, 2, 3, 3, 4, 4]))
-    windows, filled = rng.integers(0, 5, (4, 6)), np.array([6, 6, 3, 1])
+    stretches, size = rng.integers(0, 5, (4, 6)), np.array([6, 6, 3, 1])
+    low, high = np.array([0, 2, 1, 0]), np.array([6, 5, 3, 1])
     label, weight = np.array([1, 0, 1, 0.0]), np.ones(4)
 
     def loss():
-        out = network.logits(network.inputs(vocabulary), windows, filled)
+        out = network.logits(network.inputs(vocabulary), stretches, size, low, high)
         return float((np.logaddexp(0, out) - label * out).mean())
 
     before = {k: v.copy() for k, v in network.p.items()}
     base = loss()
-    network.train(vocabulary, windows, filled, label, weight, 1e-3)
+    network.train(vocabulary, stretches, size, low, high, label, weight, 1e-3)
     gradient = {k: m[0] / 0.1 for k, m in network.moments.items()}
     network.p = before
     for k in network.p:
