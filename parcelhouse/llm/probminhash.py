@@ -1,23 +1,25 @@
 """Near-duplicate classes by ProbMinHash, banding and exact verification.
 
-Every distinct shingle of five words is an element. An element
-emits a Poisson process at the rate of its weight; each arrival falls on one of 80
+Every distinct shingle of five words is an element; its weight is one plus the logarithm of its
+count in the text. An element emits a Poisson process at the rate of its weight; each arrival falls on one of 80
 registers, and a register keeps the element of its earliest arrival. Arrivals later than the
 latest register of a text can't change it, so elements stop early. Two texts agree in a
-register with the probability Jaccard similarity of their weighted shingles. All weights are 1
-here, however often a shingle occurs in its text: then this is the Jaccard similarity of the sets, which decides below.
+register with the probability Jaccard similarity of their weighted shingles.
 
 Twenty bands of four registers make buckets; texts with similarity 0.8 miss all of them
-with probability 3e-5. Candidates are compared exactly: a link is a Jaccard similarity of the
-shingle sets of at least the threshold. First each bucket's members are compared with its
+with probability 3e-5. A text whose counts differ adds twenty bands drawn with equal weights, whose
+registers agree with the Jaccard similarity of the sets, so neither similarity loses links to the other; for other texts
+both signatures are the same. Candidates are compared exactly: texts are linked if the probability Jaccard similarity
+or that of the shingle sets is at least the threshold. First each bucket's members are compared with its
 smallest id, and classes are formed; a group of thousands of copies takes as many comparisons
 as it has members. Where a bucket still holds several classes, the texts outside its largest class
 are compared with all others, through the bucket's lists of shingles and in blocks of bounded size; only
 links come out, at most one for each text and class. So no link inside a bucket is lost.
 
 Defined results: texts are compared word by word (case counts); null is an empty text; texts
-of fewer than five words are linked to equal texts only; rows that share an id are one document;
-a row without an id gets the class of its equal texts, else null. The class id is the
+of fewer than five words are linked to equal texts only; a text of any length is compared whole, as a block of its own;
+rows that share an id are one document;
+a row without an id gets the class of its equal texts, else null; an empty table gives no rows. The class id is the
 smallest id of the class. Only ``doc_id`` and ``text`` are read.
 """
 
@@ -41,6 +43,8 @@ REGISTERS = BANDS * ROWS
 _BLOCK_TEXTS = 2048
 #: Members of one smallest id are spread over as many tasks.
 _SALTS = 256
+#: Weights travel as 32-bit floats between classes; a similarity this far below the threshold counts.
+_ROUNDING = 1e-6
 _STEP = 0x9E3779B97F4A7C15
 _SKETCH = "doc_id bigint, digest binary, n_shingles bigint, bands array<bigint>"
 
@@ -88,19 +92,37 @@ def signatures(text, element, weight, n_texts: int, registers: int = REGISTERS)
     return (state & np.uint64(0xFFFFFFFF)).astype(np.uint32).reshape(n_texts, registers)
 
 
+def _weights(count: np.ndarray) -> np.ndarray:
+    return 1 + np.log(count)
+
+
+def _bands(register: np.ndarray) -> np.ndarray:
+    register = register.astype(np.uint64).reshape(len(register), BANDS, ROWS)
+    band = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), register.shape[:2])
+    for i in range(ROWS):
+        band = mix(band * np.uint64(5) + register[:, :, i])
+    return band
+
+
 def _sketches(batches):
     roller = Roller()
     for block in blocks(batches):
         n = len(block)
-        text, hashes = shingles(block, roller)
-        text, element, _ = weighted(text, hashes)
+        text, element, count = weighted(*shingles(block, roller))
         size = np.bincount(text, minlength=n)
-        register = signatures(text, element, np.ones(len(element)), n).astype(np.uint64)
-        register = register.reshape(n, BANDS, ROWS)
-        band = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (n, BANDS))
-        for i in range(ROWS):
-            band = mix(band * np.uint64(5) + register[:, :, i])
-        held = np.where(size > 0, BANDS, 0)
+        equal = _bands(signatures(text, element, np.ones(len(element)), n))
+        low, high = np.full(n, np.iinfo(np.int64).max), np.zeros(n, np.int64)
+        np.minimum.at(low, text, count)
+        np.maximum.at(high, text, count)
+        uneven = low < high
+        mine = uneven[text]
+        drawn = _bands(signatures(
+            (np.cumsum(uneven) - 1)[text[mine]], element[mine], _weights(count[mine]), int(uneven.sum())))
+        many = BANDS * ((size > 0) + uneven.astype(np.int64))
+        ends = np.cumsum(many)
+        band = np.empty(ends[-1], np.uint64)
+        band[(ends - many)[size > 0, None] + np.arange(BANDS)] = equal[size > 0]
+        band[(ends - BANDS)[uneven, None] + np.arange(BANDS)] = drawn
         whole = block.data.tobytes()
         at = block.offsets.tolist()
         digest = [hashlib.blake2b(whole[a:b], digest_size=16).digest() for a, b in zip(at, at[1:])]
@@ -109,8 +131,7 @@ def _sketches(batches):
             pa.array(digest, pa.binary()),
             pa.array(size.astype(np.int64)),
             pa.ListArray.from_arrays(
-                pa.array(np.concatenate(([0], np.cumsum(held))).astype(np.int32)),
-                pa.array(band[size > 0].ravel().view(np.int64))),
+                pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(band.view(np.int64))),
         ], names=["doc_id", "digest", "n_shingles", "bands"])
 
 
@@ -120,31 +141,55 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(_sketches, _SKETCH)
 
 
+def probability_jaccard(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> float:
+    """Of the weights of two texts, which share the elements at ``i`` and ``j``.
+
+    The sum over shared elements of 1 / (sum over all elements of max(x / x[i], y / y[j]));
+    in order of x / y the inner sums are running sums.
+    """
+    a, b = x[i], y[j]
+    order = np.argsort(a / b, kind="stable")
+    a, b = a[order], b[order]
+    from_here = x.sum() - np.cumsum(a) + a
+    before = y.sum() - b.sum() + np.cumsum(b) - b
+    return float((a / (from_here + a / b * before)).sum())
+
+
+def _lists(block, roller: Roller):
+    """Sorted elements and weights of each text."""
+    text, element, count = weighted(*shingles(block, roller))
+    order = np.lexsort((element, text))
+    element, weight = element[order], _weights(count[order])
+    at = np.searchsorted(text[order], np.arange(len(block) + 1)).tolist()
+    return [(element[a:b], weight[a:b]) for a, b in zip(at, at[1:])]
+
+
+def similar(one, other, threshold: float) -> bool:
+    """Whether two texts, given as of ``_lists``, are similar by their sets or by their weights."""
+    (x, p), (y, q) = one, other
+    both, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    if not len(both):
+        return False
+    if len(both) >= threshold * (len(x) + len(y) - len(both)):
+        return True
+    return probability_jaccard(p, q, i, j) >= threshold - _ROUNDING
+
+
 def _links(threshold: float):
     def linked(batches):
         """Rows of (pivot, salt) come together, the pivot's text first."""
         roller, key, sets = Roller(), None, []
         for block in blocks(batches):
-            text, hashes = shingles(block, roller)
-            text, element, _ = weighted(text, hashes)
-            order = np.lexsort((element, text))
-            element = element[order]
-            at = np.searchsorted(text[order], np.arange(len(block) + 1))
             a, b = [], []
             rows = zip(*(block.column(c).to_pylist() for c in ("pivot", "salt", "member")))
-            for i, (pivot, salt, member) in enumerate(rows):
-                mine = element[at[i] : at[i + 1]]
+            for mine, (pivot, salt, member) in zip(_lists(block, roller), rows):
                 if (pivot, salt) != key:
                     key, sets = (pivot, salt), []
                 if member is None:
                     sets.append(mine)
-                    continue
-                for other in sets:
-                    both = len(np.intersect1d(mine, other, assume_unique=True))
-                    if both and both >= threshold * (len(mine) + len(other) - both):
-                        a.append(pivot)
-                        b.append(member)
-                        break
+                elif any(similar(mine, other, threshold) for other in sets):
+                    a.append(pivot)
+                    b.append(member)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -166,40 +211,46 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 
 def _listed(batches):
-    """The shingle hashes of every text, sorted, as one binary value."""
+    """Sorted shingle hashes and weights of every text, each as one binary value."""
     roller = Roller()
     for block in blocks(batches):
-        text, hashes = shingles(block, roller)
-        text, element, _ = weighted(text, hashes)
-        order = np.lexsort((element, text))
-        at = np.searchsorted(text[order], np.arange(len(block) + 1)) * 8
-        raw = element[order].tobytes()
+        lists = _lists(block, roller)
         yield pa.RecordBatch.from_arrays(
-            [block.column("doc_id"), pa.array([raw[a:b] for a, b in zip(at, at[1:])], pa.binary())],
-            names=["rep", "shingles"])
+            [block.column("doc_id"), pa.array([x.tobytes() for x, _ in lists], pa.binary()),
+             pa.array([w.astype(np.float32).tobytes() for _, w in lists], pa.binary())],
+            names=["rep", "shingles", "weights"])
 
 
 def _across(threshold: float):
     def across(key, table):
-        """Links between different classes among the texts of a pair of blocks."""
-        low, high = key[1].as_py(), key[2].as_py()
-        rep, label, side = (table.column(c).to_numpy() for c in ("rep", "label", "side"))
+        """Links between different classes: of each text that asks with the others."""
+        rep, label, asks, outside = (
+            table.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "label", "asks", "outside"))
         lists = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("shingles")]
+        weights = [np.frombuffer(x.as_py(), np.float32).astype(float) for x in table.column("weights")]
         size = np.array([len(x) for x in lists])
+        share = np.concatenate([w / w.sum() for w in weights])
         _, place = np.unique(np.concatenate(lists), return_inverse=True)
         owner = np.repeat(np.arange(len(rep)), size)
         order = np.argsort(place, kind="stable")
-        held, start = owner[order], np.searchsorted(place[order], np.arange(place.max() + 2))
+        held, held_share = owner[order], share[order]
+        start = np.searchsorted(place[order], np.arange(place.max() + 2))
         mine = np.cumsum(size) - size
-        classes, number, many = np.unique(label, return_inverse=True, return_counts=True)
         a, b = [], []
-        for x in np.flatnonzero(number != np.argmax(many)):
-            runs = place[mine[x] : mine[x] + size[x]]
+        for x in np.flatnonzero(asks):
+            span = slice(mine[x], mine[x] + size[x])
+            runs = place[span]
             count = start[runs + 1] - start[runs]
             at = np.repeat(start[runs] - np.cumsum(count) + count, count) + np.arange(count.sum())
             both = np.bincount(held[at], minlength=len(rep))
-            linked = both >= threshold * (size[x] + size - both)
-            linked &= (label != label[x]) & ((side != side[x]) | (low == high))
+            #: Two texts outside the largest class ask for each other; once is enough.
+            other = (label != label[x]) & ~asks & ~(outside & (rep < rep[x]))
+            linked = other & (both >= threshold * (size[x] + size - both))
+            #: The probability Jaccard similarity is at most the shared part of the shares.
+            most = np.bincount(held[at], minlength=len(rep), weights=np.minimum(
+                np.repeat(share[span], count), held_share[at]))
+            for y in np.flatnonzero(other & ~linked & (most >= threshold - 2 * _ROUNDING)):
+                linked[y] = similar((lists[x], weights[x]), (lists[y], weights[y]), threshold)
             _, first = np.unique(label[linked], return_index=True)
             partner = np.flatnonzero(linked)[first]
             a += [rep[x]] * len(partner)
@@ -210,20 +261,33 @@ def _across(threshold: float):
 
 
 def _between_classes(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Links ``(a, b)`` between texts that share a bucket and are of different classes."""
-    stats = members.groupBy("bucket").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("rep").alias("size"))
-    stats = stats.where("low < high").select(
-        "bucket", F.ceil(F.col("size") / _BLOCK_TEXTS).cast("int").alias("blocks"))
-    mixed = materialize(members.join(stats, "bucket"), "mixed")
+    """Links ``(a, b)`` between texts that share a bucket and are of different classes.
+
+    Texts outside the bucket's largest class ask, in blocks; each block of them meets each block of all
+    members. The largest class is sent once for each block that asks, mostly one.
+    """
+    stats = members.groupBy("bucket", "label").agg(F.count("rep").alias("n")).groupBy("bucket").agg(
+        F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"))
+    stats = stats.where("top.n < size").select(
+        "bucket", F.col("top.label").alias("largest"),
+        F.ceil((F.col("size") - F.col("top.n")) / _BLOCK_TEXTS).cast("int").alias("asking"),
+        F.ceil(F.col("size") / _BLOCK_TEXTS).cast("int").alias("blocks"))
+    mixed = materialize(members.join(stats, "bucket").withColumn(
+        "outside", F.col("label") != F.col("largest")), "mixed")
     listed = texts.join(mixed.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    listed = listed.select("doc_id", "text").mapInArrow(_listed, "rep bigint, shingles binary")
-    side = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    placed = mixed.withColumn("side", side).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"),
-        "side", "rep", "label")
-    return placed.join(listed, "rep").groupBy("bucket", "low", "high").applyInArrow(
+    listed = listed.select("doc_id", "text").mapInArrow(
+        _listed, "rep bigint, shingles binary, weights binary")
+
+    def place(asks: bool):
+        own, every = ("asking", "blocks") if asks else ("blocks", "asking")
+        own = F.pmod(F.xxhash64("rep"), F.col(own)).cast("int").alias("own")
+        return mixed.where("outside" if asks else "true").select(
+            "bucket", "rep", "label", "outside", F.lit(asks).alias("asks"), own,
+            F.explode(F.sequence(F.lit(0), F.col(every) - 1)).alias("each")).select(
+            "bucket", "rep", "label", "outside", "asks",
+            F.struct(*(("own", "each") if asks else ("each", "own"))).cast("struct<a:int,b:int>").alias("cell"))
+
+    return place(True).union(place(False)).join(listed, "rep").groupBy("bucket", "cell").applyInArrow(
         _across(threshold), "a bigint, b bigint")
 
 
@@ -235,7 +299,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands")), "texts")
     bucketed = nodes.where("rep IS NOT NULL AND n > 0").select(
-        "rep", F.explode("bands").alias("bucket"))
+        "rep", F.explode(F.array_distinct("bands")).alias("bucket"))
     shared = bucketed.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("top"))
     shared = shared.where("pivot < top").select("bucket", "pivot")
     members = materialize(bucketed.join(shared, "bucket"), "buckets")

@@ -101,9 +101,19 @@ def test_quality_rules(docs, rows, empty):
 
 
 def _classes(rows):
-    """Connected components of equal texts, shared ids and similar shingle sets."""
+    """Connected components of equal texts, shared ids and similar shingles, as sets or by weight."""
     n = len(rows)
-    sets = [set(zip(*(words(r[1])[i:] for i in range(5)))) for r in rows]
+    counts = [collections.Counter(zip(*(words(r[1])[i:] for i in range(5)))) for r in rows]
+    weights = [{g: 1 + math.log(c) for g, c in count.items()} for count in counts]
+    sets = [set(count) for count in counts]
+
+    def by_weight(x, y):
+        if all(v == 1 for v in (*x.values(), *y.values())):
+            return 0  # the similarity of the sets
+        every = x.keys() | y.keys()
+        return sum(1 / sum(max(x.get(h, 0) / x[g], y.get(h, 0) / y[g]) for h in every)
+                   for g in x.keys() & y.keys())
+
     root = list(range(n))
 
     def find(x):
@@ -114,7 +124,9 @@ def _classes(rows):
     for i, j in itertools.combinations(range(n), 2):
         a, b = sets[i], sets[j]
         same = (rows[i][1] or "") == (rows[j][1] or "") or (rows[i][0] is not None and rows[i][0] == rows[j][0])
-        if same or (a and b and len(a & b) >= 0.8 * len(a | b)):
+        near = a and b and (
+            len(a & b) >= 0.8 * len(a | b) or (a & b and by_weight(weights[i], weights[j]) >= 0.8))
+        if same or near:
             root[find(i)] = find(j)
     least = {}
     for i, r in enumerate(rows):
@@ -161,6 +173,35 @@ def test_near_copies_with_repeated_own_lines(spark):
     assert got == {(d, d - d % 2) for d, _ in rows}
 
 
+def test_copies_by_their_weights(spark):
+    """Pairs that repeat a shared line often: alike by their weights, not by their sets."""
+    from parcelhouse.llm.probminhash import near_duplicates
+
+    rows = []
+    for i in range(12):
+        line = [f"s{i}x{j}" for j in range(16)] * 60
+        rows += [(2 * i + k, " ".join(line + [f"o{i}x{k}x{j}" for j in range(6)])) for k in (0, 1)]
+    #: The same line under more and more own words: no copies by either measure at the end.
+    rows += [(100 + k, " ".join(["z y x w v u t"] * 40 + [f"p{k}x{j}" for j in range(3 * k)])) for k in range(9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(key(r["doc_id"], r["class_id"]) for r in near_duplicates(df).collect())
+    assert got == _classes(rows)
+    assert all(key(2 * i + 1, 2 * i) in got for i in range(12))
+    a, b = ({*zip(*(words(r[1])[i:] for i in range(5)))} for r in rows[:2])
+    assert len(a & b) < 0.8 * len(a | b)
+
+
+def test_probability_jaccard_is_exact():
+    from parcelhouse.llm.probminhash import probability_jaccard
+
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        a, b = rng.integers(0, 4, 30).astype(float), rng.integers(0, 4, 30).astype(float)
+        i, j = (np.cumsum(w > 0)[(a > 0) & (b > 0)] - 1 for w in (a, b))
+        exact = sum(1 / np.maximum(a / a[k], b / b[k]).sum() for k in range(30) if a[k] and b[k])
+        assert abs(probability_jaccard(a[a > 0], b[b > 0], i, j) - exact) < 1e-12
+
+
 def test_signatures_estimate_probability_jaccard():
     from parcelhouse.llm.probminhash import signatures
 
