@@ -13,7 +13,7 @@ the number it had.
 
 import logging
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from parcelhouse.model import SESSION_KEYS
 from parcelhouse.plans.scratch import materialize
@@ -54,23 +54,65 @@ def session_hook(rows: DataFrame, hook) -> DataFrame:
     times measures. Calls may be repeated when a task is.
     """
 
-    def call(frame):
+    # Columns without any value in the batch are not sent.
+    counts = rows.agg(*[F.count(c).alias(c) for c in rows.columns]).first()
+    filled = [c for c in rows.columns if c in _KEYS or counts[c]]
+    sent = rows.select(*filled)
+    whole = [f.name for f in sent.schema.fields if isinstance(f.dataType, T.LongType)]
+
+    def call(batches):
         import pandas as pd
 
-        subject, session = frame[_KEYS[0]].iloc[0], frame[_KEYS[1]].iloc[0]
         failed = []
-        try:
-            hook(subject, session, frame)
-        except Exception as error:  # reported, not raised: the load goes on
-            failed.append((subject, session, f"{type(error).__name__}: {error}"))
-        return pd.DataFrame(failed, columns=[*_KEYS, "error"])
+        for subject, session, frame in _sessions(batches, whole):
+            try:
+                hook(subject, session, frame)
+            except Exception as error:  # reported, not raised: the load goes on
+                failed.append((subject, session, f"{type(error).__name__}: {error}"))
+        yield pd.DataFrame(failed, columns=[*_KEYS, "error"])
 
-    # Columns without any value in the batch are not sent.
-    counts = rows.agg(*[F.count(c).alias(c) for c in rows.columns]).first()
-    filled = [c for c in rows.columns if c in _KEYS or counts[c]]
-    return rows.select(*filled).groupBy(*_KEYS).applyInPandas(
-        call, "subject_code string, session_id string, error string"
-    )
+    # Sessions lie side by side in a task; a grouping would start anew for each of them.
+    together = sent.repartition(*_KEYS).sortWithinPartitions(*_KEYS)
+    return together.mapInPandas(call, "subject_code string, session_id string, error string")
+
+
+def _sessions(batches, whole):
+    """``(subject, session, frame)`` of rows sorted by session, also where one spans several batches.
+
+    Columns of whole numbers become fractions where another session of the batch lacks a value;
+    a session that has all of them gets whole numbers.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def ready(frames):
+        frame = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0].reset_index(drop=True)
+        for column in whole:
+            if frame[column].dtype.kind == "f" and frame[column].notna().all():
+                frame[column] = frame[column].astype("int64")
+        return frame[_KEYS[0]].iloc[0], frame[_KEYS[1]].iloc[0], frame
+
+    def same(one, two):
+        return one == two or (one is None and two is None)
+
+    held, last = [], None
+    for batch in batches:
+        if not len(batch):
+            continue
+        # None equals None here, as in a grouping.
+        codes = [pd.factorize(batch[k], use_na_sentinel=False)[0] for k in _KEYS]
+        new = np.flatnonzero(np.any([np.diff(c) != 0 for c in codes], axis=0)) + 1
+        cuts = [0, *new.tolist(), len(batch)]
+        ids = [batch[k].tolist() for k in _KEYS]
+        for start, stop in zip(cuts, cuts[1:]):
+            key = (ids[0][start], ids[1][start])
+            if held and not (same(key[0], last[0]) and same(key[1], last[1])):
+                yield ready(held)
+                held = []
+            held.append(batch.iloc[start:stop])
+            last = key
+    if held:
+        yield ready(held)
 
 
 def _raw_sessions(registry):

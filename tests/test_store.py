@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from parcelhouse.plans.load_job import LoadSettings, run_load
 from parcelhouse.plans.store import FeatureStore, check_codec
-from parcelhouse.streaming.ingest import load_anatomical, load_diffusion
+from parcelhouse.streaming.ingest import load_anatomical, load_diffusion, session_hook
 from test_sources import _write
 
 COLUMNS = "subject_code string, session_id string, label string, mean double, line_no bigint"
@@ -292,6 +292,30 @@ def test_session_hook_failures_are_reported_and_lose_nothing(spark, root):
     assert store.load_long("anatomical_gm").count() == 8
 
 
+def test_hooks_get_whole_sessions_without_a_grouping(spark):
+    def hook(subject, session, frame):
+        raise ValueError(f"{len(frame)} {frame['n'].dtype} {sorted(frame['mean'])}")
+
+    rows = spark.createDataFrame(
+        [(s, str(t), float(i), None if s == "2" and i == 0 else i) for s in ("1", "2", None) for t in range(3)
+         for i in range(4)],
+        "subject_code string, session_id string, mean double, n bigint",
+    )
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        failed = session_hook(rows.coalesce(1), hook)
+        got = {(r.subject_code, r.session_id): r.error for r in failed.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    values = "[0.0, 1.0, 2.0, 3.0]"
+    assert got == {
+        (s, str(t)): f"ValueError: 4 {'float64' if s == '2' else 'int64'} {values}"
+        for s in ("1", "2", None) for t in range(3)
+    }
+    assert "FlatMapGroups" not in failed._jdf.queryExecution().toString()
+
+
 def _registry(spark, *subjects):
     rows = [(s, "01", s, "01") for s in subjects]
     return spark.createDataFrame(
