@@ -6,7 +6,9 @@ All columns of the vocabulary are typed; every other one is kept in the map ``ex
 """
 
 import re
+from urllib.parse import quote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
 
@@ -20,7 +22,6 @@ from parcelhouse.model import (
     TISSUES,
 )
 from parcelhouse.operators.sessions import attach, only_sessions
-from parcelhouse.plans.scratch import materialize
 
 # Cell texts that mean "missing".
 MISSING_TEXTS = (
@@ -28,34 +29,72 @@ MISSING_TEXTS = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 REGION_NAME_COLUMN = "name"
+#: Files and bytes that a task reads, and files that it lists, before it hands them on.
+_READ_FILES, _READ_BYTES, _LISTED = 1000, 8 << 20, 10_000
 _FILE_FIELDS = [T.StructField("file_path", T.StringType()), T.StructField("text", T.StringType())]
 
 
 def read_files(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
-    """``(file_path, text)`` of all files below ``root`` with such a name.
+    """``(file_path, text)`` of all files below ``root`` with such a name."""
+    return read_listed(list_files(spark, root, name_glob), root, strict=True)
 
-    Spark lists the directories in parallel; the names are filtered while listing.
-    """
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name_glob)
-    try:
-        return _texts(reader.text(root, wholetext=True))
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return spark.createDataFrame([], T.StructType(_FILE_FIELDS))
-        raise
 
+def read_listed(files: DataFrame, root: str, strict: bool = False) -> DataFrame:
+    """``(file_path, text)`` of listed files below ``root``. Those that can't be read, or are gone, are
+    an error if ``strict`` and else left out.
 
-def read_listed(spark: SparkSession, paths) -> DataFrame:
-    """``(file_path, text)`` of the given files; those that can't be read, or are gone, are left out."""
+    The tasks open the files; no path goes through the driver where Arrow reaches the file system.
+    """
+    spark = files.sparkSession
+    place = _arrow_place(spark, root)
+    if place is None:
+        return _read_by_spark(files, strict)
+    base, uri = place
+
+    def read(batches):
+        from pyarrow import fs
+
+        target, at = fs.FileSystem.from_uri(uri)
+
+        def packed(paths, texts):
+            return pa.record_batch({"file_path": pa.array(paths, pa.string()), "text": pa.array(texts, pa.binary())})
+
+        paths, texts, size = [], [], 0
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                try:
+                    with target.open_input_stream(at + path[len(base) :], compression=None) as stream:
+                        text = stream.read()
+                except OSError:
+                    if strict:
+                        raise
+                    continue
+                paths.append(path)
+                texts.append(text)
+                size += len(text)
+                if size > _READ_BYTES or len(paths) >= _READ_FILES:
+                    yield packed(paths, texts)
+                    paths, texts, size = [], [], 0
+        if paths:
+            yield packed(paths, texts)
+
+    dealt = files.select("file_path").repartition(_parts(spark), "file_path")
+    read_ = dealt.mapInArrow(read, "file_path string, text binary")
+    return read_.select("file_path", F.col("text").cast("string").alias("text"))
+
+
+def _read_by_spark(files: DataFrame, strict: bool) -> DataFrame:
+    """The same for file systems that only Spark reaches; the driver hands the paths to the reader."""
+    spark = files.sparkSession
+    paths = [r.file_path for r in files.select("file_path").collect()]
     if not paths:
         return spark.createDataFrame([], T.StructType(_FILE_FIELDS))
     exact = [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths]
-    reader = spark.read.options(ignoreCorruptFiles=True, ignoreMissingFiles=True)
-    return _texts(reader.text(exact, wholetext=True))
-
-
-def _texts(files: DataFrame) -> DataFrame:
-    return files.select(_decoded_path().alias("file_path"), F.col("value").alias("text"))
+    skip = str(not strict).lower()
+    reader = spark.read.options(ignoreCorruptFiles=skip, ignoreMissingFiles=skip)
+    return reader.text(exact, wholetext=True).select(
+        _decoded_path().alias("file_path"), F.col("value").alias("text")
+    )
 
 
 def _decoded_path() -> Column:
@@ -63,10 +102,97 @@ def _decoded_path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
+def _parts(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _arrow_place(spark, root: str):
+    """The root as file paths name it and as Arrow opens it; None if Arrow doesn't reach it."""
+    from pyarrow import fs
+
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    at = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toUri()
+    head = f"{at.getScheme()}://{at.getAuthority() or ''}"
+    uri = head + quote(at.getPath())
+    try:
+        target, path = fs.FileSystem.from_uri(uri)
+        target.get_file_info(path)
+    except (OSError, ValueError, ImportError, NotImplementedError):
+        return None
+    # Without an authority a URI prints as in file:/folder; paths in older ledgers do.
+    name = head if at.getAuthority() else f"{at.getScheme()}:"
+    return name + at.getPath().rstrip("/"), uri.rstrip("/")
+
+
+def _name_pattern(name_glob: str) -> str:
+    """A file name's glob (stars, question marks, alternatives in braces) as a regular expression."""
+    signs = {"*": ".*", "?": ".", "{": "(?:", "}": ")", ",": "|"}
+    return "".join(signs.get(c) or re.escape(c) for c in name_glob)
+
+
 def list_files(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
-    """``file_path, length, modified`` of all files below ``root`` with such a name, from the
-    listing; contents are not read. ``modified`` counts microseconds. Spark leaves out files
-    without a single byte."""
+    """``file_path, length, modified`` of all files below ``root`` with such a name; contents are not
+    read. ``modified`` counts microseconds, by whole milliseconds. As in Spark's readers, hidden names and files
+    without a single byte don't count.
+
+    The tasks list: the root, its folders, theirs, and what lies below those. Nothing of it goes through
+    the driver where Arrow reaches the file system.
+    """
+    place = _arrow_place(spark, root)
+    if place is None:
+        return _listed_by_spark(spark, root, name_glob)
+    base, uri = place
+    wanted = _name_pattern(name_glob)
+    fields = "file_path string, length bigint, modified bigint, folder boolean"
+    schema = pa.schema([("file_path", pa.string()), ("length", pa.int64()), ("modified", pa.int64()),
+                        ("folder", pa.bool_())])
+
+    def expanded(recursive):
+        def expand(batches):
+            """Files as they are; a folder becomes what it holds."""
+            from pyarrow import fs
+
+            target, at = fs.FileSystem.from_uri(uri)
+
+            def hidden(path):
+                return any(
+                    n.startswith(".") or (n.startswith("_") and "=" not in n) or n.endswith("._COPYING_")
+                    for n in path.split("/")
+                )
+
+            for batch in batches:
+                rows = []
+                for path, length, modified, folder in zip(*(c.to_pylist() for c in batch.columns)):
+                    if not folder:
+                        rows.append((path, length, modified, False))
+                        continue
+                    place = at + path[len(base) :]
+                    for f in target.get_file_info(fs.FileSelector(place, allow_not_found=True, recursive=recursive)):
+                        below = f.path[len(place) :].lstrip("/")
+                        if hidden(below):
+                            continue
+                        if f.type == fs.FileType.Directory:
+                            if not recursive:
+                                rows.append((f"{path}/{below}", 0, 0, True))
+                        elif f.size and re.fullmatch(wanted, f.base_name):
+                            rows.append((f"{path}/{below}", f.size, f.mtime_ns // 1_000_000 * 1000, False))
+                    if len(rows) >= _LISTED:
+                        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
+                        rows = []
+                if rows:
+                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
+
+        return expand
+
+    found = spark.createDataFrame([(base, 0, 0, True)], fields).coalesce(1)
+    for recursive in (False, False, True):
+        found = found.mapInArrow(expanded(recursive), fields)
+        if not recursive:
+            found = found.repartition(_parts(spark), "file_path")
+    return found.where("NOT folder").drop("folder")
+
+
+def _listed_by_spark(spark, root, name_glob) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
         files = reader.option("pathGlobFilter", name_glob).load(root)
@@ -197,27 +323,9 @@ def anatomical_files(files, atlas, modalities=None) -> DataFrame:
     )
 
 
-def superseded_files(spark, root, atlas, modalities=None) -> DataFrame:
-    """Paths that do not count, because a session and tissue has an earlier one.
-
-    They are found in the listing and are rare, so excluding them moves no file content.
-    """
-    found = anatomical_files(list_files(spark, root, anatomical_glob(modalities)), atlas, modalities)
-    keys = [*SESSION_KEYS, "tissue"]
-    several = found.groupBy(*keys).agg(
-        F.min("file_path").alias("_first"), F.count("*").alias("_n")
-    ).where(F.col("_n") > 1)
-    later = found.join(several, keys).where(F.col("file_path") > F.col("_first"))
-    return materialize(later.select("file_path"), "superseded-files")
-
-
-def anatomical_rows(files, atlas, modalities=None, sessions=None, superseded=None):
+def anatomical_rows(files, atlas, modalities=None):
     """Long rows of tissue files. ``files`` as from :func:`read_files`."""
     found = anatomical_files(files, atlas, modalities)
-    if sessions is not None:
-        found = only_sessions(found, sessions)
-    if superseded is not None:
-        found = found.join(superseded, "file_path", "left_anti")
     tag = F.create_map(
         *[F.lit(x) for t, (modality, metric) in TISSUES.items() for x in (t, f"{modality} {metric}")]
     )
@@ -234,9 +342,12 @@ def scan_anatomical(
 
     ``totals`` (subject, session, tiv) adds the session total to every row.
     """
-    files = read_files(spark, root, anatomical_glob(modalities))
-    superseded = superseded_files(spark, root, atlas, modalities)
-    rows = anatomical_rows(files, atlas, modalities, sessions, superseded)
+    found = anatomical_files(list_files(spark, root, anatomical_glob(modalities)), atlas, modalities)
+    if sessions is not None:
+        found = only_sessions(found, sessions)
+    # Of several files for a session and tissue the first by path counts; no other is read.
+    first = found.groupBy(*SESSION_KEYS, "tissue").agg(F.min("file_path").alias("file_path"))
+    rows = anatomical_rows(read_listed(first, root, strict=True), atlas, modalities)
     return rows if totals is None else attach(rows.drop("tiv"), totals)
 
 
@@ -251,11 +362,9 @@ def diffusion_files(files, atlas, workflows=None) -> DataFrame:
     return found if workflows is None else found.where(F.col("workflow").isin(*workflows))
 
 
-def diffusion_rows(files, atlas, workflows=None, sessions=None) -> DataFrame:
+def diffusion_rows(files, atlas, workflows=None) -> DataFrame:
     """Long rows of diffusion files, tagged from directory and file name."""
     found = diffusion_files(files, atlas, workflows)
-    if sessions is not None:
-        found = only_sessions(found, sessions)
     entities = found.withColumn("_entities", bids_entities(file_name()))
     tagged = entities.withColumns(
         {
@@ -270,7 +379,10 @@ def scan_diffusion(
     spark, root, atlas="4S456Parcels", sessions=None, workflows=None
 ) -> DataFrame:
     """Long rows of all diffusion files of the given sessions (raw ids) and workflows."""
-    return diffusion_rows(read_files(spark, root, "*_parc.tsv"), atlas, workflows, sessions)
+    found = diffusion_files(list_files(spark, root, "*_parc.tsv"), atlas, workflows)
+    if sessions is not None:
+        found = only_sessions(found, sessions)
+    return diffusion_rows(read_listed(found, root, strict=True), atlas, workflows)
 
 
 def discover_workflows(spark, root) -> DataFrame:

@@ -30,8 +30,6 @@ from parcelhouse.sources.region_files import (
 
 log = logging.getLogger(__name__)
 _KEYS = list(SESSION_KEYS)
-#: Files of one batch, whose paths the driver hands to the reader.
-FILES_PER_BATCH = 100_000
 
 
 def _after_batch(store, batch_id, on_batch, on_session):
@@ -143,7 +141,8 @@ def _load_files(
     """Load the files below ``root`` that the ledger lacks; returns how many.
 
     ``sessions_of`` gives the files with the ids in their paths; files that it leaves out, and
-    those of unregistered sessions, are none of this load's.
+    those of unregistered sessions, are none of this load's. All files are one batch, unless
+    ``files_per_batch`` says less.
     """
     spark = store.spark
     work = sessions_of(list_files(spark, root, glob))
@@ -154,20 +153,19 @@ def _load_files(
         work = work.join(store.file_ledger(kind).select(*version), version, "left_anti")
     work = materialize(work.select(*_KEYS, *version), "due-files")
     n_files = work.count()
-    parts = -(-n_files // files_per_batch)
+    parts = -(-n_files // (files_per_batch or max(1, n_files)))
     for part in range(parts):
-        due = work.where(F.pmod(F.xxhash64("file_path"), F.lit(parts)) == part)
-        paths = [r.file_path for r in due.select("file_path").collect()]
-        if paths:
+        due = work if parts == 1 else work.where(F.pmod(F.xxhash64("file_path"), F.lit(parts)) == part)
+        if parts == 1 or not due.isEmpty():
             batch_id = store.new_batch()
-            sound = read_listed(spark, paths).where(file_problem().isNull())
+            sound = read_listed(due, root).where(file_problem().isNull())
             store.write_batch(parse(sound), batch_id)
-            store.record_files(_outcomes(store, due, batch_id, registry), kind, batch_id)
+            store.record_files(_outcomes(store, root, due, batch_id, registry), kind, batch_id)
             _after_batch(store, batch_id, on_batch, on_session)
     return n_files
 
 
-def _outcomes(store, due: DataFrame, batch_id: int, registry) -> DataFrame:
+def _outcomes(store, root: str, due: DataFrame, batch_id: int, registry) -> DataFrame:
     """The files of a batch with the reason why they gave no rows (null if they did).
 
     Only such files are looked at once more.
@@ -175,8 +173,7 @@ def _outcomes(store, due: DataFrame, batch_id: int, registry) -> DataFrame:
     written = store.staged().where(F.col("batch_id") == batch_id)
     loaded = written.select(F.col("source_path").alias("file_path")).distinct()
     failed = materialize(due.join(loaded, "file_path", "left_anti"), "failed-files")
-    paths = [r.file_path for r in failed.select("file_path").collect()]
-    texts = read_listed(store.spark, paths).select("file_path", file_problem().alias("reason"))
+    texts = read_listed(failed, root).select("file_path", file_problem().alias("reason"))
     reason = F.coalesce("reason", F.when(~F.col("_read"), "unreadable"), F.lit("no rows"))
     failed = failed.join(texts.withColumn("_read", F.lit(True)), "file_path", "left").fillna(
         False, ["_read"]
@@ -188,7 +185,7 @@ def _outcomes(store, due: DataFrame, batch_id: int, registry) -> DataFrame:
 
 def load_anatomical(
     store, root, atlas="4S456Parcels", registry=None, modalities=None,
-    files_per_batch=FILES_PER_BATCH, on_batch=None, on_session=None, again=False,
+    files_per_batch=None, on_batch=None, on_session=None, again=False,
 ) -> int:
     """Load new and changed tissue files. With a registry only its sessions, under their stored ids.
 
@@ -212,7 +209,7 @@ def load_anatomical(
 
 def load_diffusion(
     store, root, atlas="4S456Parcels", registry=None, workflows=None,
-    files_per_batch=FILES_PER_BATCH, on_batch=None, on_session=None, again=False,
+    files_per_batch=None, on_batch=None, on_session=None, again=False,
 ) -> int:
     """Load new and changed diffusion files of all or some workflows; returns their number."""
 

@@ -173,3 +173,28 @@ def test_text_tree(spark, root):
     df = spark.createDataFrame([("a/b.txt", "x\n"), ("c.txt", "y")], "path string, content string")
     assert write_text_tree(df, root) == 2
     assert open(os.path.join(root, "a/b.txt")).read() == "x\n"
+
+
+def test_listing_and_reading_in_tasks_finds_what_spark_finds(spark, root):
+    from parcelhouse.sources import region_files as files
+
+    deep = "sub-1 +%25é/ses-01/anat/"
+    _write(
+        root,
+        {
+            "a_tissue-GM_parc.tsv": "1", "sub-2/b_tissue-WM_parc.tsv": "22",
+            deep + "atlas-A/x,{y}_tissue-GM_parc.tsv": "333", deep + "atlas-A/empty_tissue-GM_parc.tsv": "",
+            deep + "_hidden/c_tissue-GM_parc.tsv": "4", deep + ".d_tissue-GM_parc.tsv": "4",
+            deep + "k=_v/_k=v_tissue-CT_parc.tsv": "55", "sub-2/notes_tissue-GM_parc.tsv.txt": "6",
+        },
+    )
+    glob = files.anatomical_glob()
+    listed = files.list_files(spark, root, glob)
+    rows = {tuple(r) for r in listed.collect()}
+    assert len(rows) == 4
+    assert rows == {tuple(r) for r in files._listed_by_spark(spark, root, glob).collect()}
+    read = files.read_listed(listed, root)
+    got = {tuple(r) for r in read.collect()}
+    assert got == {tuple(r) for r in files._read_by_spark(listed, False).collect()}
+    # No file index, whose statuses the driver gathers.
+    assert "FileScan" not in read._jdf.queryExecution().toString()
