@@ -75,8 +75,10 @@ _PATH = (
 )
 
 
-def _tissue_rows(spark, sf, modality):
-    rows = long_tissue(spark, sf).where(F.col("modality") == modality)
+def _tissue_rows(spark, sf, modality=None):
+    rows = long_tissue(spark, sf)
+    if modality is not None:
+        rows = rows.where(F.col("modality") == modality)
     return rows.withColumn("source_path", F.expr(_PATH.format(s="string"))).drop(
         "tax", "partkey", "suppkey", "linestatus", "shipdate", "tiv"
     )
@@ -629,11 +631,13 @@ def age_statistics(spark, sf):
 def _published(spark, sf):
     """gm_mean, wm_volume_mm3 and ct_std wide, and tidy rows of all three."""
     data = PublishedDataset(spark, scratch_path(spark, "published"))
+    # One join and one reduction to a row per key serve all six datasets.
+    rows = _tissue_rows(spark, sf).select(*KEYS, "modality", "label", "volume_mm3", "mean", "std", "source_path")
+    newest = keep_last(rows, [*KEYS, "modality", "label"], ["source_path"]).drop("source_path")
+    newest = materialize(newest, "published-rows")
     for modality, statistic in (("gm", "mean"), ("wm", "volume_mm3"), ("ct", "std")):
-        long = keep_last(
-            _tissue_rows(spark, sf, modality), [*KEYS, "modality", "label"], ["source_path"]
-        )
-        wide = to_wide(long, "label", statistic, order=["source_path"])
+        long = newest.where(F.col("modality") == modality)
+        wide = to_wide(long, "label", statistic, unique=True)
         data.write_features(participant_rows(wide), "anatomical", modality, statistic)
         tidy = tidy_view(long, modality, ["mean", "volume_mm3"])
         data.write_features(tidy, "anatomical", modality, "all", "long")

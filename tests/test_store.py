@@ -445,3 +445,13 @@ def test_manifest_export(spark, root):
     store.catalog.export_manifest(root + "/manifest")
     assert {r["name"] for r in spark.read.json(root + "/manifest").collect()} == {"anatomical_gm", "gm_mean"}
     assert store.get_regions("gm_mean") == ["x"] and os.path.isdir(root + "/wide")
+
+
+def test_published_datasets_share_one_join(spark, monkeypatch):
+    from parcelhouse.workloads import stored
+
+    calls, whole = [], stored.long_tissue
+    monkeypatch.setattr(stored, "long_tissue", lambda *a: calls.append(a) or whole(*a))
+    data = stored._published(spark, "/root/testdata/sf0.001")
+    assert len(calls) == 1
+    assert data.get_features("anatomical", "ct", "std").count() > 0
