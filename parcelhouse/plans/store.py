@@ -534,13 +534,13 @@ class FeatureStore:
         stale = [r for b, r in held.items() if b not in fresh]
         if not stale:
             return self._names_of(source, wanted)
-        cells = self._wide_cells(source, stale, by, wanted)
+        cells, together = self._wide_cells(source, stale, by, wanted)
         regions = region_list(cells, "label")
         if not regions and not fresh:
             return []
         version = time.time_ns()
         index = [*_KEYS, "bucket", *by]
-        wide = cells.repartition(*index).groupBy(*index).pivot("label", regions or [""]).agg(
+        wide = together.groupBy(*index).pivot("label", regions or [""]).agg(
             F.first("value", ignorenulls=True)
         )
         self._write(
@@ -590,7 +590,12 @@ class FeatureStore:
             if r.source == source and r.metric in statistics
         ]
 
-    def _wide_cells(self, source, buckets, by, wanted) -> DataFrame:
+    def _wide_cells(self, source, buckets, by, wanted):
+        """Cells, and the same with those of a session together in a task.
+
+        Published rows are unique by key. Where the parts of the key that features leave out have one value,
+        so are cells: the rows are dealt by session once, and become cells only then.
+        """
         rows = self._read_buckets(source, buckets)
         values = F.filter(
             F.array(
@@ -602,13 +607,19 @@ class FeatureStore:
             lambda c: c["value"].isNotNull(),
         )
         # Null group keys are left out, as are cells without a value.
-        cells = rows.select(
-            *_KEYS, "label", *by[1:], *LOAD_ORDER,
-            bucket_of(buckets[0].n_buckets).alias("bucket"), F.inline(values),
-        ).dropna(subset=[*_KEYS, "label", *by])
-        return materialize(
+        bucket = bucket_of(buckets[0].n_buckets).alias("bucket")
+        known = rows.dropna(subset=[*_KEYS, "label", *by[1:]])
+        rest = [k for k in long_keys(source) if k not in (*_KEYS, "label", *by)]
+        names = [*_KEYS, "label", *by[1:], "bucket"]
+        if known.select(*rest).distinct().limit(2).count() < 2:
+            narrow = known.select(*_KEYS, "label", *by[1:], bucket, *wanted)
+            dealt = narrow.repartition(*_KEYS, "bucket", *by[1:])
+            return tuple(df.select(*names, F.inline(values)) for df in (narrow, dealt))
+        cells = known.select(*_KEYS, "label", *by[1:], *LOAD_ORDER, bucket, F.inline(values))
+        cells = materialize(
             first_values(cells, [*_KEYS, "bucket", *by, "label"], ["value"], LOAD_ORDER), "wide-cells"
         )
+        return cells, cells.repartition(*_KEYS, "bucket", *by)
 
     def list_features(self, modality=None) -> list:
         return self.catalog.names("wide", modality)

@@ -455,3 +455,24 @@ def test_published_datasets_share_one_join(spark, monkeypatch):
     data = stored._published(spark, "/root/testdata/sf0.001")
     assert len(calls) == 1
     assert data.get_features("anatomical", "ct", "std").count() > 0
+
+
+def test_wide_features_deal_rows_by_session_once(spark, root, monkeypatch):
+    from parcelhouse.plans import store as stores
+
+    written = []
+    monkeypatch.setattr(stores, "materialize", lambda df, name: written.append(name) or df)
+    store = FeatureStore(spark, root)
+    store.save_anatomical_long(_rows(spark, ("1", "a", "x", 1.0, 1), ("1", "b", "y", 3.0, 2)), "gm")
+    store.save_long(
+        _rows(spark, ("1", "a", "x", 5.0, 1), ("1", "a", "x", 6.0, 2)).selectExpr(
+            "*", "'m' || line_no as modality"), "anatomical_two")
+    store.publish()
+    store.generate_wide_features(modalities=["gm"])
+    assert written == []
+    got = {tuple(r) for r in store.load_feature("gm_mean", include_metadata=False).collect()}
+    assert got == {("1", "a", 1.0, None), ("1", "b", None, 3.0)}
+    # Two tissues in one source: the first row of a cell counts, and cells are reduced to it.
+    store.generate_wide_features(modalities=["two"])
+    assert written == ["wide-cells"]
+    assert [tuple(r) for r in store.load_feature("two_mean", include_metadata=False).collect()] == [("1", "a", 5.0)]
