@@ -2,11 +2,16 @@
 
 A wide table is built in two narrow shuffles. The first reduces every cell to one value
 (map-side combine, so a session that was delivered many times is already small). The
-second brings the cells of a session together; the pivot then runs in the same stage.
-Without it the pivot would send one full-width, mostly empty row per session and task.
+second brings the cells of a session together. There they are sorted, which spills, and laid
+out a batch of rows at a time: a task holds narrow cells, and full-width rows of one batch only,
+while a pivot's hash table would hold the full-width, mostly empty rows of all its sessions.
 """
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from parcelhouse.functions import measured_value
 from parcelhouse.model import (
@@ -16,6 +21,10 @@ from parcelhouse.model import (
 )
 
 
+#: Cells of a batch of wide rows, filled or empty.
+_BATCH_CELLS = 1 << 20
+
+
 def region_list(df: DataFrame, column: str) -> list:
     """Sorted region names, read from the data. Names become columns: they are schema."""
     rows = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
@@ -44,7 +53,7 @@ def to_wide(
 
     Rows and columns without any value do not appear, and rows with a null key are left out.
     Where cells are ``unique``, or nearly so, a row's cells are as many as its regions, and one shuffle
-    brings them together.
+    brings them together. Given ``regions`` leave out other cells, but no rows.
     """
     values = [values] if isinstance(values, str) else list(values)
     any_value = F.coalesce(*[F.col(v) for v in values]).isNotNull()
@@ -52,13 +61,63 @@ def to_wide(
     if regions is None:
         # Names only: a scan of the columns that decide, reduced before it leaves the tasks.
         regions = region_list(known, column)
+    keys = [*index, column]
     if unique:
-        cells, chosen = known, [_first(v, order).alias(v) for v in values]
+        cells = first_values(known.repartition(*index), keys, values, order)
     else:
-        cells = first_values(known, [*index, column], values, order)
-        chosen = [F.first(v, ignorenulls=True).alias(v) for v in values]
-    together = cells.repartition(*index)
-    return together.groupBy(*index).pivot(column, regions).agg(*chosen)
+        cells = first_values(known, keys, values, order).repartition(*index)
+    cells = cells.select(*index, F.col(column).cast("string"), *values).sortWithinPartitions(*index)
+    names = [str(r) for r in regions]
+    wide = [
+        StructField(n if len(values) == 1 else f"{n}_{v}", cells.schema[v].dataType)
+        for n in names for v in values
+    ]
+    schema = StructType([*cells.schema.fields[: len(index)], *wide])
+    return cells.mapInArrow(_laid_out(len(index), names, schema.names), schema)
+
+
+def _laid_out(width: int, names: list, columns: list):
+    """Cells sorted by their first ``width`` columns to wide rows; unique by these and the name after them."""
+    step = max(1, _BATCH_CELLS // max(1, len(columns) - width))
+
+    def starts(cells):
+        new = np.ones(cells.num_rows, bool)
+        new[1:] = False
+        for key in cells.columns[:width]:
+            new[1:] |= pc.not_equal(key.slice(1), key.slice(0, len(key) - 1)).to_numpy()
+        return np.flatnonzero(new)
+
+    def rows(cells, first):
+        """Wide rows of whole sessions, which begin at the cells ``first``."""
+        keys = [c.combine_chunks() for c in cells.columns]
+        place = pc.fill_null(pc.index_in(keys[width], pa.array(names, keys[width].type)), -1).to_numpy()
+        for a in range(0, len(first), step):
+            low = first[a : a + step]
+            high = first[a + step] if a + step < len(first) else cells.num_rows
+            row = np.repeat(np.arange(len(low)), np.diff(low, append=high))
+            wanted = place[low[0] : high]
+            used = np.flatnonzero(wanted >= 0)
+            cell = np.full((len(names), len(low)), -1)
+            cell[wanted[used], row[used]] = low[0] + used
+            out = [k.take(pa.array(low)) for k in keys[:width]]
+            for at in cell:
+                at = pa.array(at, mask=at < 0)
+                out.extend(v.take(at) for v in keys[width + 1 :])
+            yield pa.RecordBatch.from_arrays(out, names=columns)
+
+    def lay_out(batches):
+        rest = None
+        for batch in batches:
+            cells = pa.Table.from_batches([batch])
+            cells = cells if rest is None else pa.concat_tables([rest, cells])
+            if cells.num_rows:
+                first = starts(cells)
+                yield from rows(cells.slice(0, first[-1]), first[:-1])
+                rest = cells.slice(first[-1])
+        if rest is not None:
+            yield from rows(rest, np.zeros(1, int))
+
+    return lay_out
 
 
 def to_value_map(df: DataFrame, column, value: str, order=None, index=SESSION_KEYS) -> DataFrame:

@@ -156,6 +156,31 @@ def test_wide_needs_no_further_shuffle_for_the_pivot(spark):
     assert plan.count("Exchange") == 2
 
 
+@pytest.mark.parametrize("unique", [False, True])
+def test_wide_holds_narrow_cells_only(spark, unique):
+    """No aggregate has full-width rows, and sessions that begin in one batch and end in another stay whole."""
+    rows = [(str(s), f"d{d}", f"r{r}", float(s * 100 + d * 10 + r) if (s + r) % 3 else None, 7 * r if r % 2 else None, r)
+            for s in range(5) for d in range(3) for r in range(9) if (s * d + r) % 4]
+    schema = "subject_code string, session_id string, label string, mean double, size bigint, seq bigint"
+    df = spark.createDataFrame(rows, schema)
+    names = [f"r{r}" for r in range(8)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        wide = to_wide(df, "label", ["mean", "size"], names, ["seq"], unique=unique)
+        got = {tuple(r) for r in wide.collect()}
+        count = wide.count()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert wide.columns == ["subject_code", "session_id", *(f"{n}_{v}" for n in names for v in ("mean", "size"))]
+    cells = {r[:3]: r[3:5] for r in rows}
+    keys = {r[:2] for r in rows if r[3] is not None or r[4] is not None}
+    assert got == {(*k, *(x for n in names for x in cells.get((*k, n), (None, None)))) for k in keys}
+    assert count == len(got)
+    single = to_wide(df, "label", "mean", names, ["seq"], unique=unique)
+    assert "pivot" not in single._jdf.queryExecution().executedPlan().toString()
+
+
 def test_region_names_that_differ_in_case_are_refused(spark):
     df = spark.createDataFrame([("LH_a",), ("lh_A",)], "label string")
     with pytest.raises(ValueError):
