@@ -17,8 +17,9 @@ Everything is counted over all training texts: word counts meet by hash in parts
 corpus, and come back as a dictionary for each bucket of texts; decision counts are summed over
 tables of fixed size (a parameter), which alone are sent to all tasks. A word that occurs once
 in training counts as new while the decisions are counted, so that new words are expected as
-often as they come. Words are told apart by 64-bit hashes. Only the few starting weights are fitted on a
-bounded sample of training texts, each judged without its own counts.
+often as they come. Words are told apart by 64-bit hashes. Starting weights and refinement are learned from
+all training texts too, each decision judged without its own count: in a bucket weights follow the texts
+block by block, and buckets are averaged, each gate by the curvature of its loss.
 
 Defined results: null and empty texts are one end; rows that share an id are scored each; a
 missing id is trained on. Without any training text all words are new and predictors know nothing.
@@ -39,8 +40,10 @@ from parcelhouse.llm.text_arrays import Roller, blocks, mix
 
 #: Words of the tree; slots of a context's table as a power of two; words that steer the second context.
 TREE_WORDS, TABLE_BITS, STEERING = 1024, 20, 128
-#: Training texts that starting weights are fitted on; tokens after which weights learn; how fast.
-FIT_TEXTS, SEGMENT, RATE = 300, 64, 0.004
+#: Tokens after which weights learn; how fast.
+SEGMENT, RATE = 64, 0.004
+#: Weights before any text, how many decisions' curvature they are worth, and rounds over a bucket's first block.
+_START, _WORTH, _ROUNDS = 0.35, 5.0, 8
 _BUCKET_BYTES, _CHUNK = 16 << 20, 1 << 20
 _CONTEXTS, _GATES, _DEPTHS = 4, 18, 8
 _RANGE = 16
@@ -283,22 +286,18 @@ _TABLE = "part int, n int, body binary"
 
 def _counted(code: Code):
     def counted(key, table, dictionary):
-        """Counts of a bucket's decisions, for each range of slots."""
+        """Counts of the decisions of a bucket's training texts, for each range of slots."""
         if not table.num_rows:
             return pa.table({"part": pa.array([], pa.int32()), "n": pa.array([], pa.int32()),
                              "body": pa.array([], pa.binary())})
         roller, known = Roller(23), Dictionary(dictionary)
         counts = np.zeros((_CONTEXTS, 2 << TABLE_BITS), np.uint32)
         for block in texts_of(table):
-            own = ~block.column("held_out").to_numpy(zero_copy_only=False)
-            if not own.any():
-                continue
             tokens = Tokens(block, roller)
             decisions = Decisions(tokens, code, known.of(tokens.hash) <= 1)
-            use = own[tokens.text[decisions.token]]
             for i, slots in enumerate(decisions.slots):
                 counts[i] += np.bincount(
-                    slots[use] * 2 + decisions.answer[use], minlength=2 << TABLE_BITS).astype(np.uint32)
+                    slots * 2 + decisions.answer, minlength=2 << TABLE_BITS).astype(np.uint32)
         flat = counts.ravel()
         at = np.flatnonzero(flat)
         part = at >> _RANGE
@@ -332,12 +331,87 @@ def _squashed(x):
     return 1 / (1 + np.exp(-np.clip(x, -12, 12)))
 
 
+def _place(dot):
+    return np.clip((dot / _SPAN + 1) / 2, 0, 1) * _BINS
+
+
+def _without_own(counts: np.ndarray) -> np.ndarray:
+    """Log-odds of each context as its decisions see them, by slot and answer: without their own count."""
+    zero, one = counts[:, 0::2], counts[:, 1::2]
+    out = np.empty(counts.shape, np.float32)
+    out[:, 0::2] = _stretched(np.maximum(zero - 1, 0), one)
+    out[:, 1::2] = _stretched(zero, np.maximum(one - 1, 0))
+    return out
+
+
+class Fit:
+    """Starting weights and refinement learned block by block, each decision once after the first block."""
+
+    def __init__(self):
+        self.weights = np.full((_GATES, _CONTEXTS + 1), _START)
+        self.weights[:, -1] = 0
+        self.curve = np.zeros((_GATES, _CONTEXTS + 1, _CONTEXTS + 1))
+        self.met = np.zeros((2, _GATES, _BINS + 1))
+
+    def learn(self, x: np.ndarray, gate: np.ndarray, answer: np.ndarray):
+        order = np.argsort(gate.astype(np.int8), kind="stable")
+        cuts = np.searchsorted(gate[order], np.arange(_GATES + 1))
+        for g in range(_GATES):
+            mine = order[cuts[g] : cuts[g + 1]]
+            if not len(mine):
+                continue
+            a, y, curve = x[mine], answer[mine], 0
+            before, first = self.weights[g].copy(), not self.curve[g].any()
+            held = self.curve[g] + _WORTH * np.eye(_CONTEXTS + 1)
+            dot = a @ before.astype(np.float32)
+            for _ in range(_ROUNDS if first else 1):
+                dot = a @ self.weights[g].astype(np.float32)
+                p = _squashed(dot)
+                curve = ((a * (p * (1 - p))[:, None]).T @ a).astype(float)
+                slope = (a.T @ (p - y)).astype(float) + held @ (self.weights[g] - before)
+                self.weights[g] -= np.linalg.solve(held + curve, slope)
+            self.curve[g] += curve
+            bin_ = np.rint(_place(dot)).astype(int)
+            self.met[0, g] += np.bincount(bin_, minlength=_BINS + 1)
+            self.met[1, g] += np.bincount(bin_, weights=y, minlength=_BINS + 1)
+
+    def sums(self) -> np.ndarray:
+        """What buckets add up: curvatures, weights times them, decisions and ones by bin."""
+        weighed = np.einsum("gij,gj->gi", self.curve, self.weights)
+        return np.concatenate([self.curve.ravel(), weighed.ravel(), self.met.ravel()])
+
+
+_FITTED = "bucket int, place int, value double"
+
+
+def _fitted(shared):
+    def fitted(key, table, dictionary):
+        """The sums of a bucket's training texts, in the order of their hashes."""
+        if not table.num_rows:
+            return pa.table({"bucket": pa.array([], pa.int32()), "place": pa.array([], pa.int32()),
+                             "value": pa.array([], pa.float64())})
+        code, odds = shared.value
+        roller, known, fit = Roller(23), Dictionary(dictionary), Fit()
+        for block in texts_of(table.sort_by("hash")):
+            tokens = Tokens(block, roller)
+            decisions = Decisions(tokens, code, known.of(tokens.hash) <= 1)
+            x = np.ones((len(decisions.answer), _CONTEXTS + 1), np.float32)
+            for i, slots in enumerate(decisions.slots):
+                x[:, i] = odds[i][slots * 2 + decisions.answer]
+            fit.learn(x, decisions.gate, decisions.answer)
+        sums = fit.sums()
+        return pa.table({"bucket": pa.array(np.full(len(sums), key[0].as_py()), pa.int32()),
+                         "place": pa.array(np.arange(len(sums)), pa.int32()), "value": pa.array(sums)})
+
+    return fitted
+
+
 class Mixer:
     """Tables of log-odds, starting weights of each gate, and the table that refines."""
 
     def __init__(self, counts: np.ndarray):
         self.table = _stretched(counts[:, 0::2], counts[:, 1::2]).astype(np.float32)
-        self.weights = np.full((_GATES, _CONTEXTS + 1), 0.35, np.float32)
+        self.weights = np.full((_GATES, _CONTEXTS + 1), _START, np.float32)
         self.weights[:, -1] = 0
         centre = (np.arange(_BINS + 1) / _BINS * 2 - 1) * _SPAN
         self.refined = np.tile(_squashed(centre), (_GATES, 1))
@@ -348,32 +422,19 @@ class Mixer:
             out[:, i] = self.table[i][s]
         return out
 
-    def fit(self, counts: np.ndarray, decisions: Decisions):
-        """Weights and refinement from sample decisions, each without its own count."""
-        x = np.ones((len(decisions.answer), _CONTEXTS + 1))
-        for i, slots in enumerate(decisions.slots):
-            zero, one = counts[i][slots * 2], counts[i][slots * 2 + 1]
-            own = decisions.answer == 1
-            x[:, i] = _stretched(np.maximum(zero - ~own, 0), np.maximum(one - own, 0))
-        for gate in range(_GATES):
-            mine = decisions.gate == gate
-            if mine.sum() < 50:
-                continue
-            a, y, w = x[mine], decisions.answer[mine], self.weights[gate].astype(float)
-            prior = w.copy()
-            for _ in range(15):
-                p = _squashed(a @ w)
-                h = (a * (p * (1 - p))[:, None]).T @ a + 5 * np.eye(_CONTEXTS + 1)
-                w = w - np.linalg.solve(h, a.T @ (p - y) + 5 * (w - prior))
-            self.weights[gate] = w
-            place = np.clip((a @ w / _SPAN + 1) / 2, 0, 1) * _BINS
-            bin_ = np.rint(place).astype(int)
-            n, ones = (np.bincount(bin_, weights=v, minlength=_BINS + 1) for v in (np.ones(len(y)), y))
-            self.refined[gate] = (ones + 20 * self.refined[gate]) / (n + 20)
+    def fit(self, sums: np.ndarray):
+        """Weights and refinement from the sums of all buckets."""
+        n = _CONTEXTS + 1
+        curve, weighed, met = np.split(sums, np.cumsum([_GATES * n * n, _GATES * n]))
+        held = curve.reshape(_GATES, n, n) + _WORTH * np.eye(n)
+        weighed = weighed.reshape(_GATES, n) + _WORTH * self.weights
+        self.weights = np.linalg.solve(held, weighed[:, :, None])[:, :, 0].astype(np.float32)
+        count, ones = met.reshape(2, _GATES, _BINS + 1)
+        self.refined = (ones + 20 * self.refined) / (count + 20)
 
     def probability(self, gate, dot):
         """Of answer 1: the mixture and its refinement in equal shares."""
-        place = np.clip((dot / _SPAN + 1) / 2, 0, 1) * _BINS
+        place = _place(dot)
         low = np.minimum(place.astype(np.int64), _BINS - 1)
         part = place - low
         refined = self.refined[gate, low] * (1 - part) + self.refined[gate, low + 1] * part
@@ -451,6 +512,7 @@ def scores(docs: DataFrame) -> DataFrame:
     bits = max(1, (size // (4 << 20)).bit_length())
     placed = texts.withColumn(
         "bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int"))
+    training = placed.where("NOT held_out")
     asked = placed.groupBy("bucket").applyInArrow(_asked(bits), _WORDS)
     counts = written(asked.groupBy("part").applyInArrow(_totalled, _WORDS), "word-counts")
 
@@ -466,7 +528,7 @@ def scores(docs: DataFrame) -> DataFrame:
                 rare - single, single, ends)
 
     dictionary = counts.where("kind = 0").select(F.col("part").alias("bucket"), "n", "body")
-    partial = placed.groupBy("bucket").cogroup(dictionary.groupBy("bucket")).applyInArrow(
+    partial = training.groupBy("bucket").cogroup(dictionary.groupBy("bucket")).applyInArrow(
         _counted(code), _TABLE)
     summed = written(partial.groupBy("part").applyInArrow(_summed, _TABLE), "decisions")
     flat = np.zeros(_CONTEXTS * (2 << TABLE_BITS), np.float32)
@@ -475,10 +537,16 @@ def scores(docs: DataFrame) -> DataFrame:
     flat = flat.reshape(_CONTEXTS, -1)
 
     mixer = Mixer(flat)
-    sample = texts.where("NOT held_out").orderBy(F.xxhash64("doc_id", "text")).limit(FIT_TEXTS).toArrow()
-    for block in texts_of(sample, 1 << 62) if sample.num_rows else ():
-        tokens = Tokens(block, Roller(23))
-        mixer.fit(flat, Decisions(tokens, code, tokens.hash % np.uint64(10) == 0))
+    odds = spark.sparkContext.broadcast((code, _without_own(flat)))
+    fitted = training.withColumn("hash", F.xxhash64("doc_id", "text")).groupBy("bucket").cogroup(
+        dictionary.groupBy("bucket")).applyInArrow(_fitted(odds), _FITTED)
+    # Added in the order of buckets, so that a repeated run gives the same sums.
+    parts = F.array_sort(F.collect_list(F.struct("bucket", "value")))
+    sums = fitted.groupBy("place").agg(
+        F.aggregate(parts, F.lit(0.0), lambda a, b: a + b["value"]).alias("value")).orderBy("place").toPandas()
+    if len(sums):
+        mixer.fit(sums["value"].to_numpy())
+    odds.destroy()
     shared = spark.sparkContext.broadcast((code, mixer))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return placed.groupBy("bucket").cogroup(dictionary.groupBy("bucket")).applyInArrow(

@@ -664,6 +664,51 @@ def test_context_mixing(docs, rows, empty):
     assert scores(empty).count() == 0
 
 
+def test_context_mixing_learns_from_all_training_texts(spark):
+    """Weights and refinement follow texts beyond the first few hundred, and no driver sees texts."""
+    from parcelhouse.llm import context_mixing as op
+
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 40}" for j in range(30))) for i in range(700)]
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    held = []
+    fit = op.Mixer.fit
+    op.Mixer.fit = lambda self, sums: (held.append(sums), fit(self, sums))[1]
+    try:
+        scores = [sorted(map(tuple, op.scores(d).collect())) for d in (docs, docs.repartition(5, "text"))]
+    finally:
+        op.Mixer.fit = fit
+    n = op._CONTEXTS + 1
+    met = held[0][op._GATES * (n * n + n) :].reshape(2, op._GATES, -1)
+    # The first decision of each path through the tree: all tokens but those that a repeat has coded.
+    assert met[0, 1].sum() + met[1, 0].sum() == 31 * len(train)
+    assert scores[0] == scores[1]
+
+
+def test_fitted_weights_are_near_the_best(spark):
+    """One pass block by block, and two buckets averaged, end close to all rounds over all decisions."""
+    from parcelhouse.llm.context_mixing import _CONTEXTS, Fit, Mixer, TABLE_BITS
+
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(60000, _CONTEXTS)), np.ones((60000, 1))], axis=1).astype(np.float32)
+    true = np.array([0.9, 0.1, -0.3, 0.6, 0.2])
+    y = (rng.random(60000) < 1 / (1 + np.exp(-(x @ true)))).astype(np.int8)
+    w = np.zeros(5)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-(x @ w)))
+        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x, x.T @ (p - y))
+    total = 0
+    for half in (slice(0, 30000), slice(30000, None)):
+        fit = Fit()
+        for a in range(0, 30000, 5000):
+            fit.learn(x[half][a : a + 5000], np.full(5000, 3), y[half][a : a + 5000])
+        total = total + fit.sums()
+    mixer = Mixer(np.zeros((_CONTEXTS, 2 << TABLE_BITS), np.float32))
+    mixer.fit(total)
+    assert np.abs(mixer.weights[3] - w).max() < 0.01
+    assert np.allclose(mixer.weights[4], [0.35] * 4 + [0])
+
+
 def test_decision_probabilities_sum_to_one():
     """Over all words of a tree the probabilities of their paths add up."""
     from parcelhouse.llm.context_mixing import _CONTEXTS, TABLE_BITS, Code, Mixer
