@@ -104,9 +104,11 @@ def _asked(bits: int):
         roller, held = Roller(23), []
         for block in texts_of(table):
             tokens = Tokens(block, roller)
-            own = (~block.column("held_out").to_numpy(zero_copy_only=False))[tokens.text]
-            hashes, which = np.unique(tokens.hash, return_inverse=True)
-            held.append((hashes, np.bincount(which, weights=own).astype(np.uint64)))
+            out = block.column("held_out").to_numpy(zero_copy_only=False)[tokens.text]
+            hashes, count = np.unique(tokens.hash[~out], return_counts=True)
+            held.append((hashes, count))
+            hashes = np.unique(tokens.hash[out])
+            held.append((hashes, np.zeros(len(hashes), np.int64)))
         hashes, which = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
         count = np.bincount(which, weights=np.concatenate([c for _, c in held])).astype(np.uint64)
         part = (hashes >> shift).astype(np.int64)
@@ -139,23 +141,40 @@ def _totalled(key, table):
 
 
 class Dictionary:
-    """Training counts of the words of a bucket."""
+    """The words of a bucket: training counts, symbols, and which of them steer."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, code: Code):
         got = [unpack(b, 2, n) for b, n in
                zip(table.column("body").to_pylist(), table.column("n").to_pylist())]
         hashes = np.concatenate([g[0] for g in got]) if got else np.zeros(0, np.uint64)
         counts = np.concatenate([g[1] for g in got]) if got else np.zeros(0, np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.counts = hashes[order], counts[order].astype(np.int64)
-
-    def of(self, hashes: np.ndarray) -> np.ndarray:
-        return self.counts[np.searchsorted(self.hashes, hashes)] if len(self.hashes) else hashes * 0
+        self.symbols = code.symbols(self.hashes)
+        self.steers = self.symbols > 2
+        self.steers[self.steers] = code.rank[self.symbols[self.steers] - 3] < STEERING
+        bits = len(hashes).bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where words of the bucket stand: from the first with the same leading bits onwards."""
+        at = self.first[(hashes >> self.shift).view(np.int64)]
+        left = np.flatnonzero(self.hashes[at] != hashes)
+        while len(left):
+            at[left] += 1
+            left = left[self.hashes[at[left]] != hashes[left]]
+        return at
 
 
 # The decisions ----------------------------------------------------------------------------
 
 
+def _spread(node):
+    """Nodes as they go into the slots of each context."""
+    return [node * odd for odd in _ODD[::-1]]
+
+
 class Code:
     """The Huffman tree: for each symbol its decisions (inner node and answer)."""
 
@@ -183,6 +202,7 @@ class Code:
         self.length = np.array([len(p) for p in paths])
         self.first = np.cumsum(self.length) - self.length
         self.node = np.array([x for p in paths for x, _ in p], np.uint64)
+        self.nodes = _spread(self.node)
         self.answer = np.array([x for p in paths for _, x in p], np.int8)
 
     def symbols(self, hashes: np.ndarray) -> np.ndarray:
@@ -194,66 +214,91 @@ class Code:
 
 
 class Decisions:
-    """All decisions of some tokens: token, gate, answer and the four hashed contexts."""
+    """All decisions of some tokens, gate by gate: token, answer and the four hashed contexts.
+
+    ``size`` counts the decisions of each gate. Those of a gate and a token stand together and,
+    within a gate, in the order of the tokens.
+    """
 
-    def __init__(self, tokens: Tokens, code: Code, new: np.ndarray):
+    def __init__(self, tokens: Tokens, code: Code, known: Dictionary, place: np.ndarray, new: np.ndarray):
         n = len(tokens.hash)
-        symbol = code.symbols(tokens.hash)
+        at = np.arange(n)
+        head = np.cumsum(tokens.count) - tokens.count
+        symbol = known.symbols[place]
         symbol[tokens.end] = 2
         symbol[(symbol == 0) & new] = 1
         self.rare = symbol == 0
         previous = np.concatenate(([np.uint64(0)], tokens.hash[:-1]))
-        previous[tokens.inside == 0] = 1
+        previous[head] = 1
         before = np.concatenate(([np.uint64(0)], previous[:-1]))
-        before[tokens.inside == 0] = 1
-        steering = np.zeros(n, bool)
-        inner = symbol > 2
-        steering[inner] = code.rank[symbol[inner] - 3] < STEERING
-        last = np.maximum.accumulate(np.where(steering, np.arange(n), -1))
+        before[head] = 1
+        last = np.maximum.accumulate(np.where(known.steers[place], at, -1))
         last = np.concatenate(([-1], last[:-1]))
-        same = last >= np.arange(n) - tokens.inside
+        same = last >= at - tokens.inside
         steer = np.where(same & (last >= 0), tokens.hash[last], np.uint64(2))
-        contexts = [np.zeros(n, np.uint64), mix(steer), mix(previous + np.uint64(3)),
-                    mix(mix(before + np.uint64(5)) + previous)]
+        contexts = [mix(steer), mix(previous + np.uint64(3)), mix(mix(before + np.uint64(5)) + previous)]
 
         #: The word that followed the last earlier occurrence of the word before.
-        order = np.lexsort((np.arange(n), tokens.hash, tokens.text))
-        earlier = np.full(n, -1)
-        again = (tokens.hash[order[1:]] == tokens.hash[order[:-1]]) & (
-            tokens.text[order[1:]] == tokens.text[order[:-1]])
-        earlier[order[1:][again]] = order[:-1][again]
-        source = np.concatenate(([-1], earlier[:-1]))
-        source[tokens.inside == 0] = -1
-        guess = np.where(source >= 0, source + 1, 0)
-        can = source >= 0
-        hit = can & (tokens.hash[guess] == tokens.hash)
-        miss_at = np.maximum.accumulate(np.where(hit, -1, np.arange(n)))
-        streak = np.concatenate(([0], (np.arange(n) - miss_at)[:-1]))
-        streak = np.minimum(np.where(tokens.inside == 0, 0, streak), 15).astype(np.uint64)
-        asked = np.flatnonzero(can)
-        wide = symbol[guess[asked]].astype(np.uint64)
-        parts = [self._part(asked, np.zeros(len(asked), np.int64), hit[asked].astype(np.int8), [
-            mix(streak[asked] + np.uint64(11)), mix(wide * np.uint64(16) + streak[asked] + np.uint64(1 << 20)),
-            mix(contexts[2][asked] + streak[asked]), mix(contexts[3][asked] + np.uint64(13))],
-            np.full(len(asked), 1 << 40, np.uint64))]
-
-        rest = np.flatnonzero(~hit)
+        bits = n.bit_length()
+        order = np.sort((place << bits) | at)
+        again = (order[1:] >> bits) == (order[:-1] >> bits)
+        order &= (1 << bits) - 1
+        again &= tokens.text[order[1:]] == tokens.text[order[:-1]]
+        source = np.full(n + 1, -1)
+        source[order[1:][again] + 1] = order[:-1][again]
+        source = source[:-1]
+        source[head] = -1
+        asked = np.flatnonzero(source >= 0)
+        guess = source[asked] + 1
+        hit = np.zeros(n, bool)
+        hit[asked] = place[guess] == place[asked]
+        miss_at = np.maximum.accumulate(np.where(hit, -1, at))
+        streak = np.concatenate(([0], (at - miss_at)[:-1]))
+        streak[head] = 0
+        streak = np.minimum(streak[asked], 15).astype(np.uint64)
         self.coded = ~hit
-        length = code.length[symbol[rest]]
-        token = np.repeat(rest, length)
-        depth = np.arange(len(token)) - np.repeat(np.cumsum(length) - length, length)
-        at = code.first[symbol[token]] + depth
-        parts.append(self._part(token, 1 + np.minimum(depth, _DEPTHS - 1), code.answer[at],
-                                [c[token] for c in contexts], code.node[at]))
-        parts.append(self._spelled(tokens, np.flatnonzero(~hit & (symbol == 1))))
-        self.token, self.gate, self.answer = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        self.slots = [np.concatenate([p[3][i] for p in parts]) for i in range(_CONTEXTS)]
-
-    def _part(self, token, gate, answer, contexts, node):
-        shift = np.uint64(64 - TABLE_BITS)
-        slots = [(((c ^ (node * odd)) * _ODD[0]) >> shift).astype(np.int64)
-                 for c, odd in zip(contexts, _ODD[::-1])]
-        return token, gate, answer, slots
+
+        rest = np.flatnonzero(self.coded)
+        length, first = code.length[symbol[rest]], code.first[symbol[rest]]
+        spelled = np.flatnonzero(self.coded & (symbol == 1))
+        letters = int((tokens.stop[spelled] - tokens.start[spelled] + 1).sum())
+        total = len(asked) + int(length.sum()) + 8 * letters
+        self.size = np.zeros(_GATES, np.int64)
+        self.token, self.answer = np.empty(total, np.int64), np.empty(total, np.int8)
+        self.slots = np.empty((_CONTEXTS, total), np.int64)
+
+        wide = symbol[guess].astype(np.uint64)
+        self._put(0, asked, hit[asked], [
+            mix(streak + np.uint64(11)), mix(wide * np.uint64(16) + streak + np.uint64(1 << 20)),
+            mix(contexts[1][asked] + streak), mix(contexts[2][asked] + np.uint64(13))],
+            _spread(np.array([1 << 40], np.uint64)))
+        self._paths(code, rest, length, first, [c[rest] for c in contexts])
+        self._spelled(tokens, spelled)
+
+    def _put(self, gate, token, answer, contexts, nodes):
+        a = int(self.size.sum())
+        b = a + len(token)
+        self.size[gate] += len(token)
+        self.token[a:b], self.answer[a:b] = token, answer
+        for row, context, node in zip(self.slots.view(np.uint64)[:, a:b], contexts, nodes):
+            np.bitwise_xor(context, node, out=row)
+            row *= _ODD[0]
+            row >>= np.uint64(64 - TABLE_BITS)
+
+    def _paths(self, code: Code, token, length, first, contexts):
+        """The paths of the given tokens, depth by depth; those of the last gate token by token."""
+        for depth in range(_DEPTHS):
+            on = length > depth
+            if not on.all():
+                token, length, first = token[on], length[on], first[on]
+                contexts = [c[on] for c in contexts]
+            at = first + depth
+            if depth == _DEPTHS - 1:
+                times = length - depth
+                which = np.repeat(np.arange(len(token)), times)
+                at = np.arange(len(which)) + np.repeat(at - (np.cumsum(times) - times), times)
+                token, contexts = token[which], [c[which] for c in contexts]
+            self._put(1 + depth, token, code.answer[at], [np.uint64(0), *contexts], [x[at] for x in code.nodes])
 
     def _spelled(self, tokens: Tokens, which: np.ndarray):
         """Eight decisions for each byte of the given words and for the zero byte after them."""
@@ -272,11 +317,19 @@ class Decisions:
         contexts = [mix(np.minimum(inside, 3).astype(np.uint64) + np.uint64(101)), mix(one + np.uint64(1 << 9)),
                     mix(one + two * np.uint64(256) + np.uint64(1 << 18)),
                     mix(one + two * np.uint64(256) + three * np.uint64(65536) + np.uint64(1 << 27))]
-        bit = np.tile(np.arange(8), len(token))
-        wide = np.repeat(byte, 8)
-        sofar = (1 << bit) | (wide >> (8 - bit))
-        return self._part(np.repeat(token, 8), 1 + _DEPTHS + bit, ((wide >> (7 - bit)) & 1).astype(np.int8),
-                          [np.repeat(c, 8) for c in contexts], sofar.astype(np.uint64) + np.uint64(1 << 41))
+        nodes = _spread(np.arange(256, dtype=np.uint64) + np.uint64(1 << 41))
+        for bit in range(8):
+            sofar = (1 << bit) | (byte >> (8 - bit))
+            self._put(1 + _DEPTHS + bit, token, (byte >> (7 - bit)) & 1, contexts, [x[sofar] for x in nodes])
+
+    def gates(self) -> np.ndarray:
+        return np.repeat(np.arange(_GATES, dtype=np.int8), self.size)
+
+    def cells(self, context: int) -> np.ndarray:
+        """Slots of a context and the answers in one number."""
+        out = self.slots[context] << 1
+        out += self.answer
+        return out
 
 
 # Counting decisions -----------------------------------------------------------------------
@@ -290,14 +343,14 @@ def _counted(code: Code):
         if not table.num_rows:
             return pa.table({"part": pa.array([], pa.int32()), "n": pa.array([], pa.int32()),
                              "body": pa.array([], pa.binary())})
-        roller, known = Roller(23), Dictionary(dictionary)
+        roller, known = Roller(23), Dictionary(dictionary, code)
         counts = np.zeros((_CONTEXTS, 2 << TABLE_BITS), np.uint32)
         for block in texts_of(table):
             tokens = Tokens(block, roller)
-            decisions = Decisions(tokens, code, known.of(tokens.hash) <= 1)
-            for i, slots in enumerate(decisions.slots):
-                counts[i] += np.bincount(
-                    slots * 2 + decisions.answer, minlength=2 << TABLE_BITS).astype(np.uint32)
+            place = known.places(tokens.hash)
+            decisions = Decisions(tokens, code, known, place, known.counts[place] <= 1)
+            for i in range(_CONTEXTS):
+                np.add.at(counts[i], decisions.cells(i), np.uint32(1))
         flat = counts.ravel()
         at = np.flatnonzero(flat)
         part = at >> _RANGE
@@ -354,26 +407,28 @@ class Fit:
         self.met = np.zeros((2, _GATES, _BINS + 1))
 
     def learn(self, x: np.ndarray, gate: np.ndarray, answer: np.ndarray):
-        order = np.argsort(gate.astype(np.int8), kind="stable")
-        cuts = np.searchsorted(gate[order], np.arange(_GATES + 1))
+        if (np.diff(gate) < 0).any():
+            order = np.argsort(gate, kind="stable")
+            x, gate, answer = x[order], gate[order], answer[order]
+        cuts = np.searchsorted(gate, np.arange(_GATES + 1, dtype=gate.dtype))
         for g in range(_GATES):
-            mine = order[cuts[g] : cuts[g + 1]]
-            if not len(mine):
+            mine = slice(cuts[g], cuts[g + 1])
+            a, y, curve = x[mine].T, answer[mine].astype(np.float32), 0
+            if not len(y):
                 continue
-            a, y, curve = x[mine], answer[mine], 0
             before, first = self.weights[g].copy(), not self.curve[g].any()
             held = self.curve[g] + _WORTH * np.eye(_CONTEXTS + 1)
-            dot = a @ before.astype(np.float32)
             for _ in range(_ROUNDS if first else 1):
-                dot = a @ self.weights[g].astype(np.float32)
+                dot = self.weights[g].astype(np.float32) @ a
                 p = _squashed(dot)
-                curve = ((a * (p * (1 - p))[:, None]).T @ a).astype(float)
-                slope = (a.T @ (p - y)).astype(float) + held @ (self.weights[g] - before)
+                curve = ((a * (p * (1 - p))) @ a.T).astype(float)
+                slope = (a @ (p - y)).astype(float) + held @ (self.weights[g] - before)
                 self.weights[g] -= np.linalg.solve(held + curve, slope)
             self.curve[g] += curve
-            bin_ = np.rint(_place(dot)).astype(int)
-            self.met[0, g] += np.bincount(bin_, minlength=_BINS + 1)
-            self.met[1, g] += np.bincount(bin_, weights=y, minlength=_BINS + 1)
+            bin_ = np.rint(_place(dot)).astype(np.int64)
+            met = np.bincount(bin_ * 2 + answer[mine], minlength=2 * _BINS + 2).reshape(-1, 2)
+            self.met[0, g] += met.sum(axis=1)
+            self.met[1, g] += met[:, 1]
 
     def sums(self) -> np.ndarray:
         """What buckets add up: curvatures, weights times them, decisions and ones by bin."""
@@ -391,14 +446,15 @@ def _fitted(shared):
             return pa.table({"bucket": pa.array([], pa.int32()), "place": pa.array([], pa.int32()),
                              "value": pa.array([], pa.float64())})
         code, odds = shared.value
-        roller, known, fit = Roller(23), Dictionary(dictionary), Fit()
+        roller, known, fit = Roller(23), Dictionary(dictionary, code), Fit()
         for block in texts_of(table.sort_by("hash")):
             tokens = Tokens(block, roller)
-            decisions = Decisions(tokens, code, known.of(tokens.hash) <= 1)
-            x = np.ones((len(decisions.answer), _CONTEXTS + 1), np.float32)
-            for i, slots in enumerate(decisions.slots):
-                x[:, i] = odds[i][slots * 2 + decisions.answer]
-            fit.learn(x, decisions.gate, decisions.answer)
+            place = known.places(tokens.hash)
+            decisions = Decisions(tokens, code, known, place, known.counts[place] <= 1)
+            x = np.ones((_CONTEXTS + 1, len(decisions.answer)), np.float32)
+            for i in range(_CONTEXTS):
+                x[i] = odds[i][decisions.cells(i)]
+            fit.learn(x.T, decisions.gates(), decisions.answer)
         sums = fit.sums()
         return pa.table({"bucket": pa.array(np.full(len(sums), key[0].as_py()), pa.int32()),
                          "place": pa.array(np.arange(len(sums)), pa.int32()), "value": pa.array(sums)})
@@ -417,10 +473,10 @@ class Mixer:
         self.refined = np.tile(_squashed(centre), (_GATES, 1))
 
     def inputs(self, slots) -> np.ndarray:
-        out = np.ones((len(slots[0]), _CONTEXTS + 1), np.float32)
+        out = np.ones((_CONTEXTS + 1, len(slots[0])), np.float32)
         for i, s in enumerate(slots):
-            out[:, i] = self.table[i][s]
-        return out
+            out[i] = self.table[i][s]
+        return out.T
 
     def fit(self, sums: np.ndarray):
         """Weights and refinement from the sums of all buckets."""
@@ -437,33 +493,41 @@ class Mixer:
         place = _place(dot)
         low = np.minimum(place.astype(np.int64), _BINS - 1)
         part = place - low
-        refined = self.refined[gate, low] * (1 - part) + self.refined[gate, low + 1] * part
+        low += gate * np.int64(_BINS + 1)
+        refined = self.refined.ravel()[low]
+        refined += (self.refined.ravel()[low + 1] - refined) * part
         return np.clip((_squashed(dot) + refined) / 2, 1e-6, 1 - 1e-6)
 
     def cost(self, tokens: Tokens, decisions: Decisions) -> np.ndarray:
         """Log2 probability of each text's decisions; weights learn after every segment."""
         n = tokens.n_texts
-        weights = np.tile(self.weights, (n, 1, 1)).reshape(n * _GATES, _CONTEXTS + 1)
-        x = self.inputs(decisions.slots)
-        text = tokens.text[decisions.token]
-        segment = tokens.inside[decisions.token] // SEGMENT
+        segment = tokens.inside // SEGMENT
+        if segment.max() < 1 << 16:
+            segment = segment.astype(np.uint16)
+        segment = segment[decisions.token]
         order = np.argsort(segment, kind="stable")
-        cuts = np.flatnonzero(np.diff(segment[order], prepend=-1, append=-1))
-        out = np.zeros(n)
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            rows = order[a:b]
-            set_ = text[rows] * _GATES + decisions.gate[rows]
-            inputs, answer = x[rows], decisions.answer[rows]
-            dot = np.einsum("ij,ij->i", inputs, weights[set_])
-            p = self.probability(decisions.gate[rows], dot)
-            out += np.bincount(text[rows], weights=np.log2(np.where(answer == 1, p, 1 - p)), minlength=n)
-            wrong = (answer - _squashed(dot)).astype(np.float32)
+        segment = segment[order]
+        cuts = np.flatnonzero(np.diff(segment, prepend=segment[:1] + 1, append=segment[-1:] + 1))
+        gate, text = decisions.gates()[order], tokens.text[decisions.token[order]]
+        answer = decisions.answer[order]
+        x = self.inputs([s[order] for s in decisions.slots]).T
+        # Within a segment a gate's decisions of a text are one run.
+        set_ = gate * np.int64(n) + text
+        edge = np.diff(set_, prepend=-1) != 0
+        edge[cuts[:-1]] = True
+        runs = np.flatnonzero(edge)
+        size = np.diff(runs, append=len(order))
+        weights = np.repeat(self.weights.T, n, axis=1)
+        dots = np.empty(len(order), np.float32)
+        for a, b, c, d in zip(cuts[:-1], cuts[1:], *np.searchsorted(runs, [cuts[:-1], cuts[1:]])):
+            sets, inputs = set_[runs[c:d]], x[:, a:b]
+            own = weights[:, sets]
+            dot = dots[a:b] = np.einsum("ij,ij->j", inputs, np.repeat(own, size[c:d], axis=1))
             if b < len(order):
-                sets, inner = np.unique(set_, return_inverse=True)
-                step = np.stack([np.bincount(inner, weights=wrong * inputs[:, i])
-                                 for i in range(_CONTEXTS + 1)], axis=1)
-                weights[sets] += RATE * step.astype(np.float32)
-        return out
+                wrong = answer[a:b] - _squashed(dot)
+                weights[:, sets] = own + np.float32(RATE) * np.add.reduceat(inputs * wrong, runs[c:d] - a, axis=1)
+        p = self.probability(gate, dots)
+        return np.bincount(text, weights=np.log2(np.where(answer == 1, p, 1 - p)), minlength=n)
 
 
 # Scores -----------------------------------------------------------------------------------
@@ -475,14 +539,15 @@ _SCORES = ("held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigi
 def _scoring(shared, total: int, types: int, rare: int):
     def score(key, table, dictionary):
         code, mixer = shared.value
-        roller, known = Roller(23), Dictionary(dictionary)
+        roller, known = Roller(23), Dictionary(dictionary, code)
         out = []
         for block in texts_of(table) if table.num_rows else ():
             tokens = Tokens(block, roller)
             n = tokens.n_texts
-            count = known.of(tokens.hash)
+            place = known.places(tokens.hash)
+            count = known.counts[place]
             base = np.bincount(tokens.text, weights=np.log10((count + 1) / (total + types + 1)), minlength=n)
-            decisions = Decisions(tokens, code, count == 0)
+            decisions = Decisions(tokens, code, known, place, count == 0)
             bits = mixer.cost(tokens, decisions)
             drawn = decisions.rare & decisions.coded
             bits += np.bincount(tokens.text[drawn], minlength=n,

@@ -685,6 +685,91 @@ def test_context_mixing_learns_from_all_training_texts(spark):
     assert scores[0] == scores[1]
 
 
+def test_decisions_and_costs_equal_plain_loops():
+    """Decisions come gate by gate, as no later step sorts them by gate; they and the costs are those of loops."""
+    import pyarrow as pa
+
+    from parcelhouse.llm import context_mixing as op
+    from parcelhouse.llm.prefix_free import pack
+
+    rng = np.random.default_rng(8)
+    words_ = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(words_, n, p=np.arange(400, 0, -1) / 80200)) for n in (0, 1, 300, 90)]
+    texts += ["a b a b a b c a b c", "New one new ONE", " \n", "a b a b"]
+    block = next(iter(op.texts_of(pa.table({"text": texts}))))
+    tokens = op.Tokens(block, op.Roller(23))
+    hashes, count = np.unique(tokens.hash, return_counts=True)
+    count[rng.random(len(count)) < 0.1] = 0
+    inner = np.flatnonzero((count > 2) & (hashes != op._END_HASH))
+    code = op.Code(hashes[inner], 1 << np.arange(len(inner)) % 14, 40, 20, len(texts))
+    body = [pack(h, c.astype(np.uint64)) for h, c in ((hashes[::2], count[::2]), (hashes[1::2], count[1::2]))]
+    known = op.Dictionary(pa.table({"body": body, "n": [len(hashes[::2]), len(hashes[1::2])]}), code)
+    place = known.places(tokens.hash)
+    assert (known.hashes[place] == tokens.hash).all() and (known.counts == count).all()
+    got = op.Decisions(tokens, code, known, place, known.counts[place] == 0)
+    gates = got.gates()
+    assert (np.diff(gates) >= 0).all()
+
+    def mix(x):
+        return int(op.mix(np.array([x % 2**64], np.uint64))[0])
+
+    def slots(contexts, node):
+        return tuple(((c ^ node * int(odd) % 2**64) * int(op._ODD[0]) % 2**64) >> 64 - op.TABLE_BITS
+                     for c, odd in zip(contexts, op._ODD[::-1]))
+
+    of, counts = dict(zip(code.hashes.tolist(), range(3, 999))), dict(zip(hashes.tolist(), count.tolist()))
+    want, first = [], 0
+    for size, text in zip(tokens.count.tolist(), texts):
+        seq = tokens.hash[first : first + size].tolist()
+        spelling = [w.lower().encode() + b"\0" for w in text.split()]
+        symbol = [2 if k == size - 1 else of.get(h, 0 if counts[h] else 1) for k, h in enumerate(seq)]
+        streak = 0
+        for k, h in enumerate(seq):
+            one = seq[k - 1] if k else 1
+            two = seq[k - 2] if k > 1 else 1
+            steer = [seq[j] for j in range(k) if symbol[j] > 2 and code.rank[symbol[j] - 3] < op.STEERING]
+            c = [0, mix(steer[-1] if steer else 2), mix(one + 3), mix(mix(two + 5) + one)]
+            source = [j for j in range(k - 1) if seq[j] == one]
+            hit = bool(source) and seq[source[-1] + 1] == h
+            if source:
+                run = min(streak, 15)
+                own = [mix(run + 11), mix(symbol[source[-1] + 1] * 16 + run + (1 << 20)), mix(c[2] + run), mix(c[3] + 13)]
+                want.append((first + k, 0, int(hit), *slots(own, 1 << 40)))
+            streak = streak + 1 if hit else 0
+            if hit:
+                continue
+            for depth in range(code.length[symbol[k]]):
+                at = code.first[symbol[k]] + depth
+                want.append((first + k, 1 + min(depth, 7), int(code.answer[at]), *slots(c, int(code.node[at]))))
+            for i, byte in enumerate(spelling[k] if symbol[k] == 1 else b""):
+                a, b, d = (spelling[k][i - j] if i >= j else 0 for j in (1, 2, 3))
+                own = [mix(min(i, 3) + 101), mix(a + (1 << 9)), mix(a + b * 256 + (1 << 18)),
+                       mix(a + b * 256 + d * 65536 + (1 << 27))]
+                for bit in range(8):
+                    node = ((1 << bit) | (byte >> (8 - bit))) + (1 << 41)
+                    want.append((first + k, 9 + bit, (byte >> (7 - bit)) & 1, *slots(own, node)))
+        first += size
+    rows = list(zip(*(x.tolist() for x in (got.token, gates, got.answer, *got.slots))))
+    assert {g for _, g, *_ in rows} == set(range(17)) and sorted(rows) == sorted(want)
+
+    mixer = op.Mixer(rng.integers(0, 9, (op._CONTEXTS, 2 << op.TABLE_BITS)).astype(np.float32))
+    cost, weights, step = np.zeros(len(texts)), {}, collections.defaultdict(float)
+    now = None
+    for token, gate, answer, *places in sorted(want):
+        text, segment = int(tokens.text[token]), int(tokens.inside[token]) // op.SEGMENT
+        if (text, segment) != now:
+            for k, v in step.items():
+                weights[k] = weights[k] + op.RATE * v
+            now, step = (text, segment), collections.defaultdict(float)
+        x = np.array([*(mixer.table[i][s] for i, s in enumerate(places)), 1.0])
+        w = weights.setdefault((text, gate), mixer.weights[gate].astype(float))
+        dot = float(w @ x)
+        p = float(mixer.probability(np.array([gate]), np.array([dot]))[0])
+        cost[text] += math.log2(p if answer else 1 - p)
+        step[text, gate] = step[text, gate] + (answer - op._squashed(dot)) * x
+    assert np.allclose(mixer.cost(tokens, got), cost, rtol=1e-5)
+
+
 def test_fitted_weights_are_near_the_best(spark):
     """One pass block by block, and two buckets averaged, end close to all rounds over all decisions."""
     from parcelhouse.llm.context_mixing import _CONTEXTS, Fit, Mixer, TABLE_BITS
