@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from parcelhouse.functions import measured_value
 from parcelhouse.model import (
@@ -76,17 +76,58 @@ def to_wide(
     return cells.mapInArrow(_laid_out(len(index), names, schema.names), schema)
 
 
+def to_wide_by_value(cells: DataFrame, column: str, values, regions, index, tag: str) -> DataFrame:
+    """Wide rows of several values below each other: one for each of ``values`` that a row of ``index`` has,
+    named by ``tag``, with one column per region.
+
+    Cells are unique, those of a row lie in one partition and are sorted by ``index``; no key is null. Rows
+    leave a partition as they come: nothing is shuffled once it is wide.
+    """
+    cells = cells.select(*index, F.col(column).cast("string"), *[F.col(v).cast("double") for v in values])
+    schema = StructType(
+        [*cells.schema.fields[: len(index)], StructField(tag, StringType(), False)]
+        + [StructField(str(r), DoubleType()) for r in regions]
+    )
+    rows = _stacked(len(index), [str(r) for r in regions], list(values), schema.names)
+    return cells.mapInArrow(rows, schema)
+
+
+def _stacked(width: int, names: list, values: list, columns: list):
+    """Sorted cells to wide rows, one for each value that is there."""
+    step = max(1, _BATCH_CELLS // max(1, len(names)))
+
+    def rows(cells, first):
+        keys = [c.combine_chunks() for c in cells.columns]
+        place = pc.fill_null(pc.index_in(keys[width], pa.array(names, keys[width].type)), -1).to_numpy()
+        known = [v.is_valid().to_numpy(zero_copy_only=False) & (place >= 0) for v in keys[width + 1 :]]
+        numbers = [v.to_numpy(zero_copy_only=False) for v in keys[width + 1 :]]
+        for a in range(0, len(first), step):
+            low = first[a : a + step]
+            high = first[a + step] if a + step < len(first) else cells.num_rows
+            row = np.repeat(np.arange(len(low)), np.diff(low, append=high))
+            for value, there, number in zip(values, known, numbers):
+                used = np.flatnonzero(there[low[0] : high])
+                if not len(used):
+                    continue
+                filled, at = np.unique(row[used], return_inverse=True)
+                used += low[0]
+                cell = np.zeros((len(names), len(filled)))
+                empty = np.ones(cell.shape, bool)
+                cell[place[used], at] = number[used]
+                empty[place[used], at] = False
+                chosen = pa.array(low[filled])
+                out = [k.take(chosen) for k in keys[:width]]
+                out.append(pa.repeat(value, len(filled)))
+                out.extend(pa.array(c, mask=e) for c, e in zip(cell, empty))
+                yield pa.RecordBatch.from_arrays(out, names=columns)
+
+    return _session_by_session(width, rows)
+
+
 def _laid_out(width: int, names: list, columns: list):
     """Cells sorted by their first ``width`` columns to wide rows; unique by these and the name after them."""
     step = max(1, _BATCH_CELLS // max(1, len(columns) - width))
 
-    def starts(cells):
-        new = np.ones(cells.num_rows, bool)
-        new[1:] = False
-        for key in cells.columns[:width]:
-            new[1:] |= pc.not_equal(key.slice(1), key.slice(0, len(key) - 1)).to_numpy()
-        return np.flatnonzero(new)
-
     def rows(cells, first):
         """Wide rows of whole sessions, which begin at the cells ``first``."""
         keys = [c.combine_chunks() for c in cells.columns]
@@ -105,6 +146,19 @@ def _laid_out(width: int, names: list, columns: list):
                 out.extend(v.take(at) for v in keys[width + 1 :])
             yield pa.RecordBatch.from_arrays(out, names=columns)
 
+    return _session_by_session(width, rows)
+
+
+def _session_by_session(width: int, rows):
+    """Batches of cells sorted by their first ``width`` columns, given to ``rows`` as whole sessions."""
+
+    def starts(cells):
+        new = np.ones(cells.num_rows, bool)
+        new[1:] = False
+        for key in cells.columns[:width]:
+            new[1:] |= pc.not_equal(key.slice(1), key.slice(0, len(key) - 1)).to_numpy()
+        return np.flatnonzero(new)
+
     def lay_out(batches):
         rest = None
         for batch in batches:

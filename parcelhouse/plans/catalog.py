@@ -124,13 +124,13 @@ def describe_long(long: DataFrame, statistics, by=("source",)) -> DataFrame:
     )
 
 
-def describe_features(cells: DataFrame, by) -> DataFrame:
-    """Catalog entries of wide features from their non-null cells."""
-    regions = cells.select(*by, "label").distinct().groupBy(*by).agg(
-        F.sort_array(F.collect_list("label")).alias("regions")
-    )
-    sessions = (
-        cells.select(*by, "subject_code", "session_id").distinct()
-        .groupBy(*by).agg(F.count("*").alias("n_sessions"))
-    )
-    return regions.join(sessions, list(by)).withColumn("n_regions", F.size("regions").cast("bigint"))
+def describe_features(wide: DataFrame, by, regions) -> DataFrame:
+    """Catalog entries of stored wide features: each row is a session, and a column with a value a region."""
+    names = [F.col("`" + r.replace("`", "``") + "`") for r in regions]
+    filled = [F.when(F.count(c) > 0, F.lit(r)) for c, r in zip(names, regions)]
+    # An empty text comes back as a null from the name of a folder.
+    texts = {c: F.coalesce(c, F.lit("")) for c, t in wide.dtypes if c in by and t == "string"}
+    return wide.withColumns(texts).groupBy(*by).agg(
+        F.count("*").alias("n_sessions"),
+        (F.array_compact(F.array(*filled)) if filled else F.array().cast("array<string>")).alias("regions"),
+    ).withColumn("n_regions", F.size("regions").cast("bigint"))

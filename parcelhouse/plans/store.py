@@ -21,6 +21,8 @@ One writer at a time is assumed, as plain files offer no transactions.
 
 import time
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from parcelhouse.model import (
@@ -40,7 +42,7 @@ from parcelhouse.functions import missing_to_null
 from parcelhouse.operators.assemble import Feature, assemble_features
 from parcelhouse.operators.latest import keep_last, session_pairs
 from parcelhouse.operators.profile import ledger_status, session_counts, value_statistics
-from parcelhouse.operators.reshape import first_values, region_list
+from parcelhouse.operators.reshape import first_values, region_list, to_wide_by_value
 from parcelhouse.operators.sessions import (
     attach,
     missing_sessions,
@@ -81,6 +83,9 @@ WIDE_SCHEMA = schema(
 )
 #: Rows of a bucket on average before the number of buckets is doubled.
 BUCKET_ROWS = 5_000_000
+#: Wide rows that a task lays out, as Spark holds them while it sorts them by file.
+WIDE_BYTES = 1 << 28
+_KEY_BYTES = 150
 _REGION_FILE = r"_parc\.tsv$"
 _TISSUE_FILE = r"_tissue-[^/]+_parc\.tsv$"
 _KEYS = list(SESSION_KEYS)
@@ -534,24 +539,31 @@ class FeatureStore:
         stale = [r for b, r in held.items() if b not in fresh]
         if not stale:
             return self._names_of(source, wanted)
-        cells, together = self._wide_cells(source, stale, by, wanted)
+        # A statistic without any value in these buckets gives no cells.
+        present = [s for s in wanted if any(s in (r.statistics or wanted) for r in stale)] or wanted
+        cells = self._wide_cells(source, stale, by, present)
         regions = region_list(cells, "label")
         if not regions and not fresh:
             return []
         version = time.time_ns()
-        index = [*_KEYS, "bucket", *by]
-        wide = together.groupBy(*index).pivot("label", regions or [""]).agg(
-            F.first("value", ignorenulls=True)
+        path = f"{self.root}/wide/{source}/data/version={version}"
+        index = [*_KEYS, "bucket", *by[1:]]
+        together = self._dealt(cells, stale, by, len(present) * (8 * len(regions) + _KEY_BYTES))
+        wide = to_wide_by_value(
+            together.sortWithinPartitions("bucket", *by[1:], *_KEYS), "label", present, regions, index, by[0]
         )
-        self._write(
-            wide.hint("rebalance", "bucket", *by), f"{self.root}/wide/{source}/data/version={version}",
-            partitions=["bucket", *by],
+        self._write(wide, path, partitions=["bucket", *by])
+        columns = T.StructType(
+            [T.StructField(c, T.StringType()) for c in _KEYS]
+            + [T.StructField(r, T.DoubleType()) for r in regions]
+            + [T.StructField("bucket", T.LongType())] + [T.StructField(c, T.StringType()) for c in by]
         )
-        sources = self.spark.createDataFrame(
-            [(r.bucket, r.n_buckets, r.version) for r in stale],
-            "bucket bigint, n_buckets bigint, base_version bigint",
+        stored = self.spark.read.schema(columns).parquet(path)
+        sources = self._small(
+            bucket=[r.bucket for r in stale], n_buckets=[r.n_buckets for r in stale],
+            base_version=[r.version for r in stale],
         )
-        facts = describe_features(cells, ["bucket", *by]).join(sources, "bucket").withColumn(
+        facts = describe_features(stored, ["bucket", *by], regions).join(sources, "bucket").withColumn(
             "version", F.lit(version)
         )
         listed = facts.select(
@@ -561,7 +573,7 @@ class FeatureStore:
             ]
         )
         if fresh:
-            still = self.spark.createDataFrame([(b,) for b in sorted(fresh)], "bucket bigint")
+            still = self._small(bucket=sorted(fresh))
             listed = listed.unionByName(old.join(still, "bucket", "left_semi"))
         manifest = f"{self.root}/wide/{source}/manifest/version={version}"
         self._write(listed.hint("rebalance"), manifest)
@@ -590,36 +602,55 @@ class FeatureStore:
             if r.source == source and r.metric in statistics
         ]
 
-    def _wide_cells(self, source, buckets, by, wanted):
-        """Cells, and the same with those of a session together in a task.
+    def _wide_cells(self, source, buckets, by, statistics):
+        """One row for each session, region, model and parameter, with its statistics.
 
         Published rows are unique by key. Where the parts of the key that features leave out have one value,
-        so are cells: the rows are dealt by session once, and become cells only then.
+        so are cells, and the published rows serve as they are.
         """
         rows = self._read_buckets(source, buckets)
-        values = F.filter(
-            F.array(
-                *[
-                    F.struct(F.lit(s).alias("statistic"), F.col(s).cast("double").alias("value"))
-                    for s in wanted
-                ]
-            ),
-            lambda c: c["value"].isNotNull(),
-        )
         # Null group keys are left out, as are cells without a value.
-        bucket = bucket_of(buckets[0].n_buckets).alias("bucket")
         known = rows.dropna(subset=[*_KEYS, "label", *by[1:]])
+        known = known.where(F.coalesce(*statistics).isNotNull())
+        bucket = bucket_of(buckets[0].n_buckets).alias("bucket")
+        values = [F.col(s).cast("double").alias(s) for s in statistics]
+        names = [*_KEYS, "bucket", *by[1:], "label"]
         rest = [k for k in long_keys(source) if k not in (*_KEYS, "label", *by)]
-        names = [*_KEYS, "label", *by[1:], "bucket"]
         if known.select(*rest).distinct().limit(2).count() < 2:
-            narrow = known.select(*_KEYS, "label", *by[1:], bucket, *wanted)
-            dealt = narrow.repartition(*_KEYS, "bucket", *by[1:])
-            return tuple(df.select(*names, F.inline(values)) for df in (narrow, dealt))
-        cells = known.select(*_KEYS, "label", *by[1:], *LOAD_ORDER, bucket, F.inline(values))
-        cells = materialize(
-            first_values(cells, [*_KEYS, "bucket", *by, "label"], ["value"], LOAD_ORDER), "wide-cells"
+            return known.select(*_KEYS, bucket, *by[1:], "label", *values)
+        cells = known.select(*_KEYS, bucket, *by[1:], "label", *LOAD_ORDER, *values)
+        return materialize(first_values(cells, names, statistics, LOAD_ORDER), "wide-cells")
+
+    def _dealt(self, cells, buckets, by, width) -> DataFrame:
+        """Cells in tasks that each write wide rows of about ``WIDE_BYTES``, ``width`` bytes for a session.
+
+        A task takes whole sessions of one or a few features, so that it writes few files; a feature of many
+        sessions is dealt over several tasks. The sizes are planning data, one for each bucket and feature.
+        """
+        sessions = {r.bucket: r.n_sessions for r in buckets}
+        found = cells.groupBy("bucket", *by[1:]).count().collect()
+        found = sorted(found, key=lambda r: [r[c] for c in ("bucket", *by[1:])])
+        ends = np.cumsum([min(r["count"], sessions[r.bucket]) * width for r in found], dtype=float)
+        total = float(ends[-1]) if found else 0.0
+        least = total / (2 * self.spark.sparkContext.defaultParallelism)
+        part = min(max(least, WIDE_BYTES / 16), WIDE_BYTES)
+        first = np.floor(np.concatenate([[0.0], ends[:-1]]) / part).astype(int)[: len(found)]
+        last = np.maximum(first, np.ceil(ends / part).astype(int) - 1)
+        places = self._small(
+            **{c: [r[c] for r in found] for c in ("bucket", *by[1:])},
+            _first=first.tolist(), _n=(last - first + 1).tolist(),
+        )
+        at = F.col("_first") + F.pmod(F.xxhash64(*_KEYS), F.col("_n"))
+        dealt = cells.join(places, ["bucket", *by[1:]]).withColumn("_part", at.cast("int"))
+        tasks = int(last[-1]) + 1 if found else 1
+        return dealt.repartitionById(tasks, "_part").drop("_first", "_n", "_part")
+
+    def _small(self, **columns) -> DataFrame:
+        """Planning data as a table whose size the planner knows; numbers, and texts for models and parameters."""
+        types = {c: pa.string() if c in ("model", "param") else pa.int64() for c in columns}
+        return self.spark.createDataFrame(
+            pa.table({c: pa.array(v, types[c]) for c, v in columns.items()})
         )
-        return cells, cells.repartition(*_KEYS, "bucket", *by)
 
     def list_features(self, modality=None) -> list:
         return self.catalog.names("wide", modality)

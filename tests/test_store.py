@@ -476,3 +476,70 @@ def test_wide_features_deal_rows_by_session_once(spark, root, monkeypatch):
     store.generate_wide_features(modalities=["two"])
     assert written == ["wide-cells"]
     assert [tuple(r) for r in store.load_feature("two_mean", include_metadata=False).collect()] == [("1", "a", 5.0)]
+
+
+def _diffusion_rows(spark, subjects=60):
+    """Sessions of unlike regions and statistics, for four parameters, one of which has a single session."""
+    rows = []
+    for i in range(subjects):
+        for param in ("FA", "MD", ""):
+            for j, region in enumerate(["r.1", "r2", "r3"]):
+                if (i + j) % 3:
+                    mean = float(i + j) if i % 4 else None
+                    rows.append((str(i), f"s{i % 2}", "dti", param, region, mean, i * 10 + j))
+    rows.append(("0", "s0", "dti", "RD", "r3", None, 7))
+    return spark.createDataFrame(rows, "subject_code string, session_id string, model string, param string, "
+                                 "label string, mean double, voxel_count bigint").withColumn("desc", F.lit("d"))
+
+
+def test_wide_rows_are_written_without_a_shuffle_of_wide_rows(spark, root, monkeypatch):
+    plans, write = [], FeatureStore._write
+
+    def noted(self, df, path, *args, **options):
+        if "/wide/" in path and "/data/" in path:
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, df, path, *args, **options)
+
+    monkeypatch.setattr(FeatureStore, "_write", noted)
+    store = FeatureStore(spark, root)
+    store.save_diffusion_long(_diffusion_rows(spark), "W")
+    store.publish()
+    store.generate_wide_features()
+    # One shuffle, of narrow rows: the laying out comes above it, and only the ordering by file above that.
+    (plan,) = plans
+    lines = plan.splitlines()
+    shuffles = [i for i, line in enumerate(lines) if "Repartition" in line or "Rebalance" in line]
+    assert len(shuffles) == 1 and "Aggregate" not in plan
+    assert any("MapInArrow" in line for line in lines[: shuffles[0]])
+
+
+@pytest.mark.parametrize("wide_bytes, descs", [(1 << 28, "d"), (600, "d"), (600, "de")])
+def test_wide_rows_of_all_sessions_however_they_are_dealt(spark, root, monkeypatch, wide_bytes, descs):
+    from parcelhouse.plans import store as stores
+
+    monkeypatch.setattr(stores, "WIDE_BYTES", wide_bytes)
+    store = FeatureStore(spark, root, bucket_rows=100)
+    rows = _diffusion_rows(spark)
+    for desc in reversed(descs):
+        store.save_diffusion_long(rows.withColumn("desc", F.lit(desc)), "W")
+    store.publish()
+    store.generate_wide_features()
+    want = {}
+    for r in rows.collect():
+        for statistic in ("mean", "voxel_count"):
+            if r[statistic] is not None:
+                feature = want.setdefault(f"W_dti_{r.param}_{statistic}", {})
+                feature.setdefault((r.subject_code, r.session_id), {})[r.label] = float(r[statistic])
+    assert store.list_features() == sorted(want)
+    for name, sessions in want.items():
+        entry = store.get_feature_info(name)
+        regions = sorted({r for cells in sessions.values() for r in cells})
+        assert (entry.n_sessions, list(entry.regions), entry.n_regions) == (len(sessions), regions, len(regions))
+        if "__" not in name:
+            got = store.load_feature(name, include_metadata=False).collect()
+            assert len(got) == len(sessions)
+            for row in got:
+                cells = sessions[(row.subject_code, row.session_id)]
+                assert [row[r] for r in regions] == [cells.get(r) for r in regions]
+    files = [f for f in _files(root, "wide") if "/data/" in f and "param=MD" in f and "voxel_count" in f]
+    assert len(files) == 4 if wide_bytes > 1000 else len(files) > 4
