@@ -80,7 +80,7 @@ def to_wide_by_value(cells: DataFrame, column: str, values, regions, index, tag:
     """Wide rows of several values below each other: one for each of ``values`` that a row of ``index`` has,
     named by ``tag``, with one column per region.
 
-    Cells are unique, those of a row lie in one partition and are sorted by ``index``; no key is null. Rows
+    Cells are unique, those of a row lie in one partition and follow each other; no key is null. Rows
     leave a partition as they come: nothing is shuffled once it is wide.
     """
     cells = cells.select(*index, F.col(column).cast("string"), *[F.col(v).cast("double") for v in values])
@@ -93,35 +93,35 @@ def to_wide_by_value(cells: DataFrame, column: str, values, regions, index, tag:
 
 
 def _stacked(width: int, names: list, values: list, columns: list):
-    """Sorted cells to wide rows, one for each value that is there."""
+    """Cells to wide rows, one for each value that is there; one value after the other, as files hold them."""
     step = max(1, _BATCH_CELLS // max(1, len(names)))
 
     def rows(cells, first):
         keys = [c.combine_chunks() for c in cells.columns]
         place = pc.fill_null(pc.index_in(keys[width], pa.array(names, keys[width].type)), -1).to_numpy()
-        known = [v.is_valid().to_numpy(zero_copy_only=False) & (place >= 0) for v in keys[width + 1 :]]
-        numbers = [v.to_numpy(zero_copy_only=False) for v in keys[width + 1 :]]
-        for a in range(0, len(first), step):
-            low = first[a : a + step]
-            high = first[a + step] if a + step < len(first) else cells.num_rows
-            row = np.repeat(np.arange(len(low)), np.diff(low, append=high))
-            for value, there, number in zip(values, known, numbers):
+        for value, cell in zip(values, keys[width + 1 :]):
+            there = cell.is_valid().to_numpy(zero_copy_only=False) & (place >= 0)
+            number = cell.to_numpy(zero_copy_only=False)
+            for a in range(0, len(first), step):
+                low = first[a : a + step]
+                high = first[a + step] if a + step < len(first) else cells.num_rows
                 used = np.flatnonzero(there[low[0] : high])
                 if not len(used):
                     continue
+                row = np.repeat(np.arange(len(low)), np.diff(low, append=high))
                 filled, at = np.unique(row[used], return_inverse=True)
                 used += low[0]
-                cell = np.zeros((len(names), len(filled)))
-                empty = np.ones(cell.shape, bool)
-                cell[place[used], at] = number[used]
+                wide = np.zeros((len(names), len(filled)))
+                empty = np.ones(wide.shape, bool)
+                wide[place[used], at] = number[used]
                 empty[place[used], at] = False
                 chosen = pa.array(low[filled])
                 out = [k.take(chosen) for k in keys[:width]]
                 out.append(pa.repeat(value, len(filled)))
-                out.extend(pa.array(c, mask=e) for c, e in zip(cell, empty))
+                out.extend(pa.array(c, mask=e) for c, e in zip(wide, empty))
                 yield pa.RecordBatch.from_arrays(out, names=columns)
 
-    return _session_by_session(width, rows)
+    return _session_by_session(width, rows, _BATCH_CELLS // max(1, len(values)))
 
 
 def _laid_out(width: int, names: list, columns: list):
@@ -149,8 +149,9 @@ def _laid_out(width: int, names: list, columns: list):
     return _session_by_session(width, rows)
 
 
-def _session_by_session(width: int, rows):
-    """Batches of cells sorted by their first ``width`` columns, given to ``rows`` as whole sessions."""
+def _session_by_session(width: int, rows, least=1):
+    """Cells whose sessions (the first ``width`` columns) lie together, given to ``rows`` as whole sessions of
+    ``least`` cells or more."""
 
     def starts(cells):
         new = np.ones(cells.num_rows, bool)
@@ -160,16 +161,17 @@ def _session_by_session(width: int, rows):
         return np.flatnonzero(new)
 
     def lay_out(batches):
-        rest = None
+        held = []
         for batch in batches:
-            cells = pa.Table.from_batches([batch])
-            cells = cells if rest is None else pa.concat_tables([rest, cells])
-            if cells.num_rows:
+            held.append(pa.Table.from_batches([batch]))
+            if sum(t.num_rows for t in held) >= least:
+                cells = pa.concat_tables(held)
                 first = starts(cells)
                 yield from rows(cells.slice(0, first[-1]), first[:-1])
-                rest = cells.slice(first[-1])
-        if rest is not None:
-            yield from rows(rest, np.zeros(1, int))
+                held = [cells.slice(first[-1])]
+        if any(t.num_rows for t in held):
+            cells = pa.concat_tables(held)
+            yield from rows(cells, starts(cells))
 
     return lay_out
 

@@ -97,14 +97,19 @@ def check_codec(codec: str) -> str:
     return codec
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The order of the given rows decides between equal keys of one delivery: the last counts."""
+    if "line_no" in df.columns:
+        return df
+    return df.withColumn("line_no", F.monotonically_increasing_id())
+
+
 def conform(df: DataFrame) -> DataFrame:
     """The canonical long columns; columns outside the vocabulary go to ``extras``."""
     if "label" not in df.columns:
         df = df.withColumnRenamed(region_column(df.columns), "label")
     known = {f.name for f in LONG_SCHEMA.fields}
-    if "line_no" not in df.columns:
-        # The order of the given rows decides between equal keys of one delivery: the last counts.
-        df = df.withColumn("line_no", F.monotonically_increasing_id())
+    df = numbered(df)
     other = [c for c in df.columns if c not in known]
     if other:
         cells = ", ".join(f"'{c}', cast(`{c}` as string)" for c in other)
@@ -161,10 +166,12 @@ class FeatureStore:
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         """Stage rows that carry their ``source`` and enter their sessions in the ledger."""
-        rows = conform(df).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        # Rebalancing splits a large source over several files and joins small ones.
+        # Rebalancing splits a large source over several files and joins small ones. It takes the rows
+        # as they were given: the many columns they lack come after it.
+        rows = conform(numbered(df).hint("rebalance", "source"))
         self._write(
-            rows.hint("rebalance", "source"), self._long, "overwrite", ["source", "batch_id"]
+            rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+            self._long, "overwrite", ["source", "batch_id"],
         )
         written = self.staged().where(F.col("batch_id") == batch_id)
         flag = F.when(F.col("source").startswith("diffusion"), "diffusion").otherwise(
@@ -175,7 +182,8 @@ class FeatureStore:
             F.current_timestamp().alias("loaded_at"),
             F.lit(batch_id).cast("bigint").alias("batch_id"),
         )
-        self._write(sessions.hint("rebalance"), self._ledger, "overwrite", ["batch_id"])
+        # Distinct sessions come evenly dealt.
+        self._write(sessions, self._ledger, "overwrite", ["batch_id"])
 
     def save_long(self, df: DataFrame, source: str) -> int:
         """Stage rows of one source as a new batch; later batches replace equal keys."""
@@ -292,8 +300,9 @@ class FeatureStore:
         staged = staged.where(F.col("batch_id") <= batch_hi)
 
         before = held[0].n_buckets if held else 1
-        found = staged.groupBy(bucket_of(before).alias("bucket")).count().collect()
-        total = sum(r.n_rows for r in held) + sum(r["count"] for r in found)
+        counts = [F.count(c).alias(c) for c in LONG_SCHEMA.names]
+        found = staged.groupBy(bucket_of(before).alias("bucket")).agg(F.count("*").alias("_n"), *counts).collect()
+        total = sum(r.n_rows for r in held) + sum(r["_n"] for r in found)
         buckets = before
         while buckets * self.bucket_rows < total:
             buckets *= 2
@@ -304,10 +313,20 @@ class FeatureStore:
         base = self._read_buckets(source, stale) if stale else None
         version = time.time_ns()
         path = f"{self.root}/base/{source}/data/version={version}"
+        if base is None:
+            # Columns without any value need not be shuffled: they are written as nulls.
+            least = {*long_keys(source), *LOAD_ORDER, "source"}
+            staged = staged.select(
+                *[c for c in LONG_SCHEMA.names if c in least or any(r[c] for r in found)]
+            )
         rows = self._merged(source, base, staged).withColumn("bucket", bucket_of(buckets))
         # Rebalancing splits a bucket with a hot subject over several files.
         rows = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", *_KEYS)
-        self._write(rows, path, partitions=["bucket"])
+        whole = [
+            F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in LONG_SCHEMA.fields
+        ]
+        self._write(rows.select(*whole, "bucket"), path, partitions=["bucket"])
         columns = T.StructType([*LONG_SCHEMA.fields, T.StructField("bucket", T.LongType())])
         stored = self.spark.read.schema(columns).parquet(path)
         facts = describe_long(stored, self._statistics(source), ("bucket",)).withColumns(
@@ -550,7 +569,7 @@ class FeatureStore:
         index = [*_KEYS, "bucket", *by[1:]]
         together = self._dealt(cells, stale, by, len(present) * (8 * len(regions) + _KEY_BYTES))
         wide = to_wide_by_value(
-            together.sortWithinPartitions("bucket", *by[1:], *_KEYS), "label", present, regions, index, by[0]
+            together.sortWithinPartitions("_group", *_KEYS), "label", present, regions, index, by[0]
         )
         self._write(wide, path, partitions=["bucket", *by])
         columns = T.StructType(
@@ -622,7 +641,8 @@ class FeatureStore:
         return materialize(first_values(cells, names, statistics, LOAD_ORDER), "wide-cells")
 
     def _dealt(self, cells, buckets, by, width) -> DataFrame:
-        """Cells in tasks that each write wide rows of about ``WIDE_BYTES``, ``width`` bytes for a session.
+        """Cells in tasks that each write wide rows of about ``WIDE_BYTES``, ``width`` bytes for a session;
+        ``_group`` numbers buckets and features in the order of their folders.
 
         A task takes whole sessions of one or a few features, so that it writes few files; a feature of many
         sessions is dealt over several tasks. The sizes are planning data, one for each bucket and feature.
@@ -638,7 +658,7 @@ class FeatureStore:
         last = np.maximum(first, np.ceil(ends / part).astype(int) - 1)
         places = self._small(
             **{c: [r[c] for r in found] for c in ("bucket", *by[1:])},
-            _first=first.tolist(), _n=(last - first + 1).tolist(),
+            _first=first.tolist(), _n=(last - first + 1).tolist(), _group=list(range(len(found))),
         )
         at = F.col("_first") + F.pmod(F.xxhash64(*_KEYS), F.col("_n"))
         dealt = cells.join(places, ["bucket", *by[1:]]).withColumn("_part", at.cast("int"))
