@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelhouse.plans.load_job import LoadSettings, run_load
-from parcelhouse.plans.store import FeatureStore, check_codec
+from parcelhouse.plans.store import FeatureStore, bucket_of, check_codec
 from parcelhouse.streaming.ingest import load_anatomical, load_diffusion, session_hook
 from test_sources import _write
 
@@ -543,3 +543,23 @@ def test_wide_rows_of_all_sessions_however_they_are_dealt(spark, root, monkeypat
                 assert [row[r] for r in regions] == [cells.get(r) for r in regions]
     files = [f for f in _files(root, "wide") if "/data/" in f and "param=MD" in f and "voxel_count" in f]
     assert len(files) == 4 if wide_bytes > 1000 else len(files) > 4
+
+
+def test_wide_features_forget_buckets_that_lost_their_values(spark, root):
+    store = FeatureStore(spark, root, bucket_rows=2)
+    store.save_anatomical_long(_rows(spark, *[(str(i), "a", "x", float(i), 1) for i in range(8)]), "gm")
+    store.publish()
+    store.generate_wide_features()
+    assert store.get_feature_info("gm_mean").n_sessions == 8
+    # All subjects of one bucket, which then has no cells at all.
+    bucket = bucket_of(store.manifest("anatomical_gm")[0].n_buckets)
+    rows = store.load_long("anatomical_gm").withColumn("bucket", bucket)
+    lost = [r.subject_code for r in rows.collect() if r.bucket == rows.where("subject_code = '5'").first().bucket]
+    assert len(lost) < 8
+    store.save_anatomical_long(spark.createDataFrame([(s, "a", "x", None, 2) for s in lost], COLUMNS), "gm")
+    store.publish()
+    store.generate_wide_features()
+    got = {r.subject_code for r in store.load_feature("gm_mean", include_metadata=False).collect()}
+    assert got == {str(i) for i in range(8)} - {*lost}
+    assert store.get_feature_info("gm_mean").n_sessions == len(got)
+    assert store.load_long("anatomical_gm").count() == 8
